@@ -43,10 +43,7 @@ def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     keep = list(keep or [])
-    raw = F.col(value_col).cast("string")
-    src = df.select(*[F.col(k) for k in keep], raw.alias("__payload"))
-    # blank payloads produce no row at all
-    src = src.where(F.length(F.trim(F.col("__payload"))) > 0)
+    src = df.select(*[F.col(k) for k in keep], F.col(value_col).cast("string").alias("__payload"))
     if mode == "keep_values":
         return _decode_keep_case(src, schema, keep)
     if mode == "lower_all":
@@ -54,14 +51,29 @@ def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
         payload = F.lower(F.col("__payload"))
     else:
         payload = F.col("__payload")
-    arr = F.from_json(payload, F.ArrayType(schema).simpleString())
-    rows = (src.select(*keep, arr.alias("__rows"))
-            .where(F.col("__rows").isNull() | (F.size("__rows") > 0))
-            .select(*keep, F.explode_outer("__rows").alias("__row")))
+    parsed = F.from_json(payload, F.ArrayType(schema).simpleString())
+    rows = src.select(*keep, F.explode(_row_list(parsed, schema)).alias("__row"))
     return rows.select(*keep, *[F.col("__row").getField(f.name).alias(f.name)
                                 for f in schema.fields])
 
 
+def _row_list(parsed: Column, element: StructType | str) -> Column:
+    """The rows one payload yields, as one array for ``explode``: none for a
+    blank payload or an empty root array, one null row for a payload that
+    does not parse, else the parsed documents.
+
+    Kept as a single expression on purpose: a separate filter on the parsed
+    value would be pushed below the source's shuffle and parse every payload
+    again there.
+    """
+    el_type = element.simpleString() if isinstance(element, StructType) else element
+    blank = F.length(F.trim(F.col("__payload"))) == 0
+    empty = F.array().cast(f"array<{el_type}>")
+    one_null = F.array(F.lit(None).cast(el_type))
+    return (F.when(F.col("__payload").isNull() | blank, empty)
+            .otherwise(F.coalesce(parsed, one_null)))
+
+
 def _decode_keep_case(src: DataFrame, schema: StructType, keep: list[str]) -> DataFrame:
     """Case-insensitive key match that leaves values as sent.
 
@@ -72,11 +84,9 @@ def _decode_keep_case(src: DataFrame, schema: StructType, keep: list[str]) -> Da
     """
     payload = F.col("__payload")
     is_array = F.ltrim(payload).startswith("[")
-    maps = F.when(is_array, F.from_json(payload, "array<map<string,string>>")) \
+    parsed = F.when(is_array, F.from_json(payload, "array<map<string,string>>")) \
         .otherwise(F.array(F.from_json(payload, "map<string,string>")))
-    rows = (src.select(*keep, maps.alias("__rows"))
-            .where(F.col("__rows").isNull() | (F.size("__rows") > 0))
-            .select(*keep, F.explode_outer("__rows").alias("__m"))
+    rows = (src.select(*keep, F.explode(_row_list(parsed, "map<string,string>")).alias("__m"))
             .select(*keep, F.map_entries("__m").alias("__e")))
     out = []
     for f in schema.fields:

@@ -42,9 +42,9 @@ def parse_ts(spark: SparkSession, ts: Column, ts_zone: str | None = None) -> Col
 def in_zone(spark: SparkSession, t: Column, tz: str | None) -> Column:
     """Wall-clock time of instant ``t`` in zone ``tz`` (a timestamp_ntz);
     ``t`` itself when ``tz`` is None (formatting then uses the session zone)."""
-    if tz is None:
-        return t
     session_tz = spark.conf.get("spark.sql.session.timeZone")
+    if tz is None or tz == session_tz:
+        return t
     return F.convert_timezone(F.lit(session_tz), F.lit(tz), t.cast("timestamp_ntz"))
 
 

@@ -8,7 +8,10 @@ writes ``write/key=<queryId>-<batchId>``:
 * key already committed, or already folded by a compaction → skip (replay
   after a crash between write and checkpoint commit adds nothing);
 * leftover of a failed attempt without a marker → overwritten;
-* empty batch → nothing written, the key stays unused;
+* empty batch → with ``skip_empty`` nothing is written and the key stays
+  unused; by default the key is committed with no data files (the same
+  snapshot, without an extra job over the batch). Structured Streaming runs
+  no micro-batch when no new records arrived, so this is rare;
 * missing table → raise, so the checkpoint does not move past the batch.
 
 Late rows need nothing special: no watermark is used, nothing is dropped,
@@ -64,7 +67,7 @@ def _find(cols: list[str], name: str) -> str:
 
 def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
                  files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-                 skip_empty: bool = True) -> BatchResult:
+                 skip_empty: bool = False) -> BatchResult:
     """Write one batch of derived rows as key directory ``key``."""
     st = table.state()  # raises TableMissing: the batch must not be acknowledged
     if key in st.folded:
