@@ -110,10 +110,15 @@ def test_leftover_without_marker_is_overwritten(spark, table, events):
     assert t.snapshot().count() == events.count()
 
 
-def test_empty_batch_writes_nothing(spark, table, events):
+def test_empty_batch(spark, table, events):
     t = table
-    res = ingest_batch(t, _rows(t, events.where("false")), "q-0")
+    res = ingest_batch(t, _rows(t, events.where("false")), "q-0", skip_empty=True)
     assert res.reason == "empty" and not t.is_committed("q-0")
+    res = ingest_batch(t, _rows(t, events.where("false")), "q-1")
+    assert res.written and t.is_committed("q-1")     # committed, with no data files
+    assert t.snapshot().count() == 0
+    compact(t)
+    assert t.snapshot().count() == 0
 
 
 def test_vacuum_keeps_recent_and_listed(spark, table, events):

@@ -79,28 +79,27 @@ def _decode_keep_case(src: DataFrame, schema: StructType, keep: list[str]) -> Da
 
     Each document is read as ``map<string,string>`` (scalars keep their text,
     nested values keep their raw JSON); for each declared field the last map
-    entry whose lower-cased key equals the lower-cased field name wins.
-    Keys that differ only in case are not merged, so nothing collides.
+    entry whose lower-cased key equals the lower-cased field name wins. The
+    keys are lower-cased once per document into a separate array, so keys
+    that differ only in case never collide in a map.
     """
     payload = F.col("__payload")
     is_array = F.ltrim(payload).startswith("[")
     parsed = F.when(is_array, F.from_json(payload, "array<map<string,string>>")) \
         .otherwise(F.array(F.from_json(payload, "map<string,string>")))
     rows = (src.select(*keep, F.explode(_row_list(parsed, "map<string,string>")).alias("__m"))
-            .select(*keep, F.map_entries("__m").alias("__e")))
+            .select(*keep,
+                    F.reverse(F.transform(F.map_keys("__m"), F.lower)).alias("__k"),
+                    F.reverse(F.map_values("__m")).alias("__v")))
     out = []
     for f in schema.fields:
-        hits = F.filter("__e", _key_is(f.name.lower()))
-        val = F.try_element_at(hits, F.lit(-1)).getField("value")
+        # first match in the reversed entries = last matching key in the document
+        pos = F.array_position("__k", f.name.lower())
+        val = F.when(pos > 0, F.element_at("__v", pos.cast("int")))
         out.append(_cast_text(val, f).alias(f.name))
     return rows.select(*keep, *out)
 
 
-def _key_is(name: str):
-    # a one-argument lambda: F.filter passes the index to a second argument
-    return lambda e: F.lower(e.getField("key")) == F.lit(name)
-
-
 def _cast_text(val: Column, f: StructField) -> Column:
     """Turn the text of one JSON value into the declared type."""
     t = f.dataType.simpleString()

@@ -5,14 +5,15 @@ Two layouts:
 ``files_per_partition=n``
     At most ``n`` files in each partition directory per write (the contract
     of the ingest coalesce level and of the compaction repartition factor).
-    Rows are hash-partitioned into a fixed number of writer tasks on the
-    partition columns plus a salt. The salt count of a directory is ``n``,
-    or — when ``rows_per_file`` is given — just enough pieces of about
-    ``rows_per_file`` rows, at most ``n``: small directories stay one file,
-    a hot directory (say a third of all rows) is split over up to ``n``
-    writers. The salt is a row position, not a content hash, so a directory
-    whose rows are all copies of one row still spreads; it is recomputed
-    identically when a lost task is retried.
+    Rows are hash-partitioned into ``spark.sql.shuffle.partitions`` writer
+    tasks on the partition columns plus a salt, so writers work in parallel
+    and adaptive execution does not fold them into a few serial ones. The
+    salt count of a directory is ``n``, or — when ``rows_per_file`` is given
+    — just enough pieces of about ``rows_per_file`` rows, at most ``n``:
+    ordinary directories stay one file, a hot directory (say a third of all
+    rows) is split over up to ``n`` writers. The salt is a row position, not
+    a content hash, so a directory whose rows are all copies of one row
+    still spreads; it is recomputed identically when a lost task is retried.
 
 ``files_per_partition=None``
     Size-driven: a ``REBALANCE`` on the partition columns. Adaptive

@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,6 +39,10 @@ from tidelog.plans.table import LogicalTable
 DEFAULT_INTERVAL_S = 300
 MIN_INTERVAL_S = 10
 DEFAULT_FILES_PER_PARTITION = 1
+# A directory that receives more rows than this in one batch is split over
+# up to HOT_FILES_PER_PARTITION writers instead of one.
+DEFAULT_ROWS_PER_FILE = 1_000_000
+HOT_FILES_PER_PARTITION = 8
 
 
 @dataclass
@@ -67,8 +72,19 @@ def _find(cols: list[str], name: str) -> str:
 
 def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
                  files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-                 skip_empty: bool = False) -> BatchResult:
-    """Write one batch of derived rows as key directory ``key``."""
+                 skip_empty: bool = False,
+                 rows_per_file: int | None = DEFAULT_ROWS_PER_FILE) -> BatchResult:
+    """Write one batch of derived rows as key directory ``key``.
+
+    Layout: one file per partition directory (``files_per_partition=1``, the
+    reference contract), except that a directory receiving more than
+    ``rows_per_file`` rows is split over up to ``HOT_FILES_PER_PARTITION``
+    writers so that one hot application cannot hold the batch in one task.
+    Finding hot directories takes one aggregate over the batch, which is
+    persisted for it so the source is read and decoded once.
+    ``rows_per_file=None`` keeps the strict bound; ``files_per_partition=None``
+    sizes files by bytes instead (adaptive rebalance).
+    """
     st = table.state()  # raises TableMissing: the batch must not be acknowledged
     if key in st.folded:
         return BatchResult(key, False, "folded")
@@ -77,8 +93,17 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
     if skip_empty and rows.isEmpty():
         return BatchResult(key, False, "empty")
     out = rows.select(*table.spec.column_names, *table.spec.partition_names)
-    write_partitioned(out, table.key_path(key), table.spec.partition_names,
-                      files_per_partition, mode="overwrite")
+    n = files_per_partition
+    if n is not None and rows_per_file is not None:
+        n = max(n, HOT_FILES_PER_PARTITION)
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_partitioned(out, table.key_path(key), table.spec.partition_names,
+                          n, mode="overwrite",
+                          rows_per_file=rows_per_file if n is not None else None)
+    finally:
+        if out.is_cached:
+            out.unpersist()
     return BatchResult(key, True, "written")
 
 
