@@ -181,3 +181,30 @@ def test_compaction_rebalance_layout(spark, table, events):
     ingest_batch(t, _rows(t, events), "b1")
     compact(t, files_per_partition=None)
     assert t.snapshot().count() == events.count()
+
+
+def test_vacuum_forget_keeps_state_small(spark, table, events):
+    t = table
+    ingest_batch(t, _rows(t, events), "b1")
+    compact(t)
+    removed = vacuum(t, retention_s=0, forget=True)
+    assert removed["forgotten"] == ["b1"]
+    assert t.state().folded == ()
+    assert t.snapshot().count() == events.count()
+
+
+def test_catalog_view_follows_state(spark, table, events):
+    from tidelog.plans.maintain import register_areas, register_catalog_view
+    t = table
+    ingest_batch(t, _rows(t, leg(events, "R")), "b1")
+    compact(t)
+    ingest_batch(t, _rows(t, leg(events, "W_a")), "b2")
+    register_areas(t, "cv_write", "cv_read")
+    register_catalog_view(t, "v_cv", "cv_write", "cv_read")
+    n_ra = leg(events, "R").count() + leg(events, "W_a").count()
+    assert spark.table("v_cv").count() == n_ra
+    plan = spark.table("v_cv").where("dt = '20240105'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters") == 2   # both legs pruned by dt and gen/key
+    compact(t)                                   # b2 moves to the read area
+    register_catalog_view(t, "v_cv", "cv_write", "cv_read")
+    assert spark.table("v_cv").count() == n_ra   # still once

@@ -4,11 +4,11 @@
   records per partition); counting needs no data columns, so the scan reads
   partition values only.
 * :func:`column_stats` — per column: rows, nulls, distinct values, maximum
-  and average length. One pass: every row is unpivoted into
-  ``(column, value)`` pairs and aggregated per column. Distinct counts are
-  HyperLogLog sketches by default (bounded memory per group, whatever the
-  skew); ``exact=True`` de-duplicates ``(column, value)`` with a partial
-  aggregate before the shuffle, so a hot value costs one row per task.
+  length. By default one aggregate over the table with a HyperLogLog sketch
+  per column (bounded memory, one row per task in the shuffle, whatever the
+  skew), unpivoted afterwards. ``exact=True`` unpivots every row into
+  ``(column, value)`` pairs and de-duplicates them with a partial aggregate
+  before the shuffle, so a hot value costs one row per task.
 * :func:`offset_ranges` — per topic partition: first offset, offset after the
   last, record count.
 """
@@ -27,6 +27,8 @@ def partition_stats(df: DataFrame, partition_cols: list[str] | None = None) -> D
 def column_stats(df: DataFrame, columns: list[str] | None = None, exact: bool = False,
                  rsd: float = 0.05) -> DataFrame:
     cols = columns or df.columns
+    if not exact:
+        return _column_stats_sketch(df, cols, rsd)
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("v")) for c in cols]))
     long = df.select(pairs.alias("p")).select("p.col", "p.v")
@@ -45,3 +47,19 @@ def offset_ranges(envelope: DataFrame) -> DataFrame:
         (F.max("offset") + F.lit(1)).alias("until_offset"),
         F.count(F.lit(1)).alias("n"),
     )
+
+
+def _column_stats_sketch(df: DataFrame, cols: list[str], rsd: float) -> DataFrame:
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`").cast("string")
+        aggs += [F.count_if(v.isNull()).alias(f"__z{i}"),
+                 F.approx_count_distinct(v, rsd).alias(f"__d{i}"),
+                 F.max(F.length(v)).alias(f"__l{i}")]
+    one = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("col"), F.col("__n").alias("n"),
+                              F.col(f"__z{i}").alias("nulls"),
+                              F.col(f"__d{i}").cast("bigint").alias("ndv"),
+                              F.col(f"__l{i}").cast("bigint").alias("max_len"))
+                     for i, c in enumerate(cols)])
+    return one.select(F.inline(rows))

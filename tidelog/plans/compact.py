@@ -82,13 +82,17 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
 
 
 def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
-           now: float | None = None) -> dict:
+           now: float | None = None, forget: bool = False) -> dict:
     """Delete what no snapshot resolved in the last ``retention_s`` seconds
     can read: key directories folded by a state published before that, and
     gens that no state lists and that are older than that.
 
     Folded keys stay listed in the state, so a replay of a folded batch is
-    still recognised and skipped after its directory is gone.
+    still recognised and skipped after its directory is gone. With
+    ``forget=True`` the keys whose directories are gone are also dropped
+    from the state (one more atomic publish), which keeps the state small;
+    do it only when no stream can still replay a batch that old (a stream
+    replays at most its last uncommitted batch).
     """
     now = time.time() if now is None else now
     cutoff = now - retention_s
@@ -117,6 +121,13 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
         if gen not in listed and fs.mtime(table.spark, path) <= cutoff:
             fs.delete(table.spark, path)
             removed["gens"].append(gen)
+    if forget and old is not None:
+        gone = set(old.folded) - {n.split("=", 1)[1] for n in fs.list_names(table.spark, table.write_path)
+                                  if n.startswith(f"{KEY_COL}=")}
+        if gone:
+            cur = table.state()
+            table.publish(cur, list(cur.gens), [k for k in cur.folded if k not in gone])
+            removed["forgotten"] = sorted(gone)
     return removed
 
 

@@ -10,6 +10,9 @@ SQL by name, or for cost-based optimisation):
   path (``MSCK REPAIR TABLE``);
 * :func:`refresh` — drop cached file listings (``REFRESH TABLE``);
 * :func:`compute_stats` — table and column statistics (``ANALYZE TABLE``);
+* :func:`register_catalog_view` — a catalog view that unions the area
+  tables with the snapshot's ``gen``/``key`` predicates (partition filters,
+  so they prune directories), redefined after each publish;
 * :func:`recreate_table` — empty a table and define it again with the same
   columns, partitions and location. Dropping an external table leaves its
   files, and a later partition recovery would bring them back, so the data
@@ -47,6 +50,32 @@ def register_areas(table: LogicalTable, write_name: str, read_name: str) -> None
         recover_partitions(spark, name)
 
 
+def register_catalog_view(table: LogicalTable, view: str, write_name: str, read_name: str,
+                          reference_columns: bool = False) -> str:
+    """``CREATE OR REPLACE VIEW`` over the area tables for the current state.
+
+    Returns the view text. Redefine the view after every ingest commit or
+    compaction publish to move it to the new snapshot.
+    """
+    st = table.state()
+    keys = table.delta_keys(st)
+    cols = ", ".join(f"`{c}`" for c in table.view_columns(reference_columns))
+
+    def in_list(col: str, values) -> str:
+        if not values:
+            return "false"
+        quoted = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+        return f"`{col}` IN ({quoted})"
+
+    recover_partitions(table.spark, write_name)
+    recover_partitions(table.spark, read_name)
+    sql = (f"CREATE OR REPLACE VIEW {view} AS "
+           f"SELECT {cols} FROM {read_name} WHERE {in_list(GEN_COL, st.gens)} "
+           f"UNION ALL SELECT {cols} FROM {write_name} WHERE {in_list(KEY_COL, keys)}")
+    table.spark.sql(sql)
+    return sql
+
+
 def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 
