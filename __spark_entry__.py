@@ -146,7 +146,7 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = f"{base}/source"
     raw_log(ev).repartition(4, "partition").write.parquet(src)
     t = LogicalTable.create(spark, f"{base}/table", EVENTS_SPEC)
-    stream = read_file_stream(spark, src, "parquet", max_files_per_trigger=1)
+    stream = read_file_stream(spark, src, "parquet", max_files_per_trigger=2)
     q = start_ingest(t, stream, f"{base}/checkpoint", available_now=True, tz=CONTRACT_TZ)
     q.awaitTermination()
     return _g(t.snapshot())

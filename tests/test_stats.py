@@ -57,3 +57,22 @@ def test_layout_plans(spark):
     assert "RepartitionByExpression" in p1
     p2 = layout(df, ["dt"], None)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in p2
+
+
+def test_view_sql_and_union_legs(spark):
+    from tidelog.operators.union import union_view, view_extended, view_sql
+    sql = view_sql("db.v_t", ["db.t_read", "db.t_write"], ["a", "dt"])
+    assert sql == ("CREATE OR REPLACE VIEW db.v_t AS SELECT `a`, `dt` FROM db.t_read "
+                   "UNION ALL SELECT `a`, `dt` FROM db.t_write")
+    a = spark.createDataFrame([("1", "x", "d1")], "a string, extra string, dt string")
+    b = spark.createDataFrame([("d2", "2")], "dt string, a string")
+    v = view_extended(a, b, b, ["a", "dt"])
+    assert v.columns == ["a", "dt"] and v.count() == 3   # no de-duplication
+    import pytest
+    with pytest.raises(ValueError):
+        union_view([], ["a"])
+
+
+def test_preview_limits_rows(spark):
+    from tidelog.functions.decode import preview
+    assert preview(spark.range(100), 10).count() == 10
