@@ -44,17 +44,22 @@ def raw_log(ev: DataFrame, topic: str = TOPIC, n_partitions: int = N_PARTITIONS)
     """``events`` → envelope ``(key, value, topic, partition, offset, timestamp)``.
 
     Records are laid out by topic partition, as a Kafka source reads them
-    (one Spark partition per topic partition), so decoding runs in parallel
-    even when the table is a single row group.
+    (one Spark partition per topic partition), before the documents are
+    serialised, so building and decoding them runs in parallel even when the
+    table is a single row group.
     """
-    return ev.select(
+    by_partition = (ev.select("event_id", "user_id", "event_type", "ts", "value", "props",
+                              F.pmod(F.col("event_id"), F.lit(n_partitions)).cast("int")
+                              .alias("partition"))
+                    .repartition(n_partitions, "partition"))
+    return by_partition.select(
         F.col("event_id").cast("string").alias("key"),
         F.to_json(F.struct(*payload_columns())).alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(F.col("event_id"), F.lit(n_partitions)).cast("int").alias("partition"),
+        F.col("partition"),
         F.expr(f"event_id div {int(n_partitions)}").cast("bigint").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
-    ).repartition(n_partitions, "partition")
+    )
 
 
 def raw_log_dirty(ev: DataFrame) -> DataFrame:
