@@ -39,6 +39,10 @@ def test_stream_ingest_available_now(spark, tmp_root, events):
     assert _ids(t.snapshot()) == all_ids
     # keys are <queryId>-<batchId>
     assert all(k.startswith(q.id) for k in t.committed_keys())
+    from tidelog.streaming.ingest import progress_offsets
+    rep = progress_offsets(q, all_batches=True)
+    assert sum(r["numInputRows"] for r in rep) == events.count()
+    assert [r["batchId"] for r in rep] == [0, 1, 2, 3]
 
 
 def test_crash_between_write_and_commit_replays_without_duplicates(spark, tmp_root, events):

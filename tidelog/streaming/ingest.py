@@ -146,3 +146,19 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
     q = w.start()
     q.batch_results = results  # type: ignore[attr-defined]
     return q
+
+
+def progress_offsets(query: StreamingQuery, all_batches: bool = False) -> list[dict]:
+    """Live offset-range report: per micro-batch and source, the start and
+    end offsets and the row count, from the query's progress records
+    (driver-side metadata; for Kafka the offsets are per topic partition)."""
+    records = query.recentProgress if all_batches else [query.lastProgress]
+    out = []
+    for p in records:
+        if not p:
+            continue
+        for s in p["sources"]:
+            out.append({"batchId": p["batchId"], "source": s["description"],
+                        "startOffset": s.get("startOffset"), "endOffset": s.get("endOffset"),
+                        "numInputRows": s.get("numInputRows")})
+    return out
