@@ -208,3 +208,31 @@ def test_catalog_view_follows_state(spark, table, events):
     compact(t)                                   # b2 moves to the read area
     register_catalog_view(t, "v_cv", "cv_write", "cv_read")
     assert spark.table("v_cv").count() == n_ra   # still once
+
+
+@pytest.mark.parametrize("crash_after", ["freeze", "fold", "publish"])
+def test_compaction_crash_and_rerun(spark, table, events, crash_after):
+    """A compaction that dies after any step leaves the snapshot exact; the
+    next run finishes the job and the leftovers are never read."""
+    t = table
+    all_ids = _ids(events.select(F.col("event_id").alias("eventid")))
+    ingest_batch(t, _rows(t, leg(events, "R")), "b1")
+    ingest_batch(t, _rows(t, leg(events, "W_a")), "b2")
+    base = t.state()
+    keys = t.delta_keys(base)
+    if crash_after in ("fold", "publish"):
+        fold(t, keys, f"{base.version + 1:010d}-crashed")
+    if crash_after == "publish":
+        t.publish(base, list(base.gens) + [f"{base.version + 1:010d}-crashed"], list(base.folded) + keys)
+    ra = sorted(_ids(leg(events, "R").select(F.col("event_id").alias("eventid")))
+                + _ids(leg(events, "W_a").select(F.col("event_id").alias("eventid"))))
+    assert _ids(t.snapshot()) == ra                # each row once, whatever step died
+    ingest_batch(t, _rows(t, leg(events, "W_b")), "b3")
+    assert _ids(t.snapshot()) == all_ids
+    res = compact(t)                               # the rerun
+    assert res.keys == (["b3"] if crash_after == "publish" else ["b1", "b2", "b3"])
+    assert _ids(t.snapshot()) == all_ids
+    removed = vacuum(t, retention_s=0)
+    if crash_after == "fold":
+        assert removed["gens"] == [f"{base.version + 1:010d}-crashed"]
+    assert _ids(t.snapshot()) == all_ids
