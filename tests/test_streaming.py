@@ -117,3 +117,15 @@ def test_interval_rules(spark, tmp_root):
         start_ingest(t, s, f"{tmp_root}/ckpt", interval_s=10)
     with pytest.raises(ValueError):
         start_ingest(t, spark.range(1).selectExpr("'x' as value"), f"{tmp_root}/ckpt")
+
+
+def test_processing_time_trigger_and_graceful_stop(spark, tmp_root, events):
+    from tidelog.streaming.ingest import stop_between_batches
+    _source(spark, events, f"{tmp_root}/src", n_files=2)
+    t = LogicalTable.create(spark, f"{tmp_root}/t", EVENTS_SPEC)
+    q = start_ingest(t, read_file_stream(spark, f"{tmp_root}/src"), f"{tmp_root}/ckpt",
+                     interval_s=11, tz="UTC")
+    q.processAllAvailable()
+    assert stop_between_batches(q, timeout_s=60)
+    assert not q.isActive
+    assert t.snapshot().count() == events.count()

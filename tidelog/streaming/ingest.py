@@ -22,6 +22,8 @@ and a late row lands in its own event-date ``dt`` under the current
 from __future__ import annotations
 
 import json
+import time
+from collections import deque
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -43,6 +45,8 @@ DEFAULT_FILES_PER_PARTITION = 1
 # up to HOT_FILES_PER_PARTITION writers instead of one.
 DEFAULT_ROWS_PER_FILE = 1_000_000
 HOT_FILES_PER_PARTITION = 8
+# Batch results kept on a running query (for inspection; older ones drop off).
+RESULTS_KEPT = 1000
 
 
 @dataclass
@@ -132,7 +136,7 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
     if not available_now and (interval_s is None or interval_s <= MIN_INTERVAL_S):
         raise ValueError(f"batch interval must be larger than {MIN_INTERVAL_S} s")
     rows = decode_and_derive(envelope, table, mode=mode, tz=tz, ts_zone=ts_zone)
-    results: list[BatchResult] = []
+    results: deque[BatchResult] = deque(maxlen=RESULTS_KEPT)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         key = f"{_query_id(batch.sparkSession, checkpoint)}-{batch_id}"
@@ -162,3 +166,22 @@ def progress_offsets(query: StreamingQuery, all_batches: bool = False) -> list[d
                         "startOffset": s.get("startOffset"), "endOffset": s.get("endOffset"),
                         "numInputRows": s.get("numInputRows")})
     return out
+
+
+def stop_between_batches(query: StreamingQuery, timeout_s: float = 600.0,
+                         poll_s: float = 0.5) -> bool:
+    """Stop ``query`` when no micro-batch is running (graceful stop).
+
+    Stopping mid-batch is also safe — the batch is replayed under the same
+    key on restart — this only avoids redoing the work. Returns False when
+    the query was stopped after ``timeout_s`` with a batch still running.
+    """
+    deadline = time.monotonic() + timeout_s
+    idle = False
+    while query.isActive and time.monotonic() < deadline:
+        if not query.status.get("isTriggerActive", False):
+            idle = True
+            break
+        time.sleep(poll_s)
+    query.stop()
+    return idle or not query.isActive
