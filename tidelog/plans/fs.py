@@ -73,8 +73,10 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
 
     The document is written to a private temporary name first and then moved
     into place by an operation that fails when the target exists (a hard
-    link locally, ``rename`` on Hadoop file systems), so a reader sees either
-    no file or the whole document. Returns False when another writer won.
+    link locally; on Hadoop file systems ``FileContext.rename`` without
+    overwrite, as Spark's own checkpoint log does, which is atomic on HDFS),
+    so a reader sees either no file or the whole document. Returns False
+    when another writer won.
     """
     parent = path.rsplit("/", 1)[0]
     tmp = f"{parent}/_tmp-{uuid.uuid4().hex}"
@@ -94,15 +96,27 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
             os.unlink(lt)
     fs, p = hadoop_fs(spark, path)
     _, tp = hadoop_fs(spark, tmp)
+    fs.mkdirs(p.getParent())
     out = fs.create(tp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    ok = bool(fs.rename(tp, p))
-    if not ok:
-        fs.delete(tp, False)
-    return ok
+    jvm = spark.sparkContext._jvm
+    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    no_overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        fc.rename(tp, p, no_overwrite)
+        return True
+    except Exception as e:  # py4j wraps the Java exception
+        if "FileAlreadyExistsException" in str(e):
+            return False
+        raise
+    finally:
+        if fs.exists(tp):
+            fs.delete(tp, False)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
