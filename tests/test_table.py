@@ -236,3 +236,19 @@ def test_compaction_crash_and_rerun(spark, table, events, crash_after):
     if crash_after == "fold":
         assert removed["gens"] == [f"{base.version + 1:010d}-crashed"]
     assert _ids(t.snapshot()) == all_ids
+
+
+def test_merge_gens_keeps_rows_once(spark, table, events):
+    from tidelog.plans.compact import merge_gens
+    t = table
+    all_ids = _ids(events.select(F.col("event_id").alias("eventid")))
+    for name in ("R", "W_a", "W_b"):
+        ingest_batch(t, _rows(t, leg(events, name)), name)
+        compact(t)
+    assert len(t.state().gens) == 3
+    res = merge_gens(t)
+    assert t.state().gens == (res.gen,)
+    assert _ids(t.snapshot()) == all_ids
+    assert len(vacuum(t, retention_s=0)["gens"]) == 3
+    assert _ids(t.snapshot()) == all_ids
+    assert merge_gens(t).gen is None            # nothing left to merge

@@ -81,6 +81,28 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
     return CompactionResult(gen, keys, new)
 
 
+def merge_gens(table: LogicalTable, gens: list[str] | None = None,
+               files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
+               rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
+               run_id: str | None = None, compression: str | None = None) -> CompactionResult:
+    """Rewrite several gens of the read area as one (all listed gens by
+    default) and swap them in the same atomic publish: the rows move from the
+    old gens to the new one in one step, so each stays visible once. The old
+    directories become unlisted and are removed by :func:`vacuum`."""
+    base = table.state()
+    chosen = list(base.gens) if gens is None else [g for g in base.gens if g in set(gens)]
+    if len(chosen) < 2:
+        return CompactionResult(None, [], base)
+    new_gen = f"{base.version + 1:010d}-{run_id or uuid.uuid4().hex[:12]}"
+    cols = table.spec.column_names + table.read_partitions()
+    rows = table.read_leg(chosen).select(*cols)
+    write_partitioned(rows, table.gen_path(new_gen), table.read_partitions(), files_per_partition,
+                      mode="errorifexists", compression=compression, rows_per_file=rows_per_file)
+    keep = [g for g in base.gens if g not in set(chosen)]
+    new = table.publish(base, keep + [new_gen], list(base.folded))
+    return CompactionResult(new_gen, [], new)
+
+
 def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
            now: float | None = None, forget: bool = False) -> dict:
     """Delete what no snapshot resolved in the last ``retention_s`` seconds
