@@ -129,3 +129,19 @@ def test_processing_time_trigger_and_graceful_stop(spark, tmp_root, events):
     assert stop_between_batches(q, timeout_s=60)
     assert not q.isActive
     assert t.snapshot().count() == events.count()
+
+
+def test_apps_end_to_end(spark, tmp_root, events):
+    from tidelog.streaming.apps import compaction_app, ingest_app
+    _source(spark, events, f"{tmp_root}/src", n_files=2)
+    root = f"{tmp_root}/t"
+    with pytest.raises(Exception):
+        ingest_app(spark, root, source_path=f"{tmp_root}/src", available_now=True)  # no table yet
+    LogicalTable.create(spark, root, EVENTS_SPEC)
+    q = ingest_app(spark, root, source_path=f"{tmp_root}/src", available_now=True, tz="UTC")
+    q.awaitTermination()
+    res = compaction_app(spark, root, merge=True, retention_s=0)
+    t = LogicalTable.open(spark, root)
+    assert res.gen is not None and t.delta_keys() == []
+    assert t.snapshot().count() == events.count()
+    assert _ids(t.snapshot()) == sorted(r[0] for r in events.select("event_id").collect())

@@ -14,11 +14,12 @@ from tidelog.plans.compact import compact, vacuum
 from tidelog.plans.table import LogicalTable, PublishConflict, State, TableMissing
 from tidelog.session import build_session, prepare, shared_dir
 from tidelog.sources.schema import TableSpec, from_catalog, from_template
+from tidelog.streaming.apps import compaction_app, ingest_app
 from tidelog.streaming.ingest import decode_and_derive, ingest_batch, start_ingest
 
 __all__ = [
     "LogicalTable", "PublishConflict", "State", "TableMissing", "TableSpec",
-    "build_session", "compact", "decode_and_derive", "decode_json", "derive_partitions",
+    "build_session", "compact", "compaction_app", "decode_and_derive", "ingest_app", "decode_json", "derive_partitions",
     "from_catalog", "from_template", "ingest_batch", "prepare", "shared_dir",
     "start_ingest", "vacuum",
 ]
