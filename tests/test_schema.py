@@ -84,3 +84,25 @@ def test_create_table_sql(spark):
     spec = TableSpec.from_ddl("a string", "dt string")
     sql = spec.create_table_sql("db.t", "/x")
     assert sql == "CREATE TABLE db.t (`a` string, `dt` string) USING PARQUET PARTITIONED BY (`dt`) LOCATION '/x'"
+
+
+def test_add_written_partitions_without_full_recovery(spark, tmp_root, events):
+    from tidelog.plans.compact import compact
+    from tidelog.plans.maintain import add_written_partitions, register_areas
+    from tidelog.plans.table import LogicalTable
+    from tidelog.sources.events_feed import EVENTS_SPEC, raw_log_dirty
+    from tidelog.streaming.ingest import decode_and_derive, ingest_batch
+    t = LogicalTable.create(spark, f"{tmp_root}/lt", EVENTS_SPEC)
+    register_areas(t, "awp_write", "awp_read")
+    rows = decode_and_derive(raw_log_dirty(events), t, tz="UTC")   # includes null dt rows
+    ingest_batch(t, rows, "k1")
+    n = rows.count()
+    assert spark.table("awp_write").count() == 0
+    found = add_written_partitions(t, "awp_write", key="k1")
+    assert found > 0
+    assert spark.table("awp_write").count() == n
+    assert spark.table("awp_write").where("dt is null").count() == rows.where("dt is null").count() > 0
+    res = compact(t, catalog_table="awp_read")
+    assert spark.table("awp_read").count() == n
+    ingest_batch(t, rows, "k2", catalog_table="awp_write")
+    assert spark.table("awp_write").count() == 2 * n

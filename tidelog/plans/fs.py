@@ -160,3 +160,15 @@ def mkdirs(spark: SparkSession, path: str) -> None:
         return
     fs, p = hadoop_fs(spark, path)
     fs.mkdirs(p)
+
+
+def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths (relative to nothing: as returned by the file system) of the
+    directories matching ``pattern``."""
+    if is_local_path(pattern):
+        return sorted(h for h in _glob.glob(local_path(pattern)) if os.path.isdir(h))
+    fs, p = hadoop_fs(spark, pattern)
+    st = fs.globStatus(p)
+    if st is None:
+        return []
+    return sorted(s.getPath().toString() for s in st if s.isDirectory())

@@ -7,7 +7,10 @@ SQL by name, or for cost-based optimisation):
 * :func:`register_areas` — external Parquet tables over the write and read
   areas, created from the table spec;
 * :func:`recover_partitions` — register partition directories written by
-  path (``MSCK REPAIR TABLE``);
+  path (``MSCK REPAIR TABLE``, which lists the whole table);
+* :func:`add_written_partitions` — register just the directories of one new
+  batch key or gen (one glob under it), the per-batch form that stays cheap
+  however large the table grows;
 * :func:`refresh` — drop cached file listings (``REFRESH TABLE``);
 * :func:`compute_stats` — table and column statistics (``ANALYZE TABLE``);
 * :func:`register_catalog_view` — a catalog view that unions the area
@@ -21,6 +24,8 @@ SQL by name, or for cost-based optimisation):
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -76,6 +81,35 @@ def register_catalog_view(table: LogicalTable, view: str, write_name: str, read_
     return sql
 
 
+def add_written_partitions(table: LogicalTable, catalog_table: str, key: str | None = None,
+                           gen: str | None = None, chunk: int = 500) -> int:
+    """Add the partition directories of one batch ``key`` (write area) or one
+    ``gen`` (read area) to ``catalog_table``; returns how many were found."""
+    if (key is None) == (gen is None):
+        raise ValueError("give exactly one of key or gen")
+    if key is not None:
+        base, first = table.key_path(key), (KEY_COL, key)
+        names = table.spec.partition_names
+    else:
+        base, first = table.gen_path(gen), (GEN_COL, gen)
+        names = table.read_partitions()
+    pattern = base + "".join(f"/{n}=*" for n in names)
+    specs = []
+    for d in fs.glob_dirs(table.spark, pattern):
+        parts = d.rstrip("/").split("/")[-len(names):]
+        values = [first] + [tuple(x.split("=", 1)) for x in parts]
+        specs.append(", ".join(f"`{k}` = '{_unescape(v)}'" for k, v in values))
+    for i in range(0, len(specs), chunk):
+        body = " ".join(f"PARTITION ({s})" for s in specs[i:i + chunk])
+        table.spark.sql(f"ALTER TABLE {catalog_table} ADD IF NOT EXISTS {body}")
+    return len(specs)
+
+
+def _unescape(v: str) -> str:
+    """Directory value → partition value (Hive-style escaping), quoted for SQL."""
+    return unquote(v).replace("\\", "\\\\").replace("'", "\\'")
+
+
 def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 

@@ -34,6 +34,7 @@ from tidelog.functions.decode import decode_json
 from tidelog.functions.derive import derive_partitions
 from tidelog.operators.write import write_partitioned
 from tidelog.plans import fs
+from tidelog.plans.maintain import add_written_partitions
 from tidelog.plans.table import LogicalTable
 
 # Micro-batch interval: default and lower bound, in seconds, and files per
@@ -77,7 +78,8 @@ def _find(cols: list[str], name: str) -> str:
 def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
                  files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
                  skip_empty: bool = False,
-                 rows_per_file: int | None = DEFAULT_ROWS_PER_FILE) -> BatchResult:
+                 rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
+                 catalog_table: str | None = None) -> BatchResult:
     """Write one batch of derived rows as key directory ``key``.
 
     Layout: one file per partition directory (``files_per_partition=1``, the
@@ -87,7 +89,9 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
     Finding hot directories takes one aggregate over the batch, which is
     persisted for it so the source is read and decoded once.
     ``rows_per_file=None`` keeps the strict bound; ``files_per_partition=None``
-    sizes files by bytes instead (adaptive rebalance).
+    sizes files by bytes instead (adaptive rebalance). ``catalog_table``
+    names a catalog table over the write area to register the new
+    directories in (just this key's, not a full recovery).
     """
     st = table.state()  # raises TableMissing: the batch must not be acknowledged
     if key in st.folded:
@@ -108,6 +112,8 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
     finally:
         if out.is_cached:
             out.unpersist()
+    if catalog_table:
+        add_written_partitions(table, catalog_table, key=key)
     return BatchResult(key, True, "written")
 
 
