@@ -59,3 +59,17 @@ def test_feed_shape(spark, events):
     assert doc["ts"].endswith("Z") and doc["appId"].isupper()
     dirty = raw_log_dirty(events)
     assert dirty.where("trim(value) = ''").count() == events.where("event_id % 100 = 9").count()
+
+
+def test_kafka_shaped_rows_to_envelope(spark):
+    from tidelog.sources.stream import to_envelope
+    from tidelog.functions.decode import decode_json
+    from pyspark.sql.types import StructType
+    raw = spark.createDataFrame(
+        [(bytearray(b"k"), bytearray(b'{"A":"x"}'), "t", 3, 7, None, 0)],
+        "key binary, value binary, topic string, partition int, offset long, "
+        "timestamp timestamp, timestampType int")
+    env = to_envelope(raw)
+    assert env.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+    r = decode_json(env, StructType.fromDDL("a string"), keep=["partition", "offset"]).collect()[0]
+    assert (r.partition, r.offset, r.a) == (3, 7, "x")

@@ -252,3 +252,19 @@ def test_merge_gens_keeps_rows_once(spark, table, events):
     assert len(vacuum(t, retention_s=0)["gens"]) == 3
     assert _ids(t.snapshot()) == all_ids
     assert merge_gens(t).gen is None            # nothing left to merge
+
+
+@pytest.mark.parametrize("mode", ["lower_all", "keep_values"])
+def test_camel_case_spec(spark, tmp_root, events, mode):
+    spec = TableSpec.from_ddl("eventId string, userId string, ts string, value string, props string",
+                              "dt string, appid string, storeid string")
+    t = LogicalTable.create(spark, f"{tmp_root}/camel", spec)
+    rows = decode_and_derive(raw_log(events), t, mode=mode, tz="UTC")
+    ingest_batch(t, rows, "b1")
+    compact(t)
+    snap = t.snapshot()
+    assert snap.count() == events.count()
+    assert snap.where("eventId is null or appid is null or dt is null").count() == 0
+    apps = {r[0] for r in snap.select("appid").distinct().collect()}
+    assert apps == ({"click", "view", "purchase", "signup", "error"} if mode == "lower_all"
+                    else {"CLICK", "VIEW", "PURCHASE", "SIGNUP", "ERROR"})
