@@ -24,6 +24,7 @@ from tidelog.operators.stats import column_stats, offset_ranges, partition_stats
 from tidelog.operators.union import view_extended, view_steady
 from tidelog.operators.write import write_partitioned
 from tidelog.plans.compact import compact, files_per_partition, fold
+from tidelog.plans.fs import list_names
 from tidelog.plans.maintain import (recover_partitions, recreate_table, refresh,
                                     register_areas)
 from tidelog.plans.table import LogicalTable
@@ -144,9 +145,11 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     base = work_dir(spark, "stream_ingest")
     src = f"{base}/source"
-    raw_log(ev).repartition(4, "partition").write.parquet(src)
+    raw_log(ev).write.parquet(src)          # one file per split of the feed
+    n_files = sum(1 for f in list_names(spark, src) if f.endswith(".parquet"))
     t = LogicalTable.create(spark, f"{base}/table", EVENTS_SPEC)
-    stream = read_file_stream(spark, src, "parquet", max_files_per_trigger=2)
+    # two micro-batches, whatever the number of files
+    stream = read_file_stream(spark, src, "parquet", max_files_per_trigger=max(1, -(-n_files // 2)))
     q = start_ingest(t, stream, f"{base}/checkpoint", available_now=True, tz=CONTRACT_TZ)
     q.awaitTermination()
     return _g(t.snapshot())

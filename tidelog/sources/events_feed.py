@@ -43,16 +43,17 @@ def payload_columns() -> list:
 def raw_log(ev: DataFrame, topic: str = TOPIC, n_partitions: int = N_PARTITIONS) -> DataFrame:
     """``events`` → envelope ``(key, value, topic, partition, offset, timestamp)``.
 
-    Records are laid out by topic partition, as a Kafka source reads them
-    (one Spark partition per topic partition), before the documents are
-    serialised, so building and decoding them runs in parallel even when the
-    table is a single row group.
+    When the table scan yields fewer splits than the topic has partitions
+    (a small table stored as one row group), the records are first laid out
+    by topic partition, as a Kafka source reads them, so that building and
+    decoding the documents runs in parallel. A large table keeps the splits
+    of its own scan and is not shuffled.
     """
-    by_partition = (ev.select("event_id", "user_id", "event_type", "ts", "value", "props",
-                              F.pmod(F.col("event_id"), F.lit(n_partitions)).cast("int")
-                              .alias("partition"))
-                    .repartition(n_partitions, "partition"))
-    return by_partition.select(
+    src = ev.select("event_id", "user_id", "event_type", "ts", "value", "props",
+                    F.pmod(F.col("event_id"), F.lit(n_partitions)).cast("int").alias("partition"))
+    if src.rdd.getNumPartitions() < n_partitions:
+        src = src.repartition(n_partitions, "partition")
+    return src.select(
         F.col("event_id").cast("string").alias("key"),
         F.to_json(F.struct(*payload_columns())).alias("value"),
         F.lit(topic).alias("topic"),
