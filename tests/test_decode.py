@@ -121,3 +121,10 @@ def test_bad_mode(spark):
     df = spark.createDataFrame([("{}",)], "value string")
     with pytest.raises(ValueError):
         decode_json(df, StructType.fromDDL(SCHEMA_DDL), mode="nope")
+
+
+def test_nested_declared_types_lower_all(spark):
+    schema = StructType.fromDDL("Dev struct<osType: string, Tags: array<struct<Name: string>>>, n int")
+    p = '{"DEV":{"OsType":"IOS","tags":[{"NAME":"A"}]},"N":3}'
+    row = _ours(spark, [p], schema, "lower_all")[0]
+    assert row[0]["ostype"] == "ios" and row[0]["tags"][0]["name"] == "a" and row[1] == 3

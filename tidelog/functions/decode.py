@@ -23,13 +23,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 MODES = ("lower_all", "keep_values", "exact")
 
 
+def _lower_type(t: DataType) -> DataType:
+    """The same type with every struct field name lower-cased, at any depth."""
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name.lower(), _lower_type(f.dataType), True)
+                           for f in t.fields])
+    if isinstance(t, ArrayType):
+        return ArrayType(_lower_type(t.elementType), t.containsNull)
+    if isinstance(t, MapType):
+        return MapType(t.keyType, _lower_type(t.valueType), t.valueContainsNull)
+    return t
+
+
 def _lower_schema(schema: StructType) -> StructType:
-    return StructType([StructField(f.name.lower(), f.dataType, True) for f in schema.fields])
+    return _lower_type(schema)
 
 
 def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
