@@ -76,3 +76,27 @@ def test_view_sql_and_union_legs(spark):
 def test_preview_limits_rows(spark):
     from tidelog.functions.decode import preview
     assert preview(spark.range(100), 10).count() == 10
+
+
+def test_rebalance_default_splits_only_the_hot_directory(spark, tmp_root):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    old_n = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        # a third of the rows in one directory, as distinct wide rows
+        hot = spark.range(60000).select(F.lit("hot").alias("dt"),
+                                        F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        cold = spark.range(120000).select((F.col("id") % 400).cast("string").alias("dt"),
+                                          F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        write_partitioned(hot.unionByName(cold).repartition(8), f"{tmp_root}/r", ["dt"], None)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.set("spark.sql.shuffle.partitions", old_n)
+    got = {r.dt: r.f for r in _files_per_dir(spark, f"{tmp_root}/r")}
+    assert got["hot"] > 1                                         # split by size
+    # the rest stay one file each, except a directory that shares the hot
+    # directory's shuffle partition and is split along with it
+    assert sum(1 for k, v in got.items() if k != "hot" and v > 1) <= 4
+    assert len(got) == 401
+    assert spark.read.parquet(f"{tmp_root}/r").count() == 180000

@@ -7,7 +7,11 @@ also hold on a session that someone else built:
 * partition column type inference is switched off, so that directory values
   such as ``appid=007`` or ``storeid=0905`` read back unchanged;
 * adaptive execution stays on, so that a rebalanced write can split a hot
-  partition and merge small ones.
+  partition and merge small ones;
+* the minimum size of a coalesced shuffle partition is lowered, so that a
+  small micro-batch that writes many partition directories keeps several
+  writer tasks instead of being folded into one; large shuffles are sized by
+  the advisory partition size and are not affected.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 

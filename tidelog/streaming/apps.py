@@ -19,6 +19,7 @@ from tidelog.plans.compact import (DEFAULT_FILES_PER_PARTITION, CompactionResult
                                    merge_gens, vacuum)
 from tidelog.plans.table import LogicalTable
 from tidelog.sources.stream import kafka_options, read_file_stream, read_kafka_stream
+from tidelog.streaming.ingest import DEFAULT_FILES_PER_PARTITION as INGEST_FILES_PER_PARTITION
 from tidelog.streaming.ingest import DEFAULT_INTERVAL_S, start_ingest
 
 
@@ -28,7 +29,8 @@ def ingest_app(spark: SparkSession, table_root: str, *, bootstrap_servers: str |
                max_offsets_per_trigger: int | None = None,
                source_path: str | None = None, source_format: str = "parquet",
                checkpoint: str | None = None, interval_s: int = DEFAULT_INTERVAL_S,
-               available_now: bool = False, files_per_partition: int | None = 1,
+               available_now: bool = False,
+               files_per_partition: int | None = INGEST_FILES_PER_PARTITION,
                mode: str = "lower_all", tz: str | None = None,
                ts_zone: str | None = None) -> StreamingQuery:
     """Start the ingest of one topic (or folder) into the table at ``table_root``.

@@ -41,9 +41,9 @@ from tidelog.plans.table import LogicalTable
 # partition directory per batch (fixed values).
 DEFAULT_INTERVAL_S = 300
 MIN_INTERVAL_S = 10
-DEFAULT_FILES_PER_PARTITION = 1
-# A directory that receives more rows than this in one batch is split over
-# up to HOT_FILES_PER_PARTITION writers instead of one.
+DEFAULT_FILES_PER_PARTITION = None   # size-driven layout, see ingest_batch
+# With a fixed files_per_partition: a directory that receives more rows than
+# this in one batch is split over up to HOT_FILES_PER_PARTITION writers.
 DEFAULT_ROWS_PER_FILE = 1_000_000
 HOT_FILES_PER_PARTITION = 8
 # Batch results kept on a running query (for inspection; older ones drop off).
@@ -82,16 +82,21 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
                  catalog_table: str | None = None) -> BatchResult:
     """Write one batch of derived rows as key directory ``key``.
 
-    Layout: one file per partition directory (``files_per_partition=1``, the
-    reference contract), except that a directory receiving more than
-    ``rows_per_file`` rows is split over up to ``HOT_FILES_PER_PARTITION``
-    writers so that one hot application cannot hold the batch in one task.
-    Finding hot directories takes one aggregate over the batch, which is
-    persisted for it so the source is read and decoded once.
-    ``rows_per_file=None`` keeps the strict bound; ``files_per_partition=None``
-    sizes files by bytes instead (adaptive rebalance). ``catalog_table``
-    names a catalog table over the write area to register the new
-    directories in (just this key's, not a full recovery).
+    Layout (default ``files_per_partition=None``): a ``REBALANCE`` on the
+    partition columns. Adaptive execution measures the batch while it
+    shuffles it: every partition directory is written by one task (one file
+    per directory per batch, the reference contract), except a directory
+    larger than ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` in this
+    batch — one hot application — which is split over several writers. No
+    extra pass over the batch is needed.
+
+    ``files_per_partition=n`` instead bounds files per directory by ``n``
+    exactly: one file each, and with ``rows_per_file`` a directory above that
+    many rows is split over up to ``HOT_FILES_PER_PARTITION`` writers (found
+    by one aggregate over the batch, persisted so the source is read once);
+    ``rows_per_file=None`` keeps the strict bound. ``catalog_table`` names a
+    catalog table over the write area to register the new directories in
+    (just this key's, not a full recovery).
     """
     st = table.state()  # raises TableMissing: the batch must not be acknowledged
     if key in st.folded:
