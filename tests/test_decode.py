@@ -128,3 +128,15 @@ def test_nested_declared_types_lower_all(spark):
     p = '{"DEV":{"OsType":"IOS","tags":[{"NAME":"A"}]},"N":3}'
     row = _ours(spark, [p], schema, "lower_all")[0]
     assert row[0]["ostype"] == "ios" and row[0]["tags"][0]["name"] == "a" and row[1] == 3
+
+
+@pytest.mark.parametrize("mode", ["lower_all", "keep_values", "exact"])
+def test_each_payload_is_parsed_once(spark, events, mode):
+    from tidelog.sources.events_feed import EVENTS_SPEC, raw_log
+    d = decode_json(raw_log(events), EVENTS_SPEC.row_schema, mode=mode)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    parses = plan.count("from_json(")
+    assert parses == (2 if mode == "keep_values" else 1)   # keep_values: object or array form
+    import re
+    # no Filter operator: nothing pushed below the feed's shuffle to parse again
+    assert not re.search(r"(^|[-)]\s)Filter ", plan, re.M)
