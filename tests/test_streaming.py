@@ -145,3 +145,20 @@ def test_apps_end_to_end(spark, tmp_root, events):
     assert res.gen is not None and t.delta_keys() == []
     assert t.snapshot().count() == events.count()
     assert _ids(t.snapshot()) == sorted(r[0] for r in events.select("event_id").collect())
+
+
+def test_missing_table_fails_the_batch_and_replays_later(spark, tmp_root, events):
+    from pyspark.errors import StreamingQueryException
+    _source(spark, events, f"{tmp_root}/src", n_files=2)
+    root, ckpt = f"{tmp_root}/t", f"{tmp_root}/ckpt"
+    missing = LogicalTable(spark, root, EVENTS_SPEC)          # no state: not created
+    q = start_ingest(missing, read_file_stream(spark, f"{tmp_root}/src"), ckpt,
+                     available_now=True, tz="UTC")
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination()
+    # the batch was not acknowledged: once the table exists it is replayed whole
+    t = LogicalTable.create(spark, root, EVENTS_SPEC)
+    q2 = start_ingest(t, read_file_stream(spark, f"{tmp_root}/src"), ckpt,
+                      available_now=True, tz="UTC")
+    q2.awaitTermination()
+    assert t.snapshot().count() == events.count()
