@@ -111,9 +111,7 @@ def q_decode_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _derived(spark: SparkSession, sf_dir: str, tz: str, clock=None) -> DataFrame:
-    ev = _events(spark, sf_dir)
-    t = LogicalTable(spark, "unused", EVENTS_SPEC)
-    return decode_and_derive(raw_log(ev), t, tz=tz, clock=clock)
+    return decode_and_derive(raw_log(_events(spark, sf_dir)), EVENTS_SPEC, tz=tz, clock=clock)
 
 
 def q_derive_dt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,8 +296,7 @@ def q_catalog_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _physical_write_table(spark: SparkSession, ev: DataFrame, spec: TableSpec) -> str:
     """One physical write table (dt/appid/storeid) holding the whole feed."""
     path = work_dir(spark, "write_table")
-    t = LogicalTable(spark, path, spec)
-    rows = decode_and_derive(raw_log(ev), t, tz=CONTRACT_TZ)
+    rows = decode_and_derive(raw_log(ev), spec, tz=CONTRACT_TZ)
     write_partitioned(rows, path, spec.partition_names)
     return path
 

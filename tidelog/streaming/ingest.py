@@ -36,6 +36,7 @@ from tidelog.operators.write import write_partitioned
 from tidelog.plans import fs
 from tidelog.plans.maintain import add_written_partitions
 from tidelog.plans.table import LogicalTable
+from tidelog.sources.schema import TableSpec
 
 # Micro-batch interval: default and lower bound, in seconds, and files per
 # partition directory per batch (fixed values).
@@ -57,10 +58,11 @@ class BatchResult:
     reason: str
 
 
-def decode_and_derive(envelope: DataFrame, table: LogicalTable, mode: str = "lower_all",
+def decode_and_derive(envelope: DataFrame, table: LogicalTable | TableSpec, mode: str = "lower_all",
                       clock=None, tz: str | None = None, ts_zone: str | None = None) -> DataFrame:
-    """Envelope (``value`` column) → rows in the table's column order."""
-    spec = table.spec
+    """Envelope (``value`` column) → rows in the table's column order
+    (``table`` is a logical table or just its spec)."""
+    spec = table.spec if isinstance(table, LogicalTable) else table
     decoded = decode_json(envelope, spec.row_schema, mode=mode)
     cols = [c.lower() if mode == "lower_all" else c for c in spec.column_names]
     derived = derive_partitions(decoded, clock=clock, ts_col=_find(cols, "ts"),
