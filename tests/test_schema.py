@@ -102,7 +102,12 @@ def test_add_written_partitions_without_full_recovery(spark, tmp_root, events):
     assert found > 0
     assert spark.table("awp_write").count() == n
     assert spark.table("awp_write").where("dt is null").count() == rows.where("dt is null").count() > 0
-    res = compact(t, catalog_table="awp_read")
+    res = compact(t, catalog_table="awp_read", analyze=True)
     assert spark.table("awp_read").count() == n
+    parts = spark.sql(f"SHOW PARTITIONS awp_read").collect()
+    assert len(parts) > 0 and all(res.gen in r[0] for r in parts)
+    desc = spark.sql(f"DESCRIBE EXTENDED awp_read PARTITION ({parts[0][0].replace('/', ', ').replace('=', '=' + chr(39)).replace(', ', chr(39) + ', ')}')")
+    stats = [r.data_type for r in desc.collect() if r.col_name == "Partition Statistics"]
+    assert stats and "rows" in stats[0]
     ingest_batch(t, rows, "k2", catalog_table="awp_write")
     assert spark.table("awp_write").count() == 2 * n

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.write import write_partitioned
 from tidelog.plans import fs
-from tidelog.plans.maintain import add_written_partitions
+from tidelog.plans.maintain import add_written_partitions, compute_stats
 from tidelog.plans.table import GEN_COL, INGEST_ONLY, KEY_COL, LogicalTable, State
 
 # At most this many files per (dt, appid) directory per compaction run, as in
@@ -67,11 +67,14 @@ def fold(table: LogicalTable, keys: list[str], gen: str,
 def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
             rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
             run_id: str | None = None, compression: str | None = None,
-            max_keys: int | None = None, catalog_table: str | None = None) -> CompactionResult:
+            max_keys: int | None = None, catalog_table: str | None = None,
+            analyze: bool = False) -> CompactionResult:
     """Run one compaction. ``max_keys`` folds the oldest keys first and
     leaves the rest for the next run (every row stays visible either way).
     ``catalog_table`` names a catalog table over the read area to register
-    the new gen's directories in after the publish."""
+    the new gen's directories in after the publish; with ``analyze`` the
+    statistics of those partitions are computed as well (only the new gen is
+    scanned)."""
     base = table.state()  # raises TableMissing: never fold without a state
     keys = table.delta_keys(base)
     if max_keys is not None:
@@ -83,6 +86,8 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
     new = table.publish(base, list(base.gens) + [gen], list(base.folded) + keys)
     if catalog_table:
         add_written_partitions(table, catalog_table, gen=gen)
+        if analyze:
+            compute_stats(table.spark, catalog_table, partition={GEN_COL: gen})
     return CompactionResult(gen, keys, new)
 
 

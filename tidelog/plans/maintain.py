@@ -118,7 +118,15 @@ def refresh(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def compute_stats(spark: SparkSession, table: str, columns: bool = True) -> None:
+def compute_stats(spark: SparkSession, table: str, columns: bool = True,
+                  partition: dict[str, str] | None = None) -> None:
+    """``ANALYZE TABLE``: table and column statistics, or — with a (partial)
+    partition spec — size and row counts of just those partitions, so that
+    the statistics of a newly published gen cost a scan of that gen only."""
+    if partition:
+        spec = ", ".join(f"`{k}` = '{_unescape(v)}'" for k, v in partition.items())
+        spark.sql(f"ANALYZE TABLE {table} PARTITION ({spec}) COMPUTE STATISTICS")
+        return
     suffix = " FOR ALL COLUMNS" if columns else ""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{suffix}")
 
