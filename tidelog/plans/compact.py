@@ -117,7 +117,8 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
            now: float | None = None, forget: bool = False) -> dict:
     """Delete what no snapshot resolved in the last ``retention_s`` seconds
     can read: key directories folded by a state published before that, and
-    gens that no state lists and that are older than that.
+    gens that no state published since then lists (merged away or never
+    published) and whose directory is older than that.
 
     Folded keys stay listed in the state, so a replay of a folded batch is
     still recognised and skipped after its directory is gone. With
@@ -129,10 +130,13 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
     now = time.time() if now is None else now
     cutoff = now - retention_s
     latest = table.state()
-    # newest state that is older than the retention: what it folded is safe
+    # newest state that is older than the retention: what it folded is safe;
+    # every gen listed by it or by any later state may still be read
     old = None
+    listed: set[str] = set()
     for v in range(latest.version, -1, -1):
         st = table.state(v)
+        listed.update(st.gens)
         if st.created <= cutoff:
             old = st
             break
@@ -144,12 +148,12 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
             if key in folded:
                 fs.delete(table.spark, table.key_path(key))
                 removed["keys"].append(key)
-    listed = set(latest.gens)
     for name in fs.list_names(table.spark, table.read_path):
         if not name.startswith(f"{GEN_COL}="):
             continue
         gen = name.split("=", 1)[1]
         path = table.gen_path(gen)
+        # unlisted since before the cutoff (or never listed), and not being written
         if gen not in listed and fs.mtime(table.spark, path) <= cutoff:
             fs.delete(table.spark, path)
             removed["gens"].append(gen)
