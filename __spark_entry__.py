@@ -34,6 +34,17 @@ from tidelog.sources.schema import TableSpec, from_catalog, from_template
 from tidelog.sources.stream import keep_from_offsets, read_file_stream
 from tidelog.streaming.ingest import decode_and_derive, ingest_batch, start_ingest
 
+# The training-data operators and their pipeline are optional.
+try:
+    from tidelog.llm.registry import ORACLES as LLM_ORACLES
+    from tidelog.llm.registry import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 # Zone the contract derives dates in, whatever the session zone is (fixed value).
 CONTRACT_TZ = "UTC"
@@ -357,6 +368,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **LLM_QUERIES,
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
         "decode_json": q_decode_json,
         "decode_keep_case": q_decode_keep_case,
         "decode_dirty": q_decode_dirty,
@@ -428,6 +441,9 @@ def _column_stats_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     dts = ", ".join(f"'{d}'" for d in PRUNE_DTS)
     return {
+        **LLM_ORACLES,
+        **({"pipeline": corpus_pipeline.ORACLE_SQL}
+           if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}),
         "decode_json": (
             "SELECT CAST(event_id AS VARCHAR) AS eventid, CAST(user_id AS VARCHAR) AS userid, "
             "event_type AS appid, strftime(ts, '%Y-%m-%dt%H:%M:%S.%fz') AS ts, value, "
