@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidelog.llm import line_dedup, packing
+from tidelog.llm import language_id, line_dedup, packing
 
 QUERIES = {
+    "op10_language_id": language_id.op10_language_id,
     "op9_pattern_packing": packing.op9_pattern_packing,
     "op3_line_windows": line_dedup.op3_line_windows,
 }
