@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidelog.llm import language_id, line_dedup, packing
+from tidelog.llm import language_id, line_dedup, packing, topk_search
 
 QUERIES = {
+    "op8_impact_topk": topk_search.op8_impact_topk,
     "op10_language_id": language_id.op10_language_id,
     "op9_pattern_packing": packing.op9_pattern_packing,
     "op3_line_windows": line_dedup.op3_line_windows,
 }
 
 ORACLES = {
+    "op8_impact_topk": topk_search.ORACLE,
     "op3_line_windows": line_dedup.ORACLE,
 }
