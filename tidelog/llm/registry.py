@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidelog.llm import language_id, line_dedup, packing, topk_search
+from tidelog.llm import byte_bpe, language_id, line_dedup, packing, topk_search
 
 QUERIES = {
+    "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op8_impact_topk": topk_search.op8_impact_topk,
     "op10_language_id": language_id.op10_language_id,
     "op9_pattern_packing": packing.op9_pattern_packing,
