@@ -93,16 +93,17 @@ def features(text: str | None) -> np.ndarray | None:
 def fit_machine(x: np.ndarray, y: np.ndarray, c: float = 20.0, rounds: int = 200) -> np.ndarray:
     """Weights (last: bias) of a linear machine with squared hinge loss, both
     classes weighing the same; ``y`` is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
-    per = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * c
-    step = 1.0 / (1.0 + 2 * c * 2.0)
-    w = v = np.zeros(x.shape[1])
+    x = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)]).astype(np.float32, copy=False)
+    y = y.astype(np.float32)
+    per = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32) * np.float32(c)
+    step = np.float32(1.0 / (1.0 + 2 * c * 2.0))
+    w = v = np.zeros(x.shape[1], dtype=np.float32)
     t = 1.0
     for _ in range(rounds):
-        slack = np.maximum(0.0, 1 - y * (x @ v))
+        slack = np.maximum(np.float32(0), 1 - y * (x @ v))
         z = v - step * (v - 2 * (x.T @ (per * slack * y)))
         t, was = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-        v, w = z + (was - 1) / t * (z - w), z
+        v, w = z + np.float32((was - 1) / t) * (z - w), z
     return w.astype(np.float32)
 
 
