@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from tidelog.llm import byte_bpe, language_id, line_dedup, packing, topk_search
+from tidelog.llm import (byte_bpe, language_id, line_dedup, order_minhash, packing,
+                         pseudonyms, topk_search)
 
 QUERIES = {
+    "op4_order_minhash": order_minhash.op4_order_minhash,
+    "op5_feistel_pseudonyms": pseudonyms.op5_feistel_pseudonyms,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op8_impact_topk": topk_search.op8_impact_topk,
     "op10_language_id": language_id.op10_language_id,
