@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidelog.llm import (byte_bpe, language_id, line_dedup, order_minhash, packing,
+from tidelog.llm import (byte_bpe, jaccard_join, language_id, line_dedup, order_minhash, packing,
                          pseudonyms, topk_search)
 
 QUERIES = {
+    "op1_partenum_join": jaccard_join.op1_partenum_join,
     "op4_order_minhash": order_minhash.op4_order_minhash,
     "op5_feistel_pseudonyms": pseudonyms.op5_feistel_pseudonyms,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_partenum_join": jaccard_join.ORACLE,
     "op8_impact_topk": topk_search.ORACLE,
     "op3_line_windows": line_dedup.ORACLE,
 }
