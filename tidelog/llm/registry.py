@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tidelog.llm import (byte_bpe, jaccard_join, language_id, line_dedup, order_minhash, packing,
-                         pseudonyms, topk_search)
+from tidelog.llm import (byte_bpe, jaccard_join, language_id, licenses, line_dedup, order_minhash, packing,
+                         preferences, pseudonyms, topk_search)
 
 QUERIES = {
+    "op2_preference_format": preferences.op2_preference_format,
+    "op7_license_scan": licenses.op7_license_scan,
     "op1_partenum_join": jaccard_join.op1_partenum_join,
     "op4_order_minhash": order_minhash.op4_order_minhash,
     "op5_feistel_pseudonyms": pseudonyms.op5_feistel_pseudonyms,
@@ -17,6 +19,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_preference_format": preferences.ORACLE,
+    "op7_license_scan": licenses.ORACLE,
     "op1_partenum_join": jaccard_join.ORACLE,
     "op8_impact_topk": topk_search.ORACLE,
     "op3_line_windows": line_dedup.ORACLE,
