@@ -29,16 +29,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from tidelog.operators.write import write_partitioned
+from tidelog.operators.write import quoted, write_partitioned
 from tidelog.plans import fs
-from tidelog.plans.maintain import add_written_partitions, compute_stats
-from tidelog.plans.table import GEN_COL, INGEST_ONLY, KEY_COL, LogicalTable, State
+from tidelog.plans.maintain import add_written_partitions, compute_stats, refresh
+from tidelog.plans.table import (GEN_COL, INGEST_ONLY, KEY_COL, LogicalTable, PublishConflict,
+                                 State)
 
-# At most this many files per (dt, appid) directory per compaction run, as in
-# the reference contract (fixed value).
-DEFAULT_FILES_PER_PARTITION = 20
-# Rows per compacted file before a directory is split over more writers.
-DEFAULT_ROWS_PER_FILE = 2_000_000
+# Size-driven files; a number bounds the files per (dt, appid) directory.
+DEFAULT_FILES_PER_PARTITION = None
 
 
 @dataclass
@@ -50,7 +48,6 @@ class CompactionResult:
 
 def fold(table: LogicalTable, keys: list[str], gen: str,
          files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-         rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
          compression: str | None = None) -> None:
     """Write the rows of ``keys`` as gen ``gen`` (not yet visible).
 
@@ -58,23 +55,22 @@ def fold(table: LogicalTable, keys: list[str], gen: str,
     rebalance), with no fixed bound on their number.
     """
     rows = table.write_leg(keys).drop(INGEST_ONLY, KEY_COL)
-    cols = table.spec.column_names + table.read_partitions()
+    cols = map(quoted, table.spec.column_names + table.read_partitions())
     write_partitioned(rows.select(*cols), table.gen_path(gen), table.read_partitions(),
-                      files_per_partition, mode="errorifexists", compression=compression,
-                      rows_per_file=rows_per_file)
+                      files_per_partition, mode="errorifexists", compression=compression)
 
 
 def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-            rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
             run_id: str | None = None, compression: str | None = None,
             max_keys: int | None = None, catalog_table: str | None = None,
-            analyze: bool = False) -> CompactionResult:
+            analyze: bool = False, analyze_columns: bool = False) -> CompactionResult:
     """Run one compaction. ``max_keys`` folds the oldest keys first and
     leaves the rest for the next run (every row stays visible either way).
     ``catalog_table`` names a catalog table over the read area to register
     the new gen's directories in after the publish; with ``analyze`` the
     statistics of those partitions are computed as well (only the new gen is
-    scanned)."""
+    scanned); ``analyze_columns`` computes the column statistics of the whole
+    catalog table, which is one scan of all of it."""
     base = table.state()  # raises TableMissing: never fold without a state
     keys = table.delta_keys(base)
     if max_keys is not None:
@@ -82,35 +78,70 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
     if not keys:
         return CompactionResult(None, [], base)
     gen = f"{base.version + 1:010d}-{run_id or uuid.uuid4().hex[:12]}"
-    fold(table, keys, gen, files_per_partition, rows_per_file, compression)
+    fold(table, keys, gen, files_per_partition, compression)
     new = table.publish(base, list(base.gens) + [gen], list(base.folded) + keys)
     if catalog_table:
         add_written_partitions(table, catalog_table, gen=gen)
         if analyze:
             compute_stats(table.spark, catalog_table, partition={GEN_COL: gen})
+        if analyze_columns:
+            compute_stats(table.spark, catalog_table)
+        refresh(table.spark, catalog_table)
     return CompactionResult(gen, keys, new)
 
 
 def merge_gens(table: LogicalTable, gens: list[str] | None = None,
                files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-               rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
-               run_id: str | None = None, compression: str | None = None) -> CompactionResult:
+               run_id: str | None = None, compression: str | None = None,
+               attempts: int = 5) -> CompactionResult:
     """Rewrite several gens of the read area as one (all listed gens by
     default) and swap them in the same atomic publish: the rows move from the
     old gens to the new one in one step, so each stays visible once. The old
-    directories become unlisted and are removed by :func:`vacuum`."""
+    directories become unlisted and are removed by :func:`vacuum`.
+
+    When another job publishes meanwhile, the swap is tried again on the new
+    state as long as it still lists the chosen gens, so the work isn't lost."""
     base = table.state()
     chosen = list(base.gens) if gens is None else [g for g in base.gens if g in set(gens)]
     if len(chosen) < 2:
         return CompactionResult(None, [], base)
     new_gen = f"{base.version + 1:010d}-{run_id or uuid.uuid4().hex[:12]}"
-    cols = table.spec.column_names + table.read_partitions()
+    cols = map(quoted, table.spec.column_names + table.read_partitions())
     rows = table.read_leg(chosen).select(*cols)
     write_partitioned(rows, table.gen_path(new_gen), table.read_partitions(), files_per_partition,
-                      mode="errorifexists", compression=compression, rows_per_file=rows_per_file)
-    keep = [g for g in base.gens if g not in set(chosen)]
-    new = table.publish(base, keep + [new_gen], list(base.folded))
-    return CompactionResult(new_gen, [], new)
+                      mode="errorifexists", compression=compression)
+    for attempt in range(attempts):
+        keep = [g for g in base.gens if g not in set(chosen)]
+        try:
+            new = table.publish(base, keep + [new_gen], list(base.folded))
+            return CompactionResult(new_gen, [], new)
+        except PublishConflict:
+            base = table.state()
+            if attempt == attempts - 1 or not set(chosen) <= set(base.gens):
+                raise
+    raise AssertionError("unreachable")
+
+
+def gen_bytes(table: LogicalTable) -> dict[str, int]:
+    """Size of each listed gen, from the file system's summary."""
+    out = {}
+    for g in table.state().gens:
+        hfs, p = fs.hadoop_fs(table.spark, table.gen_path(g))
+        out[g] = int(hfs.getContentSummary(p).getLength())
+    return out
+
+
+def gens_to_merge(sizes: dict[str, int], fan_in: int = 8, base_bytes: int = 1 << 27) -> list[str]:
+    """Gens of one size tier that are due: tiers grow by ``fan_in`` from
+    ``base_bytes``; the smallest tier that holds ``fan_in`` gens is merged
+    whole, so every row is rewritten once per tier, not once per run."""
+    tiers: dict[int, list[str]] = {}
+    for g, n in sizes.items():
+        tier, top = 0, base_bytes
+        while n > top:
+            tier, top = tier + 1, top * fan_in
+        tiers.setdefault(tier, []).append(g)
+    return next((tiers[t] for t in sorted(tiers) if len(tiers[t]) >= fan_in), [])
 
 
 def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
@@ -135,6 +166,8 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
     old = None
     listed: set[str] = set()
     for v in range(latest.version, -1, -1):
+        if not fs.exists(table.spark, table.state_path(v)):
+            break       # forgotten states
         st = table.state(v)
         listed.update(st.gens)
         if st.created <= cutoff:
@@ -164,6 +197,12 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
             cur = table.state()
             table.publish(cur, list(cur.gens), [k for k in cur.folded if k not in gone])
             removed["forgotten"] = sorted(gone)
+        # states before the newest one outside the retention serve no reader
+        for v in range(old.version - 1, -1, -1):
+            path = table.state_path(v)
+            if not fs.exists(table.spark, path):
+                break
+            fs.delete(table.spark, path)
     return removed
 
 

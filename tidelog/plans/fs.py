@@ -1,8 +1,10 @@
 """Small file-system helpers for table metadata (never for row data).
 
-Local paths use ``os``; every other URI goes through the Hadoop
-``FileSystem`` of the session, so the same code runs on HDFS or an object
-store connector. Only names, markers and small JSON state documents pass
+Every path is resolved by the session's Hadoop configuration first, so a path
+without a scheme means the cluster's default file system, as it does for
+Spark's readers and writers. ``os`` is used only where the resolved file
+system is the local one; everything else goes through the Hadoop
+``FileSystem``. Only names, markers and small JSON state documents pass
 through here.
 """
 
@@ -10,13 +12,12 @@ from __future__ import annotations
 
 import glob as _glob
 import os
+import re
 import shutil
 import uuid
 
 from pyspark.sql import SparkSession
 
-from tidelog.session import is_local_path, local_path
-
 
 def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -25,17 +26,36 @@ def hadoop_fs(spark: SparkSession, path: str):
     return fs, p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority of the file system it is on."""
+    fs, p = hadoop_fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def _local(spark: SparkSession, path: str) -> str | None:
+    """The path for ``os`` if ``path`` is on the local file system, else None."""
+    fs, p = hadoop_fs(spark, path)
+    q = fs.makeQualified(p)
+    return q.toUri().getPath() if q.toUri().getScheme() == "file" else None
+
+
+def literal(path: str) -> str:
+    """``path`` for a reader that takes patterns: pattern characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    if is_local_path(path):
-        return os.path.exists(local_path(path))
+    lp = _local(spark, path)
+    if lp is not None:
+        return os.path.exists(lp)
     fs, p = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of ``path`` (empty when it is missing)."""
-    if is_local_path(path):
-        lp = local_path(path)
+    lp = _local(spark, path)
+    if lp is not None:
         return sorted(os.listdir(lp)) if os.path.isdir(lp) else []
     fs, p = hadoop_fs(spark, path)
     if not fs.exists(p):
@@ -43,21 +63,29 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
-def glob_parents(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the parent directories of every path matching ``pattern``."""
-    if is_local_path(pattern):
-        hits = _glob.glob(local_path(pattern))
-        return sorted(os.path.basename(os.path.dirname(h)) for h in hits)
-    fs, p = hadoop_fs(spark, pattern)
-    st = fs.globStatus(p)
-    if st is None:
-        return []
-    return sorted(s.getPath().getParent().getName() for s in st)
+def marked_children(spark: SparkSession, path: str, marker: str) -> list[str]:
+    """Names of the direct children of ``path`` that hold a file ``marker``."""
+    lp = _local(spark, path)
+    if lp is not None:
+        return [n for n in list_names(spark, path) if os.path.exists(os.path.join(lp, n, marker))]
+    fs, p = hadoop_fs(spark, f"{literal(path)}/*/{marker}")
+    return sorted(s.getPath().getParent().getName() for s in fs.globStatus(p) or [])
+
+
+def partition_dirs(spark: SparkSession, base: str, names: list[str]) -> list[str]:
+    """Paths of the ``name=value`` directories below ``base``, one level per name."""
+    below = "".join(f"/{n}=*" for n in names)
+    lp = _local(spark, base)
+    if lp is not None:
+        return sorted(h for h in _glob.glob(_glob.escape(lp) + below) if os.path.isdir(h))
+    fs, p = hadoop_fs(spark, literal(base) + below)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [] if s.isDirectory())
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    if is_local_path(path):
-        with open(local_path(path)) as fh:
+    lp = _local(spark, path)
+    if lp is not None:
+        with open(lp) as fh:
             return fh.read()
     fs, p = hadoop_fs(spark, path)
     stream = fs.open(p)
@@ -80,8 +108,9 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
     """
     parent = path.rsplit("/", 1)[0]
     tmp = f"{parent}/_tmp-{uuid.uuid4().hex}"
-    if is_local_path(path):
-        lp, lt = local_path(path), local_path(tmp)
+    lp = _local(spark, path)
+    if lp is not None:
+        lt = _local(spark, tmp)
         os.makedirs(os.path.dirname(lp), exist_ok=True)
         with open(lt, "w") as fh:
             fh.write(text)
@@ -104,11 +133,11 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
         out.close()
     jvm = spark.sparkContext._jvm
     fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        fs.makeQualified(p).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
     no_overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     no_overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
     try:
-        fc.rename(tp, p, no_overwrite)
+        fc.rename(fs.makeQualified(tp), fs.makeQualified(p), no_overwrite)
         return True
     except Exception as e:  # py4j wraps the Java exception
         if "FileAlreadyExistsException" in str(e):
@@ -119,24 +148,9 @@ def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
             fs.delete(tp, False)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    if is_local_path(path):
-        lp = local_path(path)
-        os.makedirs(os.path.dirname(lp), exist_ok=True)
-        with open(lp, "w") as fh:
-            fh.write(text)
-        return
-    fs, p = hadoop_fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
 def delete(spark: SparkSession, path: str) -> None:
-    if is_local_path(path):
-        lp = local_path(path)
+    lp = _local(spark, path)
+    if lp is not None:
         if os.path.isdir(lp):
             shutil.rmtree(lp)
         elif os.path.exists(lp):
@@ -148,27 +162,17 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def mtime(spark: SparkSession, path: str) -> float:
     """Modification time in seconds."""
-    if is_local_path(path):
-        return os.path.getmtime(local_path(path))
+    lp = _local(spark, path)
+    if lp is not None:
+        return os.path.getmtime(lp)
     fs, p = hadoop_fs(spark, path)
     return fs.getFileStatus(p).getModificationTime() / 1000.0
 
 
 def mkdirs(spark: SparkSession, path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_path(path), exist_ok=True)
+    lp = _local(spark, path)
+    if lp is not None:
+        os.makedirs(lp, exist_ok=True)
         return
     fs, p = hadoop_fs(spark, path)
     fs.mkdirs(p)
-
-
-def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths (relative to nothing: as returned by the file system) of the
-    directories matching ``pattern``."""
-    if is_local_path(pattern):
-        return sorted(h for h in _glob.glob(local_path(pattern)) if os.path.isdir(h))
-    fs, p = hadoop_fs(spark, pattern)
-    st = fs.globStatus(p)
-    if st is None:
-        return []
-    return sorted(s.getPath().toString() for s in st if s.isDirectory())

@@ -56,11 +56,13 @@ def register_areas(table: LogicalTable, write_name: str, read_name: str) -> None
 
 
 def register_catalog_view(table: LogicalTable, view: str, write_name: str, read_name: str,
-                          reference_columns: bool = False) -> str:
+                          reference_columns: bool = False, recover: bool = True) -> str:
     """``CREATE OR REPLACE VIEW`` over the area tables for the current state.
 
     Returns the view text. Redefine the view after every ingest commit or
-    compaction publish to move it to the new snapshot.
+    compaction publish to move it to the new snapshot. ``recover`` lists both
+    areas to find unregistered directories; jobs that register what they write
+    (:func:`add_written_partitions`) pass False and list nothing.
     """
     st = table.state()
     keys = table.delta_keys(st)
@@ -72,8 +74,9 @@ def register_catalog_view(table: LogicalTable, view: str, write_name: str, read_
         quoted = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
         return f"`{col}` IN ({quoted})"
 
-    recover_partitions(table.spark, write_name)
-    recover_partitions(table.spark, read_name)
+    if recover:
+        recover_partitions(table.spark, write_name)
+        recover_partitions(table.spark, read_name)
     sql = (f"CREATE OR REPLACE VIEW {view} AS "
            f"SELECT {cols} FROM {read_name} WHERE {in_list(GEN_COL, st.gens)} "
            f"UNION ALL SELECT {cols} FROM {write_name} WHERE {in_list(KEY_COL, keys)}")
@@ -93,9 +96,8 @@ def add_written_partitions(table: LogicalTable, catalog_table: str, key: str | N
     else:
         base, first = table.gen_path(gen), (GEN_COL, gen)
         names = table.read_partitions()
-    pattern = base + "".join(f"/{n}=*" for n in names)
     specs = []
-    for d in fs.glob_dirs(table.spark, pattern):
+    for d in fs.partition_dirs(table.spark, base, names):
         parts = d.rstrip("/").split("/")[-len(names):]
         values = [first] + [tuple(x.split("=", 1)) for x in parts]
         specs.append(", ".join(f"`{k}` = '{_unescape(v)}'" for k, v in values))
@@ -136,9 +138,14 @@ def recreate_table(spark: SparkSession, table: str, delete_data: bool = True) ->
     spec = from_catalog(spark, table)
     if not spec.location:
         raise ValueError(f"{table} has no location")
-    spark.sql(f"DROP TABLE {table}")
     if delete_data:
         fs.delete(spark, spec.location)
         fs.mkdirs(spark, spec.location)
+    # the definition exists under another name until the new one is there
+    kept = f"{table}__kept"
+    spark.sql(f"DROP TABLE IF EXISTS {kept}")
+    spark.sql(spec.create_table_sql(kept))
+    spark.sql(f"DROP TABLE {table}")
     spark.sql(spec.create_table_sql(table))
+    spark.sql(f"DROP TABLE {kept}")
     return spec

@@ -19,8 +19,8 @@ Layout under the table root::
   commits while a compaction runs is still seen (in the write leg).
 
 Both legs are read with the declared schema (never inferred: ``appid=007``
-stays ``'007'``) and by explicit paths, so listing cost is proportional to
-the live data, not to retained history.
+stays ``'007'``) and by explicit paths, so the listing of data files is
+proportional to the live data, not to retained history.
 """
 
 from __future__ import annotations
@@ -82,7 +82,7 @@ class LogicalTable:
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.root = fs.qualified(spark, root.rstrip("/"))
         self.spec = spec
         if not spec.partition_names:
             raise ValueError("a log table needs partition columns")
@@ -96,8 +96,9 @@ class LogicalTable:
         for area in (WRITE_AREA, READ_AREA, STATE_AREA):
             fs.mkdirs(spark, f"{t.root}/{area}")
         v0 = State(0, (), (), spec.to_document())
-        if not fs.create_exclusive(spark, t._state_path(0), v0.to_json()):
-            old = TableSpec.from_document(t.state(0).spec)
+        there = cls._versions(spark, t.root) or not fs.create_exclusive(spark, t.state_path(0), v0.to_json())
+        if there:
+            old = TableSpec.from_document(t.state().spec)
             if (old.columns, old.partitions) != (spec.columns, spec.partitions):
                 raise ValueError(f"{root} already holds a table with another schema")
         return t
@@ -112,7 +113,7 @@ class LogicalTable:
         return cls(spark, root, TableSpec.from_document(st.spec))
 
     # -- state ----------------------------------------------------------------
-    def _state_path(self, version: int) -> str:
+    def state_path(self, version: int) -> str:
         return f"{self.root}/{STATE_AREA}/{_state_name(version)}"
 
     @staticmethod
@@ -130,12 +131,12 @@ class LogicalTable:
             if not versions:
                 raise TableMissing(f"no logical table at {self.root}")
             version = versions[-1]
-        return State.from_json(fs.read_text(self.spark, self._state_path(version)))
+        return State.from_json(fs.read_text(self.spark, self.state_path(version)))
 
     def publish(self, base: State, gens: list[str], folded: list[str]) -> State:
         """Publish ``base.version + 1`` atomically; fail if someone else did."""
         nxt = State(base.version + 1, tuple(gens), tuple(folded), base.spec)
-        if not fs.create_exclusive(self.spark, self._state_path(nxt.version), nxt.to_json()):
+        if not fs.create_exclusive(self.spark, self.state_path(nxt.version), nxt.to_json()):
             raise PublishConflict(f"state v{nxt.version} of {self.root} exists already")
         return nxt
 
@@ -156,8 +157,8 @@ class LogicalTable:
 
     def committed_keys(self) -> list[str]:
         """Keys whose write finished (marker present)."""
-        dirs = fs.glob_parents(self.spark, f"{self.write_path}/{KEY_COL}=*/_SUCCESS")
-        return sorted(d.split("=", 1)[1] for d in dirs)
+        return [n.split("=", 1)[1] for n in fs.marked_children(self.spark, self.write_path, "_SUCCESS")
+                if n.startswith(f"{KEY_COL}=")]
 
     def is_committed(self, key: str) -> bool:
         return fs.exists(self.spark, f"{self.key_path(key)}/_SUCCESS")
@@ -186,7 +187,7 @@ class LogicalTable:
         if not paths:
             return self.spark.createDataFrame([], schema)
         return (self.spark.read.schema(schema).option("basePath", base)
-                .parquet(*paths))
+                .parquet(*[fs.literal(p) for p in paths]))
 
     def write_leg(self, keys: list[str]) -> DataFrame:
         """Rows of the given batch keys (columns, key, partitions)."""

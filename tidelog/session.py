@@ -1,17 +1,10 @@
 """Session settings and the shared work folder.
 
 Every job in this package reads and writes through the session it is given.
-Two settings matter for correctness, and are applied at runtime so that they
-also hold on a session that someone else built:
-
-* partition column type inference is switched off, so that directory values
-  such as ``appid=007`` or ``storeid=0905`` read back unchanged;
-* adaptive execution stays on, so that a rebalanced write can split a hot
-  partition and merge small ones;
-* the minimum size of a coalesced shuffle partition is lowered, so that a
-  small micro-batch that writes many partition directories keeps several
-  writer tasks instead of being folded into one; large shuffles are sized by
-  the advisory partition size and are not affected.
+One setting matters for correctness, and is applied at runtime so that it also
+holds on a session that someone else built: partition column type inference is
+switched off, so that directory values such as ``appid=007`` or ``storeid=0905``
+read back unchanged. Nothing else of the caller's session is changed.
 """
 
 from __future__ import annotations
@@ -23,11 +16,6 @@ from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
@@ -68,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidelog-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -77,15 +67,3 @@ def shared_dir(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared folder for one job."""
     return f"{shared_dir(spark)}/tidelog/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_path(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
