@@ -3,8 +3,9 @@
 The result equals ``spark.read.schema(s).json(lines)`` in PERMISSIVE mode,
 expressed as column functions so that it runs inside the streaming plan:
 
-* a blank payload or an empty root array gives no row;
+* a blank payload (JSON white space only) or an empty root array gives no row;
 * a root array of objects gives one row per element;
+* a root array with a null element gives one all-null row in all;
 * malformed text, a truncated document, ``null`` or a scalar gives one
   all-null row (rows are never lost);
 * a number decoded into a string field keeps its text; a nested object or
@@ -23,9 +24,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DataType, MapType, StringType, StructField, StructType,
+                               VariantType)
 
 MODES = ("lower_all", "keep_values", "exact")
+# Fixed value: the white space of JSON.
+JSON_SPACE = " \t\r\n"
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def _lower_type(t: DataType) -> DataType:
@@ -55,7 +63,7 @@ def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     keep = list(keep or [])
-    src = df.select(*[F.col(k) for k in keep], F.col(value_col).cast("string").alias("__payload"))
+    src = df.select(*map(_quoted, keep), _quoted(value_col).cast("string").alias("__payload"))
     if mode == "keep_values":
         return _decode_keep_case(src, schema, keep)
     if mode == "lower_all":
@@ -63,27 +71,35 @@ def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
         payload = F.lower(F.col("__payload"))
     else:
         payload = F.col("__payload")
-    parsed = F.from_json(payload, F.ArrayType(schema).simpleString())
-    rows = src.select(*keep, F.explode(_row_list(parsed, schema)).alias("__row"))
-    return rows.select(*keep, *[F.col("__row").getField(f.name).alias(f.name)
+    parsed = F.from_json(payload, ArrayType(schema))
+    rows = src.select(*map(_quoted, keep), F.explode(_row_list(parsed, schema)).alias("__row"))
+    return rows.select(*map(_quoted, keep), *[F.col("__row").getField(f.name).alias(f.name)
                                 for f in schema.fields])
 
 
-def _row_list(parsed: Column, element: StructType | str) -> Column:
+def _row_list(parsed: Column, element: DataType) -> Column:
     """The rows one payload yields, as one array for ``explode``: none for a
     blank payload or an empty root array, one null row for a payload that
-    does not parse, else the parsed documents.
+    does not parse or an array with a null element, else the parsed documents.
 
     Kept as a single expression on purpose: a separate filter on the parsed
     value would be pushed below the source's shuffle and parse every payload
     again there.
     """
-    el_type = element.simpleString() if isinstance(element, StructType) else element
-    blank = F.length(F.trim(F.col("__payload"))) == 0
-    empty = F.array().cast(f"array<{el_type}>")
-    one_null = F.array(F.lit(None).cast(el_type))
+    blank = F.length(F.btrim(F.col("__payload"), F.lit(JSON_SPACE))) == 0
+    empty = F.array().cast(ArrayType(element))
+    one_null = F.array(F.lit(None).cast(element))
+    whole = F.transform(F.array(parsed), lambda p: F.when(F.exists(p, lambda x: x.isNull()), one_null).otherwise(p))
     return (F.when(F.col("__payload").isNull() | blank, empty)
-            .otherwise(F.coalesce(parsed, one_null)))
+            .otherwise(F.coalesce(whole[0], one_null)))
+
+
+def _documents(payload: Column, value: DataType) -> Column:
+    """The payload's documents, each as a map from key to ``value``; arrays
+    are told from objects by the first character that is no white space."""
+    one = MapType(StringType(), value)
+    is_array = F.ltrim(payload, F.lit(JSON_SPACE)).startswith("[")
+    return F.when(is_array, F.from_json(payload, ArrayType(one))).otherwise(F.array(F.from_json(payload, one)))
 
 
 def _decode_keep_case(src: DataFrame, schema: StructType, keep: list[str]) -> DataFrame:
@@ -94,36 +110,46 @@ def _decode_keep_case(src: DataFrame, schema: StructType, keep: list[str]) -> Da
     entry whose lower-cased key equals the lower-cased field name wins. The
     keys are lower-cased once per document into a separate array, so keys
     that differ only in case never collide in a map.
+
+    A declared type other than string needs to know whether a value was sent
+    as a JSON string, which its text does not tell; only then are the
+    documents read a second time, as variants.
     """
     payload = F.col("__payload")
-    is_array = F.ltrim(payload).startswith("[")
-    parsed = F.when(is_array, F.from_json(payload, "array<map<string,string>>")) \
-        .otherwise(F.array(F.from_json(payload, "map<string,string>")))
-    rows = (src.select(*keep, F.explode(_row_list(parsed, "map<string,string>")).alias("__m"))
-            .select(*keep,
-                    F.reverse(F.transform(F.map_keys("__m"), F.lower)).alias("__k"),
-                    F.reverse(F.map_values("__m")).alias("__v")))
+    text = MapType(StringType(), StringType())
+    typed = any(not isinstance(f.dataType, StringType) for f in schema.fields)
+    rows = _row_list(_documents(payload, StringType()), text)
+    if typed:
+        kinds = _row_list(_documents(payload, VariantType()), MapType(StringType(), VariantType()))
+        rows = F.arrays_zip(rows.alias("m"), F.transform(kinds, lambda m: F.transform(
+            F.map_values(m), lambda v: F.schema_of_variant(v) == "STRING")).alias("q"))
+    else:
+        rows = F.transform(rows, lambda m: F.struct(m.alias("m")))
+    own = (src.select(*map(_quoted, keep), F.explode(rows).alias("__row"))
+           .select(*map(_quoted, keep),
+                   F.reverse(F.transform(F.map_keys("__row.m"), F.lower)).alias("__k"),
+                   F.reverse(F.map_values("__row.m")).alias("__v"),
+                   *([F.reverse("__row.q").alias("__q")] if typed else [])))
     out = []
     for f in schema.fields:
         # first match in the reversed entries = last matching key in the document
         pos = F.array_position("__k", f.name.lower())
-        val = F.when(pos > 0, F.element_at("__v", pos.cast("int")))
-        out.append(_cast_text(val, f).alias(f.name))
-    return rows.select(*keep, *out)
-
-
-def _cast_text(val: Column, f: StructField) -> Column:
-    """Turn the text of one JSON value into the declared type."""
-    t = f.dataType.simpleString()
-    if t == "string":
-        return val
-    # re-read the text as the declared type, the way the JSON reader would:
-    # first as a bare JSON value (numbers, booleans, nested documents), then
-    # as a quoted string (timestamps, dates, quoted numbers)
-    wrapper = StructType([StructField("v", f.dataType)])
-    bare = F.from_json(F.concat(F.lit('{"v":'), val, F.lit("}")), wrapper)
-    quoted = F.from_json(F.to_json(F.struct(val.alias("v"))), wrapper)
-    return F.coalesce(bare.getField("v"), quoted.getField("v"))
+        at = lambda c, pos=pos: F.when(pos > 0, F.element_at(c, pos.cast("int")))
+        value = at("__v")
+        if not isinstance(f.dataType, StringType):
+            value = _typed(value, at("__q"), f.dataType)
+        out.append(value.alias(f.name))
+    return own.select(*map(_quoted, keep), *out)
+
+
+def _typed(text: Column, was_string: Column, kind: DataType) -> Column:
+    """The text of one JSON value under the declared type, as the JSON reader
+    takes it: a JSON string again as a string, anything else, whose text the
+    parser gave back, as the JSON it is."""
+    wrapper = StructType([StructField("v", kind)])
+    string = F.to_json(F.struct(text.alias("v")))
+    bare = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    return F.from_json(F.when(was_string, string).otherwise(bare), wrapper).getField("v")
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

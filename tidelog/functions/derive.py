@@ -25,36 +25,43 @@ DT_FORMAT = "yyyyMMdd"
 STOREID_FORMAT = "HHmm"
 
 
+# An offset counts only behind a time of day: the end of a date is none.
+WITH_OFFSET = r"[T ][0-9:.]+ *(Z|[+-][0-9][0-9](:?[0-9][0-9])?)$"
+
+
 def parse_ts(spark: SparkSession, ts: Column, ts_zone: str | None = None) -> Column:
     """ISO text (any letter case) → timestamp; null when it cannot be read."""
     text = F.upper(ts)
     parsed = F.try_to_timestamp(text)
     if ts_zone is None:
         return parsed
-    # text without an offset: its wall clock is local time in ts_zone
-    session_tz = spark.conf.get("spark.sql.session.timeZone")
-    has_offset = text.rlike(r"(Z|[+-][0-9][0-9](:?[0-9][0-9])?)$")
-    local = F.convert_timezone(F.lit(ts_zone), F.lit(session_tz),
-                               parsed.cast("timestamp_ntz")).cast("timestamp")
-    return F.when(has_offset, parsed).otherwise(local)
+    # text without an offset: its wall clock is read as such and taken in
+    # ts_zone; the session's zone, which may skip that hour, plays no part
+    utc = F.convert_timezone(F.lit(ts_zone), F.lit("UTC"), text.try_cast("timestamp_ntz"))
+    local = F.try_to_timestamp(F.concat(utc.cast("string"), F.lit("Z")))
+    return F.when(text.rlike(WITH_OFFSET), parsed).otherwise(local)
 
 
-def in_zone(spark: SparkSession, t: Column, tz: str | None) -> Column:
-    """Wall-clock time of instant ``t`` in zone ``tz`` (a timestamp_ntz);
-    ``t`` itself when ``tz`` is None (formatting then uses the session zone)."""
-    session_tz = spark.conf.get("spark.sql.session.timeZone")
-    if tz is None or tz == session_tz:
-        return t
-    return F.convert_timezone(F.lit(session_tz), F.lit(tz), t.cast("timestamp_ntz"))
+def wall_clock(t: Column, tz: str) -> Column:
+    """Wall-clock time of instant ``t`` in zone ``tz`` (a timestamp_ntz),
+    from the instant's microseconds, so that no other zone plays a part."""
+    micros = F.unix_micros(t).cast("decimal(20,0)")
+    utc = (F.lit("1970-01-01").cast("timestamp_ntz")
+           + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (micros / 1_000_000).cast("decimal(18,6)")))
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
 def dt_of(spark: SparkSession, ts: Column, tz: str | None = None,
           ts_zone: str | None = None) -> Column:
-    return F.date_format(in_zone(spark, parse_ts(spark, ts, ts_zone), tz), DT_FORMAT)
+    t = parse_ts(spark, ts, ts_zone)
+    return F.date_format(t if tz is None else wall_clock(t, tz).cast("date"), DT_FORMAT)
 
 
 def storeid_of(spark: SparkSession, clock: Column, tz: str | None = None) -> Column:
-    return F.date_format(in_zone(spark, clock, tz), STOREID_FORMAT)
+    if tz is None:
+        return F.date_format(clock, STOREID_FORMAT)
+    t = wall_clock(clock, tz)
+    return F.lpad((F.hour(t) * 100 + F.minute(t)).cast("string"), 4, "0")
 
 
 def derive_partitions(df: DataFrame, clock: Column | None = None, ts_col: str = "ts",
