@@ -32,11 +32,10 @@ def column_stats(df: DataFrame, columns: list[str] | None = None, exact: bool =
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("v")) for c in cols]))
     long = df.select(pairs.alias("p")).select("p.col", "p.v")
-    ndv = F.count_distinct("v") if exact else F.approx_count_distinct("v", rsd)
     return long.groupBy("col").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("v").isNull()).alias("nulls"),
-        ndv.cast("bigint").alias("ndv"),
+        F.count_distinct("v").cast("bigint").alias("ndv"),
         F.max(F.length("v")).cast("bigint").alias("max_len"),
     )
 

@@ -16,11 +16,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from tidelog.operators.write import quoted
+
 
 def union_view(legs: list[DataFrame], columns: list[str]) -> DataFrame:
     if not legs:
         raise ValueError("a view needs at least one leg")
-    return reduce(lambda a, b: a.unionByName(b), [leg.select(*columns) for leg in legs])
+    return reduce(lambda a, b: a.unionByName(b), [leg.select(*map(quoted, columns)) for leg in legs])
 
 
 def view_steady(read: DataFrame, write: DataFrame, columns: list[str]) -> DataFrame:
@@ -30,11 +32,3 @@ def view_steady(read: DataFrame, write: DataFrame, columns: list[str]) -> DataFr
 def view_extended(read: DataFrame, write_active: DataFrame, write_standby: DataFrame,
                   columns: list[str]) -> DataFrame:
     return union_view([read, write_active, write_standby], columns)
-
-
-def view_sql(view: str, tables: list[str], columns: list[str]) -> str:
-    """``CREATE OR REPLACE VIEW`` text over catalog tables (explicit column
-    list, in declared order, one SELECT per leg)."""
-    cols = ", ".join(f"`{c}`" for c in columns)
-    body = " UNION ALL ".join(f"SELECT {cols} FROM {t}" for t in tables)
-    return f"CREATE OR REPLACE VIEW {view} AS {body}"

@@ -1,25 +1,23 @@
-"""Partitioned Parquet writes with a bounded number of files per partition.
+"""Partitioned Parquet writes with a declared number of files per partition.
 
 Two layouts:
 
-``files_per_partition=n``
-    At most ``n`` files in each partition directory per write (the contract
-    of the ingest coalesce level and of the compaction repartition factor).
-    Rows are hash-partitioned into ``spark.sql.shuffle.partitions`` writer
-    tasks on the partition columns plus a salt, so writers work in parallel
-    and adaptive execution does not fold them into a few serial ones. The
-    salt count of a directory is ``n``, or — when ``rows_per_file`` is given
-    — just enough pieces of about ``rows_per_file`` rows, at most ``n``:
-    ordinary directories stay one file, a hot directory (say a third of all
-    rows) is split over up to ``n`` writers. The salt is a row position, not
-    a content hash, so a directory whose rows are all copies of one row
-    still spreads; it is recomputed identically when a lost task is retried.
-
 ``files_per_partition=None``
-    Size-driven: a ``REBALANCE`` on the partition columns. Adaptive
-    execution merges small pieces and splits a hot one into chunks of
+    Size-driven, the default of every job: a ``REBALANCE`` on the partition
+    columns. Adaptive execution merges small pieces and splits a hot
+    directory into chunks of
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so files stay near
-    that size however skewed the keys are.
+    that size however skewed the keys are, and no pass over the data is
+    needed to find the hot ones.
+
+``files_per_partition=n``
+    At most ``n`` files in each partition directory per write, at any size
+    (the contract of the ingest coalesce level and of the compaction
+    repartition factor). Rows are hash-partitioned into
+    ``spark.sql.shuffle.partitions`` writer tasks on the partition columns
+    and, for ``n`` above one, a salt below ``n``. The salt is a row
+    position, so copies of one row spread too; the shuffle is cut by the
+    write, so a retried writer re-reads the same shuffled rows.
 
 Neither layout collapses the upstream work (decode, derive) into ``n``
 tasks, as ``coalesce(n)`` would.
@@ -27,69 +25,37 @@ tasks, as ``coalesce(n)`` would.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
-# Most directories given their own salt count; past that every directory
-# gets the full ``n`` (still at most ``n`` files each, only less tidy).
-MAX_SALTED_DIRS = 10_000
-
-
-def _writers(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _dir_key(cols: list[str]) -> Column:
-    return F.concat_ws("\u0000", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0001"))
-                                  for c in cols])
-
 
-def salt_counts(df: DataFrame, cols: list[str], n: int, rows_per_file: int) -> Column:
-    """Per-directory salt count as one literal map expression.
 
-    Rows per directory come from one aggregate (partial counts per task, so
-    a hot directory costs one row per task in the shuffle); only directories
-    that need more than one file get an entry, which bounds the map by
-    ``total rows / rows_per_file``.
-    """
-    hot = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"))
-           .where(F.col("rows") > F.lit(rows_per_file))
-           .select(_dir_key(cols).alias("k"), "rows")
-           .limit(MAX_SALTED_DIRS + 1).collect())
-    if len(hot) > MAX_SALTED_DIRS:
-        return F.lit(n)
-    if not hot:
-        return F.lit(1)
-    pairs = []
-    for r in hot:
-        pairs += [F.lit(r["k"]), F.lit(min(n, math.ceil(r["rows"] / rows_per_file)))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), _dir_key(cols)), F.lit(1))
+def quoted(name: str) -> str:
+    """A column name as one identifier, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def layout(df: DataFrame, partition_cols: list[str], files_per_partition: int | None,
-           rows_per_file: int | None = None) -> DataFrame:
+def layout(df: DataFrame, partition_cols: list[str], files_per_partition: int | None) -> DataFrame:
     """Shuffle ``df`` so that a partitioned write meets the file contract."""
     if files_per_partition is None:
         return df.hint("rebalance", *partition_cols)
     n = int(files_per_partition)
     if n < 1:
         raise ValueError("files_per_partition must be >= 1")
-    keys = [F.col(c) for c in partition_cols]
+    writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(quoted(c)) for c in partition_cols]
     if n == 1:
-        return df.repartition(_writers(df), *keys)
-    pieces = F.lit(n) if rows_per_file is None else salt_counts(df, partition_cols, n, rows_per_file)
-    salted = df.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), pieces))
-    return salted.repartition(_writers(df), *keys, F.col(SALT)).drop(SALT)
+        return df.repartition(writers, *keys)
+    salted = df.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.lit(n)))
+    return salted.repartition(writers, *keys, F.col(SALT)).drop(SALT)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       files_per_partition: int | None = None, mode: str = "append",
-                      compression: str | None = None, rows_per_file: int | None = None) -> None:
+                      compression: str | None = None) -> None:
     """Write ``df`` as Parquet under ``path``, partitioned by ``partition_cols``."""
-    w = (layout(df, partition_cols, files_per_partition, rows_per_file)
+    w = (layout(df, partition_cols, files_per_partition)
          .write.mode(mode)
          .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
          .partitionBy(*partition_cols))

@@ -43,16 +43,10 @@ def payload_columns() -> list:
 def raw_log(ev: DataFrame, topic: str = TOPIC, n_partitions: int = N_PARTITIONS) -> DataFrame:
     """``events`` → envelope ``(key, value, topic, partition, offset, timestamp)``.
 
-    When the table scan yields fewer splits than the topic has partitions
-    (a small table stored as one row group), the records are first laid out
-    by topic partition, as a Kafka source reads them, so that building and
-    decoding the documents runs in parallel. A large table keeps the splits
-    of its own scan and is not shuffled.
+    The scan keeps its own splits; nothing is shuffled.
     """
     src = ev.select("event_id", "user_id", "event_type", "ts", "value", "props",
                     F.pmod(F.col("event_id"), F.lit(n_partitions)).cast("int").alias("partition"))
-    if _splits(src) < n_partitions:
-        src = src.repartition(n_partitions, "partition")
     return src.select(
         F.col("event_id").cast("string").alias("key"),
         F.to_json(F.struct(*payload_columns())).alias("value"),
@@ -63,36 +57,31 @@ def raw_log(ev: DataFrame, topic: str = TOPIC, n_partitions: int = N_PARTITIONS)
     )
 
 
-def _splits(df: DataFrame) -> int:
-    """Number of scan splits (plans the scan; runs no job)."""
-    try:
-        return int(df._jdf.rdd().getNumPartitions())
-    except AttributeError:  # no JVM handle (remote session): assume few splits
-        return 0
-
-
 def raw_log_dirty(ev: DataFrame) -> DataFrame:
     """The feed with damaged records mixed in, chosen by ``event_id % 100``:
     7 → payload cut to its first 20 characters; 8 → a root array holding the
-    document twice; 9 → a blank payload; every other record unchanged."""
+    document twice, after a line end; 9 → a blank payload; 10 → a payload of
+    line ends; 11 → a root array of the document and null; every other record
+    unchanged."""
     env = raw_log(ev)
     k = F.pmod(F.col("key").cast("bigint"), F.lit(100))
     v = F.col("value")
     damaged = (F.when(k == 7, F.substring(v, 1, 20))
-               .when(k == 8, F.concat(F.lit("["), v, F.lit(","), v, F.lit("]")))
+               .when(k == 8, F.concat(F.lit("\n["), v, F.lit(","), v, F.lit("]")))
                .when(k == 9, F.lit("   "))
+               .when(k == 10, F.lit(" \r\n\t"))
+               .when(k == 11, F.concat(F.lit("["), v, F.lit(",null]")))
                .otherwise(v))
     return env.withColumn("value", damaged)
 
 
-# Stream legs by event time: what is already compacted (R), the batches
-# folded by the next compaction (W_a) and the batches after it (W_b).
-LEG_BOUNDS = ("2024-01-11", "2024-01-21")
+# Stream legs, each with rows of every day and application: what is already
+# compacted (R), the batches folded by the next compaction (W_a) and the
+# batches after it (W_b).
+LEGS = {"R": 0, "W_a": 1, "W_b": 2}
 
 
-def leg(ev: DataFrame, name: str) -> DataFrame:
-    a, b = (F.lit(x).cast("timestamp_ntz") for x in LEG_BOUNDS)
-    cond = {"R": F.col("ts") < a,
-            "W_a": (F.col("ts") >= a) & (F.col("ts") < b),
-            "W_b": F.col("ts") >= b}[name]
-    return ev.where(cond)
+def leg(ev: DataFrame, *names: str) -> DataFrame:
+    """The rows of the named legs; every row of ``ev`` is in exactly one."""
+    k = F.coalesce(F.pmod(F.col("event_id"), F.lit(len(LEGS))), F.lit(0))
+    return ev.where(k.isin(*[LEGS[n] for n in names]))

@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.plans.compact import (DEFAULT_FILES_PER_PARTITION, CompactionResult, compact,
-                                   merge_gens, vacuum)
+                                   gen_bytes, gens_to_merge, merge_gens, vacuum)
+from tidelog.plans.maintain import add_written_partitions, refresh
 from tidelog.plans.table import LogicalTable
 from tidelog.sources.stream import kafka_options, read_file_stream, read_kafka_stream
 from tidelog.streaming.ingest import DEFAULT_FILES_PER_PARTITION as INGEST_FILES_PER_PARTITION
@@ -32,16 +33,20 @@ def ingest_app(spark: SparkSession, table_root: str, *, bootstrap_servers: str |
                available_now: bool = False,
                files_per_partition: int | None = INGEST_FILES_PER_PARTITION,
                mode: str = "lower_all", tz: str | None = None,
-               ts_zone: str | None = None) -> StreamingQuery:
+               ts_zone: str | None = None, skip_empty: bool = False,
+               catalog_table: str | None = None, offset_report: bool = False,
+               max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest of one topic (or folder) into the table at ``table_root``.
 
     The table must exist (``LogicalTable.create``); the stream fails rather
     than skip batches when it does not. The checkpoint defaults to a folder
-    next to the table.
+    next to the table. ``catalog_table`` names a catalog table over the write
+    area: each batch's directories are registered there and it is refreshed.
     """
     table = LogicalTable.open(spark, table_root)
     if source_path is not None:
-        stream = read_file_stream(spark, source_path, source_format, topic=topic)
+        stream = read_file_stream(spark, source_path, source_format, topic=topic,
+                                  max_files_per_trigger=max_files_per_trigger)
     else:
         opts = kafka_options(bootstrap_servers or "", topic or "", group_id=group_id,
                              starting_offsets=start_offsets,
@@ -50,19 +55,33 @@ def ingest_app(spark: SparkSession, table_root: str, *, bootstrap_servers: str |
     ckpt = checkpoint or f"{table.root}/_checkpoints/ingest"
     return start_ingest(table, stream, ckpt, mode=mode, files_per_partition=files_per_partition,
                         interval_s=interval_s, available_now=available_now, tz=tz,
-                        ts_zone=ts_zone)
+                        ts_zone=ts_zone, skip_empty=skip_empty, catalog_table=catalog_table,
+                        offset_report=offset_report)
 
 
 def compaction_app(spark: SparkSession, table_root: str, *,
                    files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-                   merge: bool = False, retention_s: float | None = None) -> CompactionResult:
-    """One compaction run: fold, then optionally merge gens and vacuum."""
+                   merge: bool = False, merge_fan_in: int = 8, retention_s: float | None = None,
+                   forget: bool = False, catalog_table: str | None = None, analyze: bool = False,
+                   analyze_columns: bool = False) -> CompactionResult:
+    """One compaction run: fold, then optionally merge gens and clean up.
+
+    ``merge`` merges the gens of one size tier once ``merge_fan_in`` of them
+    are there. ``retention_s`` removes what no reader needs any more, and
+    ``forget`` also the record of it, which keeps the state small.
+    ``catalog_table`` names a catalog table over the read area: the new gens'
+    directories are registered, analysed if asked, and the table refreshed."""
     table = LogicalTable.open(spark, table_root)
-    res = compact(table, files_per_partition=files_per_partition)
+    res = compact(table, files_per_partition=files_per_partition, catalog_table=catalog_table,
+                  analyze=analyze, analyze_columns=analyze_columns)
     if merge:
-        merged = merge_gens(table, files_per_partition=files_per_partition)
+        due = gens_to_merge(gen_bytes(table), merge_fan_in)
+        merged = merge_gens(table, due, files_per_partition=files_per_partition)
         if merged.gen is not None:
             res = CompactionResult(merged.gen, res.keys, merged.state)
+            if catalog_table:
+                add_written_partitions(table, catalog_table, gen=merged.gen)
+                refresh(spark, catalog_table)
     if retention_s is not None:
-        vacuum(table, retention_s=retention_s)
+        vacuum(table, retention_s=retention_s, forget=forget)
     return res

@@ -23,19 +23,20 @@ from __future__ import annotations
 
 import json
 import time
-from collections import deque
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tidelog.functions.decode import decode_json
 from tidelog.functions.derive import derive_partitions
-from tidelog.operators.write import write_partitioned
+from tidelog.operators.stats import offset_ranges
+from tidelog.operators.write import quoted, write_partitioned
 from tidelog.plans import fs
-from tidelog.plans.maintain import add_written_partitions
-from tidelog.plans.table import LogicalTable
+from tidelog.plans.maintain import add_written_partitions, refresh
+from tidelog.plans.table import KEY_COL, LogicalTable
 from tidelog.sources.schema import TableSpec
 
 # Micro-batch interval: default and lower bound, in seconds, and files per
@@ -43,12 +44,11 @@ from tidelog.sources.schema import TableSpec
 DEFAULT_INTERVAL_S = 300
 MIN_INTERVAL_S = 10
 DEFAULT_FILES_PER_PARTITION = None   # size-driven layout, see ingest_batch
-# With a fixed files_per_partition: a directory that receives more rows than
-# this in one batch is split over up to HOT_FILES_PER_PARTITION writers.
-DEFAULT_ROWS_PER_FILE = 1_000_000
-HOT_FILES_PER_PARTITION = 8
-# Batch results kept on a running query (for inspection; older ones drop off).
-RESULTS_KEPT = 1000
+# Area of the durable offset report, one folder per batch key.
+OFFSETS_AREA = "offsets"
+# The application field as clients send it, for decoding with exact keys.
+APP_FIELD = "appId"
+CLOCK = "__clock"
 
 
 @dataclass
@@ -59,15 +59,27 @@ class BatchResult:
 
 
 def decode_and_derive(envelope: DataFrame, table: LogicalTable | TableSpec, mode: str = "lower_all",
-                      clock=None, tz: str | None = None, ts_zone: str | None = None) -> DataFrame:
+                      clock=None, tz: str | None = None, ts_zone: str | None = None,
+                      app_field: str = APP_FIELD, keep: list[str] | None = None) -> DataFrame:
     """Envelope (``value`` column) → rows in the table's column order
-    (``table`` is a logical table or just its spec)."""
+    (``table`` is a logical table or just its spec).
+
+    With ``mode="exact"`` the application id is read from the payload's
+    ``app_field`` (unless the table declares a data column of that name) and
+    aliased; the other modes find it in any letter case. ``keep`` names
+    envelope columns that ``clock`` refers to."""
     spec = table.spec if isinstance(table, LogicalTable) else table
-    decoded = decode_json(envelope, spec.row_schema, mode=mode)
+    schema, app_col = spec.row_schema, "appid"
+    if mode == "exact":
+        app_col = app_field
+        schema = StructType([f for f in schema.fields if f.name != "appid" or "appid" in spec.column_names])
+        if app_field not in schema.fieldNames():
+            schema = schema.add(app_field, StringType())
+    decoded = decode_json(envelope, schema, mode=mode, keep=keep)
     cols = [c.lower() if mode == "lower_all" else c for c in spec.column_names]
     derived = derive_partitions(decoded, clock=clock, ts_col=_find(cols, "ts"),
-                                app_col="appid", tz=tz, ts_zone=ts_zone)
-    return derived.select(*cols, *spec.partition_names)
+                                app_col=app_col, tz=tz, ts_zone=ts_zone)
+    return derived.select(*map(quoted, [*cols, *spec.partition_names]))
 
 
 def _find(cols: list[str], name: str) -> str:
@@ -80,7 +92,6 @@ def _find(cols: list[str], name: str) -> str:
 def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
                  files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
                  skip_empty: bool = False,
-                 rows_per_file: int | None = DEFAULT_ROWS_PER_FILE,
                  catalog_table: str | None = None) -> BatchResult:
     """Write one batch of derived rows as key directory ``key``.
 
@@ -92,13 +103,10 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
     batch — one hot application — which is split over several writers. No
     extra pass over the batch is needed.
 
-    ``files_per_partition=n`` instead bounds files per directory by ``n``
-    exactly: one file each, and with ``rows_per_file`` a directory above that
-    many rows is split over up to ``HOT_FILES_PER_PARTITION`` writers (found
-    by one aggregate over the batch, persisted so the source is read once);
-    ``rows_per_file=None`` keeps the strict bound. ``catalog_table`` names a
-    catalog table over the write area to register the new directories in
-    (just this key's, not a full recovery).
+    ``files_per_partition=n`` instead bounds files per directory by ``n``,
+    whatever a directory's size. ``catalog_table`` names a catalog table over
+    the write area to register the new directories in (just this key's, not a
+    full recovery) and to refresh.
     """
     st = table.state()  # raises TableMissing: the batch must not be acknowledged
     if key in st.folded:
@@ -107,20 +115,12 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
         return BatchResult(key, False, "committed")
     if skip_empty and rows.isEmpty():
         return BatchResult(key, False, "empty")
-    out = rows.select(*table.spec.column_names, *table.spec.partition_names)
-    n = files_per_partition
-    if n is not None and rows_per_file is not None:
-        n = max(n, HOT_FILES_PER_PARTITION)
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_partitioned(out, table.key_path(key), table.spec.partition_names,
-                          n, mode="overwrite",
-                          rows_per_file=rows_per_file if n is not None else None)
-    finally:
-        if out.is_cached:
-            out.unpersist()
+    out = rows.select(*map(quoted, [*table.spec.column_names, *table.spec.partition_names]))
+    write_partitioned(out, table.key_path(key), table.spec.partition_names, files_per_partition,
+                      mode="overwrite")
     if catalog_table:
         add_written_partitions(table, catalog_table, key=key)
+        refresh(table.spark, catalog_table)
     return BatchResult(key, True, "written")
 
 
@@ -137,23 +137,36 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
                  files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
                  interval_s: int | None = DEFAULT_INTERVAL_S, available_now: bool = False,
                  tz: str | None = None, ts_zone: str | None = None,
-                 query_name: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, skip_empty: bool = False,
+                 catalog_table: str | None = None, offset_report: bool = False) -> StreamingQuery:
     """Start the streaming ingest of ``envelope`` (a streaming DataFrame with
     a ``value`` column) into ``table``.
 
     ``interval_s`` is the micro-batch interval (must exceed 10 s);
     ``available_now=True`` processes what is there and stops (tests, backfill).
+    ``skip_empty`` and ``catalog_table`` are those of :func:`ingest_batch`.
+    ``offset_report`` writes each batch's offset ranges per topic partition
+    under the table, before the batch is committed (:func:`offset_reports`
+    reads them); the batch's offsets are read once more for it.
     """
     if not envelope.isStreaming:
         raise ValueError("start_ingest needs a streaming DataFrame; use ingest_batch for batch data")
     if not available_now and (interval_s is None or interval_s <= MIN_INTERVAL_S):
         raise ValueError(f"batch interval must be larger than {MIN_INTERVAL_S} s")
-    rows = decode_and_derive(envelope, table, mode=mode, tz=tz, ts_zone=ts_zone)
-    results: deque[BatchResult] = deque(maxlen=RESULTS_KEPT)
+    if offset_report:
+        # the clock belongs to the streaming plan, so that a replay has the same
+        rows = envelope.withColumn(CLOCK, F.current_timestamp())
+    else:
+        rows = decode_and_derive(envelope, table, mode=mode, tz=tz, ts_zone=ts_zone)
+    results: list[BatchResult] = []
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         key = f"{_query_id(batch.sparkSession, checkpoint)}-{batch_id}"
-        results.append(ingest_batch(table, batch, key, files_per_partition))
+        if offset_report:
+            offset_ranges(batch).write.mode("overwrite").parquet(_offsets_path(table, key))
+            batch = decode_and_derive(batch, table, mode=mode, clock=F.col(CLOCK), tz=tz, ts_zone=ts_zone,
+                                      keep=[CLOCK])
+        results.append(ingest_batch(table, batch, key, files_per_partition, skip_empty, catalog_table))
 
     w = rows.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     if query_name:
@@ -165,8 +178,26 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
     return q
 
 
+def _offsets_path(table: LogicalTable, key: str) -> str:
+    return f"{table.root}/{OFFSETS_AREA}/{KEY_COL}={key}"
+
+
+def offset_reports(table: LogicalTable) -> DataFrame:
+    """(key, topic, partition, from_offset, until_offset, n) of every batch
+    that was ingested with ``offset_report``, however many there were."""
+    schema = StructType([
+        StructField("topic", StringType()), StructField("partition", IntegerType()),
+        StructField("from_offset", LongType()), StructField("until_offset", LongType()),
+        StructField("n", LongType()), StructField(KEY_COL, StringType())])
+    path = f"{table.root}/{OFFSETS_AREA}"
+    if not fs.exists(table.spark, path):
+        return table.spark.createDataFrame([], schema)
+    return table.spark.read.schema(schema).parquet(fs.literal(path))
+
+
 def progress_offsets(query: StreamingQuery, all_batches: bool = False) -> list[dict]:
-    """Live offset-range report: per micro-batch and source, the start and
+    """Live offset report of the batches whose progress the engine still
+    keeps (the complete report is :func:`offset_reports`): per micro-batch and source, the start and
     end offsets and the row count, from the query's progress records
     (driver-side metadata; for Kafka the offsets are per topic partition)."""
     records = query.recentProgress if all_batches else [query.lastProgress]
