@@ -18,21 +18,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.decode import decode_json
-from tidelog.functions.derive import parse_ts, storeid_of
+from tidelog.functions.decode import decode_json, preview
+from tidelog.functions.derive import parse_ts
 from tidelog.operators.stats import column_stats, offset_ranges, partition_stats
 from tidelog.operators.union import view_extended, view_steady
 from tidelog.operators.write import write_partitioned
 from tidelog.plans.compact import compact, files_per_partition, fold
 from tidelog.plans.fs import list_names
-from tidelog.plans.maintain import (recover_partitions, recreate_table, refresh,
-                                    register_areas)
-from tidelog.plans.table import LogicalTable
+from tidelog.plans.maintain import (recover_partitions, recreate_table, refresh, register_areas,
+                                    register_catalog_view)
+from tidelog.plans.table import LogicalTable, TableMissing
 from tidelog.session import prepare, work_dir
 from tidelog.sources.events_feed import EVENTS_SPEC, leg, raw_log, raw_log_dirty
 from tidelog.sources.schema import TableSpec, from_catalog, from_template
 from tidelog.sources.stream import keep_from_offsets, read_file_stream
-from tidelog.streaming.ingest import decode_and_derive, ingest_batch, start_ingest
+from tidelog.streaming.apps import compaction_app, ingest_app
+from tidelog.streaming.ingest import (decode_and_derive, ingest_batch, offset_reports,
+                                      start_ingest)
 
 # The training-data operators and their pipeline are optional.
 try:
@@ -48,7 +50,7 @@ except ImportError:
 SMOKE_DIR = "/root/testdata/sf0.001"
 # Zone the contract derives dates in, whatever the session zone is (fixed value).
 CONTRACT_TZ = "UTC"
-COMPACTION_FILES = 20
+COMPACTION_FILES = 4
 
 
 # ---------------------------------------------------------------------------
@@ -135,8 +137,7 @@ def q_derive_dt_tz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_derive_storeid(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the batch clock is the event time itself, so every minute of the day occurs
-    d = _derived(spark, sf_dir, CONTRACT_TZ)
-    d = d.withColumn("storeid", storeid_of(spark, parse_ts(spark, F.col("ts")), CONTRACT_TZ))
+    d = _derived(spark, sf_dir, CONTRACT_TZ, clock=parse_ts(spark, F.col("ts")))
     return d.groupBy("storeid").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -167,18 +168,22 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _table(spark, "replay_idempotent")
     ev = _events(spark, sf_dir)
-    _ingest(t, ev, "q-0")
-    _ingest(t, ev, "q-0")  # the same batch delivered again
-    return _g(t.snapshot())
+    _ingest(t, leg(ev, "R"), "q-0")
+    _ingest(t, leg(ev, "W_a", "W_b"), "q-1")
+    _ingest(t, leg(ev, "R"), "q-0")  # the same batch delivered again
+    compact(t)
+    _ingest(t, leg(ev, "W_a", "W_b"), "q-1")  # and once more after it was folded
+    return t.write_leg(t.committed_keys()).groupBy("key", "appid").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _table(spark, "late_rows")
     ev = _events(spark, sf_dir)
     cut = F.lit("2024-01-04").cast("timestamp_ntz")
-    _ingest(t, ev.where(F.col("ts") >= cut), "q-0")
-    _ingest(t, ev.where(F.col("ts") < cut), "q-1")  # rows of the first three days, late
-    return _g(t.snapshot())
+    late = F.coalesce(F.col("ts") < cut, F.lit(False))
+    _ingest(t, ev.where(~late), "q-0")
+    _ingest(t, ev.where(late), "q-1")  # rows of the first three days, late
+    return t.write_leg(t.committed_keys()).groupBy("key", "dt").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_start_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +203,7 @@ def q_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_view_steady(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     t = _table(spark, "view_steady")
-    _ingest(t, ev.where(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz")), "old")
+    _ingest(t, leg(ev, "R", "W_a"), "old")
     compact(t)
     _ingest(t, leg(ev, "W_b"), "active")
     st = t.state()
@@ -210,10 +215,11 @@ def q_view_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _three_leg_table(spark, _events(spark, sf_dir), "view_extended")
     st = t.state()
     name = f"v_events_{uuid.uuid4().hex[:8]}"
-    view_extended(t.read_leg(list(st.gens)), t.write_leg(["w_a"]), t.write_leg(["w_b"]),
-                  t.view_columns()).createOrReplaceTempView(name)
-    return spark.sql(f"SELECT dt, appid, count(*) AS n, round(sum(CAST(value AS DOUBLE)), 2) AS sv "
-                     f"FROM {name} GROUP BY dt, appid")
+    legs = [t.read_leg(list(st.gens)), t.write_leg(["w_a"]), t.write_leg(["w_b"])]
+    named = [d.withColumn("leg", F.lit(n)) for d, n in zip(legs, ("R", "W_a", "W_b"), strict=True)]
+    view_extended(*named, [*t.view_columns(), "leg"]).createOrReplaceTempView(name)
+    return spark.sql(f"SELECT leg, dt, appid, count(*) AS n, round(sum(CAST(value AS DOUBLE)), 2) AS sv "
+                     f"FROM {name} GROUP BY leg, dt, appid")
 
 
 PRUNE_DTS = ("20240105", "20240115", "20240125")
@@ -234,9 +240,12 @@ def q_compact_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _table(spark, "compact_fold")
     for name in ("R", "W_a", "W_b"):
         _ingest(t, leg(ev, name), name)
-        compact(t, files_per_partition=COMPACTION_FILES)
+        compact(t)
     st = t.state()
-    return _g(t.read_leg(list(st.gens)))
+    # one gen per fold, in the order of the folds
+    by_gen = t.read_leg(list(st.gens)).withColumn(
+        "fold", F.array_position(F.array(*map(F.lit, st.gens)), F.col("gen")))
+    return by_gen.groupBy("fold", "dt").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_compact_invariant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,11 +267,21 @@ def q_compact_invariant(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     t = _table(spark, "compact_files")
-    for name in ("R", "W_a", "W_b"):
-        _ingest(t, leg(ev, name), name)
-    res = compact(t, files_per_partition=COMPACTION_FILES)
-    f = files_per_partition(t, res.gen)
-    return f.select("dt", "appid", "n", (F.col("n_files") <= COMPACTION_FILES).alias("files_ok"))
+    names = ("R", "W_a", "W_b")
+    for name in names:
+        _ingest(t, leg(ev, name), name, files_per_partition=1)
+    before = (t.write_leg(list(names)).select("dt", "appid", F.col("_metadata.file_path").alias("f"))
+              .groupBy("dt", "appid").agg(F.count_distinct("f").alias("files_before")))
+    whole = f"{t.state().version + 1:010d}-whole"
+    fold(t, list(names), whole, files_per_partition=1)
+    split = f"{t.state().version + 1:010d}-split"
+    fold(t, list(names), split, files_per_partition=COMPACTION_FILES)
+    one = files_per_partition(t, whole).select("dt", "appid", "n", F.col("n_files").alias("files_after"))
+    many = files_per_partition(t, split).select("dt", "appid", F.col("n_files").alias("files_split"))
+    return one.join(before, ["dt", "appid"]).join(many, ["dt", "appid"]).select(
+        "dt", "appid", "n", "files_before", "files_after",
+        (F.col("files_split") <= COMPACTION_FILES).alias("bound_ok"),
+        ((F.col("files_split") > 1) | (F.col("n") < 2 * COMPACTION_FILES)).alias("split_ok"))
 
 
 # ---------------------------------------------------------------------------
@@ -360,6 +379,88 @@ def q_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 # contract
 # ---------------------------------------------------------------------------
 
+def q_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches by application, one of them empty: it leaves no key."""
+    t = _table(spark, "skip_empty")
+    ev = _events(spark, sf_dir)
+    for app in ("click", "no-such-type", "view", "purchase", "signup", "error"):
+        _ingest(t, ev.where(F.col("event_type") == app), app, skip_empty=True)
+    keys = spark.createDataFrame([(k,) for k in t.committed_keys()], "key string")
+    return keys.join(t.snapshot().groupBy(F.col("appid").alias("key")).agg(F.count(F.lit(1)).alias("n")),
+                     "key", "full")
+
+
+def q_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest and compaction without a table raise and leave nothing; the
+    same batch is taken once the table is there."""
+    ev = _events(spark, sf_dir)
+    root = work_dir(spark, "missing_table")
+    t = LogicalTable(spark, root, EVENTS_SPEC)
+    raised = 0
+    for job in (lambda: _ingest(t, ev, "b-0"), lambda: compact(t), lambda: LogicalTable.open(spark, root)):
+        try:
+            job()
+        except TableMissing:
+            raised += 1
+    left = len(list_names(spark, root))
+    t = LogicalTable.create(spark, root, EVENTS_SPEC)
+    _ingest(t, ev, "b-0")
+    return t.snapshot().groupBy("appid").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(raised).alias("raised"), F.lit(left).alias("left_behind"))
+
+
+def q_batch_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One clock per batch, kept by a replay and by a later batch."""
+    t = _table(spark, "batch_clock")
+    ev = _events(spark, sf_dir)
+    for key, at in (("b-0", "2024-03-01 09:05:30"), ("b-1", "2024-03-01 23:59:59"), ("b-0", "2024-03-01 10:00:00")):
+        rows = decode_and_derive(raw_log(leg(ev, *(("R",) if key == "b-0" else ("W_a", "W_b")))), t, tz=CONTRACT_TZ,
+                                 clock=F.to_timestamp(F.lit(f"{at}Z")))
+        ingest_batch(t, rows, key)
+    return t.write_leg(t.committed_keys()).groupBy("key", "storeid").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preview has ten rows, all of them decoded rows of the feed."""
+    d = decode_json(raw_log(_events(spark, sf_dir)), EVENTS_SPEC.row_schema, mode="lower_all")
+    shown = preview(d.select("eventid")).select(F.col("eventid").alias("id")).distinct()
+    known = d.join(shown, F.col("eventid") == F.col("id"), "left_semi").select("eventid").distinct()
+    return known.agg(F.count(F.lit(1)).alias("n_shown")).crossJoin(d.agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_offset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The durable report of a stream of several batches, over all of them."""
+    ev = _events(spark, sf_dir)
+    base = work_dir(spark, "offset_report")
+    src = f"{base}/source"
+    raw_log(ev).repartition(6, "offset").write.parquet(src)
+    t = LogicalTable.create(spark, f"{base}/table", EVENTS_SPEC)
+    stream = read_file_stream(spark, src, "parquet", max_files_per_trigger=1)
+    q = start_ingest(t, stream, f"{base}/checkpoint", available_now=True, tz=CONTRACT_TZ, offset_report=True)
+    q.awaitTermination()
+    return offset_reports(t).groupBy("topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"),
+        F.sum("n").alias("n"))
+
+
+def q_apps_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both applications with their catalog steps, read back by table name."""
+    ev = _events(spark, sf_dir)
+    base = work_dir(spark, "apps_by_name")
+    w_name, r_name, view = (f"tidelog_{n}_{_suffix()}" for n in ("w", "r", "v"))
+    t = LogicalTable.create(spark, f"{base}/table", EVENTS_SPEC)
+    register_areas(t, w_name, r_name)
+    for part in ("R", "W_a"):
+        raw_log(leg(ev, part)).write.parquet(f"{base}/{part}")
+        ingest_app(spark, t.root, source_path=f"{base}/{part}", checkpoint=f"{base}/checkpoint-{part}",
+                   available_now=True, tz=CONTRACT_TZ, catalog_table=w_name).awaitTermination()
+        if part == "R":
+            compaction_app(spark, t.root, catalog_table=r_name, analyze=True, analyze_columns=True)
+    _ingest(t, leg(ev, "W_b"), "direct", catalog_table=w_name)
+    register_catalog_view(t, view, w_name, r_name, recover=False)
+    return _g(spark.table(view))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: replay the events feed, decode, derive partitions, append as
     partitioned Parquet, read the logical table back and summarise it."""
@@ -395,6 +496,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "schema_from_catalog": q_schema_from_catalog,
         "recreate_table": q_recreate_table,
         "bootstrap": q_bootstrap,
+        "skip_empty": q_skip_empty,
+        "missing_table": q_missing_table,
+        "batch_clock": q_batch_clock,
+        "preview": q_preview,
+        "offset_report": q_offset_report,
+        "apps_by_name": q_apps_by_name,
     }
 
 
@@ -454,16 +561,18 @@ def oracle_sql() -> dict[str, str]:
             "props FROM events"),
         "decode_dirty": (
             "SELECT event_type AS appid, CAST(sum(CASE event_id % 100 WHEN 8 THEN 2 ELSE 1 END) AS BIGINT) AS n "
-            "FROM events WHERE event_id % 100 NOT IN (7, 9) GROUP BY 1 "
-            "UNION ALL SELECT NULL AS appid, count(*) AS n FROM events WHERE event_id % 100 = 7"),
+            "FROM events WHERE event_id % 100 NOT IN (7, 9, 10, 11) GROUP BY 1 "
+            "UNION ALL SELECT NULL AS appid, count(*) AS n FROM events WHERE event_id % 100 IN (7, 11)"),
         "derive_dt": "SELECT strftime(ts, '%Y%m%d') AS dt, count(*) AS n FROM events GROUP BY 1",
         "derive_dt_tz": ("SELECT strftime(ts + INTERVAL 9 HOUR, '%Y%m%d') AS dt, count(*) AS n "
                          "FROM events GROUP BY 1"),
         "derive_storeid": "SELECT strftime(ts, '%H%M') AS storeid, count(*) AS n FROM events GROUP BY 1",
         "ingest_roundtrip": _gsql(),
         "stream_ingest": _gsql(),
-        "replay_idempotent": _gsql(),
-        "late_rows": _gsql(),
+        "replay_idempotent": ("SELECT CASE event_id % 3 WHEN 0 THEN 'q-0' ELSE 'q-1' END AS \"key\", "
+                              "event_type AS appid, count(*) AS n FROM events GROUP BY ALL"),
+        "late_rows": ("SELECT CASE WHEN ts < TIMESTAMP '2024-01-04' THEN 'q-1' ELSE 'q-0' END AS \"key\", "
+                      "strftime(ts, '%Y%m%d') AS dt, count(*) AS n FROM events GROUP BY ALL"),
         "start_offsets": (
             "SELECT CAST(event_id % 13 AS INTEGER) AS \"partition\", count(*) AS n FROM events "
             "WHERE event_id // 13 >= 10 * (event_id % 13) GROUP BY 1"),
@@ -472,12 +581,17 @@ def oracle_sql() -> dict[str, str]:
             "min(event_id // 13) AS from_offset, max(event_id // 13) + 1 AS until_offset, "
             "count(*) AS n FROM events GROUP BY ALL"),
         "view_steady": _gsql(),
-        "view_extended": _gsql(),
+        "view_extended": (
+            "SELECT CASE event_id % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'W_a' ELSE 'W_b' END AS leg, "
+            "strftime(ts, '%Y%m%d') AS dt, event_type AS appid, count(*) AS n, round(sum(value), 2) AS sv "
+            "FROM events GROUP BY ALL"),
         "view_pruned": _gsql(f"strftime(ts, '%Y%m%d') IN ({dts}) AND event_type = 'click'"),
-        "compact_fold": _gsql(),
+        "compact_fold": ("SELECT CAST(event_id % 3 + 1 AS BIGINT) AS fold, strftime(ts, '%Y%m%d') AS dt, "
+                         "count(*) AS n FROM events GROUP BY ALL"),
         "compact_invariant": _gsql(),
         "compact_files": ("SELECT strftime(ts, '%Y%m%d') AS dt, event_type AS appid, count(*) AS n, "
-                          "true AS files_ok FROM events GROUP BY ALL"),
+                          "count(DISTINCT event_id % 3) AS files_before, CAST(1 AS BIGINT) AS files_after, "
+                          "true AS bound_ok, true AS split_ok FROM events GROUP BY ALL"),
         "partition_stats": ("SELECT strftime(ts, '%Y%m%d') AS dt, event_type AS appid, count(*) AS n "
                             "FROM events GROUP BY ALL"),
         "column_stats": _column_stats_sql(),
@@ -488,4 +602,16 @@ def oracle_sql() -> dict[str, str]:
             "SELECT a.pos, a.name, a.type, a.is_partition, a.n_values AS n_before, "
             "CAST(0 AS BIGINT) AS n_after FROM (" + _fields_sql("n_values") + ") a"),
         "bootstrap": _gsql(),
+        "skip_empty": "SELECT event_type AS \"key\", count(*) AS n FROM events GROUP BY 1",
+        "missing_table": ("SELECT event_type AS appid, count(*) AS n, 3 AS raised, 0 AS left_behind "
+                          "FROM events GROUP BY 1"),
+        "batch_clock": ("SELECT CASE event_id % 3 WHEN 0 THEN 'b-0' ELSE 'b-1' END AS \"key\", "
+                        "CASE event_id % 3 WHEN 0 THEN '0905' ELSE '2359' END AS storeid, count(*) AS n "
+                        "FROM events GROUP BY ALL"),
+        "preview": "SELECT CAST(least(10, count(*)) AS BIGINT) AS n_shown, count(*) AS n FROM events",
+        "offset_report": (
+            "SELECT 'events' AS topic, CAST(event_id % 13 AS INTEGER) AS \"partition\", "
+            "min(event_id // 13) AS from_offset, max(event_id // 13) + 1 AS until_offset, "
+            "count(*) AS n FROM events GROUP BY ALL"),
+        "apps_by_name": _gsql(),
     }
