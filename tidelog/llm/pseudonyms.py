@@ -74,9 +74,13 @@ def _let(value: Column, f) -> Column:
 def _feistel(n: Column, half: Column, key: str, kind: str, tweak: Column) -> Column:
     """Permutation of [0, half * half); ``half`` below 2**31."""
     state = F.struct(F.floor(n / half).cast("long").alias("l"), F.pmod(n, half).cast("long").alias("r"))
+
+    def step(i: int):
+        return lambda s: F.struct(
+            s["r"].alias("l"), F.pmod(s["l"] + _round(key, kind, i, tweak, s["r"], half), half).alias("r"))
+
     for i in range(ROUNDS):
-        state = _let(state, lambda s, i=i: F.struct(
-            s["r"].alias("l"), F.pmod(s["l"] + _round(key, kind, i, tweak, s["r"], half), half).alias("r")))
+        state = _let(state, step(i))
     return _let(state, lambda s: s["l"] * half + s["r"])
 
 
@@ -96,10 +100,14 @@ def _permuted_digits(digits: Column, key: str, kind: str) -> Column:
     a = F.floor(n / 2).cast("int")
     power = lambda w: F.concat(F.lit("1"), F.repeat(F.lit("0"), w)).cast("long")
     state = F.struct(F.substring(digits, F.lit(1), a).alias("l"), F.substring(digits, a + 1, n - a).alias("r"))
-    for i in range(ROUNDS):
-        state = _let(state, lambda s, i=i: F.struct(s["r"].alias("l"), F.lpad(F.pmod(
+
+    def step(i: int):
+        return lambda s: F.struct(s["r"].alias("l"), F.lpad(F.pmod(
             s["l"].cast("long") + _round(key, kind, i, n.cast("string"), s["r"], power(F.length(s["l"]))),
-            power(F.length(s["l"]))).cast("string"), F.length(s["l"]), "0").alias("r")))
+            power(F.length(s["l"]))).cast("string"), F.length(s["l"]), "0").alias("r"))
+
+    for i in range(ROUNDS):
+        state = _let(state, step(i))
     return _let(state, lambda s: F.concat(s["l"], s["r"]))
 
 
