@@ -60,7 +60,7 @@ class Shard:
         self.least, self.most = np.array(least, dtype=np.float64), np.array(most, dtype=np.float64)
         self.sizes = np.array([len(p) for p in posts])
         self.first = np.flatnonzero(np.r_[True, np.diff(self.dim) > 0])
-        self.exact = self.x if np.abs(self.x).max(initial=0) <= SAFE else self.x.astype(object)
+        self.exact = np.abs(self.x).max(initial=0) > SAFE
 
     def possible(self, q: np.ndarray, k: int) -> np.ndarray:
         """Rows that may be among the k best of query ``q``."""
@@ -94,9 +94,11 @@ class Shard:
 
     def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Exact (ids, scores) of the k best rows, ties to the smaller id."""
-        rows = self.possible(q, k + int((self.ids == query_id).sum()))
+        # sums beyond 64 bits end at the range of a long, where bounds tell nothing
+        big = self.exact or np.abs(q).max(initial=0) > SAFE
+        rows = np.arange(len(self.ids)) if big else self.possible(q, k + int((self.ids == query_id).sum()))
         rows = rows[self.ids[rows] != query_id]
-        if self.exact.dtype == object or np.abs(q).max(initial=0) > SAFE:
+        if big:
             score = np.array([max(1 - (1 << 63), min((1 << 63) - 1, int(sum(map(int, self.x[r] * q.astype(object))))))
                               for r in rows], dtype=np.int64)
         else:
