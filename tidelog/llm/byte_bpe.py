@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONG = 192              # bytes
-MEMO = 300_000          # entries of a worker's memo
+MEMO = 400_000          # entries of a worker's memo
 CHUNK = 20_000          # pieces of one query
 MEMORY = "300MB"
 SLICE = 1_000_000       # ids decoded at a time
@@ -101,9 +101,9 @@ class Codec:
         self.spaced[[i for b, i in self.ranks.items() if b[:1] == b" "]] = True
         self.length = np.zeros(len(self.spaced), dtype=np.int64)
         self.length[list(self.ranks.values())] = [len(b) for b in self.ranks]
-        self.words: dict[str, bytes] = {}      # match of the pattern: ids
-        self.chunks: dict[str, bytes] = {}     # text after a blank: ids
-        self.segments: dict[bytes, bytes] = {}  # ids: bytes
+        self.words: dict[str, tuple[bytes, bytes]] = {}    # match of the pattern: ids, bytes decoded from them
+        self.chunks: dict[str, tuple[bytes, bytes]] = {}   # text after a blank: the same
+        self.segments: dict[bytes, bytes] = {}             # ids: bytes
 
     def _table(self, name: str, **columns) -> None:
         arrow = pa.table(columns)  # noqa: F841  read by name
@@ -133,24 +133,24 @@ class Codec:
         return [flat[4 * a:4 * b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _learn_words(self, new: set[str]) -> None:
+        ids: dict[str, bytes] = {}
         todo = []
         for w in new:
             b = w.encode()
             whole = self.ranks.get(b)
             if whole is not None:
-                self.words[w] = whole.to_bytes(4, "little")
+                ids[w] = whole.to_bytes(4, "little")
             else:
                 todo.append((w, b))
         short = [x for x in todo if len(x[1]) <= LONG]
         groups = [short[i:i + CHUNK] for i in range(0, len(short), CHUNK)]
         for part in groups + [[x] for x in todo if len(x[1]) > LONG]:
-            self.words.update(zip([w for w, _ in part], self._contract([b for _, b in part]), strict=True))
+            ids.update(zip([w for w, _ in part], self._contract([b for _, b in part]), strict=True))
+        self.words.update(zip(ids, zip(ids.values(), self._decoded(list(ids.values())), strict=True), strict=True))
 
-    def _ids_of(self, words: list[str]) -> bytes:
-        new = {w for w in words if w not in self.words}
-        if new:
-            self._learn_words(new)
-        return b"".join([self.words[w] for w in words])
+    def _joined(self, words: list[str]) -> tuple[bytes, bytes]:
+        both = [self.words[w] for w in words]
+        return b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
 
     def _trim(self) -> None:
         """What came first is what is frequent: it stays when a memo is full."""
@@ -161,35 +161,46 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        return [ids for ids, _ in self.encode_decode(texts)]
+
+    def encode_decode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of each text and the bytes decoded from them."""
         self._trim()
         plain = [bool(t) and not t.startswith(" ") and self.after_space(t) is None for t in texts]
         split = [t.split(" ") if ok else None for t, ok in zip(texts, plain, strict=True)]
-        new = {c for cs in split if cs for c in cs[1:]}
-        new = [c for c in new if c not in self.chunks]
+        seen = set()
+        for cs in split:
+            seen.update(cs[1:] if cs else ())
+        new = [c for c in seen if c not in self.chunks]
         found = [self.find(" " + c) for c in new]
         self._learn_words({w for ws in found for w in ws if w not in self.words}
                           | {w for cs in split if cs for w in self.find(cs[0]) if w not in self.words})
-        words = self.words.__getitem__
-        self.chunks.update(zip(new, [b"".join(map(words, ws)) for ws in found], strict=True))
+        self.chunks.update(zip(new, map(self._joined, found), strict=True))
         get = self.chunks.__getitem__
         out = []
         for t, cs in zip(texts, split, strict=True):
             if cs:
-                out.append(b"".join([*map(words, self.find(cs[0])), *map(get, cs[1:])]))
+                parts = [self._joined(self.find(cs[0])), *map(get, cs[1:])]
             else:
                 parts, it = [], self.iter(t)
                 while some := [m.group() for m in islice(it, 100_000)]:
-                    parts.append(self._ids_of(some))
-                out.append(b"".join(parts))
+                    self._learn_words({w for w in some if w not in self.words})
+                    parts.append(self._joined(some))
+            out.append((b"".join([x[0] for x in parts]), b"".join([x[1] for x in parts])))
         return out
 
-    def _decode_segments(self, new: list[bytes]) -> None:
-        for i in range(0, len(new), CHUNK):
-            part = new[i:i + CHUNK]
+    def _decoded(self, ids: list[bytes]) -> list[bytes]:
+        """Bytes of each sequence of ids, by the ordered aggregation."""
+        out: list[bytes] = []
+        for i in range(0, len(ids), CHUNK):
+            part = ids[i:i + CHUNK]
             self._positions([np.frombuffer(s, dtype="<u4") for s in part])
             raw = self.con.execute(DECODE).fetchone()[0]
-            ends = np.cumsum([self.length[np.frombuffer(s, dtype="<u4")].sum() for s in part]).tolist()
-            self.segments.update((s, raw[a:b]) for s, a, b in zip(part, [0, *ends], ends, strict=False))
+            size = np.add.reduceat(self.length[np.frombuffer(b"".join(part), dtype="<u4")], np.cumsum(
+                [0, *[len(s) // 4 for s in part[:-1]]]))
+            ends = np.cumsum(size).tolist()
+            out += [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of each sequence of ids, cut before tokens that start with a blank."""
@@ -206,7 +217,9 @@ class Codec:
         seen = set()
         for parts in split:
             seen.update(parts)
-        self._decode_segments([s for s in seen if s not in self.segments])
+        new = [s for s in seen if s and s not in self.segments]
+        self.segments.update(zip(new, self._decoded(new), strict=True))
+        self.segments[b""] = b""
         get = self.segments.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
@@ -267,10 +280,10 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
             for own in _groups([len(t) for t in texts], 2_000_000):
-                ids = own_codec.encode(texts[own])
+                both = own_codec.encode_decode(texts[own])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(own.start, own.stop - own.start), pa.array(ids, pa.binary()),
-                     pa.array(own_codec.decode(ids), pa.binary())], names=["id", "ids", "raw"])
+                    [b.column(0).slice(own.start, own.stop - own.start), pa.array([x[0] for x in both], pa.binary()),
+                     pa.array([x[1] for x in both], pa.binary())], names=["id", "ids", "raw"])
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .mapInArrow(run, f"id {kind}, ids binary, raw binary").withColumnRenamed("id", id_col))
