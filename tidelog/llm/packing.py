@@ -41,7 +41,8 @@ from tidelog.llm.common import written
 SEQUENCE = 4096
 END_ID = 1
 GRID = 64          # cells of the length grid
-WORDS_KEPT = 400_000   # bound of each memo of a worker
+WORDS_KEPT = 300_000   # bound of each memo of a worker in a task
+WORDS_LEFT = 60_000    # ... and between tasks
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
 
@@ -94,12 +95,15 @@ class ChunkTokenizer:
             part = other[i:i + 500]
             self.chunks.update(zip(part, (e.tobytes() for e in self._encode(part)), strict=True))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+    def trim(self, most: int) -> None:
         for name in ("chunks", "words"):
             memo = getattr(self, name)
-            if len(memo) > WORDS_KEPT:
-                setattr(self, name, dict(islice(memo.items(), WORDS_KEPT // 2)))
+            if len(memo) > most:
+                setattr(self, name, dict(islice(memo.items(), most // 2)))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        self.trim(WORDS_KEPT)
         split = [t.replace("\n", " ").split(" ") for t in texts]
         seen = set()
         for cs in split:
@@ -162,6 +166,7 @@ def tokenised_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> Da
                     pa.array(out["c"], pa.int64()), pa.array([task] * len(out["d"]), pa.int32()),
                     pa.array(out["r"], pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
+        tok.trim(WORDS_LEFT)
 
     return docs.mapInArrow(run, _PIECES)
 
