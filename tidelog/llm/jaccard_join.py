@@ -16,14 +16,17 @@ a set with more non-empty ones keeps a shared one. A set with fewer has each
 single feature as a signature as well, of which a similar pair always shares
 one. The same count deals with signatures that very many sets share: a set
 that has more spare signatures than frequent ones doesn't need the latter. The
-others meet on their frequent signatures in joins: first with the smallest
-set of each signature, and then, where members of a signature are not yet in
-one component, with all members of other components.
+others meet on their frequent signatures: first with the smallest set of each
+signature, in a join, and then, where members of a signature are not yet in one
+component, with all members of other components, in blocks of bounded size.
 
 Equal sets are one class from the start. Signatures travel as byte blocks, one
 per task and bucket, whose number follows the corpus; a signature that is
-frequent in a task leaves only a mark in its bucket. Links are decided on the
-whole sets, and components come from star contraction over the links.
+frequent in a task leaves only a mark in its bucket. A block names a set by
+some bits of its id, and a signature by some of its hash; what collides is one
+candidate more. Candidates whose sketches, counts of features by hash, can't
+overlap enough are dropped, links are decided on the whole sets, and components
+come from star contraction over the links.
 
 Defined cases: a null text, and one without words, has an empty set and no
 links; fewer than ``size`` words are one shingle; rows with a null id are left
@@ -33,12 +36,12 @@ out; rows that share an id are one node.
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, islice
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import written
@@ -46,12 +49,16 @@ from tidelog.llm.components import connected_components
 
 SIZE = 5
 NUM, DEN = 75, 100
-N2, K2 = 3, 1
-WIDEN = 1.1               # first-level parts over the least number
+N2, K2 = 2, 1
+WIDEN = 1.2               # first-level parts over the least number
 FREQUENT = 16             # members beyond which a signature is frequent
 BUCKET_ENTRIES = 500_000  # signatures of a bucket, on average
 FLUSH = 2_000_000         # signatures a task holds before it writes blocks
-WORDS_KEPT = 300_000
+BLOCK = 256               # sets of a block of a family
+GROUP = 300_000           # features whose signatures are made at a time
+WORDS_KEPT = 300_000      # word hashes a worker holds in a task
+WORDS_LEFT = 60_000       # ... and between tasks
+KEY_BITS = 39             # of a set's id, as blocks name it
 
 U = np.uint64
 
@@ -76,14 +83,20 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def _trim_words(most: int) -> None:
+    """Halves the memo beyond ``most``; what came first is what is frequent."""
+    global _WORDS
+    if len(_WORDS) > most:
+        _WORDS = _Words(islice(_WORDS.items(), most // 2))
+
+
 def shingle_set(text: str | None, size: int = SIZE) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word shingles of a text: words
     are runs of anything but blanks and control white space, A-Z in lower case."""
     words = text.encode().lower().split() if text else []
     if not words:
         return np.empty(0, dtype=U)
-    if len(_WORDS) > WORDS_KEPT:
-        _WORDS.clear()
+    _trim_words(WORDS_KEPT)
     w = np.fromiter(map(_WORDS.__getitem__, words), dtype=U, count=len(words))
     n = max(1, len(w) - size + 1)
     h = np.full(n, min(size, len(w)), dtype=U)
@@ -98,6 +111,39 @@ def set_id(features: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(features.tobytes()) - (1 << 63)
 
 
+def set_key(sid):
+    """The bits of a set's id by which blocks name it; joins find the id again."""
+    return (sid >> (64 - KEY_BITS)) & ((1 << KEY_BITS) - 1)
+
+
+def set_key_column(sid: Column) -> Column:
+    return F.shiftrightunsigned(sid, 64 - KEY_BITS)
+
+
+def sketch(features: np.ndarray) -> bytes:
+    """Counts of the features by hash, about two in a cell."""
+    cells = 1 << max(6, (len(features) // 2).bit_length())
+    count = np.bincount((features & U(cells - 1)).astype(np.int64), minlength=cells)
+    # a full byte would hide members: such cells make the sketch two bytes wide
+    return count.astype(np.uint8).tobytes() if count.max() < 256 else b"w" + count.astype(np.uint16).tobytes()
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.uint8) if len(raw) % 2 == 0 else np.frombuffer(raw[1:], dtype=np.uint16)
+
+
+def may_be_similar(a: bytes, b: bytes) -> bool:
+    """Whether the cells' smaller counts, which bound the intersection, leave
+    the sets of two sketches similar."""
+    a, b = _counts(a).astype(np.int64), _counts(b).astype(np.int64)
+    while len(a) > len(b):
+        a = a.reshape(2, -1).sum(0)
+    while len(b) > len(a):
+        b = b.reshape(2, -1).sum(0)
+    both = np.minimum(a, b).sum()
+    return bool(DEN * both >= NUM * (a.sum() + b.sum() - both))
+
+
 # ---------------------------------------------------------------------------
 # signatures
 # ---------------------------------------------------------------------------
@@ -142,86 +188,108 @@ def spoiled(k: int, parts: int) -> int:
 _SUBSETS = list(combinations(range(N2), N2 - K2))
 
 
-def signatures(features: np.ndarray, instance: int, top: int) -> tuple[np.ndarray, int]:
-    """Signatures of a set in an instance whose largest size is ``top``, and
-    how many of them it can spare (-1: none, single features are included)."""
-    parts = first_parts(instance, top)
-    size = len(features)
-    salt = U((instance * 0x9E3779B97F4A7C15 + 1) & (2 ** 64 - 1))
-    place = _mix(features ^ salt)
-    cell = ((place >> U(32)) * U(parts * N2) >> U(32)).astype(np.int64)
-    # projections as sums of mixed features, one row per first-level part
-    total = np.zeros(parts * N2, dtype=U)
-    np.add.at(total, cell, _mix(place + U(1)))
-    total = total.reshape(parts, N2)
-    sigs = []
-    number = np.arange(parts, dtype=U)
-    for j, subset in enumerate(_SUBSETS):
-        own = total[:, subset[0]].copy()
-        for c in subset[1:]:
-            own += total[:, c]
-        hit = own != 0
-        sigs.append(_mix(own[hit] + (number[hit] * U(len(_SUBSETS)) + U(j)) * U(0xD6E8FEB86659FD93) + salt))
-    out = np.concatenate(sigs)
-    k = differences(size + min(top, size * DEN // NUM))
-    spare = len(out) - spoiled(k, parts) - 1
-    if spare < 0:
-        out = np.concatenate([out, _mix(features * U(0xC2B2AE3D27D4EB4F) + salt)])
-    return out, max(-1, spare)
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of non-empty sets in both their instances: the set's number,
+    the instance (0: its own band, 1: the next), the signature; and per set and
+    instance how many it can spare (-1: none, its single features are included)."""
+    size = np.array([len(x) for x in sets])
+    features = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets)), size)
+    out, spares = [], []
+    for which in (0, 1):
+        band = np.array([band_of(int(n)) + which for n in size])
+        top = np.array([bands(int(n))[b][1] for n, b in zip(size, band, strict=True)])
+        parts = np.array([first_parts(int(b), int(t)) for b, t in zip(band, top, strict=True)])
+        salt = _mix(band.astype(U) * U(0x9E3779B97F4A7C15) + U(1))
+        start = np.cumsum(parts) - parts
+        place = _mix(features ^ salt[of])
+        cell = (place >> U(32)) * (parts * N2).astype(U)[of] >> U(32)
+        total = np.zeros(int(parts.sum()) * N2, dtype=U)
+        np.add.at(total, cell.astype(np.int64) + (start * N2)[of], _mix(place + U(1)))
+        # one row per first-level part, numbered within its set
+        total = total.reshape(-1, N2)
+        owner = np.repeat(np.arange(len(sets)), parts)
+        number = (np.arange(len(owner)) - start[owner]).astype(U)
+        had = np.zeros(len(sets), dtype=np.int64)
+        for j, subset in enumerate(_SUBSETS):
+            own = total[:, subset].sum(1, dtype=U)
+            hit = np.flatnonzero(own)
+            who = owner[hit]
+            out.append((who, np.full(len(who), which), _mix(
+                own[hit] + (number[hit] * U(len(_SUBSETS)) + U(j)) * U(0xD6E8FEB86659FD93) + salt[who])))
+            had += np.bincount(who, minlength=len(sets))
+        spare = np.array([h - spoiled(differences(int(n) + min(int(t), int(n) * DEN // NUM)), int(p)) - 1
+                          for h, n, t, p in zip(had, size, top, parts, strict=True)])
+        short = (spare < 0)[of]
+        out.append((of[short], np.full(int(short.sum()), which),
+                    _mix(features[short] * U(0xC2B2AE3D27D4EB4F) + salt[of[short]])))
+        spares.append(np.maximum(spare, -1))
+    who, which, sig = (np.concatenate(c) for c in zip(*out, strict=True))
+    return who, which, sig, np.stack(spares)
 
 
 # ---------------------------------------------------------------------------
 # blocks of signatures
 # ---------------------------------------------------------------------------
 
-# A block's units are (set, instance); its entries are signatures, by unit.
-_BLOCK = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("sid", pa.binary()), ("n", pa.binary()),
-                    ("spare", pa.binary()), ("count", pa.binary()), ("sig", pa.binary())])
-_BLOCK_DDL = ("bucket int, kind tinyint, sid binary, n binary, spare binary, count binary, sig binary")
-ENTRIES, MARKS, DIRECT = 0, 1, 2
-
-
-def _blocks(units: list[tuple[int, int, int, np.ndarray]], buckets: int) -> pa.RecordBatch:
-    """Blocks of ``units`` (set id, size, spare, signatures)."""
-    count = np.array([len(u[3]) for u in units])
-    sig = np.concatenate([u[3] for u in units])
-    unit = np.repeat(np.arange(len(units)), count)
-    sid = np.array([u[0] for u in units], dtype=np.int64)
-    n = np.array([u[1] for u in units], dtype=np.int32)
-    spare = np.array([u[2] for u in units], dtype=np.int32)
+# A block's entries: who, the set's key with the instance as lowest bit, in 5
+# bytes, and 32 bits of the signature; the bucket holds more bits of it.
+_BLOCK = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("who", pa.binary()), ("high", pa.binary()),
+                    ("sig", pa.binary()), ("of", pa.binary())])
+_BLOCK_DDL = "bucket int, kind tinyint, who binary, high binary, sig binary, of binary"
+ENTRIES, MARKS, DIRECT, SPARES = 0, 1, 2, 3
+
+
+def _blocks(who: np.ndarray, sig: np.ndarray, owner: np.ndarray, spare: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Blocks of entries (who, sig) and of spares (owner, spare + 1), by bucket."""
     order = np.argsort(sig, kind="stable")
-    run = np.flatnonzero(np.r_[True, np.diff(sig[order]) != 0, True])
-    often = np.zeros(len(sig), dtype=bool)
+    who, sig = who[order], sig[order]
+    run = np.flatnonzero(np.r_[True, np.diff(sig) != 0, True])
     size = np.diff(run)
-    often[order] = np.repeat(size > FREQUENT, size)
-    marks = sig[order][run[:-1][size > FREQUENT]]
-    bucket = lambda s: ((s >> U(32)) * U(buckets) >> U(32)).astype(np.int32)
+    often = np.repeat(size > FREQUENT, size)
+    bucket = lambda v: ((v >> U(32)) * U(buckets) >> U(32)).astype(np.int32)
+    low = sig.astype(np.uint32)
     out = {f.name: [] for f in _BLOCK}
 
-    def put(kind: int, b: np.ndarray, u: np.ndarray, s: np.ndarray) -> None:
-        by = np.lexsort((u, b))
-        b, u, s = b[by], u[by], s[by]
-        for own in np.split(np.arange(len(b)), np.flatnonzero(np.diff(b)) + 1) if len(b) else []:
-            first = np.flatnonzero(np.r_[True, np.diff(u[own]) != 0])
-            who = u[own][first]
-            out["bucket"].append(int(b[own[0]]))
+    def put(kind: int, to: np.ndarray, rows: np.ndarray, who=who, low=low) -> None:
+        by = np.argsort(to, kind="stable")
+        to, rows = to[by], rows[by]
+        for own in np.split(np.arange(len(to)), np.flatnonzero(np.diff(to)) + 1) if len(to) else []:
+            w = who[rows[own]]
+            out["bucket"].append(int(to[own[0]]))
             out["kind"].append(kind)
-            out["sid"].append(sid[who].tobytes())
-            out["n"].append(n[who].tobytes())
-            out["spare"].append(spare[who].tobytes())
-            out["count"].append(np.diff(np.r_[first, len(own)]).astype(np.uint32).tobytes())
-            out["sig"].append(s[own].tobytes())
-
-    put(ENTRIES, bucket(sig[~often]), unit[~often], sig[~often])
-    # frequent here: members go where their set's hash says, the bucket gets a mark
-    put(DIRECT, bucket(_mix(sid[unit[often]].view(U))), unit[often], sig[often])
-    put(MARKS, bucket(marks), np.zeros(len(marks), dtype=np.int64), marks)
+            out["who"].append(w.astype(np.uint32).tobytes())
+            out["high"].append((w >> U(32)).astype(np.uint8).tobytes())
+            out["sig"].append(low[rows[own]].tobytes())
+            # a signature's own bucket, where the block is elsewhere
+            out["of"].append(bucket(sig[rows[own]]).tobytes() if kind == DIRECT else b"")
+
+    rare = np.flatnonzero(~often)
+    put(ENTRIES, bucket(sig[rare]), rare)
+    # frequent here: members go where their own hash says, the bucket gets a mark
+    put(DIRECT, bucket(_mix(who[often])), np.flatnonzero(often))
+    marks = run[:-1][size > FREQUENT]
+    put(MARKS, bucket(sig[marks]), marks)
+    put(SPARES, bucket(_mix(owner)), np.arange(len(owner)), owner, spare.astype(np.uint32))
     return pa.RecordBatch.from_pydict(out, schema=_BLOCK)
 
 
 def _signature_blocks(docs: DataFrame, buckets: int, size: int) -> DataFrame:
     def run(batches):
-        units, held, seen = [], 0, set()
+        sets, keys, held, seen = [], [], 0, set()
+        made: list[list[np.ndarray]] = [[], [], [], []]
+
+        def grouped() -> int:
+            n, which, s, spare = signatures(sets)
+            key = np.array(keys, dtype=U) * U(2)
+            for column, new in zip(made, (key[n] + which.astype(U), s, np.concatenate([key, key + U(1)]),
+                                          spare.ravel() + 1), strict=True):
+                column.append(new)
+            sets.clear()
+            keys.clear()
+            return len(s)
+
+        features = 0
         for b in batches:
             for text in b.column(0).to_pylist():
                 x = shingle_set(text, size)
@@ -230,63 +298,73 @@ def _signature_blocks(docs: DataFrame, buckets: int, size: int) -> DataFrame:
                 if len(seen) > 1_000_000:
                     seen.clear()
                 seen.add(sid)
-                band = band_of(len(x))
-                for i in (band, band + 1):
-                    top = bands(len(x))[i][1]
-                    sig, spare = signatures(x, i, top)
-                    units.append((sid, len(x), spare, sig))
-                    held += len(sig)
+                sets.append(x)
+                keys.append(set_key(sid))
+                features += len(x)
+                if features >= GROUP:
+                    held += grouped()
+                    features = 0
                 if held >= FLUSH:
-                    yield _blocks(units, buckets)
-                    units, held = [], 0
-        if units:
-            yield _blocks(units, buckets)
+                    yield _blocks(*map(np.concatenate, made), buckets)
+                    made, held = [[], [], [], []], 0
+        if sets:
+            grouped()
+        if made[0]:
+            yield _blocks(*map(np.concatenate, made), buckets)
+        _trim_words(WORDS_LEFT)
 
     return docs.mapInArrow(run, _BLOCK_DDL)
 
 
-_FOUND = pa.schema([("hot", pa.bool_()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int32()), ("spare", pa.int32())])
+_FOUND = pa.schema([("hot", pa.bool_()), ("x", pa.int64()), ("y", pa.int64()), ("which", pa.int32())])
 
 
 def _candidates(blocks: pa.Table) -> pa.Table:
-    """Of one bucket: pairs of set ids (x, y) that share a signature, and for
-    frequent signatures (hot) rows of signature x and set id y."""
-    parts = {k: [] for k in ("kind", "sid", "n", "spare", "sig")}
+    """Of one bucket: pairs of set keys (x, y) that share a signature, and for
+    frequent signatures (hot) rows of signature x, set key y and instance. The
+    spares of sets pass through, with hot null: spare x, set key y, instance."""
+    parts = {k: [] for k in ("kind", "who", "sig", "of")}
     for r in blocks.to_batches():
         for i in range(r.num_rows):
-            read = lambda c, t, r=r, i=i: np.frombuffer(r.column(c)[i].as_py(), dtype=t)
-            count = read("count", np.uint32)
-            parts["kind"].append(np.full(int(count.sum()), r.column("kind")[i].as_py(), dtype=np.int8))
-            for c, t in (("sid", np.int64), ("n", np.int32), ("spare", np.int32)):
-                parts[c].append(np.repeat(read(c, t), count))
-            parts["sig"].append(read("sig", U))
-    kind, sid, n, spare, sig = (np.concatenate(parts[k]) for k in ("kind", "sid", "n", "spare", "sig"))
+            read = lambda c, t, r=r, i=i: np.frombuffer(r.column(c)[i].as_buffer(), dtype=t)
+            sig = read("sig", np.uint32)
+            kind = r.column("kind")[i].as_py()
+            parts["kind"].append(np.full(len(sig), kind, dtype=np.int8))
+            parts["who"].append(read("who", np.uint32).astype(np.int64) | read("high", np.uint8).astype(np.int64) << 32)
+            parts["sig"].append(sig)
+            parts["of"].append(read("of", np.int32) if kind == DIRECT
+                               else np.full(len(sig), r.column("bucket")[i].as_py(), dtype=np.int32))
+    kind, who, sig, of = (np.concatenate(parts[k]) for k in ("kind", "who", "sig", "of"))
+    named = of.astype(np.int64) << 32 | sig
     direct = kind == DIRECT
-    out = [(True, sig[direct].view(np.int64), sid[direct], n[direct], spare[direct])]
+    spare = kind == SPARES
+    out = [(True, named[direct], who[direct] >> 1, who[direct] & 1),
+           (None, sig[spare].astype(np.int64) - 1, who[spare] >> 1, who[spare] & 1)]
     marks = np.unique(sig[kind == MARKS])
-    kind, sid, n, spare, sig = (v[kind == ENTRIES] for v in (kind, sid, n, spare, sig))
-    order = np.lexsort((sid, sig))
-    sid, n, spare, sig = sid[order], n[order], spare[order], sig[order]
-    new = np.r_[True, (np.diff(sig) != 0) | (np.diff(sid) != 0)] if len(sig) else np.zeros(0, dtype=bool)
-    sid, n, spare, sig = sid[new], n[new], spare[new], sig[new]
+    own = kind == ENTRIES
+    who, sig, named = who[own], sig[own], named[own]
+    order = np.lexsort((who, sig))
+    who, sig, named = who[order], sig[order], named[order]
+    new = np.r_[True, (np.diff(sig) != 0) | (np.diff(who) != 0)] if len(sig) else np.zeros(0, dtype=bool)
+    who, sig, named = who[new], sig[new], named[new]
     edge = np.flatnonzero(np.r_[True, np.diff(sig) != 0]) if len(sig) else np.zeros(0, dtype=np.int64)
     size = np.diff(np.r_[edge, len(sig)])
     frequent = (size > FREQUENT) | np.isin(sig[edge], marks)
     hot = np.repeat(frequent, size)
-    out.append((True, sig[hot].view(np.int64), sid[hot], n[hot], spare[hot]))
+    out.append((True, named[hot], who[hot] >> 1, who[hot] & 1))
+    key = who >> 1
     pairs = []
     for m in range(2, FREQUENT + 1):
         at = edge[(size == m) & ~frequent]
         for i, j in combinations(range(m), 2) if len(at) else []:
-            a, b = at + i, at + j
-            near = np.minimum(n[a], n[b]).astype(np.int64) * DEN >= np.maximum(n[a], n[b]).astype(np.int64) * NUM
-            pairs.append(np.stack([sid[a[near]], sid[b[near]]], 1))
+            pairs.append(np.stack([key[at + i], key[at + j]], 1))
     if pairs:
-        p = np.unique(np.concatenate(pairs), axis=0)
-        zero = np.zeros(len(p), dtype=np.int32)
-        out.append((False, p[:, 0], p[:, 1], zero, zero))
-    return pa.concat_tables(pa.table([pa.array(np.full(len(o[1]), o[0])), *map(pa.array, o[1:])], schema=_FOUND)
-                            for o in out)
+        p = np.concatenate(pairs)
+        p = np.unique(p[p[:, 0] != p[:, 1]], axis=0)
+        out.append((False, p[:, 0], p[:, 1], np.zeros(len(p), dtype=np.int64)))
+    return pa.concat_tables(pa.table(
+        [pa.array([o[0]] * len(o[1]), pa.bool_()), pa.array(o[1]), pa.array(o[2]), pa.array(o[3].astype(np.int32))],
+        schema=_FOUND) for o in out)
 
 
 # ---------------------------------------------------------------------------
@@ -294,30 +372,53 @@ def _candidates(blocks: pa.Table) -> pa.Table:
 # ---------------------------------------------------------------------------
 
 def set_table(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, n_shingles, sid) of ``docs(doc_id, text)``; sid null if empty."""
+    """(doc_id, n_shingles, sid, sketch) of ``docs(doc_id, text)``; the last
+    two are null for an empty set."""
     def run(batches):
         for b in batches:
+            ids = b.column(0).to_pylist()
             sets = [shingle_set(t, size) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([set_id(x) if len(x) else None for x in sets], pa.int64())],
-                names=["doc_id", "n_shingles", "sid"])
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long")
+            for lo in range(0, len(sets), 500):
+                own = sets[lo:lo + 500]
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": pa.array(ids[lo:lo + 500], pa.int64()),
+                    "n_shingles": pa.array([len(x) for x in own], pa.int64()),
+                    "sid": pa.array([set_id(x) if len(x) else None for x in own], pa.int64()),
+                    "sketch": pa.array([sketch(x) if len(x) else None for x in own], pa.binary())})
+        _trim_words(WORDS_LEFT)
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, sketch binary")
+
+
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``pairs(x, y)``, of set ids, that sizes and sketches leave."""
+    def keep(batches):
+        for b in batches:
+            ok = [may_be_similar(p.as_py(), q.as_py()) for p, q in zip(b.column(2), b.column(3), strict=True)]
+            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    side = lambda c: nodes.select(*[F.col(k).alias(f"{k}_{c}" if k != "sid" else c) for k in ("sid", "n", "sketch")])
+    return (pairs.join(side("x"), "x").join(side("y"), "y")
+            .where(F.least("n_x", "n_y") * DEN >= F.greatest("n_x", "n_y") * NUM)
+            .select("x", "y", "sketch_x", "sketch_y").mapInArrow(keep, "x long, y long"))
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """The rows of ``pairs(x, y)`` whose whole sets are similar. ``nodes(sid,
-    node)`` names a document of each set."""
-    asked = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct().join(nodes, "sid")
+    node, n, sketch)`` names a document of each set."""
+    pairs = written(_near(pairs, nodes), "near")
+    # written, so that its true size decides how the texts are met
+    asked = written(pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).distinct().join(
+        nodes.select("sid", "node"), "sid"), "asked")
 
     def features(batches):
         for b in batches:
             sets = [shingle_set(t, size) for t in b.column(1).to_pylist()]
             right = [len(x) > 0 and set_id(x) == s for x, s in zip(sets, b.column(0).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).filter(pa.array(right)),
+                [b.column(0).filter(pa.array(right, pa.bool_())),
                  pa.array([x.tobytes() for x, ok in zip(sets, right, strict=True) if ok], pa.binary())],
                 names=["sid", "features"])
+        _trim_words(WORDS_LEFT)
 
     sets = (docs.join(asked.select(F.col("node").alias("doc_id"), "sid"), "doc_id").select("sid", "text")
             .mapInArrow(features, "sid long, features binary").dropDuplicates(["sid"]))
@@ -336,11 +437,70 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) ->
             .select("x", "y", "fx", "fy").mapInArrow(verify, "x long, y long"))
 
 
-def _needed(hot: DataFrame) -> DataFrame:
-    """Hot rows (sig, sid, n) of the sets that can't do without them."""
-    hot = hot.distinct()
-    short = hot.groupBy("sid", "spare").agg(F.count(F.lit(1)).alias("had")).where("had > spare").select("sid").distinct()
-    return hot.join(short, "sid").select("sig", "sid", "n").distinct()
+def _needed(hot: DataFrame, spare: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(sig, sid, n) of the hot rows (sig, key, which) that sets can't do
+    without; ``spare`` has (key, which, spare)."""
+    rows = hot.distinct()
+    had = rows.groupBy("key", "which").agg(F.count(F.lit(1)).alias("had"))
+    least = spare.groupBy("key", "which").agg(F.min("spare").alias("spare"))
+    short = had.join(least, ["key", "which"]).where("had > spare").select("key").distinct()
+    return rows.join(short, "key").join(nodes.select("key", "sid", "n"), "key").select("sig", "sid", "n").distinct()
+
+
+def _compare(units: pa.Table) -> pa.Table:
+    """Pairs of one unit, a block with itself or with another, that have
+    different labels and whose sizes and sketches leave them similar."""
+    blocks = []
+    for i in range(units.num_rows):
+        sid, label = (np.frombuffer(units.column(c)[i].as_buffer(), dtype=np.int64) for c in ("sids", "labels"))
+        counts = [_counts(v) for v in units.column("sketches")[i].as_py()]
+        blocks.append({cells: (sid[own], label[own], np.stack([counts[k] for k in own]).astype(np.int32))
+                       for cells in {len(c) for c in counts}
+                       for own in [np.array([k for k, c in enumerate(counts) if len(c) == cells])]})
+    out = []
+    for sid_a, label_a, a in blocks[0].values():
+        for sid_b, label_b, b in blocks[-1].values():
+            cells = min(a.shape[1], b.shape[1])
+            fold = lambda m: m.reshape(len(m), -1, cells).sum(1)  # noqa: B023, E731
+            fa, fb = fold(a), fold(b)
+            na, nb = fa.sum(1), fb.sum(1)
+            for k in range(len(fa)):
+                rows = np.flatnonzero((label_b != label_a[k]) & (np.minimum(na[k], nb).astype(np.int64) * DEN
+                                                                 >= np.maximum(na[k], nb).astype(np.int64) * NUM))
+                both = np.minimum(fa[k], fb[rows]).sum(1).astype(np.int64)
+                rows = rows[DEN * both >= NUM * (na[k] + nb[rows] - both)]
+                out += [(min(x, y), max(x, y)) for x, y in zip([int(sid_a[k])] * len(rows), sid_b[rows].tolist(), strict=True)]
+    x, y = zip(*sorted(set(out)), strict=True) if out else ((), ())
+    return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+
+
+def _between(apart: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Candidates between the components of ``apart(sig, sid, n, label)``.
+
+    Sets that share frequent signatures, directly or by others, are a family.
+    Its members are dealt into blocks of bounded size, which are compared two
+    at a time by sketch; only what the sketches leave becomes a row."""
+    least = apart.groupBy("sig").agg(F.min("sid").alias("a"))
+    family = connected_components(apart.join(least, "sig").select("a", F.col("sid").alias("b")))
+    of = apart.select("sid", "label").distinct().join(
+        family.select(F.col("node").alias("sid"), F.col("label").alias("family")), "sid")
+    sizes = of.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    members = of.join(sizes, "family").join(nodes.select("sid", "sketch"), "sid").withColumn(
+        "block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+
+    def packed(table: pa.Table) -> pa.Table:
+        column = lambda c: table.column(c).combine_chunks()
+        return pa.table({
+            "family": column("family")[:1], "block": column("block")[:1], "blocks": column("blocks")[:1],
+            "sids": pa.array([column("sid").to_numpy().tobytes()], pa.binary()),
+            "labels": pa.array([column("label").to_numpy().tobytes()], pa.binary()),
+            "sketches": pa.array([column("sketch").to_pylist()], pa.list_(pa.binary()))})
+
+    blocks = members.groupBy("family", "block").applyInArrow(
+        packed, "family long, block int, blocks int, sids binary, labels binary, sketches array<binary>")
+    units = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "sids", "labels", "sketches")
+    return units.groupBy("family", "lo", "hi").applyInArrow(_compare, "x long, y long")
 
 
 def classes(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -348,36 +508,38 @@ def classes(docs: DataFrame, size: int = SIZE) -> DataFrame:
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(set_table(docs, size), "sets")
     nodes = written(sets.where("sid IS NOT NULL").groupBy("sid").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n")), "nodes")
+        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
+        F.first("sketch").alias("sketch")).withColumn(
+            "key", set_key_column(F.col("sid"))), "nodes")
     total = nodes.agg(F.sum("n")).first()[0] or 0
     buckets = max(12, -(-int(total) // BUCKET_ENTRIES))
     found = written(_signature_blocks(docs.select("text"), buckets, size).groupBy("bucket")
-                    .applyInArrow(_candidates, "hot boolean, x long, y long, n int, spare int"), "candidates")
-    names = nodes.select("sid", "node")
+                    .applyInArrow(_candidates, "hot boolean, x long, y long, which int"), "candidates")
 
-    hot = written(_needed(found.where("hot").select(
-        F.col("x").alias("sig"), F.col("y").alias("sid"), "n", "spare")), "frequent")
+    hot = written(_needed(
+        found.where("hot").select(F.col("x").alias("sig"), F.col("y").alias("key"), "which"),
+        found.where("hot IS NULL").select(F.col("x").alias("spare"), F.col("y").alias("key"), "which"), nodes), "frequent")
     least = hot.groupBy("sig").agg(F.min("sid").alias("x"))
     first = hot.join(least, "sig").where("x < sid").select("x", F.col("sid").alias("y"))
-    pairs = found.where("NOT hot").select("x", "y").union(first).distinct()
-    links = written(_similar(pairs, names, docs, size), "similar")
+    keys = found.where("NOT hot").select(F.col("x").alias("kx"), F.col("y").alias("ky")).distinct()
+    named = lambda k, c: nodes.select(F.col("key").alias(k), F.col("sid").alias(c))
+    pairs = keys.join(named("kx", "x"), "kx").join(named("ky", "y"), "ky").select(
+        F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    links = written(_similar(pairs.union(first).distinct(), nodes, docs, size), "similar")
 
     # members of a frequent signature that are still apart
     label = connected_components(links.toDF("a", "b")).select(F.col("node").alias("sid"), "label")
     apart = hot.join(label, "sid", "left").select("sig", "sid", "n", F.coalesce("label", "sid").alias("label"))
     mixed = apart.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("sig")
     apart = written(apart.join(mixed, "sig"), "apart")
-    other = apart.select("sig", *[F.col(c).alias(f"{c}2") for c in ("sid", "n", "label")])
-    rest = (apart.join(other, "sig").where((F.col("label") < F.col("label2"))
-                                           & (F.least("n", "n2") * DEN >= F.greatest("n", "n2") * NUM))
-            .select(F.least("sid", "sid2").alias("x"), F.greatest("sid", "sid2").alias("y")).distinct())
-    links = links.union(_similar(rest, names, docs, size))
-
-    named = (links.join(names.select(F.col("sid").alias("x"), F.col("node").alias("a")), "x")
-             .join(names.select(F.col("sid").alias("y"), F.col("node").alias("b")), "y").select("a", "b"))
-    label = connected_components(named)
+    links = links.union(_similar(_between(apart, nodes), nodes, docs, size))
+
+    names = nodes.select("sid", "node")
+    by_doc = (links.join(names.select(F.col("sid").alias("x"), F.col("node").alias("a")), "x")
+              .join(names.select(F.col("sid").alias("y"), F.col("node").alias("b")), "y").select("a", "b"))
+    label = connected_components(by_doc)
     of_set = names.join(label, "node", "left").select("sid", F.coalesce("label", "node").alias("component_id"))
-    return (sets.join(of_set, "sid", "left")
+    return (sets.select("doc_id", "n_shingles", "sid").join(of_set, "sid", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
