@@ -291,3 +291,28 @@ def test_vacuum_keeps_gens_unlisted_within_the_retention(spark, table, events):
     later = vacuum(t, retention_s=7 * 24 * 3600, now=_time.time() + 8 * 24 * 3600)
     assert len(later["gens"]) == 2                     # unlisted long enough: removed
     assert t.snapshot().count() == expected
+
+
+def test_tiers_are_merged_whole_and_once():
+    from tidelog.plans.compact import gens_to_merge
+    sizes = {f"s{i}": 10 for i in range(3)} | {f"m{i}": 500 for i in range(4)} | {"l": 10_000}
+    sizes["m3"] = 300                                      # another tier than 500
+    assert gens_to_merge(sizes, fan_in=4, base_bytes=100) == []
+    assert gens_to_merge(sizes | {"s3": 90}, fan_in=4, base_bytes=100) == ["s0", "s1", "s2", "s3"]
+    assert gens_to_merge({f"m{i}": 300 for i in range(4)}, fan_in=4, base_bytes=100) == [f"m{i}" for i in range(4)]
+
+
+def test_upkeep_keeps_the_state_constant(spark, tmp_root, events):
+    from tidelog.plans import fs
+    from tidelog.streaming.apps import compaction_app
+    t = LogicalTable.create(spark, f"{tmp_root}/upkeep", EVENTS_SPEC)
+    some = events.limit(40)
+    seen = []
+    for i in range(5):
+        ingest_batch(t, _rows(t, some), f"k{i}")
+        compaction_app(spark, t.root, merge=True, merge_fan_in=3, retention_s=0, forget=True)
+        st = t.state()
+        seen.append((len(st.folded), len(st.gens), len(fs.list_names(spark, f"{t.root}/state"))))
+    assert max(s[0] for s in seen) == 0
+    assert max(s[1] for s in seen) <= 3 and max(s[2] for s in seen) <= 4
+    assert t.snapshot().count() == 5 * some.count()
