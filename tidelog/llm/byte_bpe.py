@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import give_back, text_batches
+
 LONG = 192              # bytes
 MEMO = 400_000          # entries of a worker's memo
 CHUNK = 20_000          # pieces of one query
@@ -255,7 +257,9 @@ def _mapped(df: DataFrame, id_col: str, col: str, out: str, f: Callable, empty,
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(own.start, own.stop - own.start), pa.array(f(values[own]), pa.binary())],
                     names=["id", out])
+        give_back()
 
+    text_batches(df.sparkSession)
     return (df.select(F.col(id_col).alias("id"), F.col(col).alias("v"))
             .mapInArrow(run, f"id {kind}, {out} binary").withColumnRenamed("id", id_col))
 
@@ -273,6 +277,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(id, ids, raw): both directions in one pass over the texts."""
+    text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -284,6 +289,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(own.start, own.stop - own.start), pa.array([x[0] for x in both], pa.binary()),
                      pa.array([x[1] for x in both], pa.binary())], names=["id", "ids", "raw"])
+        give_back()
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .mapInArrow(run, f"id {kind}, ids binary, raw binary").withColumnRenamed("id", id_col))

@@ -19,16 +19,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+TEXTS_PER_BATCH = 1000
 
 
-def free_name(taken: list[str], name: str) -> str:
-    """``name``, with underscores in front until no column of ``taken`` has it."""
-    low = {c.lower() for c in taken}
-    while name.lower() in low:
-        name = "_" + name
-    return name
+def text_batches(spark: SparkSession) -> None:
+    """Batches of texts for Python of at most ``TEXTS_PER_BATCH`` rows: the
+    engine's default of ten times as many is meant for short rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > TEXTS_PER_BATCH:
+        spark.conf.set(name, str(TEXTS_PER_BATCH))
+
+
+def give_back() -> None:
+    """At the end of a task: memory that a reused worker holds but doesn't
+    need goes back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):       # another C library
+        pass
 
 
 def code_points(c):

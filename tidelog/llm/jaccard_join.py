@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import written
+from tidelog.llm.common import give_back, text_batches, written
 from tidelog.llm.components import connected_components
 
 SIZE = 5
@@ -53,7 +53,7 @@ N2, K2 = 2, 1
 WIDEN = 1.2               # first-level parts over the least number
 FREQUENT = 16             # members beyond which a signature is frequent
 BUCKET_ENTRIES = 500_000  # signatures of a bucket, on average
-FLUSH = 2_000_000         # signatures a task holds before it writes blocks
+FLUSH = 1_500_000         # signatures a task holds before it writes blocks
 BLOCK = 256               # sets of a block of a family
 GROUP = 300_000           # features whose signatures are made at a time
 WORDS_KEPT = 300_000      # word hashes a worker holds in a task
@@ -312,6 +312,7 @@ def _signature_blocks(docs: DataFrame, buckets: int, size: int) -> DataFrame:
         if made[0]:
             yield _blocks(*map(np.concatenate, made), buckets)
         _trim_words(WORDS_LEFT)
+        give_back()
 
     return docs.mapInArrow(run, _BLOCK_DDL)
 
@@ -386,6 +387,7 @@ def set_table(docs: DataFrame, size: int = SIZE) -> DataFrame:
                     "sid": pa.array([set_id(x) if len(x) else None for x in own], pa.int64()),
                     "sketch": pa.array([sketch(x) if len(x) else None for x in own], pa.binary())})
         _trim_words(WORDS_LEFT)
+        give_back()
     return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long, sketch binary")
 
 
@@ -419,6 +421,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) ->
                  pa.array([x.tobytes() for x, ok in zip(sets, right, strict=True) if ok], pa.binary())],
                 names=["sid", "features"])
         _trim_words(WORDS_LEFT)
+        give_back()
 
     sets = (docs.join(asked.select(F.col("node").alias("doc_id"), "sid"), "doc_id").select("sid", "text")
             .mapInArrow(features, "sid long, features binary").dropDuplicates(["sid"]))
@@ -505,6 +508,7 @@ def _between(apart: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of ``docs(doc_id, text)``."""
+    text_batches(docs.sparkSession)
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(set_table(docs, size), "sets")
     nodes = written(sets.where("sid IS NOT NULL").groupBy("sid").agg(

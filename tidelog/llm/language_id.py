@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import text_batches
+
 DIMS = 4096
 PER_LANGUAGE = 500
 UNKNOWN = "und"
@@ -158,6 +160,7 @@ def held_out(id_col: str) -> Column:
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         per_language: int = PER_LANGUAGE) -> Model:
     """Fit on about ``per_language`` rows of each language of ``labelled``."""
+    text_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
                            ).where("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
     # one row per language
@@ -181,6 +184,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` in place of any such columns."""
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

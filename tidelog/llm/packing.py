@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import written
+from tidelog.llm.common import give_back, text_batches, written
 
 SEQUENCE = 4096
 END_ID = 1
@@ -140,6 +140,7 @@ def _batches(texts: list, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
 def tokenised_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
     """One row per piece, with the task that made it and its rank among that
     task's pieces of its length."""
+    text_batches(docs.sparkSession)
     end = np.asarray([END_ID], dtype="<u4").tobytes()
 
     def run(batches):
@@ -167,6 +168,7 @@ def tokenised_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> Da
                     pa.array(out["r"], pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
         tok.trim(WORDS_LEFT)
+        give_back()
 
     return docs.mapInArrow(run, _PIECES)
 
@@ -298,7 +300,8 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, cells: int = GRID
     from pyspark.sql import Window
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    placed = pieces.join(starts, ["length", "task"]).select(
+    # the counts grow with the tasks, so they are not left to be broadcast
+    placed = pieces.join(starts.hint("merge"), ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("rank")).alias("rank"))
 
     def place(batches):
