@@ -288,6 +288,27 @@ def test_license_scan(spark):
     assert [got[i] for i in (4, 5, 6, 7)] == [[]] * 4
 
 
+def test_license_texts_and_wrapped_notices(spark):
+    from tidelog.llm.licenses import TEMPLATES, TEXTS, scan
+    full = dict(TEXTS)
+    prose = "some words of prose\nthat say nothing here"
+    wrap = lambda t, n: [" ".join(t.split()[i:i + n]) for i in range(0, len(t.split()), n)]
+    held = lambda lines, mark="# ": "\n".join([prose, *[mark + x for x in lines], "", "def f(): pass", prose])
+    bsd = ["Use of this source code is governed by a BSD-style", "license that can be found in the LICENSE file."]
+    mit, isc = full["MIT"].strip().split("\n"), wrap(TEMPLATES["ISC"], 12)
+    gpl = next(t for n, t in TEXTS if n == "GPL-3.0" and len(t) > 10_000).strip().split("\n")
+    texts = [held(bsd, "// "), held(isc), held(mit, " * "), held(gpl, ""), held([*mit, *isc, *bsd]),
+             "\n".join([prose, TEMPLATES["MIT"], prose]), held(["Use of this source code", "is free to all"])]
+    got = {r.doc_id: [(m.line, m.last, m.license) for m in r.matches if m.line] for r in scan(_docs(spark, texts)).collect()}
+    assert got[0] == [(3, 4, "BSD-3-Clause")]
+    assert got[1] == [(3, 2 + len(isc), "ISC")]
+    assert got[2] == [(3, 2 + len(mit), "MIT")]
+    assert (3, 2 + len(gpl), "GPL-3.0") in got[3] and {x[2] for x in got[3]} == {"GPL-3.0"}
+    a = 2 + len(mit)
+    assert got[4] == [(3, a, "MIT"), (a + 1, a + len(isc), "ISC"), (a + len(isc) + 1, a + len(isc) + 2, "BSD-3-Clause")]
+    assert got[5] == [(3, 3, "MIT")] and got[6] == []
+
+
 # -- 8: exact top-k -----------------------------------------------------------
 
 def test_topk_equals_brute_force(spark):

@@ -1,27 +1,39 @@
 """Licence scans: text compared with templates by Dice over word bigrams.
 
 A text is normalised to lower-case words of letters, digits and dots inside
-numbers. Its units are its lines and, if it has several, the whole text. A
-unit's set of word bigrams is compared with each template's; the Dice
-coefficient is twice the number of shared bigrams over the sum of both sizes.
-It can only reach the threshold t if the sizes' ratio is at least t / (2 - t),
-so a unit's number of words rules out most templates, and most units, before
-any bigram is built. The same bound with the words' least length rules out
-long units by their number of characters alone.
+numbers. Its units are its lines, the whole text if it has several, and runs of
+consecutive lines. A unit's set of word bigrams is compared with each
+template's; the Dice coefficient is twice the number of shared bigrams over the
+sum of both sizes. It can only reach the threshold t if the sizes' ratio is at
+least t / (2 - t), and then the unit holds that share of the template's bigrams
+too. So a document is compared only with templates of which it holds so many
+bigrams. Of a long template a part of the bigrams is looked for first: as many
+as a match can't miss, and some more.
+
+Templates are short notices, and the texts and headers in ``licence_texts``. A
+run may have as many words as the template over that ratio. Every run of such a
+length is looked at that begins in a line with a bigram of the template (others
+score less than the run without that line); of the runs from one line the best
+counts, and of equal ones the longest. A run is a match if it scores more than each of its lines for the same
+template, and if no better run overlaps it whose template's size is within that
+ratio: so the header inside a licence's text is a match of its own, and a
+run of GPL text is not one of LGPL text too.
 
 Built-in column functions only, row by row, without a shuffle but for the sum
 over the units of a document; the templates are a parameter, and part of the
 plan as literals.
 
 Defined cases: a null or empty text has no match; a unit of one word has no
-bigram and no match; of several matches of a unit the best score counts, ties
-to the first name; repeated rows are scanned each by itself.
+bigram and no match; of several matches of a line or the whole text the best
+score counts, ties to the first name; a run of all words of a text is the whole
+text, and no unit of its own; repeated rows are scanned each by itself.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +54,9 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# Licence texts and headers: (identifier, text)
+TEXTS = [(p.name.split("--")[0], p.read_text()) for p in sorted(Path(__file__).with_name("licence_texts").glob("*.txt"))]
+
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 
@@ -63,40 +78,136 @@ def _bigrams(words: Column) -> Column:
                                         lambda w, i: F.concat_ws(" ", words[i], w)))
 
 
-def best_match(unit: Column, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> Column:
-    """struct(score, license) of a unit's best template, null below the threshold."""
-    grams = {n: template_bigrams(t) for n, t in sorted(templates.items())}
+def _template(number: int, name: str, text: str, threshold: float) -> tuple[Column, list[str]]:
+    """A template as a literal struct, and its bigrams to look for first."""
+    grams = template_bigrams(text)
     ratio = threshold / (2 - threshold)
-    low = min(math.ceil(ratio * len(g)) for g in grams.values())
-    high = max(math.floor(len(g) / ratio) for g in grams.values())
-
-    def against(own: Column) -> Column:
-        scored = []
-        for name, g in grams.items():
-            in_size = F.size(own).between(math.ceil(ratio * len(g)), math.floor(len(g) / ratio))
-            dice = 2.0 * F.size(F.array_intersect(own, F.array(*map(F.lit, g)))) / (F.size(own) + len(g))
-            scored.append(F.when(in_size & (dice >= threshold), F.struct((-dice).alias("score"), F.lit(name).alias("license"))))
-        least = F.array_min(F.filter(F.array(*scored), lambda s: s.isNotNull()))
-        return _let(least, lambda s: F.when(s.isNotNull(), F.struct((-s["score"]).alias("score"), s["license"].alias("license"))))
-
-    # n bigrams need n + 1 words at least; repeated ones may need more words
-    return F.when(F.length(unit) >= 2 * low + 1, _let(
-        _words(unit), lambda w: F.when(F.size(w) > low, _let(_bigrams(w), lambda own: F.when(
-            F.size(own).between(low, high), against(own))))))
+    low, high = math.ceil(ratio * len(grams)), math.floor(len(grams) / ratio)
+    # a match misses len(grams) - low bigrams at most; long ones are rarer
+    first = sorted(grams, key=lambda g: (-len(g), g))[:max(60, len(grams) - low + len(grams) // 20)]
+    words = math.floor(len(re.findall(WORD, text.lower())) / ratio)
+    listed = lambda g: F.split(F.lit("\n".join(g)), "\n")
+    return F.struct(
+        F.lit(number).alias("number"), F.lit(name).alias("license"), listed(grams).alias("grams"),
+        listed(first).alias("first"), F.lit(len(first) - (len(grams) - low)).alias("need"), F.lit(low).alias("low"),
+        F.lit(high).alias("high"), F.lit(words).alias("words")), first
+
+
+def _scores(own: Column, candidates: Column, threshold: float) -> Column:
+    """array of struct(score, license, number), scores negative, of the
+    templates that a unit's bigrams match."""
+    near = F.filter(candidates, lambda t: F.size(own).between(t["low"], t["high"]))
+    scored = F.transform(near, lambda t: F.struct(
+        (-2.0 * F.size(F.array_intersect(own, t["grams"])) / (F.size(own) + F.size(t["grams"]))).alias("score"),
+        t["license"].alias("license"), t["number"].alias("number")))
+    return F.filter(scored, lambda s: s["score"] <= -threshold)
+
+
+def _tokens(words: Column, ends: Column) -> Column:
+    """struct(at, was, gram, end) of each word but the first with the one
+    before, in text order: the place of the same bigram's last occurrence (0
+    if there is none), and the number of the line that ends with the word."""
+    listed = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.struct(
+        F.concat_ws(" ", words[i], w).alias("gram"), (i + 1).alias("at")))
+    before = lambda s: F.transform(s, lambda x, i: F.struct(
+        x["at"].alias("at"), F.when((i > 0) & (F.get(s, i - 1)["gram"] == x["gram"]), F.get(s, i - 1)["at"])
+        .otherwise(0).alias("was"), x["gram"].alias("gram")))
+    # the first line that ends there; blank ones after it end there too
+    return _let(F.array_sort(_let(F.array_sort(listed), before)), lambda ts: F.transform(ts, lambda x: F.struct(
+        x["at"].alias("at"), x["was"].alias("was"), x["gram"].alias("gram"),
+        (F.array_position(ends, x["at"] + 1).cast("int") - 1).alias("end"))))
+
+
+def _runs(tokens: Column, starts: Column, ends: Column, lines: Column, t: Column, threshold: float) -> Column:
+    """struct(score, license, line, last, from, to, number, size) of the best run
+    of the template ``t`` from each line; ``lines`` has the lines' scores."""
+    marked = F.transform(tokens, lambda x: F.struct(
+        x["at"].alias("at"), x["was"].alias("was"), x["end"].alias("end"),
+        F.array_contains(t["grams"], x["gram"]).alias("hit")))
+
+    def best(toks: Column, i: Column) -> Column:
+        a = starts[i]
+        none = F.struct(F.lit(0).alias("own"), F.lit(0).alias("both"), F.lit(0.0).alias("score"), F.lit(-1).alias("end"))
+
+        def step(s: Column, x: Column) -> Column:
+            new = F.when(x["was"] <= a, 1).otherwise(0)
+            counted = F.struct((s["own"] + new).alias("own"),
+                               (s["both"] + F.when(x["hit"], new).otherwise(0)).alias("both"))
+            return _let(counted, lambda c: _let(F.when(
+                (x["end"] > i) & c["own"].between(t["low"], t["high"]),
+                2.0 * c["both"] / (c["own"] + F.size(t["grams"]))).otherwise(0.0), lambda d: F.struct(
+                    c["own"].alias("own"), c["both"].alias("both"), F.greatest(d, s["score"]).alias("score"),
+                    F.when(d >= s["score"], x["end"]).otherwise(s["end"]).alias("end"))))
+
+        return F.aggregate(F.slice(toks, a + 1, t["words"] - 1), none, step, lambda s: F.struct(
+            (-s["score"]).alias("score"), t["license"].alias("license"), i.alias("line"), s["end"].alias("last"),
+            a.alias("from"), F.coalesce(F.get(ends, s["end"]), F.lit(0)).alias("to"), t["number"].alias("number"),
+            F.size(t["grams"]).alias("size")))
+
+    def found(toks: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(starts) - 1), lambda i: (starts[i] < ends[i]) & F.exists(
+            F.slice(toks, starts[i] + 1, ends[i] - starts[i]), lambda x: x["hit"]))
+        whole = lambda r: (r["from"] == 0) & (r["to"] == F.size(tokens) + 1)
+        beaten = lambda r: F.exists(F.slice(lines, r["line"] + 1, r["last"] - r["line"] + 1), lambda own: F.exists(
+            own, lambda s: (s["number"] == t["number"]) & (s["score"] <= r["score"])))
+        return F.filter(F.transform(begins, lambda i: best(toks, i)),
+                        lambda r: (r["score"] <= -threshold) & ~whole(r) & ~beaten(r))
+
+    return _let(marked, found)
+
+
+def _chosen(runs: Column, threshold: float) -> Column:
+    """``runs`` without those that a better one stands in the way of."""
+    ratio = threshold / (2 - threshold)
+    over = lambda a, b: (a["from"] < b["to"]) & (b["from"] < a["to"]) & (
+        F.least(a["size"], b["size"]) >= ratio * F.greatest(a["size"], b["size"]))
+    return _let(F.array_sort(runs), lambda rs: F.aggregate(rs, F.slice(rs, 1, 0), lambda kept, r: F.when(
+        F.exists(kept, lambda k: over(k, r)), kept).otherwise(F.concat(kept, F.array(r)))))
+
+
+def _matches(ws: Column, words: Column, candidates: Column, threshold: float) -> Column:
+    """Matches of the text with the lines of words ``ws``, together ``words``."""
+    scores = lambda w: _let(_bigrams(w), lambda own: _scores(own, candidates, threshold))
+    ends = F.transform(F.sequence(F.lit(1), F.size(ws)), lambda i: F.aggregate(
+        F.slice(ws, 1, i), F.lit(0), lambda n, w: n + F.size(w)))
+    match = lambda line, last, s: F.struct(
+        line.alias("line"), last.alias("last"), (-s["score"]).alias("score"), s["license"].alias("license"))
+    best = lambda own: F.array_min(F.transform(own, lambda s: F.struct(s["score"], s["license"])))
+
+    def all_units(starts: Column, ends: Column, lines: Column) -> Column:
+        of_lines = F.filter(F.transform(lines, lambda own, i: F.when(F.size(own) > 0, _let(
+            best(own), lambda s: match(i + 1, i + 1, s)))), lambda m: m.isNotNull())
+        of_all = _let(scores(words), lambda own: F.when(F.size(own) > 0, F.array(_let(
+            best(own), lambda s: match(F.lit(0), F.lit(0), s)))).otherwise(F.slice(of_lines, 1, 0)))
+        runs = _let(_tokens(words, ends), lambda toks: F.flatten(F.transform(
+            candidates, lambda t: _runs(toks, starts, ends, lines, t, threshold))))
+        of_runs = F.transform(_chosen(runs, threshold), lambda r: match(r["line"] + 1, r["last"] + 1, r))
+        return F.when(F.size(ws) > 1, F.array_sort(F.concat(of_all, of_lines, of_runs))).otherwise(of_lines)
+
+    return _let(ends, lambda e: _let(F.transform(e, lambda n, i: n - F.size(ws[i])), lambda a: _let(
+        F.transform(ws, scores), lambda ls: all_units(a, e, ls))))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, matches) per row: array of (line, score, license) in text order;
-    line 0 is the whole text, lines count from 1."""
-    lines = F.split(F.col(text_col), "\n")
-    one = lambda unit, i: F.struct(i.alias("line"), best_match(unit, templates, threshold).alias("m"))
-    units = F.when(F.size(lines) > 1, F.concat(F.array(F.col(text_col)), lines)).otherwise(lines)
-    first = F.when(F.size(lines) > 1, F.lit(0)).otherwise(F.lit(1))
-    found = F.filter(F.transform(units, lambda u, i: one(u, i + first)), lambda x: x["m"].isNotNull())
-    return docs.select(F.col(id_col), F.coalesce(F.transform(found, lambda x: F.struct(
-        x["line"].alias("line"), x["m"]["score"].alias("score"), x["m"]["license"].alias("license"))),
-        F.array().cast("array<struct<line:int,score:double,license:string>>")).alias("matches"))
+         id_col: str = "doc_id", text_col: str = "text", texts: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(id, matches) per row: array of (line, last, score, license) in text
+    order, from the first to the last line of the unit; lines count from 1,
+    and 0 is the whole text. ``texts`` are more templates, ``TEXTS`` if None."""
+    named = sorted([*templates.items(), *(TEXTS if texts is None else texts)])
+    built = [_template(i, n, t, threshold) for i, (n, t) in enumerate(named)]
+    known = F.array(*[t for t, _ in built])
+    looked_for = sorted({g for _, first in built for g in first})
+
+    def matches(ws: Column, words: Column) -> Column:
+        hits = F.filter(_bigrams(words), lambda g: g.isin(looked_for))
+        candidates = _let(hits, lambda h: F.filter(known, lambda t: (F.size(h) >= t["need"]) & (
+            F.size(F.array_intersect(h, t["first"])) >= t["need"])))
+        return _let(candidates, lambda c: F.when(F.size(c) > 0, _matches(ws, words, c, threshold)))
+
+    lines = F.transform(F.split(F.col(text_col), "\n"), _words)
+    return docs.select(F.col(id_col), F.coalesce(
+        F.when(F.col(text_col).isNotNull(), _let(lines, lambda ws: _let(F.flatten(ws), lambda w: matches(ws, w)))),
+        F.array().cast("array<struct<line:int,last:int,score:double,license:string>>")).alias("matches"))
 
 
 def op7_license_scan(spark, sf_dir: str) -> DataFrame:
