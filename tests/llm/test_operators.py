@@ -250,6 +250,33 @@ def test_pseudonyms_are_one_to_one(spark, kind, values):
     assert sum(a != b for a, b in zip(got, other, strict=True)) > 0.9 * len(got)
 
 
+def test_pseudonyms_of_forms_the_fixture_does_not_plant(spark):
+    from tidelog.llm.pseudonyms import pseudonym, pseudonymise
+    texts = ["+15551234567", "(555) 123-4567", "555-123-4567", "+1-555-123-4567", "+44 20 7946 0958", "1.555.123.4567",
+             "020 7946 0958", "12/25/2023", "1/2/2020", "2020/01/02", "2020-1-2", "5/25/2021", "31.5.2021", "12.25.2023",
+             "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "AT61 1904 3002 3457 3201"]
+    left = ["DE88 3704 0044 0532 0130 00", "30/2/2020", "13/13/2020", "2020/13/01", "2/30/2020", "1.2.3", "155-123-4567", None]
+    got = _by_id(pseudonymise(_docs(spark, [f"see {x} EUR" for x in texts] + left)), "text")
+    shape = lambda t: re.sub("[A-Z]", "A", re.sub("[0-9]", "0", t))
+    for i, x in enumerate(texts):
+        new = re.fullmatch("see (.*) EUR", got[i])[1]
+        assert new != x and shape(new) == shape(x), x
+        if x[:2].isalpha():
+            c = new.replace(" ", "")
+            assert new[:2] == x[:2] and int("".join(str(int(ch, 36)) for ch in c[4:] + c[:4])) % 97 == 1
+    assert got[0][4:6] == "+1" and got[4][4:7] == "+44" and got[6][4] == "0" and got[1][5] in "23456789"
+    assert int(got[7][7:9]) > 12 and 1 <= int(got[7][4:6]) <= 12 and "0" not in got[8].split()[1].split("/")[:2]
+    assert re.sub("[^0-9]", "", got[0]) == re.sub("[^0-9]", "", got[3])
+    assert [got[len(texts) + i] for i in range(len(left))] == left
+    for kind, values in {
+            "slash_date": [f"{a}/{b}/2020" for a in range(1, 13) for b in range(1, 29)] + [f"{m:02d}/{d}/1999" for m in range(1, 13) for d in (13, 20, 28)],
+            "phone": [f"{200 + i}-555-{i:04d}" for i in range(700)] + [f"+4420{i:08d}" for i in range(300)],
+            "iban": [f"DE{98 - int(f'{i:018d}131400') % 97:02d}{i:018d}" for i in range(300)]}.items():
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        new = [r[0] for r in df.select(pseudonym(F.col("v"), kind)).collect()]
+        assert len(set(new)) == len(set(values)) and sum(a != b for a, b in zip(new, values, strict=True)) > 0.9 * len(values)
+
+
 # -- 6: byte-level BPE --------------------------------------------------------
 
 def test_byte_bpe_equals_tiktoken(spark):
