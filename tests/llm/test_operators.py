@@ -105,6 +105,13 @@ def test_components_of_chains_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_convergence_check_beyond_a_long(spark):
+    from tidelog.llm.components import _total
+    values = [2 ** 63 - 1, 2 ** 63 - 2, 2 ** 62, -5]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert int(df.agg(_total(F.col("v"))).first()[0]) == sum(values) > 2 ** 63
+
+
 # -- 2: chat formatting -------------------------------------------------------
 
 def test_preferences(spark):

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import written
 
 
+def _total(values: Column) -> Column:
+    """Sum of longs, whose own sum a long may not hold."""
+    return F.sum(values.cast("decimal(28,0)"))
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, label) of every node of ``links(a, b)``: the smallest node it
     reaches. Each round sends every neighbour to the smallest node around, by
@@ -26,7 +31,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(small.union(down.select("a", F.col("m").alias("b"))).distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
+        now = edges.agg(F.count(F.lit(1)), _total(F.xxhash64("a", "b"))).first()
         if now == was:
             break
         was = now
