@@ -211,6 +211,20 @@ def test_order_minhash_of_empty_table_and_shared_ids(spark, tmp_path):
     assert got == sorted([(1, sha("aaaa")), (2, sha("bbba")), (2, sha("abca"))])
 
 
+def test_order_minhash_of_texts_without_blanks(spark):
+    from tidelog.llm.order_minhash import fingerprint, likeness
+    rnd = random.Random(16)
+    make = lambda lo, hi, n: "".join(chr(rnd.randint(lo, hi)) for _ in range(n))
+    rows = []
+    for lo, hi in ((0x4E00, 0x9FA5), (0x3041, 0x3096), (0x20000, 0x2A000), (0x61, 0x7A)):
+        t = make(lo, hi, 400)
+        rows += [(t, t[:300] + make(lo, hi, 100)), (t, t[:200] + "\u3002" + t[201:]), (t, make(lo, hi, 400))]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = [r[0] for r in df.select(likeness(fingerprint(F.col("a")), fingerprint(F.col("b")))).collect()]
+    for i in range(0, len(got), 3):
+        assert 0.2 < got[i] < 1 and 0.7 < got[i + 1] and got[i + 2] < 0.1, got
+
+
 # -- 5: pseudonyms ------------------------------------------------------------
 
 def _luhn(s):

@@ -1,6 +1,8 @@
 """Document fingerprints by Order MinHash, which are sensitive to edits.
 
-A text's k-mers are runs of ``K`` words, each numbered by its occurrence in
+A text's k-mers are runs of ``K`` tokens: words, but of words of more than
+``LONG`` characters, and of runs of letters of scripts written without blanks,
+the overlapping pieces of ``PIECE`` characters (shorter runs whole). Each is numbered by its occurrence in
 the text, so that repetition counts. Every numbered k-mer gets a hash. Each of
 ``POINTS`` order functions ranks the k-mers by the distance of their hash from
 a point on the ring of hashes, upwards, and selects the ``L`` minimal ones;
@@ -14,7 +16,7 @@ of points. A sorted element packs 36 bits of hash and 28 bits of position.
 
 Defined cases: a null text is empty; texts without a word have the same
 fingerprint of zeros; a text of fewer than ``L`` k-mers repeats them; the first
-k-mers are shorter than ``K`` words, so any word makes one; beyond 2**28 words
+k-mers are shorter than ``K`` tokens, so any word makes one; beyond 2**28 words
 positions start again. Rows with a null doc_id have no place in the order and
 are left out; rows that share one are rows of their own with the same next
 document, the one of least first characters among those of the next id.
@@ -30,6 +32,10 @@ from tidelog.llm.common import written
 K = 2
 L = 2
 POINTS = 32
+LONG = 40
+PIECE = 4
+# scripts written without blanks between words
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}\p{IsYi}"
 BITS = 28
 MASK = (1 << BITS) - 1
 PART = 8        # hex digits
@@ -79,12 +85,24 @@ def _parts(kmers: Column) -> Column:
     return _let(F.sort_array(F.concat(_numbered(kmers), marks)), pick)
 
 
+def _tokens(text: Column) -> Column:
+    """Words of a text, with overlapping pieces of those that hold no blanks
+    where other texts have them."""
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    cut = lambda r: F.rlike(r, F.lit(rf"^[{UNSPACED}]|^(?s:.{{{LONG + 1}}})"))
+    pieces = lambda r: _let(F.when(cut(r), F.regexp_extract_all(
+        r, F.lit(rf"(?s)(?=(.{{{PIECE}}})).", ), F.lit(1))).otherwise(F.array()), lambda ps: F.when(
+            F.size(ps) > 0, ps).otherwise(F.array(r)))
+    runs = lambda w: F.regexp_extract_all(w, F.lit(rf"[{UNSPACED}]+|[^{UNSPACED}]+"), F.lit(0))
+    mixed = F.rlike(text, F.lit(rf"[{UNSPACED}]|\S{{{LONG + 1}}}"))
+    return F.when(mixed, F.flatten(F.transform(F.flatten(F.transform(words, runs)), pieces))).otherwise(words)
+
+
 def fingerprint(text: Column) -> Column:
     """Order MinHash of a text as a string of ``POINTS`` parts of 8 hex digits."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
     kmers = lambda ws: F.transform(ws, lambda w, i: F.xxhash64(
         *[F.get(ws, i - k) for k in range(K - 1, 0, -1)], w))
-    return _let(words, lambda ws: F.when(F.size(ws) > 0, _let(kmers(ws), _parts))
+    return _let(_tokens(text), lambda ws: F.when(F.size(ws) > 0, _let(kmers(ws), _parts))
                 .otherwise(F.lit("0" * (PART * POINTS))))
 
 
