@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def oracle():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "labels", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 
@@ -32,4 +32,4 @@ def test_query_equals_sql(spark, oracle, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

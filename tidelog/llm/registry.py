@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidelog.llm import (byte_bpe, jaccard_join, language_id, licenses, line_dedup, order_minhash, packing,
-                         preferences, pseudonyms, topk_search)
+from tidelog.llm import (byte_bpe, filter_audit, jaccard_join, language_id, licenses, line_dedup, order_minhash,
+                         packing, preferences, pseudonyms, source_divergence, source_mix, topk_search)
 
 QUERIES = {
     "op2_preference_format": preferences.op2_preference_format,
@@ -16,6 +16,9 @@ QUERIES = {
     "op10_language_id": language_id.op10_language_id,
     "op9_pattern_packing": packing.op9_pattern_packing,
     "op3_line_windows": line_dedup.op3_line_windows,
+    "op11_source_mix": source_mix.op11_source_mix,
+    "op12_source_divergence": source_divergence.op12_source_divergence,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLES = {
@@ -24,4 +27,6 @@ ORACLES = {
     "op1_partenum_join": jaccard_join.ORACLE,
     "op8_impact_topk": topk_search.ORACLE,
     "op3_line_windows": line_dedup.ORACLE,
+    "op12_source_divergence": source_divergence.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
