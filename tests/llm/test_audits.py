@@ -174,7 +174,7 @@ def test_divergence_equals_brute_force(spark, monkeypatch, small):
 
 def test_stripes_fold_long_texts_in_slices(monkeypatch):
     from tidelog.llm import source_divergence as op
-    raw = " ".join(f"Wörd{i % 40} x{i}y" for i in range(500)).encode()
+    raw = " ".join(f"Wörd{'abcdefgh'[i % 8] * (1 + i % 5)} x{i}y" for i in range(500)).encode()
     whole = op.Stripes()
     whole.add("en", "s", raw)
     monkeypatch.setattr(op, "SLICE", 100)
