@@ -33,6 +33,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +46,8 @@ RANKS = 50
 STRIPE_ENTRIES = 300_000    # entries of a task's stripes before they are spilled
 BLOCK = 256                 # sources in a block
 CHUNK = 512                 # stripes compared at once
-STRIPES_PER_TASK = 20_000
+STRIPES_PER_TASK = 4_000
+ROWS = 20_000               # rows of a batch of stripes
 SLICE = 1 << 22
 
 _LETTERS = bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
@@ -98,31 +100,60 @@ class Stripes:
     def entries(self) -> int:
         return sum(len(c) for by in self.counts.values() for c in by.values())
 
-    def spill(self, rows: int = 5_000) -> Iterator[pa.RecordBatch]:
+    def spill(self) -> Iterator[pa.RecordBatch]:
         """All stripes as rows. A row without a term names the groups there are."""
-        kind = pa.list_(pa.struct([("source", pa.string()), ("count", pa.int64())]))
-        out = lambda r: pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*r, strict=True), (pa.string(), pa.binary(), pa.int64(), kind),
-                                            strict=True)], names=["lang", "term", "docs", "stripe"])
-        held = []
         for lang, by in self.counts.items():
-            held += [(lang, None, 0, [{"source": s, "count": 0}]) for s in by]
-            merged: dict[bytes, list] = defaultdict(list)
-            for source, counts in by.items():
-                for term, n in counts.items():
-                    merged[term].append({"source": source, "count": n})
+            names = pa.array(list(by), pa.string())
+            yield _rows([lang], [None], [0], pa.array([0, len(by)], pa.int32()), names, np.zeros(len(by), dtype=np.int64))
             docs = self.docs[lang]
-            for term, stripe in merged.items():
-                held.append((lang, term, docs[term], stripe))
-                if len(held) >= rows:
-                    yield out(held)
-                    held = []
-        if held:
-            yield out(held)
+            if not docs:
+                continue
+            at = dict(zip(docs, range(len(docs)), strict=True))
+            term = np.concatenate([np.fromiter(map(at.__getitem__, c), np.int64, len(c)) for c in by.values()])
+            count = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in by.values()])
+            source = np.repeat(np.arange(len(by)), [len(c) for c in by.values()])
+            order = np.argsort(term, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(docs)))])
+            whole = _rows([lang] * len(docs), list(docs), np.fromiter(docs.values(), np.int64, len(docs)),
+                          pa.array(ends, pa.int32()), names.take(pa.array(source[order])), count[order])
+            for lo in range(0, len(docs), ROWS):
+                yield whole.slice(lo, ROWS)
         self.docs.clear()
         self.counts.clear()
 
 
+def _rows(lang, term, docs, ends: pa.Array, source: pa.Array, count: np.ndarray) -> pa.RecordBatch:
+    """Stripe rows; stripe i has the entries from ``ends[i]`` to ``ends[i + 1]``."""
+    stripe = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([source, pa.array(count)], ["source", "count"]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(lang, pa.string()), pa.array(term, pa.binary()), pa.array(docs, pa.int64()), stripe],
+        names=["lang", "term", "docs", "stripe"])
+
+
+class _Entries:
+    """The entries of some stripes: row, code of the source, and count of each."""
+
+    def __init__(self, stripe: pa.ListArray):
+        flat = stripe.flatten()
+        coded = flat.field("source").dictionary_encode()
+        self.names = coded.dictionary
+        self.code = coded.indices.to_numpy(zero_copy_only=False)
+        self.count = flat.field("count").to_numpy(zero_copy_only=False)
+        self.row = np.repeat(np.arange(len(stripe)), stripe.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def _in_large_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= ROWS:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 def stripes(docs: DataFrame, entries: int = STRIPE_ENTRIES) -> DataFrame:
     """Spilled stripes of ``docs(text, lang, source)``."""
     text_batches(docs.sparkSession)
@@ -149,33 +180,52 @@ def stripes(docs: DataFrame, entries: int = STRIPE_ENTRIES) -> DataFrame:
 def merged_stripes(docs: DataFrame, min_docs: int = MIN_DOCS, entries: int = STRIPE_ENTRIES) -> DataFrame:
     """One row per kept (lang, term), and one per language without a term that
     names its groups."""
+    def merge(t: pa.Table, last: bool):
+        """Merged rows of the runs of equal keys, and the rows of the last run
+        if it may go on."""
+        lang, term, docs, stripe = (t.column(c).combine_chunks() for c in ("lang", "term", "docs", "stripe"))
+        is_group = pc.is_null(term).to_numpy(zero_copy_only=False)
+        key = pc.fill_null(term, b"")       # no term is empty
+        new = np.ones(len(lang), dtype=bool)
+        new[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(key[1:], key[:-1])).to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(new)
+        rest = None
+        if not last:
+            rest = t.slice(starts[-1])
+            starts, n = starts[:-1], starts[-1]
+        else:
+            n = len(lang)
+        if not len(starts):
+            return None, rest
+        total = np.add.reduceat(docs.to_numpy(zero_copy_only=False)[:n], starts)
+        keep = (total >= min_docs) | is_group[starts]
+        run = np.repeat(np.cumsum(keep) - 1, np.diff(np.append(starts, n)))    # place of a row's run among the kept
+        rows = np.flatnonzero(np.repeat(keep, np.diff(np.append(starts, n))))
+        if not len(rows):
+            return None, rest
+        e = _Entries(stripe.take(pa.array(rows)))
+        place = run[rows][e.row] * len(e.names) + e.code
+        order = np.argsort(place, kind="stable")
+        firsts = np.flatnonzero(np.append(True, np.diff(place[order]) != 0))
+        count = np.add.reduceat(e.count[order], firsts)
+        owner, code = np.divmod(place[order][firsts], len(e.names))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=int(keep.sum())))])
+        at = pa.array(starts[keep])
+        return _rows(lang.take(at), term.take(at), total[keep], pa.array(ends, pa.int32()),
+                     e.names.take(pa.array(code)), count), rest
+
     def run(batches):
-        key, docs_, sums = None, 0, {}
-        out: list[tuple] = []
-
-        def close():
-            if key is not None and (key[1] is None or docs_ >= min_docs):
-                out.append((*key, docs_, [{"source": s, "count": n} for s, n in sums.items()]))
-
-        def batch():
-            kind = pa.list_(pa.struct([("source", pa.string()), ("count", pa.int64())]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.binary(), pa.int64(), kind),
-                                                strict=True)], names=["lang", "term", "docs", "stripe"])
-        for b in batches:
-            for row in zip(*[b.column(c).to_pylist() for c in ("lang", "term", "docs", "stripe")], strict=True):
-                if row[:2] != key:
-                    close()
-                    key, docs_, sums = row[:2], 0, {}
-                docs_ += row[2]
-                for e in row[3]:
-                    sums[e["source"]] = sums.get(e["source"], 0) + e["count"]
-            if len(out) >= 2_000:
-                yield batch()
-                out = []
-        close()
-        if out:
-            yield batch()
+        rest = None
+        for t in _in_large_batches(batches):
+            t = t if rest is None else pa.concat_tables([rest, t])
+            merged, rest = merge(t, False)
+            if merged is not None:
+                yield merged
+        if rest is not None:
+            merged, _ = merge(rest, True)
+            if merged is not None:
+                yield merged
+        give_back()
 
     dealt = stripes(docs, entries).repartition("lang", "term").sortWithinPartitions("lang", "term")
     return dealt.mapInArrow(run, _STRIPE)
@@ -199,89 +249,92 @@ def shares(counts: np.ndarray, totals: np.ndarray, vocabulary: int) -> np.ndarra
 class _Tile:
     """Sums of one pair of source blocks of a language."""
 
-    def __init__(self, header: dict):
-        self.lang, self.first = header["lang"], header["salt"] == 0
+    def __init__(self, header: dict, ranks: int):
+        self.lang, self.first, self.ranks = header["lang"], header["salt"] == 0, ranks
         self.vocabulary, self.total = header["vocabulary"], header["total"]
-        left = [e for e in header["sources"] if e["block"] == header["tile"][0]]
-        right = left if header["tile"][0] == header["tile"][1] else [
-            e for e in header["sources"] if e["block"] == header["tile"][1]]
-        self.same = right is left
-        self.names = [[e["source"] for e in side] for side in (left, right)]
-        self.totals = [np.array([e["total"] for e in side], dtype=np.int64) for side in (left, right)]
+        sides = [[e for e in header["sources"] if e["block"] == t] for t in sorted(set(header["tile"]))]
+        self.names = [[e["source"] for e in side] for side in sides]
+        self.totals = [np.array([e["total"] for e in side], dtype=np.int64) for side in sides]
         self.place = [{n: i for i, n in enumerate(side)} for side in self.names]
-        self.sums = np.zeros((len(left), len(right)), dtype=np.int64)
-        self.held: list[tuple[bytes, list]] = []
+        self.sums = np.zeros((len(sides[0]), len(sides[-1])), dtype=np.int64)
+        self.same = len(sides) == 1
         self.seen = False
 
-    def dense(self, side: int) -> np.ndarray:
-        c = np.zeros((len(self.held), len(self.names[side])), dtype=np.int64)
-        at = self.place[side]
-        for i, (_, stripe) in enumerate(self.held):
-            for e in stripe:
-                j = at.get(e["source"])
-                if j is not None:
-                    c[i, j] = e["count"]
-        return c
-
-    def compare(self) -> list[tuple]:
-        """Adds the held stripes to the sums; rows of terms that a source uses more."""
-        if not self.held:
-            return []
+    def _dense(self, side: int, e: _Entries, n: int) -> np.ndarray:
+        at = np.array([self.place[side].get(s, -1) for s in e.names.to_pylist()], dtype=np.int64)[e.code]
+        here = at >= 0
+        out = np.zeros((n, len(self.names[side])), dtype=np.int64)
+        out[e.row[here], at[here]] = e.count[here]
+        return out
+
+    def compare(self, term: pa.Array, stripe: pa.ListArray):
+        """Adds stripes to the sums; rows of the terms that a source uses more."""
         self.seen = True
-        counts = self.dense(0)
+        n, e = len(term), _Entries(stripe)
+        counts = self._dense(0, e, n)
         p = shares(counts, self.totals[0], self.vocabulary)
-        q = p if self.same else shares(self.dense(1), self.totals[1], self.vocabulary)
+        q = p if self.same else shares(self._dense(1, e, n), self.totals[1], self.vocabulary)
         for i in range(len(self.names[0])):
             self.sums[i] += np.abs(p[:, i:i + 1] - q).sum(axis=0)
-        rows = []
-        if self.same:       # each block of sources is in one such tile
-            whole = np.array([sum(e["count"] for e in stripe) for _, stripe in self.held], dtype=np.int64)
-            more = p - shares(whole, np.int64(self.total), self.vocabulary)[:, None]
-            for i, j in zip(*np.nonzero((counts > 0) & (more > 0)), strict=True):
-                rows.append((self.lang, self.names[0][j], "term", self.held[i][0].decode(), int(more[i, j])))
-        self.held = []
-        return rows
-
-    def pairs(self) -> list[tuple]:
+        if not self.same:       # each block of sources is in one such tile
+            return
+        whole = np.zeros(n, dtype=np.int64)
+        np.add.at(whole, e.row, e.count)
+        more = np.where(counts > 0, p - shares(whole, np.int64(self.total), self.vocabulary)[:, None], 0)
+        for j, name in enumerate(self.names[0]):
+            value = more[:, j]
+            if n > self.ranks:      # what so many of these stripes exceed is in no report
+                value = np.where(value >= np.partition(value, -self.ranks)[-self.ranks], value, 0)
+            rows = np.flatnonzero(value > 0)
+            if len(rows):
+                yield _emitted(self.lang, [name] * len(rows), "term",
+                               term.take(pa.array(rows)).cast(pa.string()), value[rows])
+
+    def pairs(self):
         if not (self.seen or self.first):
-            return []
-        out = []
-        for i, a in enumerate(self.names[0]):
-            for j, b in enumerate(self.names[1]):
-                if self.same and i == j:
-                    continue
-                out.append((self.lang, a, "pair", b, int(self.sums[i, j])))
-                if not self.same:
-                    out.append((self.lang, b, "pair", a, int(self.sums[i, j])))
-        return out
+            return
+        a, b = self.names[0], self.names[-1]
+        for i, name in enumerate(a):
+            other = [j for j in range(len(b)) if not (self.same and i == j)]
+            names, value = [b[j] for j in other], self.sums[i][other]
+            if not names:
+                continue
+            yield _emitted(self.lang, [name] * len(names), "pair", names, value)
+            if not self.same:
+                yield _emitted(self.lang, names, "pair", [name] * len(names), value)
 
 
 _EMITTED = "lang string, source string, part string, item string, value long"
 
 
-def _emit(batches):
-    names = ["lang", "source", "part", "item", "value"]
-    kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int64())
-    tile, out = None, []
-    batch = lambda: pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-    for b in batches:
-        for row in b.to_pylist():
-            if row["term"] is None:
-                if tile:
-                    out += tile.compare() + tile.pairs()
-                tile = _Tile(row)
-            else:
-                tile.held.append((row["term"], row["stripe"]))
-                if len(tile.held) >= CHUNK:
-                    out += tile.compare()
-            if len(out) >= 10_000:
-                yield batch()
-                out = []
-    if tile:
-        out += tile.compare() + tile.pairs()
-    if out:
-        yield batch()
+def _emitted(lang: str, source: list[str], part: str, item, value: np.ndarray) -> pa.RecordBatch:
+    n = len(source)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * n, pa.string()), pa.array(source, pa.string()), pa.array([part] * n, pa.string()),
+         pa.array(item, pa.string()), pa.array(value, pa.int64())], names=["lang", "source", "part", "item", "value"])
+
+
+def _emit(ranks: int):
+    def run(batches):
+        tile = None
+        for b in batches:
+            term, stripe = b.column("term"), b.column("stripe")
+            heads = np.flatnonzero(pc.is_null(term).to_numpy(zero_copy_only=False)).tolist()
+            for lo, hi in zip([0, *heads], [*heads, b.num_rows], strict=True):
+                if lo == hi:        # nothing before the first header
+                    continue
+                if lo in heads:
+                    if tile:
+                        yield from tile.pairs()
+                    tile = _Tile(b.slice(lo, 1).to_pylist()[0], ranks)
+                    lo += 1
+                for at in range(lo, hi, CHUNK):
+                    size = min(CHUNK, hi - at)
+                    yield from tile.compare(term.slice(at, size), stripe.slice(at, size))
+        if tile:
+            yield from tile.pairs()
+        give_back()
+    return run
 
 
 def divergences(docs: DataFrame, min_docs: int = MIN_DOCS, ranks: int = RANKS,
@@ -320,7 +373,7 @@ def divergences(docs: DataFrame, min_docs: int = MIN_DOCS, ranks: int = RANKS,
     # nulls first: the header opens its tile
     tiles = headers.unionByName(sent).repartition("lang", "tile", "salt").sortWithinPartitions(
         "lang", "tile", "salt", F.asc_nulls_first("term"))
-    emitted = written(tiles.mapInArrow(_emit, _EMITTED), "divergences")
+    emitted = written(tiles.mapInArrow(_emit(ranks), _EMITTED), "divergences")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = (emitted.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
              .withColumn("rank", F.row_number().over(best)))
