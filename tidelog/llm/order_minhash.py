@@ -36,6 +36,7 @@ LONG = 40
 PIECE = 4
 # scripts written without blanks between words
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}\p{IsYi}"
+BEFORE_UNSPACED = 0xE00     # no letter of these scripts comes before
 BITS = 28
 MASK = (1 << BITS) - 1
 PART = 8        # hex digits
@@ -94,8 +95,11 @@ def _tokens(text: Column) -> Column:
         r, F.lit(rf"(?s)(?=(.{{{PIECE}}})).", ), F.lit(1))).otherwise(F.array()), lambda ps: F.when(
             F.size(ps) > 0, ps).otherwise(F.array(r)))
     runs = lambda w: F.regexp_extract_all(w, F.lit(rf"[{UNSPACED}]+|[^{UNSPACED}]+"), F.lit(0))
-    mixed = F.rlike(text, F.lit(rf"[{UNSPACED}]|\S{{{LONG + 1}}}"))
-    return F.when(mixed, F.flatten(F.transform(F.flatten(F.transform(words, runs)), pieces))).otherwise(words)
+    # the first tests are cheap, and most texts pass no more of them
+    mixed = lambda ws: (F.rlike(text, F.lit(rf"[\x{{{BEFORE_UNSPACED:x}}}-\x{{10ffff}}]"))
+                        & F.rlike(text, F.lit(f"[{UNSPACED}]")) | F.exists(ws, lambda w: F.octet_length(w) > LONG))
+    return _let(words, lambda ws: F.when(mixed(ws), F.flatten(F.transform(F.flatten(F.transform(ws, runs)), pieces)))
+                .otherwise(ws))
 
 
 def fingerprint(text: Column) -> Column:
