@@ -24,7 +24,9 @@ from tidelog.operators.stats import column_stats, offset_ranges, partition_stats
 from tidelog.operators.union import view_extended, view_steady
 from tidelog.operators.write import write_partitioned
 from tidelog.plans.compact import compact, files_per_partition, fold
+from tidelog.plans.evolve import add_column, evolve, rename_column, widen_column
 from tidelog.plans.fs import list_names
+from tidelog.plans.ledger import ledger_intervals
 from tidelog.plans.maintain import (recover_partitions, recreate_table, refresh, register_areas,
                                     register_catalog_view)
 from tidelog.plans.table import LogicalTable, TableMissing
@@ -36,15 +38,20 @@ from tidelog.streaming.apps import compaction_app, ingest_app
 from tidelog.streaming.ingest import (decode_and_derive, ingest_batch, offset_reports,
                                       start_ingest)
 
-# The training-data operators and their pipeline are optional.
+# The training-data operators and their pipeline are optional; a part of them
+# that is there but fails to import is an error.
 try:
     from tidelog.llm.registry import ORACLES as LLM_ORACLES
     from tidelog.llm.registry import QUERIES as LLM_QUERIES
-except ImportError:
+except ModuleNotFoundError as e:
+    if e.name not in ("tidelog.llm", "tidelog.llm.registry"):
+        raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
 try:
     import corpus_pipeline
-except ImportError:
+except ModuleNotFoundError as e:
+    if e.name != "corpus_pipeline" and not (e.name or "").startswith("tidelog.llm"):
+        raise
     corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -462,6 +469,64 @@ def q_apps_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _g(spark.table(view))
 
 
+def _typed_rows(ev: DataFrame, version: int) -> DataFrame:
+    """The feed as clients of three releases send it (the payload's fields are
+    strings), in the columns and types of that release."""
+    types = [{"eventid": "int", "userid": "int", "ts": "string", "value": "float"},
+             {"eventid": "int", "userid": "int", "ts": "string", "value": "float", "props": "string"},
+             {"eventid": "bigint", "userid": "bigint", "ts": "string", "value": "double", "attrs": "string"}][version]
+    spec = TableSpec.from_ddl(", ".join(f"{c} string" for c in types), "dt string, appid string, storeid string")
+    env = raw_log(ev)
+    if version == 2:
+        env = env.withColumn("value", F.regexp_replace("value", '"props":', '"attrs":'))
+    rows = decode_and_derive(env, spec, tz=CONTRACT_TZ)
+    return rows.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()], *spec.partition_names)
+
+
+def q_schema_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column added, then one renamed and three widened, between batches and a
+    fold; a late writer still sends the first release."""
+    ev = _events(spark, sf_dir)
+    first = TableSpec.from_ddl("eventid int, userid int, ts string, value float",
+                               "dt string, appid string, storeid string")
+    t0 = _table(spark, "schema_evolved", first)
+    late = F.coalesce(F.pmod(F.col("event_id"), F.lit(7)) == 0, F.lit(False))
+    ingest_batch(t0, _typed_rows(leg(ev, "R"), 0), "r")
+    t1 = evolve(t0, add_column("props", "string"))
+    ingest_batch(t1, _typed_rows(leg(ev, "W_a"), 1), "w_a")
+    compact(t0)
+    t2 = evolve(t1, rename_column("props", "attrs"), widen_column("eventid", "bigint"),
+                widen_column("userid", "bigint"), widen_column("value", "double"))
+    ingest_batch(t2, _typed_rows(leg(ev, "W_b").where(~late), 2), "w_b")
+    ingest_batch(t0, _typed_rows(leg(ev, "W_b").where(late), 0), "late")
+    return t2.snapshot().groupBy("dt", "appid").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("eventid").alias("sum_id"), F.sum("userid").alias("sum_user"),
+        F.round(F.sum(F.round("value", 2)), 2).alias("sv"), F.count("attrs").alias("n_attrs"),
+        F.max("attrs").alias("max_attrs"))
+
+
+def q_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed under three checkpoints: explicit late start offsets, then a lost
+    checkpoint that reads all of it again, then once more after a fold."""
+    ev = _events(spark, sf_dir)
+    base = work_dir(spark, "ingest_ledger")
+    raw_log(ev).repartition(4, "offset").write.parquet(f"{base}/source")
+    t = LogicalTable.create(spark, f"{base}/table", EVENTS_SPEC)
+    for name in ("late", "lost", "again"):
+        stream = read_file_stream(spark, f"{base}/source", "parquet", max_files_per_trigger=2)
+        if name == "late":
+            stream = keep_from_offsets(stream, {("events", p): 10 * p for p in range(13)})
+        start_ingest(t, stream, f"{base}/checkpoint-{name}", available_now=True, tz=CONTRACT_TZ,
+                     ledger=True).awaitTermination()
+        compact(t)
+    taken = ledger_intervals(t).groupBy("topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"),
+        F.count(F.lit(1)).alias("intervals"))
+    rows = t.snapshot().groupBy((F.col("eventid").cast("bigint") % 13).cast("int").alias("partition")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("eventid").alias("n_ids"))
+    return taken.join(rows, "partition", "full")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: replay the events feed, decode, derive partitions, append as
     partitioned Parquet, read the logical table back and summarise it."""
@@ -503,6 +568,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview": q_preview,
         "offset_report": q_offset_report,
         "apps_by_name": q_apps_by_name,
+        "schema_evolved": q_schema_evolved,
+        "ingest_ledger": q_ingest_ledger,
     }
 
 
@@ -615,4 +682,15 @@ def oracle_sql() -> dict[str, str]:
             "min(event_id // 13) AS from_offset, max(event_id // 13) + 1 AS until_offset, "
             "count(*) AS n FROM events GROUP BY ALL"),
         "apps_by_name": _gsql(),
+        "schema_evolved": (
+            "SELECT strftime(ts, '%Y%m%d') AS dt, event_type AS appid, count(*) AS n, "
+            "CAST(sum(event_id) AS BIGINT) AS sum_id, CAST(sum(user_id) AS BIGINT) AS sum_user, "
+            "round(sum(round(value, 2)), 2) AS sv, count(attrs) AS n_attrs, max(attrs) AS max_attrs FROM "
+            "(SELECT *, CASE WHEN event_id % 3 = 1 OR (event_id % 3 = 2 AND event_id % 7 <> 0) "
+            "THEN lower(props) END AS attrs FROM events) GROUP BY ALL"),
+        "ingest_ledger": (
+            "SELECT 'events' AS topic, CAST(event_id % 13 AS INTEGER) AS \"partition\", "
+            "min(event_id // 13) AS from_offset, max(event_id // 13) + 1 AS until_offset, "
+            "CAST(1 AS BIGINT) AS intervals, count(*) AS n, count(DISTINCT event_id) AS n_ids "
+            "FROM events GROUP BY ALL"),
     }

@@ -1,0 +1,147 @@
+"""Offset ledger: each record once, under any number of checkpoints and rewinds."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelog.plans import fs, ledger
+from tidelog.plans.compact import compact, vacuum
+from tidelog.plans.ledger import (coalesced, ingest_once, ledger_intervals, merge_ledger, offset_runs, outside,
+                                  overlaps, roll_forward)
+from tidelog.plans.table import LogicalTable
+from tidelog.sources.events_feed import EVENTS_SPEC, raw_log
+from tidelog.sources.stream import keep_from_offsets, read_file_stream
+from tidelog.streaming.ingest import decode_and_derive, start_ingest
+
+REC = "topic string, partition int, offset bigint"
+
+
+def _runs(points):
+    out = []
+    for p in sorted(points):
+        if out and out[-1][1] == p:
+            out[-1][1] = p + 1
+        else:
+            out.append([p, p + 1])
+    return out
+
+
+def _points(df):
+    return {(r.topic, r.partition, o) for r in df.collect() for o in range(r.from_offset, r.until_offset)}
+
+
+@pytest.mark.parametrize("block", [4, 1 << 16])
+def test_runs_overlaps_and_rest_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(ledger, "BLOCK", block)
+    rnd = random.Random(block)
+    draw = lambda: [("t" if rnd.random() < 0.8 else "u", rnd.randrange(2), rnd.randrange(60)) for _ in range(90)]
+    a, b = draw(), draw()
+    da = spark.createDataFrame([*a, (None, 1, 1), ("t", None, 1), ("t", 1, None)], REC)
+    ra, rb = offset_runs(da), offset_runs(spark.createDataFrame(b, REC))
+    want = sorted((t, p, *r) for t, p in {x[:2] for x in a} for r in _runs({x[2] for x in a if x[:2] == (t, p)}))
+    assert sorted(map(tuple, ra.collect())) == want
+    assert _points(overlaps(ra, rb)) == set(a) & set(b)
+    left = [tuple(r) for r in outside(da, rb).collect()]
+    assert sorted(x for x in left if None not in x) == sorted(x for x in a if x not in set(b))
+    assert len(left) == len([x for x in a if x not in set(b)]) + 3
+    assert _points(coalesced(ra.unionByName(rb))) == set(a) | set(b)
+
+
+def _table(spark, root):
+    return LogicalTable.create(spark, root, EVENTS_SPEC)
+
+
+def _rows_of(table):
+    return lambda env: decode_and_derive(env, table, tz="UTC", clock=F.to_timestamp(F.lit("2024-03-01 09:05:00Z")))
+
+
+def _once(table, env, key, **kw):
+    return ingest_once(table, env, key, _rows_of(table), **kw)
+
+
+def _ids(table):
+    return sorted(int(r.eventid) for r in table.snapshot().select("eventid").collect())
+
+
+def test_overlapping_batches_give_each_record_once(spark, events, tmp_root):
+    t, env = _table(spark, f"{tmp_root}/t"), raw_log(events)
+    n = events.count()
+    _once(t, env.where("offset < 20"), "a-0")
+    _once(t, env.where("offset % 3 = 0 AND offset < 40"), "b-0")        # gaps are not records
+    _once(t, env.where("offset BETWEEN 10 AND 50").unionByName(env.where("offset = 45")), "b-1")
+    compact(t)
+    vacuum(t, retention_s=0.0, forget=True)
+    _once(t, env, "c-0")
+    assert not _once(t, env, "c-0").written
+    _once(t, env, "d-0")        # nothing is left
+    assert _ids(t) == list(range(n))
+    got = {tuple(r) for r in ledger_intervals(t).collect()}
+    assert got == {("events", p, 0, -(-(n - p) // 13)) for p in range(13)}
+
+
+def test_records_without_offsets_are_taken_as_they_come(spark, events, tmp_root):
+    t = _table(spark, f"{tmp_root}/t")
+    env = raw_log(events).withColumn("offset", F.lit(None).cast("bigint"))
+    _once(t, env.limit(5), "a-0")
+    _once(t, env.limit(5), "a-1")
+    assert len(_ids(t)) == 10
+
+
+def test_crashes_and_rivals(spark, events, tmp_root, monkeypatch):
+    t, env = _table(spark, f"{tmp_root}/t"), raw_log(events)
+    n = events.count()
+    real = fs.create_exclusive
+
+    def crash(at):
+        def create(sp, path, text):
+            if at in path:
+                raise OSError("crash")
+            return real(sp, path, text)
+        return create
+
+    # before the entry: nothing is visible, the replay overwrites
+    monkeypatch.setattr(fs, "create_exclusive", crash("/ledger/v"))
+    with pytest.raises(OSError):
+        _once(t, env.where("offset < 30"), "a-0")
+    monkeypatch.setattr(fs, "create_exclusive", real)
+    assert _ids(t) == []
+    # after the entry, and the checkpoint is lost: the next writer commits the key
+    monkeypatch.setattr(fs, "create_exclusive", crash("_SUCCESS"))
+    with pytest.raises(OSError):
+        _once(t, env.where("offset < 30"), "a-0")
+    monkeypatch.setattr(fs, "create_exclusive", real)
+    _once(t, env.where("offset < 60"), "b-0")
+    assert len(_ids(t)) == len(set(_ids(t))) == env.where("offset < 60").count()
+    assert roll_forward(t) == []
+
+    # a rival takes the entry while this batch is written
+    state = {"rival": True}
+
+    def rival(sp, path, text):
+        if "/ledger/v" in path and state.pop("rival", False):
+            _once(t, env.where("offset BETWEEN 50 AND 70"), "rival-0")
+        return real(sp, path, text)
+    monkeypatch.setattr(fs, "create_exclusive", rival)
+    _once(t, env, "c-0")
+    assert _ids(t) == list(range(n))
+
+
+def test_merged_ledger(spark, events, tmp_root):
+    t, env = _table(spark, f"{tmp_root}/t"), raw_log(events)
+    for k in range(4):
+        _once(t, env.where(f"offset >= {k * 5} AND offset < {k * 10 + 10}"), f"a-{k}", merge_after=2)
+    assert merge_ledger(t) in (True, False)
+    _once(t, env, "b-0")
+    assert _ids(t) == list(range(events.count()))
+    assert not merge_ledger(LogicalTable.create(spark, f"{tmp_root}/empty", EVENTS_SPEC))
+
+
+def test_streams_with_a_lost_checkpoint_and_a_rewind(spark, events, tmp_root):
+    raw_log(events).repartition(3, "offset").write.parquet(f"{tmp_root}/src")
+    t = _table(spark, f"{tmp_root}/t")
+    for name, starts in (("late", {("events", p): 20 + p for p in range(13)}), ("lost", None), ("again", None)):
+        s = read_file_stream(spark, f"{tmp_root}/src", "parquet", max_files_per_trigger=1)
+        s = keep_from_offsets(s, starts) if starts else s
+        start_ingest(t, s, f"{tmp_root}/{name}", available_now=True, tz="UTC", ledger=True).awaitTermination()
+    assert _ids(t) == list(range(events.count()))

@@ -53,11 +53,12 @@ def layout(df: DataFrame, partition_cols: list[str], files_per_partition: int |
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       files_per_partition: int | None = None, mode: str = "append",
-                      compression: str | None = None) -> None:
-    """Write ``df`` as Parquet under ``path``, partitioned by ``partition_cols``."""
+                      compression: str | None = None, marker: bool = True) -> None:
+    """Write ``df`` as Parquet under ``path``, partitioned by ``partition_cols``;
+    without ``marker`` the caller commits the directory."""
     w = (layout(df, partition_cols, files_per_partition)
          .write.mode(mode)
-         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true" if marker else "false")
          .partitionBy(*partition_cols))
     if compression:
         w = w.option("compression", compression)

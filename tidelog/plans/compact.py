@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.write import quoted, write_partitioned
 from tidelog.plans import fs
+from tidelog.plans.evolve import SPECS_AREA
 from tidelog.plans.maintain import add_written_partitions, compute_stats, refresh
 from tidelog.plans.table import (GEN_COL, INGEST_ONLY, KEY_COL, LogicalTable, PublishConflict,
                                  State)
@@ -72,6 +73,7 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
     scanned); ``analyze_columns`` computes the column statistics of the whole
     catalog table, which is one scan of all of it."""
     base = table.state()  # raises TableMissing: never fold without a state
+    table = table.at(base)      # a gen has the columns of the state it is published on
     keys = table.delta_keys(base)
     if max_keys is not None:
         keys = keys[:max_keys]
@@ -102,6 +104,7 @@ def merge_gens(table: LogicalTable, gens: list[str] | None = None,
     When another job publishes meanwhile, the swap is tried again on the new
     state as long as it still lists the chosen gens, so the work isn't lost."""
     base = table.state()
+    table = table.at(base)
     chosen = list(base.gens) if gens is None else [g for g in base.gens if g in set(gens)]
     if len(chosen) < 2:
         return CompactionResult(None, [], base)
@@ -180,6 +183,8 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
             key = name.split("=", 1)[1] if name.startswith(f"{KEY_COL}=") else None
             if key in folded:
                 fs.delete(table.spark, table.key_path(key))
+                for v in range(1, len(latest.evolved) + 1):
+                    fs.delete(table.spark, f"{table.root}/{SPECS_AREA}/{v}/{key}")
                 removed["keys"].append(key)
     for name in fs.list_names(table.spark, table.read_path):
         if not name.startswith(f"{GEN_COL}="):

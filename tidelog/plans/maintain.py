@@ -36,6 +36,9 @@ from tidelog.sources.schema import TableSpec, from_catalog
 
 def _area_spec(table: LogicalTable, area: str) -> TableSpec:
     spec = table.spec
+    if table.state().evolved:
+        # a catalog table reads every directory by the same names and types
+        raise ValueError("an evolved table has no catalog form; query its snapshot or register_view")
     if area == "write":
         parts = [StructField(KEY_COL, StringType())] + list(spec.partitions.fields)
         return TableSpec(spec.columns, StructType(parts), table.write_path)
@@ -65,6 +68,8 @@ def register_catalog_view(table: LogicalTable, view: str, write_name: str, read_
     (:func:`add_written_partitions`) pass False and list nothing.
     """
     st = table.state()
+    if st.evolved:
+        raise ValueError("an evolved table has no catalog form; use register_view")
     keys = table.delta_keys(st)
     cols = ", ".join(f"`{c}`" for c in table.view_columns(reference_columns))
 

@@ -4,7 +4,8 @@ Layout under the table root::
 
     write/key=<batchKey>/dt=…/appid=…/storeid=…/part-*.parquet   (+ key=…/_SUCCESS)
     read/gen=<genId>/dt=…/appid=…/part-*.parquet                 (+ gen=…/_SUCCESS)
-    state/v0000000000.json  {"version", "gens", "folded", "spec"}
+    state/v0000000000.json  {"version", "gens", "folded", "spec"[, "evolved", "gen_specs"]}
+    specs/<version>/<batchKey>   empty marker of a key written after a schema change
 
 * An ingest batch writes one key directory; the key is committed once its
   ``_SUCCESS`` marker exists, and a committed key never changes.
@@ -28,12 +29,14 @@ from __future__ import annotations
 import json
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidelog.operators.union import view_steady
 from tidelog.plans import fs
+from tidelog.plans.evolve import Columns, key_versions, reconciled
 from tidelog.sources.schema import TableSpec
 
 WRITE_AREA = "write"
@@ -59,18 +62,32 @@ class State:
     folded: tuple[str, ...] = ()
     spec: dict = field(default_factory=dict, compare=False)
     created: float = field(default_factory=time.time, compare=False)
+    # column lists after the first, oldest first, and the gens written under one of them
+    evolved: tuple[dict, ...] = field(default=(), compare=False)
+    gen_specs: dict = field(default_factory=dict, compare=False)
+
+    @property
+    def spec_version(self) -> int:
+        return len(self.evolved)
+
+    def columns(self, version: int) -> Columns:
+        """The column list of a version of the schema."""
+        return (Columns.from_document(self.evolved[version - 1]) if version
+                else Columns.first(TableSpec.from_document(self.spec).columns))
 
     def to_json(self) -> str:
-        return json.dumps({"version": self.version, "gens": list(self.gens),
-                           "folded": list(self.folded), "spec": self.spec,
-                           "created": self.created}, sort_keys=True)
+        doc = {"version": self.version, "gens": list(self.gens), "folded": list(self.folded), "spec": self.spec,
+               "created": self.created}
+        if self.evolved:
+            doc |= {"evolved": list(self.evolved), "gen_specs": self.gen_specs}
+        return json.dumps(doc, sort_keys=True)
 
     @staticmethod
     def from_json(text: str) -> "State":
         d = json.loads(text)
         return State(int(d["version"]), tuple(d.get("gens", [])),
                      tuple(d.get("folded", [])), d.get("spec", {}),
-                     float(d.get("created", 0.0)))
+                     float(d.get("created", 0.0)), tuple(d.get("evolved", [])), d.get("gen_specs", {}))
 
 
 def _state_name(version: int) -> str:
@@ -80,10 +97,13 @@ def _state_name(version: int) -> str:
 class LogicalTable:
     """Handle on one logical table rooted at ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, columns: Columns | None = None,
+                 spec_version: int = 0):
         self.spark = spark
         self.root = fs.qualified(spark, root.rstrip("/"))
         self.spec = spec
+        self.columns = columns or Columns.first(spec.columns)
+        self.spec_version = spec_version
         if not spec.partition_names:
             raise ValueError("a log table needs partition columns")
 
@@ -98,9 +118,9 @@ class LogicalTable:
         v0 = State(0, (), (), spec.to_document())
         there = cls._versions(spark, t.root) or not fs.create_exclusive(spark, t.state_path(0), v0.to_json())
         if there:
-            old = TableSpec.from_document(t.state().spec)
-            if (old.columns, old.partitions) != (spec.columns, spec.partitions):
-                raise ValueError(f"{root} already holds a table with another schema")
+            t = t.at(t.state())
+            if (t.spec.columns, t.spec.partitions) != (spec.columns, spec.partitions):
+                raise ValueError(f"{root} already holds a table with another schema; see tidelog.plans.evolve")
         return t
 
     @classmethod
@@ -110,7 +130,14 @@ class LogicalTable:
         if not names:
             raise TableMissing(f"no logical table at {root}")
         st = State.from_json(fs.read_text(spark, f"{root}/{STATE_AREA}/{_state_name(names[-1])}"))
-        return cls(spark, root, TableSpec.from_document(st.spec))
+        return cls(spark, root, TableSpec.from_document(st.spec)).at(st)
+
+    def at(self, st: State) -> "LogicalTable":
+        """A handle on the schema version of ``st``."""
+        spec = TableSpec.from_document(st.spec)
+        cols = st.columns(st.spec_version)
+        spec = TableSpec(cols.struct, spec.partitions, spec.location, self.spec.name)
+        return LogicalTable(self.spark, self.root, spec, cols, st.spec_version)
 
     # -- state ----------------------------------------------------------------
     def state_path(self, version: int) -> str:
@@ -134,8 +161,18 @@ class LogicalTable:
         return State.from_json(fs.read_text(self.spark, self.state_path(version)))
 
     def publish(self, base: State, gens: list[str], folded: list[str]) -> State:
-        """Publish ``base.version + 1`` atomically; fail if someone else did."""
-        nxt = State(base.version + 1, tuple(gens), tuple(folded), base.spec)
+        """Publish ``base.version + 1`` atomically; fail if someone else did.
+        Gens that ``base`` doesn't list were written by this handle."""
+        under = {g: base.gen_specs.get(g, 0) if g in base.gens else self.spec_version for g in gens}
+        return self._publish(State(base.version + 1, tuple(gens), tuple(folded), base.spec, evolved=base.evolved,
+                                   gen_specs={g: v for g, v in under.items() if v}))
+
+    def publish_columns(self, base: State, columns: Columns) -> State:
+        """Publish a new column list over the same data."""
+        return self._publish(State(base.version + 1, base.gens, base.folded, base.spec,
+                                   evolved=(*base.evolved, columns.to_document()), gen_specs=base.gen_specs))
+
+    def _publish(self, nxt: State) -> State:
         if not fs.create_exclusive(self.spark, self.state_path(nxt.version), nxt.to_json()):
             raise PublishConflict(f"state v{nxt.version} of {self.root} exists already")
         return nxt
@@ -169,17 +206,17 @@ class LogicalTable:
         return [k for k in self.committed_keys() if k not in folded]
 
     # -- schemas ----------------------------------------------------------------
-    def write_schema(self) -> StructType:
-        return StructType(list(self.spec.columns.fields)
+    def write_schema(self, columns: StructType | None = None) -> StructType:
+        return StructType(list((columns or self.spec.columns).fields)
                           + [StructField(KEY_COL, StringType())]
                           + list(self.spec.partitions.fields))
 
     def read_partitions(self) -> list[str]:
         return [p for p in self.spec.partition_names if p != INGEST_ONLY]
 
-    def read_schema(self) -> StructType:
+    def read_schema(self, columns: StructType | None = None) -> StructType:
         parts = [f for f in self.spec.partitions.fields if f.name != INGEST_ONLY]
-        return StructType(list(self.spec.columns.fields)
+        return StructType(list((columns or self.spec.columns).fields)
                           + [StructField(GEN_COL, StringType())] + parts)
 
     # -- legs -------------------------------------------------------------------
@@ -189,15 +226,35 @@ class LogicalTable:
         return (self.spark.read.schema(schema).option("basePath", base)
                 .parquet(*[fs.literal(p) for p in paths]))
 
+    def _by_version(self, st: State | None, names: list[str], versions: dict[str, int], path, base: str,
+                    schema) -> DataFrame:
+        """Rows of keys or gens: each schema version in a scan of its own,
+        reconciled to this handle's."""
+        if not any(versions.get(n, 0) != self.spec_version for n in names):
+            return self._read_paths(base, [path(n) for n in names], schema())
+        legs = []
+        for v in sorted({versions.get(n, 0) for n in names}):
+            cols = st.columns(v)
+            leg = self._read_paths(base, [path(n) for n in names if versions.get(n, 0) == v], schema(cols.struct))
+            legs.append(reconciled(leg, cols, self.columns, [f.name for f in schema().fields[len(self.columns.fields):]]))
+        return reduce(DataFrame.unionByName, legs)
+
     def write_leg(self, keys: list[str]) -> DataFrame:
         """Rows of the given batch keys (columns, key, partitions)."""
-        return self._read_paths(self.write_path, [self.key_path(k) for k in keys],
-                                self.write_schema())
+        # a key may be of a later version than the state it is read with
+        st = self._latest() if keys else None
+        versions = key_versions(self.spark, self.root, list(range(1, st.spec_version + 1))) if st else {}
+        return self._by_version(st, keys, versions, self.key_path, self.write_path, self.write_schema)
 
-    def read_leg(self, gens: list[str]) -> DataFrame:
+    def read_leg(self, gens: list[str], state: State | None = None) -> DataFrame:
         """Rows of the given compacted gens (columns, gen, dt, appid)."""
-        return self._read_paths(self.read_path, [self.gen_path(g) for g in gens],
-                                self.read_schema())
+        st = (state or self._latest()) if gens else None
+        # a gen that is not listed was written by this handle
+        versions = {g: st.gen_specs.get(g, 0) if g in st.gens else self.spec_version for g in gens} if st else {}
+        return self._by_version(st, gens, versions, self.gen_path, self.read_path, self.read_schema)
+
+    def _latest(self) -> State | None:
+        return self.state() if self._versions(self.spark, self.root) else None
 
     def view_columns(self, reference_columns: bool = False) -> list[str]:
         """Columns the logical view exposes: data columns, then the read
@@ -207,13 +264,15 @@ class LogicalTable:
 
     def legs(self, state: State | None = None) -> tuple[DataFrame, DataFrame]:
         st = state or self.state()
-        delta = self.delta_keys(st)
-        return self.read_leg(list(st.gens)), self.write_leg(delta)
+        now, delta = self.at(st), self.delta_keys(st)
+        return now.read_leg(list(st.gens), st), now.write_leg(delta)
 
     def snapshot(self, reference_columns: bool = False, state: State | None = None) -> DataFrame:
-        """Every committed row exactly once: compacted gens ∪ unfolded keys."""
-        read, write = self.legs(state)
-        return view_steady(read, write, self.view_columns(reference_columns))
+        """Every committed row exactly once: compacted gens ∪ unfolded keys,
+        in the columns of the state's schema version."""
+        st = state or self.state()
+        read, write = self.legs(st)
+        return view_steady(read, write, self.at(st).view_columns(reference_columns))
 
     def register_view(self, name: str, reference_columns: bool = False,
                       global_view: bool = False) -> DataFrame:

@@ -33,7 +33,7 @@ def ingest_app(spark: SparkSession, table_root: str, *, bootstrap_servers: str |
                available_now: bool = False,
                files_per_partition: int | None = INGEST_FILES_PER_PARTITION,
                mode: str = "lower_all", tz: str | None = None,
-               ts_zone: str | None = None, skip_empty: bool = False,
+               ts_zone: str | None = None, skip_empty: bool = False, ledger: bool = False,
                catalog_table: str | None = None, offset_report: bool = False,
                max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest of one topic (or folder) into the table at ``table_root``.
@@ -55,7 +55,7 @@ def ingest_app(spark: SparkSession, table_root: str, *, bootstrap_servers: str |
     ckpt = checkpoint or f"{table.root}/_checkpoints/ingest"
     return start_ingest(table, stream, ckpt, mode=mode, files_per_partition=files_per_partition,
                         interval_s=interval_s, available_now=available_now, tz=tz,
-                        ts_zone=ts_zone, skip_empty=skip_empty, catalog_table=catalog_table,
+                        ts_zone=ts_zone, skip_empty=skip_empty, ledger=ledger, catalog_table=catalog_table,
                         offset_report=offset_report)
 
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections import deque
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,8 @@ from tidelog.functions.derive import derive_partitions
 from tidelog.operators.stats import offset_ranges
 from tidelog.operators.write import quoted, write_partitioned
 from tidelog.plans import fs
+from tidelog.plans.evolve import mark_key
+from tidelog.plans.ledger import ingest_once
 from tidelog.plans.maintain import add_written_partitions, refresh
 from tidelog.plans.table import KEY_COL, LogicalTable
 from tidelog.sources.schema import TableSpec
@@ -49,6 +52,7 @@ OFFSETS_AREA = "offsets"
 # The application field as clients send it, for decoding with exact keys.
 APP_FIELD = "appId"
 CLOCK = "__clock"
+RESULTS_KEPT = 100
 
 
 @dataclass
@@ -115,6 +119,8 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
         return BatchResult(key, False, "committed")
     if skip_empty and rows.isEmpty():
         return BatchResult(key, False, "empty")
+    if st.evolved:
+        mark_key(table.spark, table.root, key, table.spec_version, list(range(1, len(st.evolved) + 1)))
     out = rows.select(*map(quoted, [*table.spec.column_names, *table.spec.partition_names]))
     write_partitioned(out, table.key_path(key), table.spec.partition_names, files_per_partition,
                       mode="overwrite")
@@ -138,7 +144,8 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
                  interval_s: int | None = DEFAULT_INTERVAL_S, available_now: bool = False,
                  tz: str | None = None, ts_zone: str | None = None,
                  query_name: str | None = None, skip_empty: bool = False,
-                 catalog_table: str | None = None, offset_report: bool = False) -> StreamingQuery:
+                 catalog_table: str | None = None, offset_report: bool = False,
+                 ledger: bool = False) -> StreamingQuery:
     """Start the streaming ingest of ``envelope`` (a streaming DataFrame with
     a ``value`` column) into ``table``.
 
@@ -147,25 +154,34 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
     ``skip_empty`` and ``catalog_table`` are those of :func:`ingest_batch`.
     ``offset_report`` writes each batch's offset ranges per topic partition
     under the table, before the batch is committed (:func:`offset_reports`
-    reads them); the batch's offsets are read once more for it.
+    reads them); the batch's offsets are read once more for it. ``ledger``
+    takes each record of the topic once, whatever other streams or checkpoints
+    brought it before (:mod:`tidelog.plans.ledger`).
     """
     if not envelope.isStreaming:
         raise ValueError("start_ingest needs a streaming DataFrame; use ingest_batch for batch data")
     if not available_now and (interval_s is None or interval_s <= MIN_INTERVAL_S):
         raise ValueError(f"batch interval must be larger than {MIN_INTERVAL_S} s")
-    if offset_report:
+    if offset_report or ledger:
         # the clock belongs to the streaming plan, so that a replay has the same
         rows = envelope.withColumn(CLOCK, F.current_timestamp())
     else:
         rows = decode_and_derive(envelope, table, mode=mode, tz=tz, ts_zone=ts_zone)
-    results: list[BatchResult] = []
+    # of a long stream only the last results are kept
+    results: deque[BatchResult] = deque(maxlen=RESULTS_KEPT)
+
+    def rows_of(batch: DataFrame) -> DataFrame:
+        return decode_and_derive(batch, table, mode=mode, clock=F.col(CLOCK), tz=tz, ts_zone=ts_zone, keep=[CLOCK])
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         key = f"{_query_id(batch.sparkSession, checkpoint)}-{batch_id}"
         if offset_report:
             offset_ranges(batch).write.mode("overwrite").parquet(_offsets_path(table, key))
-            batch = decode_and_derive(batch, table, mode=mode, clock=F.col(CLOCK), tz=tz, ts_zone=ts_zone,
-                                      keep=[CLOCK])
+        if ledger:
+            results.append(ingest_once(table, batch, key, rows_of, files_per_partition, catalog_table))
+            return
+        if offset_report:
+            batch = rows_of(batch)
         results.append(ingest_batch(table, batch, key, files_per_partition, skip_empty, catalog_table))
 
     w = rows.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
