@@ -211,6 +211,43 @@ def test_order_minhash_of_empty_table_and_shared_ids(spark, tmp_path):
     assert got == sorted([(1, sha("aaaa")), (2, sha("bbba")), (2, sha("abca"))])
 
 
+def _brute_order_minhash(tokens):
+    """Order MinHash by its definition, point by point."""
+    from xxhash import xxh64_intdigest as xx
+    top, low = 1 << 64, 1 << 28
+    signed = lambda h: h - top if h >> 63 else h
+    kmers = [xx(w.encode(), xx(tokens[i - 1].encode(), 42) if i else 42) for i, w in enumerate(tokens)]
+    seen, marked = {}, []
+    for i, h in enumerate(kmers):
+        high = signed(h) >> 28
+        seen[high] = nth = seen.get(high, -1) + 1
+        marked.append(((xx(nth.to_bytes(4, "little"), xx(high.to_bytes(8, "little", signed=True), 42)) & ~(low - 1)) + i + 1, i))
+    parts = []
+    for b in range(32):
+        point = ((1 << 63) + b * (1 << 59)) % top
+        near = sorted(((h - point) % top, i) for h, i in marked)
+        order = sorted(near[t % len(near)][1] for t in range(2))
+        h = 42
+        for i in order:
+            h = xx(kmers[i].to_bytes(8, "little"), h)
+        parts.append(f"{h & 0xffffffff:08x}")
+    return "".join(parts)
+
+
+def test_order_minhash_equals_its_definition(spark):
+    from tidelog.llm.order_minhash import fingerprint
+    rnd = random.Random(11)
+    texts = [["w%d" % rnd.randrange(n) for _ in range(n * 2)] for n in (1, 2, 3, 10, 60, 300)] + [["a"], ["a"] * 50, ["é", "—"]]
+    d = _docs(spark, ["  ".join(t) for t in texts])
+    got = _by_id(d.select("doc_id", fingerprint(F.col("text")).alias("f")), "f")
+    assert got == {i: _brute_order_minhash(t) for i, t in enumerate(texts)}
+    # pieces of long words and of scripts without blanks
+    cut = _docs(spark, ["x" * 42 + " y", "ab 漢字仮名 c", "ก" * 6, "“quoted” — …", "é" * 25])
+    got = _by_id(cut.select("doc_id", fingerprint(F.col("text")).alias("f")), "f")
+    assert got == {i: _brute_order_minhash(t) for i, t in enumerate([
+        ["xxxx"] * 39 + ["y"], ["ab", "漢字仮名", "c"], ["กกกก"] * 3, ["“quoted”", "—", "…"], ["é" * 25]])}
+
+
 def test_order_minhash_of_texts_without_blanks(spark):
     from tidelog.llm.order_minhash import fingerprint, likeness
     rnd = random.Random(16)
@@ -388,7 +425,6 @@ def _check_packing(rows, texts, sequence):
     import public_tokenizers as P
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     want = set()
     for d, t in texts:
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
@@ -417,7 +453,8 @@ def test_packing_is_gapless_and_tight(spark):
     rows = [tuple(r) for r in pack(d.repartition(5, "doc_id"), path).collect()]
     n, total = _check_packing(rows, [tuple(r) for r in d.collect()], 4096)
     assert n <= -(-total // 4096) * 1.01 + 2
-    texts = [None, "", "a", "a", LONG, "İ ǅ \tx 中文 <|endoftext|> ½²", "don't 's !'s", "\x1c \x85"]
+    texts = [None, "", "a", "a", LONG, "İ ǅ \tx 中文 <|endoftext|> ½²", "don't 's !'s a,b. c! É? 1. 中.",
+             "a<|endoftext|>b x<|startoftext|>y <|ENDOFTEXT|> <|endoftext|><|endoftext|>.", "\x1c \x85"]
     odd = _docs(spark, texts)
     rows = [tuple(r) for r in pack(odd, path, sequence=64, cells=8).collect()]
     _check_packing(rows, list(enumerate(texts)), 64)

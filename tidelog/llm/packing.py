@@ -25,10 +25,12 @@ that share a doc_id are pieces of their own; a null doc_id is kept.
 
 from __future__ import annotations
 
+import gc
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +56,8 @@ class ChunkTokenizer:
     pre-tokenizer splits there, so chunks are encoded independently. A chunk
     of Latin letters is split on, by the pre-tokenizer's own pattern, into
     words; new words are encoded many at a time and told apart by the word-end
-    mark of their last id. Any other chunk is encoded by itself. The memos
+    mark of their last id. Any other chunk is encoded by itself, as is one that
+    holds the literal of an added token, such as ``<|endoftext|>``. The memos
     keep what came first, which is what is frequent, when they are full."""
 
     # fixed value: the split pattern of the tokenizer file
@@ -64,11 +67,12 @@ class ChunkTokenizer:
         import regex
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.find = regex.compile(self.WORD).findall
+        self.beyond = re.compile("[\u0250-\U0010ffff]").search
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
 
@@ -76,10 +80,17 @@ class ChunkTokenizer:
         return [np.asarray(e.ids, dtype="<u4")
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        plain = [c for c in new if max(c) < "\u0250"]
-        split = [self.find(c.lower()) for c in plain]
-        words = list({w for ws in split for w in ws if w not in self.words})
+    def _learn(self, new: list[str], added: bool) -> None:
+        """``added`` tells whether a chunk may hold the literal of an added token."""
+        beyond = self.beyond
+        plain = [c for c in new if c.isascii() or not beyond(c)]
+        if added:
+            plain = [c for c in plain if not any(t in c for t in self.added)]
+        find = self.find
+        # a word, or a word and one mark, needs no pattern
+        split = [(w,) if w.isalpha() else (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[:-1].isalpha() else find(w)
+                 for w in [c.lower() for c in plain]]
+        words = list(set(chain.from_iterable(split)).difference(self.words))
         for i in range(0, len(words), 500):
             part = words[i:i + 500]
             ids = self._encode([" ".join(part)])[0]
@@ -89,8 +100,9 @@ class ChunkTokenizer:
                 self.words[w] = raw[4 * lo:4 * hi]
                 lo = hi
         get = self.words.__getitem__
-        self.chunks.update(zip(plain, [b"".join(map(get, ws)) for ws in split], strict=True))
-        other = [c for c in new if max(c) >= "\u0250"]
+        self.chunks.update(zip(plain, [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in split],
+                               strict=True))
+        other = [c for c in new if c not in self.chunks]
         for i in range(0, len(other), 500):
             part = other[i:i + 500]
             self.chunks.update(zip(part, (e.tobytes() for e in self._encode(part)), strict=True))
@@ -108,7 +120,13 @@ class ChunkTokenizer:
         seen = set()
         for cs in split:
             seen.update(cs)
-        self._learn([c for c in seen if c not in self.chunks])
+        added = any(a in t for t in texts for a in self.added)
+        # hundreds of thousands of small tuples, none in a cycle
+        gc.disable()
+        try:
+            self._learn(list(seen.difference(self.chunks)), added)
+        finally:
+            gc.enable()
         get = self.chunks.__getitem__
         return [b"".join(map(get, cs)) for cs in split]
 
