@@ -230,7 +230,7 @@ ls AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHER
 u AS (SELECT doc_id, unnest(l) AS unit, unnest(range(1, len(l) + 1)) AS line FROM ls
       UNION ALL SELECT doc_id, text, 0 FROM ls WHERE len(l) > 1),
 w AS (SELECT doc_id, line, {words.format('unit')} AS w FROM u),
-b AS (SELECT doc_id, line, {grams} AS g FROM w WHERE len(w) BETWEEN 2 AND 2000 OR line = 0),
+b AS (SELECT doc_id, line, {grams} AS g FROM w WHERE len(w) >= 2 OR line = 0),
 s AS (SELECT doc_id, line, name, 2.0 * len(list_intersect(b.g, t.g)) / (len(b.g) + len(t.g)) AS score
       FROM b JOIN t ON len(b.g) BETWEEN ceil(len(t.g) * {THRESHOLD} / (2 - {THRESHOLD}))
                                   AND floor(len(t.g) / ({THRESHOLD} / (2 - {THRESHOLD})))),
