@@ -45,3 +45,24 @@ def test_run_equals_the_stages_one_by_one(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert got.count() > 0 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_near_duplicates_of_missing_and_shared_ids(spark):
+    words = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdef"]
+    near = words[0] + " tail"
+    rows = [(1, words[0]), (2, near), (3, words[1]), (3, words[2]), (3, words[2]), (3, words[1] + " tail"),
+            (None, words[3]), (None, words[3]), (None, near), (None, words[4]), (4, words[5]), (None, None), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", None, 0) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r)[:2] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    texts = sorted((t[:2] if t else "") for _, t in got)
+    # one of each group, and both rows without text, which are near no other
+    assert texts == ["", "", "a0", "b0", "c0", "d0", "e0", "f0"]
+    assert (1, words[0]) in got and (4, words[5]) in got and (5, None) in got
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
