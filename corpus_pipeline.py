@@ -7,7 +7,7 @@ as Parquet under the shared folder and read back as the next stage's input.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import code_points, written
@@ -17,6 +17,8 @@ from tidelog.llm.line_dedup import dedup_lines
 from tidelog.llm.packing import pack
 from tidelog.llm.pseudonyms import pseudonymise
 
+ROW = "__row"
+
 
 def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` with ``n_chars`` brought up to its text."""
@@ -37,12 +39,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the smallest id;
-    of rows that share an id, the one of least text."""
-    kept = classes(docs).where("doc_id = component_id").select("doc_id").distinct()
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    return docs.join(kept, "doc_id").withColumn("__nth", nth).where("__nth = 1").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each group of near-duplicates stays, the smallest id.
+
+    Rows without an id, or whose id others have too, are told apart by numbers
+    of their own beyond all ids: such a row goes only if its text is a near copy
+    of one that stays, whatever its id."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    shared = written(docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select("doc_id"), "shared-ids")
+    rows = docs.withColumn(ROW, F.col("doc_id").cast("long"))
+    if not shared.isEmpty():
+        beyond = (docs.agg(F.max("doc_id")).first()[0] or 0) + 1
+        own = rows.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti")
+        other = docs.where("doc_id IS NULL").unionByName(docs.join(shared, "doc_id", "left_semi"))
+        # written, so that a row keeps its number
+        other = written(other.withColumn(ROW, F.monotonically_increasing_id() + F.lit(beyond)), "rows-without-id")
+        rows = own.select(*columns, ROW).unionByName(other.select(*columns, ROW))
+    kept = classes(rows.select(F.col(ROW).alias("doc_id"), "text")).where("doc_id = component_id").select(
+        F.col("doc_id").alias(ROW))
+    return rows.join(kept, ROW).select(*columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
