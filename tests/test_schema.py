@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql.types import StructType
 
 from tidelog.plans.maintain import compute_stats, recover_partitions, recreate_table, refresh
@@ -104,3 +105,27 @@ def test_add_written_partitions_without_full_recovery(spark, tmp_root, events):
     assert stats and "rows" in stats[0]
     ingest_batch(t, rows, "k2", catalog_table="awp_write")
     assert spark.table("awp_write").count() == 2 * n
+
+
+def test_recreate_loses_nothing_when_it_dies(spark, tmp_root, monkeypatch):
+    from tidelog.plans import fs
+    spec = TableSpec.from_ddl("a int", "dt string")
+    path = f"{tmp_root}/t_dies"
+    spark.createDataFrame([(1, "x"), (2, "y")], "a int, dt string").write.partitionBy("dt").parquet(path)
+    spark.sql(spec.create_table_sql("t_dies", path))
+    spark.sql(spec.create_table_sql("t_dies__kept", path))      # a user's table
+    recover_partitions(spark, "t_dies")
+
+    def fails(*_):
+        raise OSError("crash")
+    with monkeypatch.context() as m:
+        m.setattr(fs, "delete", fails)
+        with pytest.raises(OSError):
+            recreate_table(spark, "t_dies")
+    recover_partitions(spark, "t_dies")
+    assert spark.table("t_dies").count() == 2       # the definition stands, the files too
+    recreate_table(spark, "t_dies")
+    recover_partitions(spark, "t_dies")
+    assert spark.table("t_dies").count() == 0 and spark.catalog.tableExists("t_dies__kept")
+    for t in [r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith("t_dies")]:
+        spark.sql(f"DROP TABLE {t}")

@@ -24,6 +24,7 @@ SQL by name, or for cost-based optimisation):
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -139,18 +140,20 @@ def compute_stats(spark: SparkSession, table: str, columns: bool = True,
 
 
 def recreate_table(spark: SparkSession, table: str, delete_data: bool = True) -> TableSpec:
-    """Drop ``table`` and create it again from its own catalog schema."""
+    """Drop ``table`` and create it again from its own catalog schema.
+
+    A copy of the definition, under a name of its own, stands before anything
+    goes and is dropped last. The data go after the new definition stands: a run
+    that dies before has lost no file, and one that dies meanwhile is repeated."""
     spec = from_catalog(spark, table)
     if not spec.location:
         raise ValueError(f"{table} has no location")
-    if delete_data:
-        fs.delete(spark, spec.location)
-        fs.mkdirs(spark, spec.location)
-    # the definition exists under another name until the new one is there
-    kept = f"{table}__kept"
-    spark.sql(f"DROP TABLE IF EXISTS {kept}")
+    kept = f"{table}__kept_{uuid.uuid4().hex[:12]}"
     spark.sql(spec.create_table_sql(kept))
     spark.sql(f"DROP TABLE {table}")
     spark.sql(spec.create_table_sql(table))
+    if delete_data:
+        fs.delete(spark, spec.location)
+        fs.mkdirs(spark, spec.location)
     spark.sql(f"DROP TABLE {kept}")
     return spec
