@@ -11,10 +11,20 @@ A worker holds one in-memory DuckDB database, limited in memory, and memos of
 bounded size for texts between blanks: a cut before a blank that follows a
 non-blank never parts a match of the split pattern, so what stands between two
 such cuts is split and encoded by itself. Texts where a blank follows white
-space are split whole. Pieces longer than ``LONG`` bytes would make the
-recursion hold a copy per step; they are contracted in a table, step by step,
-where a step merges all leftmost non-overlapping pairs of the minimum rank if
-no pair made from the merged token can rank below it, which is the same result.
+space are split whole.
+
+The recursion holds a copy of a piece per step, so a query takes pieces by the
+sum of their squared lengths, and pieces longer than ``LONG`` bytes are cut into
+blocks. Blocks are encoded by themselves and joined at seams. A seam holds if the
+tokens beside it, joined and encoded, are the same two tokens; tokens of which
+all neighbours hold so are the encoding of the whole: contraction restricted to
+two neighbours takes the same pairs in the same order, so the first pair across
+a seam would be taken there as well. Where a seam doesn't hold, some tokens on
+either side are encoded as one piece, and its edges are the new seams; the reach
+doubles until all hold. Only texts that repeat with a short period move edges
+far. Such a piece is contracted in a table, in steps: all leftmost
+non-overlapping pairs of the minimum rank up to the first one whose merged
+token would rank lower with a neighbour, which is the same result.
 
 Defined cases: a null text is empty; an empty text has no ids; rows that share
 a doc_id are encoded each by itself; a null doc_id is kept.
@@ -33,9 +43,11 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import give_back, text_batches
 
-LONG = 192              # bytes
+LONG = 64               # bytes
+BLOCK, BLOCK_OF_THREES = 64, 48     # bytes; of text in letters of three bytes
 MEMO = 400_000          # entries of a worker's memo
 CHUNK = 20_000          # pieces of one query
+SQUARES = 16_000_000    # squared bytes of one query's pieces
 MEMORY = "300MB"
 SLICE = 1_000_000       # ids decoded at a time
 
@@ -52,18 +64,18 @@ SELECT w, arg_min(toks, len(toks)) AS toks FROM s GROUP BY w ORDER BY w
 """
 
 STEP = """
-WITH n AS (SELECT w, p, tok, lead(tok) OVER o AS r, row_number() OVER o AS i FROM state
-           WINDOW o AS (PARTITION BY w ORDER BY p)),
-c AS (SELECT n.*, m.merged, min(m.merged) OVER (PARTITION BY n.w) AS best
-      FROM n LEFT JOIN merges m ON m.l = n.tok AND m.r = n.r),
-h AS (SELECT w, p, i, merged, i - row_number() OVER (PARTITION BY w ORDER BY i) AS island,
-             row_number() OVER (PARTITION BY w ORDER BY i) AS nth FROM c WHERE merged = best),
-k AS (SELECT w, i, merged, nth, row_number() OVER (PARTITION BY w, island ORDER BY i) AS odd FROM h),
-g AS (SELECT w, i, merged FROM k LEFT JOIN unsafe u ON u.tok = k.merged
-      WHERE CASE WHEN u.tok IS NULL THEN odd % 2 = 1 ELSE nth = 1 END)
-SELECT c.w, c.p, coalesce(a.merged, c.tok) AS tok FROM c
-LEFT JOIN g a ON a.w = c.w AND a.i = c.i LEFT JOIN g b ON b.w = c.w AND b.i = c.i - 1
-WHERE b.w IS NULL
+WITH n AS (SELECT p, tok, lag(tok) OVER o AS l, lead(tok) OVER o AS r, lead(tok, 2) OVER o AS rr, row_number() OVER o AS i
+           FROM state WINDOW o AS (ORDER BY p)),
+c AS (SELECT i, n.l, rr, m.merged FROM n JOIN merges m ON m.l = n.tok AND m.r = n.r),
+h AS (SELECT i, l, rr, merged, i - row_number() OVER (ORDER BY i) AS island FROM c
+      WHERE merged = (SELECT min(merged) FROM c)),
+k AS (SELECT i, l, rr, merged FROM (SELECT *, row_number() OVER (PARTITION BY island ORDER BY i) AS nth FROM h)
+      WHERE nth % 2 = 1),
+risky AS (SELECT min(k.i) AS i FROM k JOIN merges m
+          ON m.merged < k.merged AND (m.l = k.merged AND m.r IN (k.rr, k.merged) OR m.r = k.merged AND m.l = k.l)),
+g AS (SELECT i, merged FROM k WHERE i <= coalesce((SELECT i FROM risky), i))
+SELECT n.p, coalesce(a.merged, n.tok) AS tok
+FROM n LEFT JOIN g a ON a.i = n.i LEFT JOIN g b ON b.i = n.i - 1 WHERE b.i IS NULL
 """
 
 DECODE = """
@@ -83,7 +95,8 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.iter = regex.compile(pattern).finditer
         self.after_space = regex.compile(r"\s ").search
-        left, right, merged, unsafe = [], [], [], set()
+        self.token = {i: b for b, i in self.ranks.items()}
+        left, right, merged = [], [], []
         for b, m in self.ranks.items():
             for k in range(1, len(b)):
                 l, r = self.ranks.get(b[:k]), self.ranks.get(b[k:])
@@ -91,11 +104,9 @@ class Codec:
                     left.append(l)
                     right.append(r)
                     merged.append(m)
-                    unsafe.update(t for t in (l, r) if m < t)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         int_ = pa.int32()
         self._table("merges", l=pa.array(left, int_), r=pa.array(right, int_), merged=pa.array(merged, int_))
-        self._table("unsafe", tok=pa.array(sorted(unsafe), int_))
         self._table("vocab", tok=pa.array(list(self.ranks.values()), int_),
                     hex=pa.array([b.hex() for b in self.ranks]))
         self.bytes = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int32)
@@ -106,6 +117,8 @@ class Codec:
         self.words: dict[str, tuple[bytes, bytes]] = {}    # match of the pattern: ids, bytes decoded from them
         self.chunks: dict[str, tuple[bytes, bytes]] = {}   # text after a blank: the same
         self.segments: dict[bytes, bytes] = {}             # ids: bytes
+        self.seams: dict[tuple[int, int], bool] = {}       # two tokens: whether they stay apart
+        self.passing: set[str] = set()                     # long texts, to be forgotten
 
     def _table(self, name: str, **columns) -> None:
         arrow = pa.table(columns)  # noqa: F841  read by name
@@ -118,21 +131,69 @@ class Codec:
                     p=(np.arange(size.sum()) - start + 1).astype(np.int64),
                     tok=np.concatenate(rows).astype(np.int32))
 
-    def _contract(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of pieces, by the recursive query; of a long piece, by steps."""
-        toks = [self.bytes[np.frombuffer(b, dtype=np.uint8)] for b in pieces]
-        if len(pieces[0]) > LONG:
-            self._positions(toks, "state")
-            size = -1
-            while size != (size := self.con.execute("SELECT count(*) FROM state").fetchone()[0]):
-                self.con.execute(f"CREATE OR REPLACE TEMP TABLE state AS {STEP}")
-            got = self.con.execute("SELECT tok FROM state ORDER BY p").fetchnumpy()["tok"]
-            return [np.asarray(got, dtype="<u4").tobytes()]
-        self._positions(toks)
-        lists = self.con.sql(ENCODE).to_arrow_table()["toks"].combine_chunks()
-        flat = np.asarray(lists.flatten(), dtype="<u4").tobytes()
-        ends = np.cumsum(np.asarray(lists.value_lengths())).tolist()
-        return [flat[4 * a:4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+    def _contract(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece, by the recursive query."""
+        out: list[list[int]] = []
+        for own in _groups([max(len(b) ** 2, SQUARES // CHUNK) for b in pieces], SQUARES):
+            self._positions([self.bytes[np.frombuffer(b, dtype=np.uint8)] for b in pieces[own]])
+            lists = self.con.sql(ENCODE).to_arrow_table()["toks"].combine_chunks()
+            flat, ends = lists.flatten().to_pylist(), np.cumsum(np.asarray(lists.value_lengths())).tolist()
+            out += [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
+
+    def _stepwise(self, piece: bytes) -> list[int]:
+        """Ids of a piece of any length, contracted in a table."""
+        self._positions([self.bytes[np.frombuffer(piece, dtype=np.uint8)]], "state")
+        size = -1
+        while size != (size := self.con.execute("SELECT count(*) FROM state").fetchone()[0]):
+            self.con.execute(f"CREATE OR REPLACE TEMP TABLE state AS {STEP}")
+        return self.con.execute("SELECT tok FROM state ORDER BY p").fetchnumpy()["tok"].tolist()
+
+    def _ids(self, pieces: set[bytes]) -> dict[bytes, list[int]]:
+        short = [b for b in pieces if len(b) <= 4 * LONG]
+        got = dict(zip(short, self._contract(short), strict=True))
+        return got | {b: self._stepwise(b) for b in pieces if len(b) > 4 * LONG}
+
+    def _learn_seams(self, pairs: set[tuple[int, int]]) -> None:
+        new = [p for p in pairs if p not in self.seams]
+        got = self._contract([self.token[a] + self.token[b] for a, b in new])
+        self.seams.update((p, tuple(ids) == p) for p, ids in zip(new, got, strict=True))
+
+    def _blockwise(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece, from blocks joined at seams that hold."""
+        blocks = []
+        for b in pieces:
+            n = BLOCK_OF_THREES if 0xE0 <= b[0] < 0xF0 else BLOCK
+            blocks.append([b[i:i + n] for i in range(0, len(b), n)])
+        ids = self._ids({x for own in blocks for x in own})
+        rows = [[t for x in own for t in ids[x]] for own in blocks]
+        seams = [np.cumsum([len(ids[x]) for x in own[:-1]]).tolist() for own in blocks]
+        reach = 4
+        while any(seams):
+            self._learn_seams({(t[i - 1], t[i]) for t, own in zip(rows, seams, strict=True) for i in own})
+            spans: list[list[tuple[int, int]]] = []
+            for t, own in zip(rows, seams, strict=True):
+                spans.append([])
+                for i in own:
+                    if not self.seams[t[i - 1], t[i]]:
+                        lo, hi = max(0, i - reach), min(len(t), i + reach)
+                        if spans[-1] and lo <= spans[-1][-1][1]:
+                            lo = spans[-1].pop()[0]
+                        spans[-1].append((lo, hi))
+            raw = [[b"".join(map(self.token.__getitem__, t[lo:hi])) for lo, hi in own]
+                   for t, own in zip(rows, spans, strict=True)]
+            ids = self._ids({x for own in raw for x in own})
+            for n, (t, own) in enumerate(zip(rows, spans, strict=True)):
+                row, at, seams[n] = [], 0, []
+                for (lo, hi), x in zip(own, raw[n], strict=True):
+                    row += t[at:lo]
+                    seams[n] += [len(row)] if lo else []
+                    row += ids[x]
+                    seams[n] += [len(row)] if hi < len(t) else []
+                    at = hi
+                rows[n] = row + t[at:]
+            reach *= 2
+        return rows
 
     def _learn_words(self, new: set[str]) -> None:
         ids: dict[str, bytes] = {}
@@ -144,10 +205,11 @@ class Codec:
                 ids[w] = whole.to_bytes(4, "little")
             else:
                 todo.append((w, b))
-        short = [x for x in todo if len(x[1]) <= LONG]
-        groups = [short[i:i + CHUNK] for i in range(0, len(short), CHUNK)]
-        for part in groups + [[x] for x in todo if len(x[1]) > LONG]:
-            ids.update(zip([w for w, _ in part], self._contract([b for _, b in part]), strict=True))
+        for part, f in (([x for x in todo if len(x[1]) <= LONG], self._contract),
+                        ([x for x in todo if len(x[1]) > LONG], self._blockwise)):
+            got = f([b for _, b in part])
+            ids.update((w, np.asarray(t, dtype="<u4").tobytes()) for (w, _), t in zip(part, got, strict=True))
+        self.passing.update(w for w in new if len(w) > LONG)
         self.words.update(zip(ids, zip(ids.values(), self._decoded(list(ids.values())), strict=True), strict=True))
 
     def _joined(self, words: list[str]) -> tuple[bytes, bytes]:
@@ -155,8 +217,13 @@ class Codec:
         return b"".join([x[0] for x in both]), b"".join([x[1] for x in both])
 
     def _trim(self) -> None:
-        """What came first is what is frequent: it stays when a memo is full."""
-        for name in ("words", "chunks", "segments"):
+        """What came first is what is frequent: it stays when a memo is full.
+        Long texts go at once, as memos are bounded by entries."""
+        for w in self.passing:
+            self.words.pop(w, None)
+            self.chunks.pop(w, None)
+        self.passing = set()
+        for name in ("words", "chunks", "segments", "seams"):
             memo = getattr(self, name)
             if len(memo) > MEMO:
                 setattr(self, name, dict(islice(memo.items(), MEMO // 2)))
@@ -178,6 +245,7 @@ class Codec:
         self._learn_words({w for ws in found for w in ws if w not in self.words}
                           | {w for cs in split if cs for w in self.find(cs[0]) if w not in self.words})
         self.chunks.update(zip(new, map(self._joined, found), strict=True))
+        self.passing.update(c for c in new if len(c) > LONG)
         get = self.chunks.__getitem__
         out = []
         for t, cs in zip(texts, split, strict=True):

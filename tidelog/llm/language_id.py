@@ -13,7 +13,8 @@ texts and nothing but the text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 without any training row everything is ``und``; rows with a null language or
-id do not train.
+id do not train; repeated rows are predicted each by itself, and train each by
+itself. A very long text is counted slice by slice.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import text_batches
 
 DIMS = 4096
+SLICE = 100_000    # characters counted at a time
 PER_LANGUAGE = 500
 UNKNOWN = "und"
 HELD_OUT = 2       # remainder of crc32(id) by 4 that never trains
@@ -72,18 +74,32 @@ def features(text: str | None) -> np.ndarray | None:
     """Unit vector of a text's letter n-grams; None without any letter."""
     if not text:
         return None
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = _letters()[codes]
-    if not letter.any():
+    text = text.lower()
+    n = np.zeros(DIMS, dtype=np.int64)
+    seen, before, last = False, False, np.array([32], dtype=np.uint64)
+
+    def add(c: np.ndarray, own: bool = True) -> np.ndarray:
+        """Counts what ends in ``c``, which follows ``last``."""
+        c = np.concatenate([last, c])
+        pair = c[:-1] * np.uint64(0x1F3D5B79) + c[1:]
+        three = pair[:-1] * np.uint64(0x2545F491) + c[2:]
+        for x in (c[len(last):] if own else c[:0], pair[len(last) - 1:], three):
+            n[:] += np.bincount(_mix(x).astype(np.int64), minlength=DIMS)
+        return c[-2:]
+
+    for i in range(0, len(text), SLICE):
+        codes = np.frombuffer(text[i:i + SLICE].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        letter = _letters()[codes]
+        seen |= bool(letter.any())
+        # every run of other characters is one blank; a blank on either end
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= before
+        before = bool(letter[-1])
+        last = add(np.where(letter, codes, 32)[keep].astype(np.uint64))
+    if not seen:
         return None
-    # every run of other characters is one blank; a blank on either end
-    c = np.where(letter, codes, 32)
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]
-    c = np.concatenate([[32], c[keep], [32]]).astype(np.uint64)
-    pair = c[:-1] * np.uint64(0x1F3D5B79) + c[1:]
-    three = pair[:-1] * np.uint64(0x2545F491) + c[2:]
-    n = np.bincount(np.concatenate([_mix(c[1:-1]), _mix(pair), _mix(three)]).astype(np.int64), minlength=DIMS)
+    add(np.array([32], dtype=np.uint64), False)
     x = np.log1p(n).astype(np.float32)
     return x / np.linalg.norm(x)
 
