@@ -23,13 +23,15 @@ from tidelog.functions.derive import parse_ts
 from tidelog.operators.stats import column_stats, offset_ranges, partition_stats
 from tidelog.operators.union import view_extended, view_steady
 from tidelog.operators.write import write_partitioned
-from tidelog.plans.compact import compact, files_per_partition, fold
+from tidelog.plans.changes import changes, mark
+from tidelog.plans.compact import (compact, files_per_partition, fold, merge_gens, publish_rewrite,
+                                   rewrite)
 from tidelog.plans.evolve import add_column, evolve, rename_column, widen_column
 from tidelog.plans.fs import list_names
 from tidelog.plans.ledger import ledger_intervals
 from tidelog.plans.maintain import (recover_partitions, recreate_table, refresh, register_areas,
                                     register_catalog_view)
-from tidelog.plans.table import LogicalTable, TableMissing
+from tidelog.plans.table import LogicalTable, PublishConflict, TableMissing
 from tidelog.session import prepare, work_dir
 from tidelog.sources.events_feed import EVENTS_SPEC, leg, raw_log, raw_log_dirty
 from tidelog.sources.schema import TableSpec, from_catalog, from_template
@@ -527,6 +529,53 @@ def q_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.join(rows, "partition", "full")
 
 
+def q_view_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows new since three moments, read after folds and a merge of what was
+    old then with what came later."""
+    ev = _events(spark, sf_dir)
+    t = _table(spark, "view_changes")
+    marks = {"nothing": None}
+    _ingest(t, leg(ev, "R"), "r")
+    marks["R"] = mark(t)                  # beside the state, folded later
+    compact(t)
+    _ingest(t, leg(ev, "W_a"), "w_a")
+    marks["W_a"] = mark(t)
+    _ingest(t, leg(ev, "W_b").where("event_id % 2 = 0"), "w_b0")
+    compact(t)                            # one gen of old and new keys
+    merge_gens(t)
+    _ingest(t, leg(ev, "W_b").where("event_id % 2 = 1 OR event_id IS NULL"), "w_b1")
+    parts = [_g(changes(t, m)).withColumn("since", F.lit(n)) for n, m in marks.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_publish_race(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folds and a merge made on one state are all published; a second fold
+    of the same batch is refused."""
+    ev = _events(spark, sf_dir)
+    t = _table(spark, "publish_race")
+    for k in (0, 1):
+        _ingest(t, leg(ev, "R").where(F.coalesce(F.pmod("event_id", F.lit(2)), F.lit(0)) == k), f"r{k}")
+        compact(t)
+    _ingest(t, leg(ev, "W_a"), "w_a")
+    _ingest(t, leg(ev, "W_b"), "w_b")
+    base = t.state()
+    rewrite(t, list(base.gens), "merged")
+    for gen, key in (("fold-a", "w_a"), ("fold-b", "w_b"), ("fold-again", "w_a")):
+        fold(t, [key], gen)
+    publish_rewrite(t, base, "fold-a", keys=["w_a"])
+    publish_rewrite(t, base, "merged", merged=list(base.gens))
+    publish_rewrite(t, base, "fold-b", keys=["w_b"])
+    refused = 0
+    try:
+        publish_rewrite(t, base, "fold-again", keys=["w_a"])
+    except PublishConflict:
+        refused = 1
+    st = t.state()
+    rows = t.read_leg(list(st.gens), st)
+    return rows.groupBy("gen", "dt", "appid").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "refused", F.lit(refused)).withColumn("left_beside", F.lit(len(t.delta_keys(st))))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: replay the events feed, decode, derive partitions, append as
     partitioned Parquet, read the logical table back and summarise it."""
@@ -570,6 +619,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "apps_by_name": q_apps_by_name,
         "schema_evolved": q_schema_evolved,
         "ingest_ledger": q_ingest_ledger,
+        "view_changes": q_view_changes,
+        "publish_race": q_publish_race,
     }
 
 
@@ -693,4 +744,12 @@ def oracle_sql() -> dict[str, str]:
             "min(event_id // 13) AS from_offset, max(event_id // 13) + 1 AS until_offset, "
             "CAST(1 AS BIGINT) AS intervals, count(*) AS n, count(DISTINCT event_id) AS n_ids "
             "FROM events GROUP BY ALL"),
+        "view_changes": " UNION ALL ".join(
+            f"SELECT strftime(ts, '%Y%m%d') AS dt, event_type AS appid, count(*) AS n, round(sum(value), 2) AS sv, "
+            f"'{since}' AS since FROM events WHERE event_id % 3 >= {k} GROUP BY ALL"
+            for k, since in enumerate(("nothing", "R", "W_a"))),
+        "publish_race": (
+            "SELECT CASE event_id % 3 WHEN 0 THEN 'merged' WHEN 1 THEN 'fold-a' ELSE 'fold-b' END AS gen, "
+            "strftime(ts, '%Y%m%d') AS dt, event_type AS appid, count(*) AS n, 1 AS refused, 0 AS left_beside "
+            "FROM events GROUP BY ALL"),
     }

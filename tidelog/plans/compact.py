@@ -12,10 +12,12 @@ One run:
 
 Ingest keeps running the whole time: a batch that commits after step 1 is
 simply not in ``keys`` and stays in the write leg. A run that dies before
-step 3 leaves a gen that no state lists, so nobody reads it; a second
-compactor that loses the race to publish gets :class:`PublishConflict` and
-its gen stays unlisted as well. :func:`vacuum` removes such leftovers and the
-folded key directories once no reader can still need them.
+step 3 leaves a gen that no state lists, so nobody reads it. When another job
+publishes first, the finished gen is published on the newer state as long as
+both are disjoint (:func:`publish_rewrite`); a compactor whose keys were folded
+by another one gets :class:`PublishConflict` and its gen stays unlisted.
+:func:`vacuum` removes such leftovers and the folded key directories once no
+reader can still need them.
 
 Only history since the last run is rewritten; earlier gens are never copied
 again.
@@ -33,8 +35,8 @@ from tidelog.operators.write import quoted, write_partitioned
 from tidelog.plans import fs
 from tidelog.plans.evolve import SPECS_AREA
 from tidelog.plans.maintain import add_written_partitions, compute_stats, refresh
-from tidelog.plans.table import (GEN_COL, INGEST_ONLY, KEY_COL, LogicalTable, PublishConflict,
-                                 State)
+from tidelog.plans.table import (GEN_COL, INGEST_ONLY, KEY_COL, LINEAGE_AREA, LogicalTable,
+                                 PublishConflict, State)
 
 # Size-driven files; a number bounds the files per (dt, appid) directory.
 DEFAULT_FILES_PER_PARTITION = None
@@ -61,6 +63,38 @@ def fold(table: LogicalTable, keys: list[str], gen: str,
                       files_per_partition, mode="errorifexists", compression=compression)
 
 
+def rewrite(table: LogicalTable, gens: list[str], gen: str,
+            files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION, compression: str | None = None) -> None:
+    """Write the rows of ``gens`` as gen ``gen`` (not yet visible)."""
+    cols = map(quoted, table.spec.column_names + table.read_partitions())
+    write_partitioned(table.read_leg(gens).select(*cols), table.gen_path(gen), table.read_partitions(),
+                      files_per_partition, mode="errorifexists", compression=compression)
+
+
+def publish_rewrite(table: LogicalTable, base: State, gen: str, keys: list[str] | None = None,
+                    merged: list[str] | None = None, attempts: int = 20) -> State:
+    """Publish ``gen``, which holds the rows of ``keys`` and of the gens
+    ``merged`` and was made on the state ``base``.
+
+    When another job publishes meanwhile, the gen goes on the newer state
+    unless that job took one of the same sources: then its rows are visible
+    already, and :class:`PublishConflict` is raised. So a finished rewrite is
+    only lost to another one of the same rows."""
+    keys, merged = set(keys or ()), set(merged or ())
+    for attempt in range(attempts):
+        gens = [g for g in base.gens if g not in merged] + [gen]
+        try:
+            return table.publish(base, gens, list(base.folded) + sorted(keys))
+        except PublishConflict:
+            base = table.state()
+            # a folded key may be forgotten already, but then its directory is gone
+            free = merged <= set(base.gens) and not keys & set(base.folded) and (
+                not keys or keys <= set(table.committed_keys()))
+            if attempt == attempts - 1 or not free:
+                raise
+    raise AssertionError("unreachable")
+
+
 def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
             run_id: str | None = None, compression: str | None = None,
             max_keys: int | None = None, catalog_table: str | None = None,
@@ -81,7 +115,7 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
         return CompactionResult(None, [], base)
     gen = f"{base.version + 1:010d}-{run_id or uuid.uuid4().hex[:12]}"
     fold(table, keys, gen, files_per_partition, compression)
-    new = table.publish(base, list(base.gens) + [gen], list(base.folded) + keys)
+    new = publish_rewrite(table, base, gen, keys=keys)
     if catalog_table:
         add_written_partitions(table, catalog_table, gen=gen)
         if analyze:
@@ -94,35 +128,23 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
 
 def merge_gens(table: LogicalTable, gens: list[str] | None = None,
                files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-               run_id: str | None = None, compression: str | None = None,
-               attempts: int = 5) -> CompactionResult:
+               run_id: str | None = None, compression: str | None = None) -> CompactionResult:
     """Rewrite several gens of the read area as one (all listed gens by
     default) and swap them in the same atomic publish: the rows move from the
     old gens to the new one in one step, so each stays visible once. The old
     directories become unlisted and are removed by :func:`vacuum`.
 
     When another job publishes meanwhile, the swap is tried again on the new
-    state as long as it still lists the chosen gens, so the work isn't lost."""
+    state as long as it still lists the chosen gens, so the work isn't lost
+    (:func:`publish_rewrite`)."""
     base = table.state()
     table = table.at(base)
     chosen = list(base.gens) if gens is None else [g for g in base.gens if g in set(gens)]
     if len(chosen) < 2:
         return CompactionResult(None, [], base)
     new_gen = f"{base.version + 1:010d}-{run_id or uuid.uuid4().hex[:12]}"
-    cols = map(quoted, table.spec.column_names + table.read_partitions())
-    rows = table.read_leg(chosen).select(*cols)
-    write_partitioned(rows, table.gen_path(new_gen), table.read_partitions(), files_per_partition,
-                      mode="errorifexists", compression=compression)
-    for attempt in range(attempts):
-        keep = [g for g in base.gens if g not in set(chosen)]
-        try:
-            new = table.publish(base, keep + [new_gen], list(base.folded))
-            return CompactionResult(new_gen, [], new)
-        except PublishConflict:
-            base = table.state()
-            if attempt == attempts - 1 or not set(chosen) <= set(base.gens):
-                raise
-    raise AssertionError("unreachable")
+    rewrite(table, chosen, new_gen, files_per_partition, compression)
+    return CompactionResult(new_gen, [], publish_rewrite(table, base, new_gen, merged=chosen))
 
 
 def gen_bytes(table: LogicalTable) -> dict[str, int]:
@@ -208,6 +230,11 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
             if not fs.exists(table.spark, path):
                 break
             fs.delete(table.spark, path)
+        # lineage between states that are gone; a gen not published yet is young
+        for name in fs.list_names(table.spark, f"{table.root}/{LINEAGE_AREA}"):
+            path = f"{table.root}/{LINEAGE_AREA}/{name}"
+            if name.removesuffix(".json") not in listed and fs.mtime(table.spark, path) <= cutoff:
+                fs.delete(table.spark, path)
     return removed
 
 

@@ -6,6 +6,7 @@ Layout under the table root::
     read/gen=<genId>/dt=…/appid=…/part-*.parquet                 (+ gen=…/_SUCCESS)
     state/v0000000000.json  {"version", "gens", "folded", "spec"[, "evolved", "gen_specs"]}
     specs/<version>/<batchKey>   empty marker of a key written after a schema change
+    lineage/<genId>.json  {"keys", "gens", "spec_version"}: what a gen was made of
 
 * An ingest batch writes one key directory; the key is committed once its
   ``_SUCCESS`` marker exists, and a committed key never changes.
@@ -42,6 +43,7 @@ from tidelog.sources.schema import TableSpec
 WRITE_AREA = "write"
 READ_AREA = "read"
 STATE_AREA = "state"
+LINEAGE_AREA = "lineage"
 KEY_COL = "key"
 GEN_COL = "gen"
 INGEST_ONLY = "storeid"
@@ -164,6 +166,10 @@ class LogicalTable:
         """Publish ``base.version + 1`` atomically; fail if someone else did.
         Gens that ``base`` doesn't list were written by this handle."""
         under = {g: base.gen_specs.get(g, 0) if g in base.gens else self.spec_version for g in gens}
+        new = [g for g in gens if g not in base.gens]
+        if len(new) == 1:       # the sources of several could not be told apart
+            self._record_lineage(new[0], sorted(set(folded) - set(base.folded)),
+                                 [g for g in base.gens if g not in set(gens)])
         return self._publish(State(base.version + 1, tuple(gens), tuple(folded), base.spec, evolved=base.evolved,
                                    gen_specs={g: v for g, v in under.items() if v}))
 
@@ -177,6 +183,20 @@ class LogicalTable:
             raise PublishConflict(f"state v{nxt.version} of {self.root} exists already")
         return nxt
 
+    def lineage_path(self, gen: str) -> str:
+        return f"{self.root}/{LINEAGE_AREA}/{gen}.json"
+
+    def _record_lineage(self, gen: str, keys: list[str], gens: list[str]) -> None:
+        """Written before the gen is published; another attempt to publish the
+        same gen has the same sources."""
+        doc = {"keys": keys, "gens": gens, "spec_version": self.spec_version}
+        fs.create_exclusive(self.spark, self.lineage_path(gen), json.dumps(doc, sort_keys=True))
+
+    def lineage(self, gen: str) -> dict | None:
+        """What a gen was made of; None if no document says so."""
+        path = self.lineage_path(gen)
+        return json.loads(fs.read_text(self.spark, path)) if fs.exists(self.spark, path) else None
+
     # -- areas and keys ---------------------------------------------------------
     @property
     def write_path(self) -> str:
