@@ -84,6 +84,10 @@ FROM positions JOIN vocab v ON v.tok = positions.tok
 """
 
 
+def _listed(ids: bytes) -> list[int]:
+    return np.frombuffer(ids, dtype="<u4").tolist()
+
+
 class Codec:
     """Encoder and decoder of one worker."""
 
@@ -131,13 +135,14 @@ class Codec:
                     p=(np.arange(size.sum()) - start + 1).astype(np.int64),
                     tok=np.concatenate(rows).astype(np.int32))
 
-    def _contract(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece, by the recursive query."""
-        out: list[list[int]] = []
+    def _contract(self, pieces: list[bytes]) -> list[bytes]:
+        """Little-endian ids of each piece, by the recursive query."""
+        out: list[bytes] = []
         for own in _groups([max(len(b) ** 2, SQUARES // CHUNK) for b in pieces], SQUARES):
             self._positions([self.bytes[np.frombuffer(b, dtype=np.uint8)] for b in pieces[own]])
             lists = self.con.sql(ENCODE).to_arrow_table()["toks"].combine_chunks()
-            flat, ends = lists.flatten().to_pylist(), np.cumsum(np.asarray(lists.value_lengths())).tolist()
+            flat = np.asarray(lists.flatten(), dtype="<u4").tobytes()
+            ends = (4 * np.cumsum(np.asarray(lists.value_lengths()))).tolist()
             out += [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         return out
 
@@ -151,16 +156,16 @@ class Codec:
 
     def _ids(self, pieces: set[bytes]) -> dict[bytes, list[int]]:
         short = [b for b in pieces if len(b) <= 4 * LONG]
-        got = dict(zip(short, self._contract(short), strict=True))
+        got = dict(zip(short, map(_listed, self._contract(short)), strict=True))
         return got | {b: self._stepwise(b) for b in pieces if len(b) > 4 * LONG}
 
     def _learn_seams(self, pairs: set[tuple[int, int]]) -> None:
         new = [p for p in pairs if p not in self.seams]
         got = self._contract([self.token[a] + self.token[b] for a, b in new])
-        self.seams.update((p, tuple(ids) == p) for p, ids in zip(new, got, strict=True))
+        self.seams.update((p, tuple(_listed(ids)) == p) for p, ids in zip(new, got, strict=True))
 
-    def _blockwise(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece, from blocks joined at seams that hold."""
+    def _blockwise(self, pieces: list[bytes]) -> list[bytes]:
+        """Little-endian ids of each piece, from blocks joined at seams that hold."""
         blocks = []
         for b in pieces:
             n = BLOCK_OF_THREES if 0xE0 <= b[0] < 0xF0 else BLOCK
@@ -193,7 +198,7 @@ class Codec:
                     at = hi
                 rows[n] = row + t[at:]
             reach *= 2
-        return rows
+        return [np.array(t, dtype="<u4").tobytes() for t in rows]
 
     def _learn_words(self, new: set[str]) -> None:
         ids: dict[str, bytes] = {}
@@ -205,11 +210,11 @@ class Codec:
                 ids[w] = whole.to_bytes(4, "little")
             else:
                 todo.append((w, b))
-        for part, f in (([x for x in todo if len(x[1]) <= LONG], self._contract),
-                        ([x for x in todo if len(x[1]) > LONG], self._blockwise)):
-            got = f([b for _, b in part])
-            ids.update((w, np.asarray(t, dtype="<u4").tobytes()) for (w, _), t in zip(part, got, strict=True))
-        self.passing.update(w for w in new if len(w) > LONG)
+        short, long = [x for x in todo if len(x[1]) <= LONG], [x for x in todo if len(x[1]) > LONG]
+        ids.update(zip([w for w, _ in short], self._contract([b for _, b in short]), strict=True))
+        if long:
+            ids.update(zip([w for w, _ in long], self._blockwise([b for _, b in long]), strict=True))
+            self.passing.update(w for w, _ in long)
         self.words.update(zip(ids, zip(ids.values(), self._decoded(list(ids.values())), strict=True), strict=True))
 
     def _joined(self, words: list[str]) -> tuple[bytes, bytes]:
@@ -245,7 +250,8 @@ class Codec:
         self._learn_words({w for ws in found for w in ws if w not in self.words}
                           | {w for cs in split if cs for w in self.find(cs[0]) if w not in self.words})
         self.chunks.update(zip(new, map(self._joined, found), strict=True))
-        self.passing.update(c for c in new if len(c) > LONG)
+        if len(self.passing) or max(map(len, new), default=0) > 4 * LONG:
+            self.passing.update(c for c in new if len(c) > LONG)
         get = self.chunks.__getitem__
         out = []
         for t, cs in zip(texts, split, strict=True):
