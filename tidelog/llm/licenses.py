@@ -103,57 +103,103 @@ def _scores(own: Column, candidates: Column, threshold: float) -> Column:
     return F.filter(scored, lambda s: s["score"] <= -threshold)
 
 
-def _tokens(words: Column, ends: Column) -> Column:
-    """struct(at, was, gram, end) of each word but the first with the one
-    before, in text order: the place of the same bigram's last occurrence (0
-    if there is none), and the number of the line that ends with the word."""
+def _lines(ws: Column) -> Column:
+    """struct(line, from, to) of each line that has words: the words before it,
+    and those up to its end."""
+    last = lambda n: F.filter(F.transform(n, lambda i, p: F.when(
+        i != F.coalesce(F.get(n, p + 1), F.lit(-1)), F.struct(i.alias("line"), (p + 1).alias("to")))),
+        lambda e: e.isNotNull())
+    return _let(F.flatten(F.transform(ws, lambda w, i: F.transform(w, lambda _: i))), lambda n: _let(
+        last(n), lambda es: F.transform(es, lambda e, k: F.struct(
+            e["line"].alias("line"), F.coalesce(F.get(es, k - 1)["to"], F.lit(0)).alias("from"), e["to"].alias("to")))))
+
+
+def _groups(words: Column) -> Column:
+    """struct(gram, kind, places) of each distinct bigram, in their order; a
+    place is (at, was): the number of the first word, and the one of the same
+    bigram's occurrence before (0 if there is none)."""
     listed = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.struct(
         F.concat_ws(" ", words[i], w).alias("gram"), (i + 1).alias("at")))
-    before = lambda s: F.transform(s, lambda x, i: F.struct(
-        x["at"].alias("at"), F.when((i > 0) & (F.get(s, i - 1)["gram"] == x["gram"]), F.get(s, i - 1)["at"])
-        .otherwise(0).alias("was"), x["gram"].alias("gram")))
-    # the first line that ends there; blank ones after it end there too
-    return _let(F.array_sort(_let(F.array_sort(listed), before)), lambda ts: F.transform(ts, lambda x: F.struct(
-        x["at"].alias("at"), x["was"].alias("was"), x["gram"].alias("gram"),
-        (F.array_position(ends, x["at"] + 1).cast("int") - 1).alias("end"))))
-
-
-def _runs(tokens: Column, starts: Column, ends: Column, lines: Column, t: Column, threshold: float) -> Column:
+    heads = lambda s: F.filter(F.transform(s, lambda x, i: F.when(
+        ~x["gram"].eqNullSafe(F.get(s, i - 1)["gram"]), i)), lambda i: i.isNotNull())
+    places = lambda own: F.transform(own, lambda x, j: F.struct(
+        x["at"].alias("at"), F.coalesce(F.get(own, j - 1)["at"], F.lit(0)).alias("was")))
+    return _let(F.array_sort(listed), lambda s: _let(heads(s), lambda hs: F.transform(hs, lambda h, k: F.struct(
+        s[h]["gram"].alias("gram"), F.lit(1).alias("kind"), _let(
+            F.slice(s, h + 1, F.coalesce(F.get(hs, k + 1), F.size(s)) - h), places).alias("places")))))
+
+
+def _marked(groups: Column, hits: Column) -> Column:
+    """struct(at, was, hit) of each word but the last with the one after, in
+    text order; a hit is a bigram of ``hits``. Both are sorted together, so
+    that a bigram that is hit follows its like."""
+    none = F.array().cast("array<struct<at:int,was:int>>")
+    known = F.transform(hits, lambda g: F.struct(g.alias("gram"), F.lit(0).alias("kind"), none.alias("places")))
+    return _let(F.array_sort(F.concat(groups, known)), lambda gs: F.array_sort(F.flatten(F.transform(
+        gs, lambda g, i: _let(g["gram"].eqNullSafe(F.get(gs, i - 1)["gram"]), lambda hit: F.transform(
+            g["places"], lambda x: F.struct(x["at"].alias("at"), x["was"].alias("was"), hit.alias("hit"))))))))
+
+
+def _counted(lines: Column, tokens: Column) -> Column:
+    """``lines`` with what a run needs to count their bigrams: how many occur
+    for the first time in the text, and the place before of each other one, of
+    all and of hits; the same of the bigram that leads into the line."""
+    first = lambda own, f: F.size(F.filter(own, lambda x: f(x) & (x["was"] == 0)))
+    again = lambda own, f: F.transform(F.filter(own, lambda x: f(x) & (x["was"] > 0)), lambda x: x["was"])
+    every, hit = lambda x: F.lit(True), lambda x: x["hit"]
+    return F.transform(lines, lambda l: _let(F.slice(tokens, l["from"] + 1, l["to"] - l["from"] - 1), lambda own: F.struct(
+        l["line"].alias("line"), l["from"].alias("from"), l["to"].alias("to"),
+        first(own, every).alias("new"), first(own, hit).alias("new_hits"),
+        again(own, every).alias("was"), again(own, hit).alias("was_hits"), F.get(tokens, l["from"] - 1).alias("lead"))))
+
+
+def _runs(groups: Column, lines: Column, place: Column, scores: Column, t: Column, threshold: float) -> Column:
     """struct(score, license, line, last, from, to, number, size) of the best run
-    of the template ``t`` from each line; ``lines`` has the lines' scores."""
-    marked = F.transform(tokens, lambda x: F.struct(
-        x["at"].alias("at"), x["was"].alias("was"), x["end"].alias("end"),
-        F.array_contains(t["grams"], x["gram"]).alias("hit")))
-
-    def best(toks: Column, i: Column) -> Column:
-        a = starts[i]
-        none = F.struct(F.lit(0).alias("own"), F.lit(0).alias("both"), F.lit(0.0).alias("score"), F.lit(-1).alias("end"))
-
-        def step(s: Column, x: Column) -> Column:
-            new = F.when(x["was"] <= a, 1).otherwise(0)
-            counted = F.struct((s["own"] + new).alias("own"),
-                               (s["both"] + F.when(x["hit"], new).otherwise(0)).alias("both"))
+    of the template ``t`` from each line. ``place`` has the index in ``lines`` of
+    each word, ``scores`` what each line alone scores."""
+    since = lambda was, a: F.size(F.filter(was, lambda w: w <= a))
+
+    def best(rows: Column, k: Column) -> Column:
+        a = rows[k]["from"]
+        start = F.struct((rows[k]["new"] + since(rows[k]["was"], a)).alias("own"),
+                         (rows[k]["new_hits"] + since(rows[k]["was_hits"], a)).alias("both"),
+                         F.lit(0.0).alias("score"), F.lit(-1).alias("last"), F.lit(0).alias("to"))
+        end = F.coalesce(F.get(place, a + t["words"] - 1), F.size(rows) - 1)
+
+        def step(s: Column, r: Column) -> Column:
+            lead = F.when(r["lead"]["was"] <= a, 1).otherwise(0)
+            counted = F.struct(
+                (s["own"] + r["new"] + since(r["was"], a) + lead).alias("own"),
+                (s["both"] + r["new_hits"] + since(r["was_hits"], a) + F.when(r["lead"]["hit"], lead).otherwise(0)).alias("both"))
             return _let(counted, lambda c: _let(F.when(
-                (x["end"] > i) & c["own"].between(t["low"], t["high"]),
+                (r["to"] - a <= t["words"]) & c["own"].between(t["low"], t["high"]),
                 2.0 * c["both"] / (c["own"] + F.size(t["grams"]))).otherwise(0.0), lambda d: F.struct(
                     c["own"].alias("own"), c["both"].alias("both"), F.greatest(d, s["score"]).alias("score"),
-                    F.when(d >= s["score"], x["end"]).otherwise(s["end"]).alias("end"))))
+                    F.when(d >= s["score"], r["line"]).otherwise(s["last"]).alias("last"),
+                    F.when(d >= s["score"], r["to"]).otherwise(s["to"]).alias("to"))))
 
-        return F.aggregate(F.slice(toks, a + 1, t["words"] - 1), none, step, lambda s: F.struct(
-            (-s["score"]).alias("score"), t["license"].alias("license"), i.alias("line"), s["end"].alias("last"),
-            a.alias("from"), F.coalesce(F.get(ends, s["end"]), F.lit(0)).alias("to"), t["number"].alias("number"),
+        return F.aggregate(F.slice(rows, k + 2, end - k), start, step, lambda s: F.struct(
+            (-s["score"]).alias("score"), t["license"].alias("license"), rows[k]["line"].alias("line"),
+            s["last"].alias("last"), a.alias("from"), s["to"].alias("to"), t["number"].alias("number"),
             F.size(t["grams"]).alias("size")))
 
-    def found(toks: Column) -> Column:
-        begins = F.filter(F.sequence(F.lit(0), F.size(starts) - 1), lambda i: (starts[i] < ends[i]) & F.exists(
-            F.slice(toks, starts[i] + 1, ends[i] - starts[i]), lambda x: x["hit"]))
+    def begins(hits: Column, rows: Column) -> Column:
+        """Lines with a hit from which as many follow as a match needs."""
+        lined = F.transform(hits, lambda x, p: F.struct(place[x["at"] - 1].alias("k"), p.alias("p")))
+        return _let(lined, lambda ls: F.transform(F.filter(ls, lambda x: ~x["k"].eqNullSafe(F.get(ls, x["p"] - 1)["k"]) & (
+            F.get(hits, x["p"] + t["low"] - 1)["at"] <= rows[x["k"]]["from"] + t["words"] - 1)), lambda x: x["k"]))
+
+    def found(tokens: Column) -> Column:
         whole = lambda r: (r["from"] == 0) & (r["to"] == F.size(tokens) + 1)
-        beaten = lambda r: F.exists(F.slice(lines, r["line"] + 1, r["last"] - r["line"] + 1), lambda own: F.exists(
+        beaten = lambda r: F.exists(F.slice(scores, r["line"] + 1, r["last"] - r["line"] + 1), lambda own: F.exists(
             own, lambda s: (s["number"] == t["number"]) & (s["score"] <= r["score"])))
-        return F.filter(F.transform(begins, lambda i: best(toks, i)),
-                        lambda r: (r["score"] <= -threshold) & ~whole(r) & ~beaten(r))
+        return _let(_counted(lines, tokens), lambda rows: _let(F.filter(tokens, lambda x: x["hit"]), lambda hits: F.filter(
+            F.transform(begins(hits, rows), lambda k: best(rows, k)),
+            lambda r: (r["score"] <= -threshold) & ~whole(r) & ~beaten(r))))
 
-    return _let(marked, found)
+    # a match holds at least ``low`` of the template's bigrams
+    return _let(F.array_intersect(F.transform(groups, lambda g: g["gram"]), t["grams"]), lambda hits: F.when(
+        F.size(hits) >= t["low"], _let(_marked(groups, hits), found)))
 
 
 def _chosen(runs: Column, threshold: float) -> Column:
@@ -168,24 +214,23 @@ def _chosen(runs: Column, threshold: float) -> Column:
 def _matches(ws: Column, words: Column, candidates: Column, threshold: float) -> Column:
     """Matches of the text with the lines of words ``ws``, together ``words``."""
     scores = lambda w: _let(_bigrams(w), lambda own: _scores(own, candidates, threshold))
-    ends = F.transform(F.sequence(F.lit(1), F.size(ws)), lambda i: F.aggregate(
-        F.slice(ws, 1, i), F.lit(0), lambda n, w: n + F.size(w)))
     match = lambda line, last, s: F.struct(
         line.alias("line"), last.alias("last"), (-s["score"]).alias("score"), s["license"].alias("license"))
     best = lambda own: F.array_min(F.transform(own, lambda s: F.struct(s["score"], s["license"])))
 
-    def all_units(starts: Column, ends: Column, lines: Column) -> Column:
+    def all_units(groups: Column, filled: Column, lines: Column) -> Column:
         of_lines = F.filter(F.transform(lines, lambda own, i: F.when(F.size(own) > 0, _let(
             best(own), lambda s: match(i + 1, i + 1, s)))), lambda m: m.isNotNull())
         of_all = _let(scores(words), lambda own: F.when(F.size(own) > 0, F.array(_let(
             best(own), lambda s: match(F.lit(0), F.lit(0), s)))).otherwise(F.slice(of_lines, 1, 0)))
-        runs = _let(_tokens(words, ends), lambda toks: F.flatten(F.transform(
-            candidates, lambda t: _runs(toks, starts, ends, lines, t, threshold))))
+        place = F.flatten(F.transform(filled, lambda l, k: F.array_repeat(k, l["to"] - l["from"])))
+        runs = _let(place, lambda at: F.flatten(F.filter(F.transform(
+            candidates, lambda t: _runs(groups, filled, at, lines, t, threshold)), lambda r: r.isNotNull())))
         of_runs = F.transform(_chosen(runs, threshold), lambda r: match(r["line"] + 1, r["last"] + 1, r))
         return F.when(F.size(ws) > 1, F.array_sort(F.concat(of_all, of_lines, of_runs))).otherwise(of_lines)
 
-    return _let(ends, lambda e: _let(F.transform(e, lambda n, i: n - F.size(ws[i])), lambda a: _let(
-        F.transform(ws, scores), lambda ls: all_units(a, e, ls))))
+    return _let(_groups(words), lambda g: _let(_lines(ws), lambda f: _let(
+        F.transform(ws, scores), lambda ls: all_units(g, f, ls))))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
