@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.decode import decode_json, preview
 from tidelog.functions.derive import parse_ts
-from tidelog.operators.stats import column_stats, offset_ranges, partition_stats
+from tidelog.operators.stats import column_stats, offset_gaps, offset_ranges, partition_stats
 from tidelog.operators.union import view_extended, view_steady
 from tidelog.operators.write import write_partitioned
 from tidelog.plans.changes import changes, mark
@@ -39,6 +39,7 @@ from tidelog.sources.stream import keep_from_offsets, read_file_stream
 from tidelog.streaming.apps import compaction_app, ingest_app
 from tidelog.streaming.ingest import (decode_and_derive, ingest_batch, offset_reports,
                                       start_ingest)
+from tidelog.streaming.rejects import ingest_with_rejects, rejects
 
 # The training-data operators and their pipeline are optional; a part of them
 # that is there but fails to import is an error.
@@ -205,6 +206,30 @@ def q_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_ranges(raw_log(_events(spark, sf_dir)))
 
 
+def q_decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged feed: rows by application, rejects by reason with their offsets;
+    the batch comes twice, and is folded before it comes a third time."""
+    env = raw_log_dirty(_events(spark, sf_dir))
+    t = _table(spark, "decode_rejects")
+    for again in range(3):
+        ingest_with_rejects(t, env, "batch", tz=CONTRACT_TZ)
+        if again:
+            compact(t)
+    rows = t.snapshot().groupBy("appid").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("row").alias("kind"), F.col("appid").alias("name"), "n", F.lit(None).cast("bigint").alias("offsets"))
+    bad = rejects(t).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("offset").alias("offsets")).select(
+        F.lit("reject").alias("kind"), F.col("reason").alias("name"), "n", "offsets")
+    return rows.unionByName(bad)
+
+
+def q_offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with ranges of offsets left out and some records sent thrice."""
+    env = raw_log(_events(spark, sf_dir))
+    kept = env.where(~(F.pmod("offset", F.lit(50)).between(7, 9)))
+    again = kept.where("CAST(key AS BIGINT) % 97 = 0")
+    return offset_gaps(kept.unionByName(again).unionByName(again))
+
+
 # ---------------------------------------------------------------------------
 # logical view
 # ---------------------------------------------------------------------------
@@ -621,6 +646,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_ledger": q_ingest_ledger,
         "view_changes": q_view_changes,
         "publish_race": q_publish_race,
+        "offset_gaps": q_offset_gaps,
+        "decode_rejects": q_decode_rejects,
     }
 
 
@@ -752,4 +779,17 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CASE event_id % 3 WHEN 0 THEN 'merged' WHEN 1 THEN 'fold-a' ELSE 'fold-b' END AS gen, "
             "strftime(ts, '%Y%m%d') AS dt, event_type AS appid, count(*) AS n, 1 AS refused, 0 AS left_beside "
             "FROM events GROUP BY ALL"),
+        "offset_gaps": (
+            "WITH e AS (SELECT CAST(event_id % 13 AS INTEGER) AS p, event_id // 13 AS o, "
+            "sum(CASE WHEN event_id % 97 = 0 THEN 3 ELSE 1 END) AS c FROM events "
+            "WHERE NOT (event_id // 13) % 50 BETWEEN 7 AND 9 GROUP BY ALL), "
+            "l AS (SELECT p, o, c, lag(o) OVER (PARTITION BY p ORDER BY o) AS b FROM e) "
+            "SELECT 'events' AS topic, p AS \"partition\", 'gap' AS kind, b + 1 AS from_offset, o AS until_offset, "
+            "o - b - 1 AS n FROM l WHERE o - b > 1 UNION ALL "
+            "SELECT 'events', p, 'duplicate', o, o + 1, CAST(c - 1 AS BIGINT) FROM l WHERE c > 1"),
+        "decode_rejects": (
+            "SELECT 'row' AS kind, event_type AS name, CAST(sum(CASE event_id % 100 WHEN 8 THEN 2 ELSE 1 END) AS BIGINT) "
+            "AS n, CAST(NULL AS BIGINT) AS offsets FROM events WHERE event_id % 100 NOT IN (7, 9, 10, 11) GROUP BY ALL "
+            "UNION ALL SELECT 'reject', CASE event_id % 100 WHEN 7 THEN 'malformed' ELSE 'null element' END AS reason, "
+            "count(*), CAST(sum(event_id // 13) AS BIGINT) FROM events WHERE event_id % 100 IN (7, 11) GROUP BY reason"),
     }

@@ -1,8 +1,11 @@
 """Statistics aggregations and the file layout of writes."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from tidelog.operators.stats import column_stats, partition_stats
+from tidelog.operators.stats import column_stats, offset_gaps, partition_stats
 from tidelog.operators.write import layout, write_partitioned
 
 
@@ -99,3 +102,21 @@ def test_rebalance_default_splits_only_the_hot_directory(spark, tmp_root):
     assert sum(1 for k, v in got.items() if k != "hot" and v > 1) <= 4
     assert len(got) == 401
     assert spark.read.parquet(f"{tmp_root}/r").count() == 180000
+
+
+@pytest.mark.parametrize("block", [1, 4, 1 << 16])
+def test_offset_gaps_equal_brute_force(spark, block):
+    rnd = random.Random(block)
+    records = [("t" if rnd.random() < 0.8 else "u", rnd.randrange(2), rnd.choice([rnd.randrange(40), 200 + rnd.randrange(9)]))
+               for _ in range(90)]
+    want = set()
+    for where in {r[:2] for r in records}:
+        own = sorted(o for t, p, o in records if (t, p) == where)
+        there = sorted(set(own))
+        want |= {(*where, "gap", a + 1, b, b - a - 1) for a, b in zip(there, there[1:], strict=False) if b - a > 1}
+        want |= {(*where, "duplicate", o, o + 1, own.count(o) - 1) for o in there if own.count(o) > 1}
+    df = spark.createDataFrame([*records, (None, 1, 1), ("t", None, 1), ("t", 1, None)],
+                               "topic string, partition int, offset bigint")
+    got = list(map(tuple, offset_gaps(df, block).collect()))
+    assert sorted(got) == sorted(want)
+    assert offset_gaps(df.limit(0)).count() == 0

@@ -66,17 +66,20 @@ def decode_json(df: DataFrame, schema: StructType, value_col: str = "value",
     src = df.select(*map(_quoted, keep), _quoted(value_col).cast("string").alias("__payload"))
     if mode == "keep_values":
         return _decode_keep_case(src, schema, keep)
-    if mode == "lower_all":
-        schema = _lower_schema(schema)
-        payload = F.lower(F.col("__payload"))
-    else:
-        payload = F.col("__payload")
-    parsed = F.from_json(payload, ArrayType(schema))
+    parsed, schema = decode_payload(F.col("__payload"), schema, mode)
     rows = src.select(*map(_quoted, keep), F.explode(_row_list(parsed, schema)).alias("__row"))
     return rows.select(*map(_quoted, keep), *[F.col("__row").getField(f.name).alias(f.name)
                                 for f in schema.fields])
 
 
+def decode_payload(payload: Column, schema: StructType, mode: str) -> tuple[Column, StructType]:
+    """The documents of a payload as an array (null if it does not parse), and
+    the schema they have, for modes ``lower_all`` and ``exact``."""
+    if mode == "lower_all":
+        schema, payload = _lower_schema(schema), F.lower(payload)
+    return F.from_json(payload, ArrayType(schema)), schema
+
+
 def _row_list(parsed: Column, element: DataType) -> Column:
     """The rows one payload yields, as one array for ``explode``: none for a
     blank payload or an empty root array, one null row for a payload that

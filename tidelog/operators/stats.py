@@ -9,13 +9,14 @@
   skew), unpivoted afterwards. ``exact=True`` unpivots every row into
   ``(column, value)`` pairs and de-duplicates them with a partial aggregate
   before the shuffle, so a hot value costs one row per task.
+* :func:`offset_gaps` — missing ranges and repeated records per topic partition.
 * :func:`offset_ranges` — per topic partition: first offset, offset after the
   last, record count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -48,6 +49,43 @@ def offset_ranges(envelope: DataFrame) -> DataFrame:
     )
 
 
+def offset_gaps(envelope: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """(topic, partition, kind, from_offset, until_offset, n): what is missing
+    and what came twice in the offsets of ``envelope``.
+
+    ``gap``: a maximal range of offsets between two that are there, and its
+    length. ``duplicate``: an offset of several records, and how many too many.
+    Offsets before the first and after the last are no gap; records
+    without a topic, partition or offset are not looked at.
+
+    Records are counted by offset before anything is gathered, and offsets meet
+    in blocks, so that neither a hot topic partition nor an offset that repeats
+    is one task. Only the first and last offset of each block are ordered per
+    topic partition, to find the gaps between blocks."""
+    where = ["topic", "partition"]
+    found = "array<struct<kind:string,from_offset:bigint,until_offset:bigint,n:bigint>>"
+    row = lambda kind, a, b, n: F.struct(
+        F.lit(kind).alias("kind"), a.cast("bigint").alias("from_offset"), b.cast("bigint").alias("until_offset"),
+        n.cast("bigint").alias("n"))
+    counted = (envelope.where("topic IS NOT NULL AND partition IS NOT NULL AND offset IS NOT NULL")
+               .groupBy(*where, "offset").agg(F.count(F.lit(1)).alias("n")))
+    blocks = (counted.groupBy(*where, F.floor(F.col("offset") / F.lit(block)).alias("block"))
+              .agg(F.sort_array(F.collect_list(F.struct("offset", "n"))).alias("o")))
+    gap = F.transform("o", lambda x, i: F.when(x["offset"] - F.get("o", i - 1)["offset"] > 1, row(
+        "gap", F.get("o", i - 1)["offset"] + 1, x["offset"], x["offset"] - F.get("o", i - 1)["offset"] - 1)))
+    twice = F.transform(F.filter("o", lambda x: x["n"] > 1), lambda x: row(
+        "duplicate", x["offset"], x["offset"] + 1, x["n"] - 1))
+    within = blocks.select(*where, F.inline(F.concat(
+        F.filter(gap, lambda g: g.isNotNull()).cast(found), twice.cast(found))))
+    edges = blocks.select(*where, "block", F.element_at("o", 1)["offset"].alias("until_offset"),
+                          (F.element_at("o", -1)["offset"] + 1).alias("end"))
+    before = F.lag("end").over(Window.partitionBy(*where).orderBy("block"))
+    between = edges.withColumn("from_offset", before).where("until_offset > from_offset").select(
+        *where, F.lit("gap").alias("kind"), "from_offset", "until_offset",
+        (F.col("until_offset") - F.col("from_offset")).alias("n"))
+    return within.unionByName(between)
+
+
 def _column_stats_sketch(df: DataFrame, cols: list[str], rsd: float) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):

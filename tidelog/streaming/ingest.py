@@ -73,13 +73,26 @@ def decode_and_derive(envelope: DataFrame, table: LogicalTable | TableSpec, mode
     aliased; the other modes find it in any letter case. ``keep`` names
     envelope columns that ``clock`` refers to."""
     spec = table.spec if isinstance(table, LogicalTable) else table
-    schema, app_col = spec.row_schema, "appid"
-    if mode == "exact":
-        app_col = app_field
-        schema = StructType([f for f in schema.fields if f.name != "appid" or "appid" in spec.column_names])
-        if app_field not in schema.fieldNames():
-            schema = schema.add(app_field, StringType())
+    schema, app_col = payload_schema(spec, mode, app_field)
     decoded = decode_json(envelope, schema, mode=mode, keep=keep)
+    return derived_rows(decoded, spec, mode, app_col, clock, tz, ts_zone)
+
+
+def payload_schema(spec: TableSpec, mode: str, app_field: str = APP_FIELD) -> tuple[StructType, str]:
+    """The fields that payloads are decoded into, and the one of the
+    application id."""
+    schema = spec.row_schema
+    if mode != "exact":
+        return schema, "appid"
+    schema = StructType([f for f in schema.fields if f.name != "appid" or "appid" in spec.column_names])
+    if app_field not in schema.fieldNames():
+        schema = schema.add(app_field, StringType())
+    return schema, app_field
+
+
+def derived_rows(decoded: DataFrame, spec: TableSpec, mode: str, app_col: str, clock=None, tz: str | None = None,
+                 ts_zone: str | None = None) -> DataFrame:
+    """Decoded rows in the table's column order, with its partitions."""
     cols = [c.lower() if mode == "lower_all" else c for c in spec.column_names]
     derived = derive_partitions(decoded, clock=clock, ts_col=_find(cols, "ts"),
                                 app_col=app_col, tz=tz, ts_zone=ts_zone)
