@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.decode import decode_json, preview
 from tidelog.functions.derive import parse_ts
+from tidelog.operators.cluster import Cluster
 from tidelog.operators.stats import column_stats, offset_gaps, offset_ranges, partition_stats
 from tidelog.operators.union import view_extended, view_steady
 from tidelog.operators.write import write_partitioned
@@ -31,6 +32,7 @@ from tidelog.plans.fs import list_names
 from tidelog.plans.ledger import ledger_intervals
 from tidelog.plans.maintain import (recover_partitions, recreate_table, refresh, register_areas,
                                     register_catalog_view)
+from tidelog.plans.skipping import between, files_where, index_missing, manifest_stats, one_of, select_where
 from tidelog.plans.table import LogicalTable, PublishConflict, TableMissing
 from tidelog.session import prepare, work_dir
 from tidelog.sources.events_feed import EVENTS_SPEC, leg, raw_log, raw_log_dirty
@@ -601,6 +603,72 @@ def q_publish_race(spark: SparkSession, sf_dir: str) -> DataFrame:
         "refused", F.lit(refused)).withColumn("left_beside", F.lit(len(t.delta_keys(st))))
 
 
+# Conditions of view_skipping (fixed values): columns and the SQL of the same.
+SKIP_IDS = ("17", "256", "511", "777")
+SKIP_TS = ("2024-01-07t00:00:00", "2024-01-09t12:00:00")
+
+
+def q_view_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point and range reads of two indexed gens and an indexed key by their
+    manifests; each opens fewer files than there are."""
+    ev = _events(spark, sf_dir)
+    t, columns = _table(spark, "view_skipping"), ["eventid", "userid", "ts"]
+    for name in ("R", "W_a"):
+        _ingest(t, leg(ev, name), name.lower())
+        compact(t, index_columns=columns)
+    _ingest(t, leg(ev, "W_b"), "w_b", index_columns=columns)
+    every, parts = files_where(t).count(), []
+    for name, conditions in (("point", [one_of("eventid", *SKIP_IDS)]), ("range", [between("ts", *SKIP_TS)]),
+                             ("both", [one_of("appid", "click"), between("ts", SKIP_TS[0]), one_of("eventid", *SKIP_IDS)])):
+        rows = select_where(t, *conditions)
+        parts.append(rows.select(F.lit(name).alias("read"), "eventid", "userid", "dt", "appid",
+                                 F.lit(len(rows.inputFiles()) < every).alias("fewer")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_stats_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column statistics of gens and a key merged from their manifests; the
+    estimate of distinct values is held against the exact count."""
+    ev = _events(spark, sf_dir)
+    t, columns = _table(spark, "stats_incremental"), ["eventid", "userid", "ts", "props"]
+    for name in ("R", "W_a"):
+        _ingest(t, leg(ev, name), name.lower())
+        compact(t, index_columns=columns)
+    _ingest(t, leg(ev, "W_b"), "w_b")
+    index_missing(t, columns)
+    exact = column_stats(t.snapshot().select(*columns), exact=True).select("col", F.col("ndv").alias("n_distinct"))
+    near = F.abs(F.col("ndv") - F.col("n_distinct")) * 10 <= F.col("n_distinct")
+    return manifest_stats(t, columns).join(exact, "col").withColumn("near", near).drop("ndv")
+
+
+def q_compact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed folded into two tables of one directory, one of them clustered
+    by event and user: the same rows, and for a box of both columns the files
+    opened hold at most a third as many."""
+    ev = _events(spark, sf_dir)
+    spec = TableSpec.from_ddl("event bigint, member bigint, value string", "kind string, storeid string")
+    rows = _derived(spark, sf_dir, CONTRACT_TZ).select(
+        F.col("eventid").cast("bigint").alias("event"), F.col("userid").cast("bigint").alias("member"), "value",
+        F.lit("all").alias("kind"), "storeid")
+    # the box is a sixth of either column's range
+    top = ev.agg(F.max("event_id").alias("event"), F.max("user_id").alias("member")).first()
+    box = [between("event", top.event // 6, top.event // 3), between("member", top.member // 6, top.member // 3)]
+    found, opened = [], []
+    for name, layout in (("plain", {"files_per_partition": 32}),
+                         ("clustered", {"cluster": Cluster(("event", "member"), ranges=32)})):
+        t = _table(spark, f"compact_{name}", spec)
+        ingest_batch(t, rows.withColumn("storeid", F.lit("0000")), "k")
+        compact(t, index_columns=["event", "member"], **layout)
+        inside = select_where(t, *box)
+        opened.append(files_where(t, *box).agg(F.sum("n")).first()[0] or 0)
+        for part, df in (("all", t.snapshot()), ("box", inside)):
+            found.append(df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("event"), F.lit(0)).alias("sum_event"),
+                                F.round(F.sum(F.col("value").cast("double")), 2).alias("sv"))
+                         .withColumn("layout", F.lit(name)).withColumn("part", F.lit(part)))
+    every = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    return every.withColumn("third", F.lit(3 * opened[1] <= opened[0]))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: replay the events feed, decode, derive partitions, append as
     partitioned Parquet, read the logical table back and summarise it."""
@@ -648,6 +716,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_race": q_publish_race,
         "offset_gaps": q_offset_gaps,
         "decode_rejects": q_decode_rejects,
+        "view_skipping": q_view_skipping,
+        "stats_incremental": q_stats_incremental,
+        "compact_clustered": q_compact_clustered,
     }
 
 
@@ -693,6 +764,8 @@ def _column_stats_sql() -> str:
 
 def oracle_sql() -> dict[str, str]:
     dts = ", ".join(f"'{d}'" for d in PRUNE_DTS)
+    ids = f"event_id IN ({', '.join(SKIP_IDS)})"
+    iso = "strftime(ts, '%Y-%m-%dt%H:%M:%S.%fz')"
     return {
         **LLM_ORACLES,
         **({"pipeline": corpus_pipeline.ORACLE_SQL}
@@ -792,4 +865,23 @@ def oracle_sql() -> dict[str, str]:
             "AS n, CAST(NULL AS BIGINT) AS offsets FROM events WHERE event_id % 100 NOT IN (7, 9, 10, 11) GROUP BY ALL "
             "UNION ALL SELECT 'reject', CASE event_id % 100 WHEN 7 THEN 'malformed' ELSE 'null element' END AS reason, "
             "count(*), CAST(sum(event_id // 13) AS BIGINT) FROM events WHERE event_id % 100 IN (7, 11) GROUP BY reason"),
+        "view_skipping": " UNION ALL ".join(
+            f"SELECT '{name}' AS \"read\", CAST(event_id AS VARCHAR) AS eventid, CAST(user_id AS VARCHAR) AS userid, "
+            f"strftime(ts, '%Y%m%d') AS dt, event_type AS appid, true AS fewer FROM events WHERE {where}"
+            for name, where in (("point", ids), ("range", f"{iso} BETWEEN '{SKIP_TS[0]}' AND '{SKIP_TS[1]}'"),
+                                ("both", f"{ids} AND event_type = 'click' AND {iso} >= '{SKIP_TS[0]}'"))),
+        "stats_incremental": " UNION ALL ".join(
+            f"SELECT '{col}' AS col, count(*) AS n, count(*) - count(v) AS nulls, min(v) AS \"min\", max(v) AS \"max\", "
+            f"CAST(max(length(v)) AS BIGINT) AS max_len, count(DISTINCT v) AS n_distinct, true AS near "
+            f"FROM (SELECT {sql} AS v FROM events)"
+            for col, sql in (("eventid", "CAST(event_id AS VARCHAR)"), ("userid", "CAST(user_id AS VARCHAR)"),
+                             ("ts", iso), ("props", "lower(props)"))),
+        "compact_clustered": " UNION ALL ".join(
+            f"SELECT '{layout}' AS layout, '{part}' AS part, count(*) AS n, CAST(coalesce(sum(event_id), 0) AS BIGINT) "
+            f"AS sum_event, round(sum(value), 2) AS sv, true AS third FROM events{where}"
+            for layout in ("plain", "clustered") for part, where in (
+                ("all", ""),
+                ("box", " WHERE event_id BETWEEN (SELECT max(event_id) // 6 FROM events) AND (SELECT max(event_id) // 3 "
+                        "FROM events) AND user_id BETWEEN (SELECT max(user_id) // 6 FROM events) AND "
+                        "(SELECT max(user_id) // 3 FROM events)"))),
     }

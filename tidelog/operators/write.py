@@ -1,6 +1,6 @@
 """Partitioned Parquet writes with a declared number of files per partition.
 
-Two layouts:
+Two layouts, and a third one of :mod:`tidelog.operators.cluster`:
 
 ``files_per_partition=None``
     Size-driven, the default of every job: a ``REBALANCE`` on the partition
@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.operators.cluster import Cluster, clustered
+
 SALT = "__salt"
 
 
@@ -53,10 +55,16 @@ def layout(df: DataFrame, partition_cols: list[str], files_per_partition: int |
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       files_per_partition: int | None = None, mode: str = "append",
-                      compression: str | None = None, marker: bool = True) -> None:
+                      compression: str | None = None, marker: bool = True,
+                      cluster: Cluster | None = None) -> None:
     """Write ``df`` as Parquet under ``path``, partitioned by ``partition_cols``;
-    without ``marker`` the caller commits the directory."""
-    w = (layout(df, partition_cols, files_per_partition)
+    without ``marker`` the caller commits the directory. ``cluster`` orders the rows
+    of each directory along a curve and cuts files by it; a bound of files per
+    directory does not go with it."""
+    if cluster is not None and files_per_partition is not None:
+        raise ValueError("files_per_partition cannot be combined with a clustered layout")
+    laid = clustered(df, partition_cols, cluster) if cluster else layout(df, partition_cols, files_per_partition)
+    w = (laid
          .write.mode(mode)
          .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true" if marker else "false")
          .partitionBy(*partition_cols))

@@ -31,10 +31,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
+from tidelog.operators.cluster import Cluster
 from tidelog.operators.write import quoted, write_partitioned
 from tidelog.plans import fs
 from tidelog.plans.evolve import SPECS_AREA
 from tidelog.plans.maintain import add_written_partitions, compute_stats, refresh
+from tidelog.plans.skipping import drop_manifest, write_manifest
 from tidelog.plans.table import (GEN_COL, INGEST_ONLY, KEY_COL, LINEAGE_AREA, LogicalTable,
                                  PublishConflict, State)
 
@@ -51,24 +53,26 @@ class CompactionResult:
 
 def fold(table: LogicalTable, keys: list[str], gen: str,
          files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-         compression: str | None = None) -> None:
+         compression: str | None = None, cluster: Cluster | None = None) -> None:
     """Write the rows of ``keys`` as gen ``gen`` (not yet visible).
 
     ``files_per_partition=None`` sizes files by bytes instead (adaptive
-    rebalance), with no fixed bound on their number.
+    rebalance), with no fixed bound on their number; ``cluster`` also orders
+    them by several columns (:mod:`tidelog.operators.cluster`).
     """
     rows = table.write_leg(keys).drop(INGEST_ONLY, KEY_COL)
     cols = map(quoted, table.spec.column_names + table.read_partitions())
     write_partitioned(rows.select(*cols), table.gen_path(gen), table.read_partitions(),
-                      files_per_partition, mode="errorifexists", compression=compression)
+                      files_per_partition, mode="errorifexists", compression=compression, cluster=cluster)
 
 
 def rewrite(table: LogicalTable, gens: list[str], gen: str,
-            files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION, compression: str | None = None) -> None:
+            files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION, compression: str | None = None,
+            cluster: Cluster | None = None) -> None:
     """Write the rows of ``gens`` as gen ``gen`` (not yet visible)."""
     cols = map(quoted, table.spec.column_names + table.read_partitions())
     write_partitioned(table.read_leg(gens).select(*cols), table.gen_path(gen), table.read_partitions(),
-                      files_per_partition, mode="errorifexists", compression=compression)
+                      files_per_partition, mode="errorifexists", compression=compression, cluster=cluster)
 
 
 def publish_rewrite(table: LogicalTable, base: State, gen: str, keys: list[str] | None = None,
@@ -98,14 +102,17 @@ def publish_rewrite(table: LogicalTable, base: State, gen: str, keys: list[str]
 def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
             run_id: str | None = None, compression: str | None = None,
             max_keys: int | None = None, catalog_table: str | None = None,
-            analyze: bool = False, analyze_columns: bool = False) -> CompactionResult:
+            analyze: bool = False, analyze_columns: bool = False,
+            index_columns: list[str] | None = None, cluster: Cluster | None = None) -> CompactionResult:
     """Run one compaction. ``max_keys`` folds the oldest keys first and
     leaves the rest for the next run (every row stays visible either way).
     ``catalog_table`` names a catalog table over the read area to register
     the new gen's directories in after the publish; with ``analyze`` the
     statistics of those partitions are computed as well (only the new gen is
     scanned); ``analyze_columns`` computes the column statistics of the whole
-    catalog table, which is one scan of all of it."""
+    catalog table, which is one scan of all of it. ``index_columns`` writes the
+    gen's manifest over these columns before the publish
+    (:mod:`tidelog.plans.skipping`); ``cluster`` is that of :func:`fold`."""
     base = table.state()  # raises TableMissing: never fold without a state
     table = table.at(base)      # a gen has the columns of the state it is published on
     keys = table.delta_keys(base)
@@ -114,7 +121,9 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
     if not keys:
         return CompactionResult(None, [], base)
     gen = f"{base.version + 1:010d}-{run_id or uuid.uuid4().hex[:12]}"
-    fold(table, keys, gen, files_per_partition, compression)
+    fold(table, keys, gen, files_per_partition, compression, cluster)
+    if index_columns:
+        write_manifest(table, index_columns, gen=gen)
     new = publish_rewrite(table, base, gen, keys=keys)
     if catalog_table:
         add_written_partitions(table, catalog_table, gen=gen)
@@ -128,7 +137,8 @@ def compact(table: LogicalTable, files_per_partition: int | None = DEFAULT_FILES
 
 def merge_gens(table: LogicalTable, gens: list[str] | None = None,
                files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
-               run_id: str | None = None, compression: str | None = None) -> CompactionResult:
+               run_id: str | None = None, compression: str | None = None,
+               index_columns: list[str] | None = None, cluster: Cluster | None = None) -> CompactionResult:
     """Rewrite several gens of the read area as one (all listed gens by
     default) and swap them in the same atomic publish: the rows move from the
     old gens to the new one in one step, so each stays visible once. The old
@@ -136,14 +146,16 @@ def merge_gens(table: LogicalTable, gens: list[str] | None = None,
 
     When another job publishes meanwhile, the swap is tried again on the new
     state as long as it still lists the chosen gens, so the work isn't lost
-    (:func:`publish_rewrite`)."""
+    (:func:`publish_rewrite`). ``index_columns`` and ``cluster`` are those of :func:`compact`."""
     base = table.state()
     table = table.at(base)
     chosen = list(base.gens) if gens is None else [g for g in base.gens if g in set(gens)]
     if len(chosen) < 2:
         return CompactionResult(None, [], base)
     new_gen = f"{base.version + 1:010d}-{run_id or uuid.uuid4().hex[:12]}"
-    rewrite(table, chosen, new_gen, files_per_partition, compression)
+    rewrite(table, chosen, new_gen, files_per_partition, compression, cluster)
+    if index_columns:
+        write_manifest(table, index_columns, gen=new_gen)
     return CompactionResult(new_gen, [], publish_rewrite(table, base, new_gen, merged=chosen))
 
 
@@ -204,6 +216,7 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
         for name in fs.list_names(table.spark, table.write_path):
             key = name.split("=", 1)[1] if name.startswith(f"{KEY_COL}=") else None
             if key in folded:
+                drop_manifest(table, key=key)
                 fs.delete(table.spark, table.key_path(key))
                 for v in range(1, len(latest.evolved) + 1):
                     fs.delete(table.spark, f"{table.root}/{SPECS_AREA}/{v}/{key}")
@@ -215,6 +228,7 @@ def vacuum(table: LogicalTable, retention_s: float = 7 * 24 * 3600.0,
         path = table.gen_path(gen)
         # unlisted since before the cutoff (or never listed), and not being written
         if gen not in listed and fs.mtime(table.spark, path) <= cutoff:
+            drop_manifest(table, gen=gen)
             fs.delete(table.spark, path)
             removed["gens"].append(gen)
     if forget and old is not None:

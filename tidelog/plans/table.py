@@ -7,6 +7,7 @@ Layout under the table root::
     state/v0000000000.json  {"version", "gens", "folded", "spec"[, "evolved", "gen_specs"]}
     specs/<version>/<batchKey>   empty marker of a key written after a schema change
     lineage/<genId>.json  {"keys", "gens", "spec_version"}: what a gen was made of
+    index/…    optional manifests of gens and keys, see tidelog.plans.skipping
 
 * An ingest batch writes one key directory; the key is committed once its
   ``_SUCCESS`` marker exists, and a committed key never changes.
@@ -247,31 +248,37 @@ class LogicalTable:
                 .parquet(*[fs.literal(p) for p in paths]))
 
     def _by_version(self, st: State | None, names: list[str], versions: dict[str, int], path, base: str,
-                    schema) -> DataFrame:
+                    schema, files: dict[str, list[str]] | None = None) -> DataFrame:
         """Rows of keys or gens: each schema version in a scan of its own,
-        reconciled to this handle's."""
+        reconciled to this handle's. ``files`` names the paths to read of each."""
+        def paths(some: list[str]) -> list[str]:
+            return [p for n in some for p in (files[n] if files else [path(n)])]
+
         if not any(versions.get(n, 0) != self.spec_version for n in names):
-            return self._read_paths(base, [path(n) for n in names], schema())
+            return self._read_paths(base, paths(names), schema())
         legs = []
         for v in sorted({versions.get(n, 0) for n in names}):
             cols = st.columns(v)
-            leg = self._read_paths(base, [path(n) for n in names if versions.get(n, 0) == v], schema(cols.struct))
+            leg = self._read_paths(base, paths([n for n in names if versions.get(n, 0) == v]), schema(cols.struct))
             legs.append(reconciled(leg, cols, self.columns, [f.name for f in schema().fields[len(self.columns.fields):]]))
         return reduce(DataFrame.unionByName, legs)
 
-    def write_leg(self, keys: list[str]) -> DataFrame:
-        """Rows of the given batch keys (columns, key, partitions)."""
+    def write_leg(self, keys: list[str], files: dict[str, list[str]] | None = None) -> DataFrame:
+        """Rows of the given batch keys (columns, key, partitions), or of the
+        given files of each."""
         # a key may be of a later version than the state it is read with
         st = self._latest() if keys else None
         versions = key_versions(self.spark, self.root, list(range(1, st.spec_version + 1))) if st else {}
-        return self._by_version(st, keys, versions, self.key_path, self.write_path, self.write_schema)
+        return self._by_version(st, keys, versions, self.key_path, self.write_path, self.write_schema, files)
 
-    def read_leg(self, gens: list[str], state: State | None = None) -> DataFrame:
-        """Rows of the given compacted gens (columns, gen, dt, appid)."""
+    def read_leg(self, gens: list[str], state: State | None = None,
+                 files: dict[str, list[str]] | None = None) -> DataFrame:
+        """Rows of the given compacted gens (columns, gen, dt, appid), or of the
+        given files of each."""
         st = (state or self._latest()) if gens else None
         # a gen that is not listed was written by this handle
         versions = {g: st.gen_specs.get(g, 0) if g in st.gens else self.spec_version for g in gens} if st else {}
-        return self._by_version(st, gens, versions, self.gen_path, self.read_path, self.read_schema)
+        return self._by_version(st, gens, versions, self.gen_path, self.read_path, self.read_schema, files)
 
     def _latest(self) -> State | None:
         return self.state() if self._versions(self.spark, self.root) else None

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidelog.operators.cluster import Cluster
 from tidelog.plans.compact import (DEFAULT_FILES_PER_PARTITION, CompactionResult, compact,
                                    gen_bytes, gens_to_merge, merge_gens, vacuum)
 from tidelog.plans.maintain import add_written_partitions, refresh
@@ -35,13 +36,15 @@ def ingest_app(spark: SparkSession, table_root: str, *, bootstrap_servers: str |
                mode: str = "lower_all", tz: str | None = None,
                ts_zone: str | None = None, skip_empty: bool = False, ledger: bool = False,
                catalog_table: str | None = None, offset_report: bool = False,
-               max_files_per_trigger: int | None = None) -> StreamingQuery:
+               max_files_per_trigger: int | None = None,
+               index_columns: list[str] | None = None) -> StreamingQuery:
     """Start the ingest of one topic (or folder) into the table at ``table_root``.
 
     The table must exist (``LogicalTable.create``); the stream fails rather
     than skip batches when it does not. The checkpoint defaults to a folder
     next to the table. ``catalog_table`` names a catalog table over the write
     area: each batch's directories are registered there and it is refreshed.
+    ``index_columns`` are the columns of the keys' manifests, for data skipping.
     """
     table = LogicalTable.open(spark, table_root)
     if source_path is not None:
@@ -56,27 +59,30 @@ def ingest_app(spark: SparkSession, table_root: str, *, bootstrap_servers: str |
     return start_ingest(table, stream, ckpt, mode=mode, files_per_partition=files_per_partition,
                         interval_s=interval_s, available_now=available_now, tz=tz,
                         ts_zone=ts_zone, skip_empty=skip_empty, ledger=ledger, catalog_table=catalog_table,
-                        offset_report=offset_report)
+                        offset_report=offset_report, index_columns=index_columns)
 
 
 def compaction_app(spark: SparkSession, table_root: str, *,
                    files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
                    merge: bool = False, merge_fan_in: int = 8, retention_s: float | None = None,
                    forget: bool = False, catalog_table: str | None = None, analyze: bool = False,
-                   analyze_columns: bool = False) -> CompactionResult:
+                   analyze_columns: bool = False, index_columns: list[str] | None = None,
+                   cluster: Cluster | None = None) -> CompactionResult:
     """One compaction run: fold, then optionally merge gens and clean up.
 
     ``merge`` merges the gens of one size tier once ``merge_fan_in`` of them
     are there. ``retention_s`` removes what no reader needs any more, and
     ``forget`` also the record of it, which keeps the state small.
     ``catalog_table`` names a catalog table over the read area: the new gens'
-    directories are registered, analysed if asked, and the table refreshed."""
+    directories are registered, analysed if asked, and the table refreshed.
+    ``index_columns`` and ``cluster`` lay out the new gens for data skipping."""
     table = LogicalTable.open(spark, table_root)
     res = compact(table, files_per_partition=files_per_partition, catalog_table=catalog_table,
-                  analyze=analyze, analyze_columns=analyze_columns)
+                  analyze=analyze, analyze_columns=analyze_columns, index_columns=index_columns, cluster=cluster)
     if merge:
         due = gens_to_merge(gen_bytes(table), merge_fan_in)
-        merged = merge_gens(table, due, files_per_partition=files_per_partition)
+        merged = merge_gens(table, due, files_per_partition=files_per_partition, index_columns=index_columns,
+                            cluster=cluster)
         if merged.gen is not None:
             res = CompactionResult(merged.gen, res.keys, merged.state)
             if catalog_table:

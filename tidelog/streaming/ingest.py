@@ -39,6 +39,7 @@ from tidelog.plans import fs
 from tidelog.plans.evolve import mark_key
 from tidelog.plans.ledger import ingest_once
 from tidelog.plans.maintain import add_written_partitions, refresh
+from tidelog.plans.skipping import write_manifest
 from tidelog.plans.table import KEY_COL, LogicalTable
 from tidelog.sources.schema import TableSpec
 
@@ -109,7 +110,8 @@ def _find(cols: list[str], name: str) -> str:
 def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
                  files_per_partition: int | None = DEFAULT_FILES_PER_PARTITION,
                  skip_empty: bool = False,
-                 catalog_table: str | None = None) -> BatchResult:
+                 catalog_table: str | None = None,
+                 index_columns: list[str] | None = None) -> BatchResult:
     """Write one batch of derived rows as key directory ``key``.
 
     Layout (default ``files_per_partition=None``): a ``REBALANCE`` on the
@@ -123,7 +125,9 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
     ``files_per_partition=n`` instead bounds files per directory by ``n``,
     whatever a directory's size. ``catalog_table`` names a catalog table over
     the write area to register the new directories in (just this key's, not a
-    full recovery) and to refresh.
+    full recovery) and to refresh. ``index_columns`` writes the key's manifest
+    after its commit (:mod:`tidelog.plans.skipping`); a crash between the two
+    leaves a key that is read whole.
     """
     st = table.state()  # raises TableMissing: the batch must not be acknowledged
     if key in st.folded:
@@ -137,6 +141,8 @@ def ingest_batch(table: LogicalTable, rows: DataFrame, key: str,
     out = rows.select(*map(quoted, [*table.spec.column_names, *table.spec.partition_names]))
     write_partitioned(out, table.key_path(key), table.spec.partition_names, files_per_partition,
                       mode="overwrite")
+    if index_columns:
+        write_manifest(table, index_columns, key=key)
     if catalog_table:
         add_written_partitions(table, catalog_table, key=key)
         refresh(table.spark, catalog_table)
@@ -158,7 +164,7 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
                  tz: str | None = None, ts_zone: str | None = None,
                  query_name: str | None = None, skip_empty: bool = False,
                  catalog_table: str | None = None, offset_report: bool = False,
-                 ledger: bool = False) -> StreamingQuery:
+                 ledger: bool = False, index_columns: list[str] | None = None) -> StreamingQuery:
     """Start the streaming ingest of ``envelope`` (a streaming DataFrame with
     a ``value`` column) into ``table``.
 
@@ -169,7 +175,8 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
     under the table, before the batch is committed (:func:`offset_reports`
     reads them); the batch's offsets are read once more for it. ``ledger``
     takes each record of the topic once, whatever other streams or checkpoints
-    brought it before (:mod:`tidelog.plans.ledger`).
+    brought it before (:mod:`tidelog.plans.ledger`). ``index_columns`` writes
+    each key's manifest after its commit (:mod:`tidelog.plans.skipping`).
     """
     if not envelope.isStreaming:
         raise ValueError("start_ingest needs a streaming DataFrame; use ingest_batch for batch data")
@@ -192,10 +199,12 @@ def start_ingest(table: LogicalTable, envelope: DataFrame, checkpoint: str,
             offset_ranges(batch).write.mode("overwrite").parquet(_offsets_path(table, key))
         if ledger:
             results.append(ingest_once(table, batch, key, rows_of, files_per_partition, catalog_table))
+            if index_columns and results[-1].written:
+                write_manifest(table, index_columns, key=key)
             return
         if offset_report:
             batch = rows_of(batch)
-        results.append(ingest_batch(table, batch, key, files_per_partition, skip_empty, catalog_table))
+        results.append(ingest_batch(table, batch, key, files_per_partition, skip_empty, catalog_table, index_columns))
 
     w = rows.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     if query_name:
