@@ -539,10 +539,14 @@ def q_ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint that reads all of it again, then once more after a fold."""
     ev = _events(spark, sf_dir)
     base = work_dir(spark, "ingest_ledger")
-    raw_log(ev).repartition(4, "offset").write.parquet(f"{base}/source")
+    # as many files as a shuffle has parts, so that every batch is read by many tasks
+    writers = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    raw_log(ev).repartition(writers, "offset").write.parquet(f"{base}/source")
+    n_files = sum(1 for f in list_names(spark, f"{base}/source") if f.endswith(".parquet"))
     t = LogicalTable.create(spark, f"{base}/table", EVENTS_SPEC)
     for name in ("late", "lost", "again"):
-        stream = read_file_stream(spark, f"{base}/source", "parquet", max_files_per_trigger=2)
+        # two micro-batches, whatever the number of files
+        stream = read_file_stream(spark, f"{base}/source", "parquet", max_files_per_trigger=max(1, -(-n_files // 2)))
         if name == "late":
             stream = keep_from_offsets(stream, {("events", p): 10 * p for p in range(13)})
         start_ingest(t, stream, f"{base}/checkpoint-{name}", available_now=True, tz=CONTRACT_TZ,

@@ -48,6 +48,30 @@ def test_runs_overlaps_and_rest_equal_brute_force(spark, monkeypatch, block):
     assert _points(coalesced(ra.unionByName(rb))) == set(a) | set(b)
 
 
+def _joins(df):
+    return [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+
+
+def test_scattered_offsets_of_a_block_are_not_compared_pair_by_pair(spark):
+    """Every second offset against every third one, over the borders of blocks:
+    thousands of runs in each block."""
+    n = 3 * ledger.BLOCK + 5
+    rec = lambda k: spark.range(0, n, k).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    two, three = rec(2), rec(3)
+    mine, theirs = offset_runs(two), offset_runs(three)
+    common, left = overlaps(mine, theirs), outside(two, theirs)
+    assert len(_joins(common)) == 1         # with the hull: one row of each topic partition
+    assert _joins(left) and not any("<" in x for x in _joins(left))
+    whole = lambda df: df.agg(F.count("*"), F.sum("from_offset"), F.sum(F.col("until_offset") - F.col("from_offset"))).first()
+    sixth, thirds = range(0, n, 6), range(0, n, 3)
+    assert tuple(whole(common)) == (len(sixth), sum(sixth), len(sixth))
+    assert tuple(whole(theirs)) == (len(thirds), sum(thirds), len(thirds))
+    assert left.count() == len(range(0, n, 2)) - len(sixth)
+    every = offset_runs(rec(1))             # one run over four blocks
+    assert [tuple(r) for r in every.collect()] == [tuple(r) for r in coalesced(every.unionByName(mine)).collect()] == [("t", 0, 0, n)]
+    assert outside(two, every).count() == 0 and whole(overlaps(mine, every)) == whole(mine)
+
+
 def _table(spark, root):
     return LogicalTable.create(spark, root, EVENTS_SPEC)
 

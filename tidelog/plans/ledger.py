@@ -29,7 +29,9 @@ marker (:func:`roll_forward`), so nothing is lost with a checkpoint either.
 
 Records without a topic, partition or offset cannot be told apart; they are
 taken as they come. Cost: the batch's offsets are read once more; the ledger holds
-a few rows per batch, and is merged into one entry every ``MERGE_AFTER`` batches.
+a row per run of offsets, and is merged into one entry every ``MERGE_AFTER`` batches.
+Runs are sorted and swept within blocks of offsets, never compared pair by pair, so
+the work grows with the records however scattered a batch's offsets are.
 """
 
 from __future__ import annotations
@@ -66,56 +68,80 @@ def offset_runs(records: DataFrame) -> DataFrame:
     """Maximal runs of offsets of ``records(topic, partition, offset)``.
 
     Runs are found in blocks of offsets and stitched at their borders, so
-    a hot topic partition is many groups, and only runs meet in one."""
-    blocks = (_tracked(records).groupBy(*_WHERE, _block(F.col("offset")).alias("block"))
-              .agg(F.sort_array(F.collect_set("offset")).alias("o")))
-    last = F.size("o") - 1
-    first_of = F.filter("o", lambda x, i: (i == 0) | (F.get("o", i - 1) != x - 1))
-    last_of = F.filter("o", lambda x, i: (i == last) | (F.get("o", i + 1) != x + 1))
-    whole = F.element_at("o", -1) - F.element_at("o", 1) == last
-    runs = F.when(whole, F.array(F.struct(F.element_at("o", 1).alias("a"), F.element_at("o", -1).alias("b")))).otherwise(
-        F.transform(F.arrays_zip(first_of.alias("a"), last_of.alias("b")),
-                    lambda r: F.struct(r["a"].alias("a"), r["b"].alias("b"))))
-    return coalesced(blocks.select(*_WHERE, F.explode(runs).alias("r")).select(
-        *_WHERE, F.col("r.a").alias("from_offset"), (F.col("r.b") + 1).alias("until_offset")))
+    a hot topic partition is many groups."""
+    offsets = _tracked(records).select(*_WHERE, _block(F.col("offset")).alias("block"), "offset").distinct()
+    # offsets of one run grow as fast as their rank does
+    rank = F.row_number().over(Window.partitionBy(*_WHERE, "block").orderBy("offset"))
+    runs = offsets.withColumn("run", F.col("offset") - rank).groupBy(*_WHERE, "block", "run").agg(
+        F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"))
+    return _stitched(runs)
 
 
 def coalesced(intervals: DataFrame) -> DataFrame:
-    """The union of intervals as disjoint ones that do not touch."""
-    order = Window.partitionBy(*_WHERE).orderBy("from_offset", "until_offset")
+    """The union of intervals as disjoint ones that do not touch. They are cut
+    into blocks for it, so a hot topic partition is many groups."""
+    return _stitched(_islands(_pieces(intervals), "block"))
+
+
+def _islands(intervals: DataFrame, *within: str) -> DataFrame:
+    """The union of the intervals of each topic partition and ``within``."""
+    order = Window.partitionBy(*_WHERE, *within).orderBy("from_offset", "until_offset")
     reach = F.max("until_offset").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = intervals.withColumn("new", F.when(F.col("from_offset") <= reach, 0).otherwise(1))
     return (new.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-            .groupBy(*_WHERE, "island").agg(F.min("from_offset").alias("from_offset"),
-                                            F.max("until_offset").alias("until_offset"))
-            .select(*_WHERE, "from_offset", "until_offset"))
+            .groupBy(*_WHERE, *within, "island").agg(F.min("from_offset").alias("from_offset"),
+                                                     F.max("until_offset").alias("until_offset"))
+            .drop("island"))
+
+
+def _stitched(runs: DataFrame) -> DataFrame:
+    """Maximal runs of blocks as those of their topic partitions: only the runs at
+    a border of a block, at most two of each, meet in one group."""
+    first = F.col("block") * F.lit(BLOCK)
+    inner = (F.col("from_offset") > first) & (F.col("until_offset") < first + F.lit(BLOCK))
+    lone = runs.withColumn("lone", F.when(inner, F.col("from_offset")))
+    return _islands(lone, "lone").select(*_WHERE, "from_offset", "until_offset")
 
 
 def _pieces(intervals: DataFrame) -> DataFrame:
     """Intervals cut at the borders of blocks."""
     last = _block(F.col("until_offset") - 1)
-    return intervals.select("*", F.explode(F.sequence(_block(F.col("from_offset")), last)).alias("block"))
+    cut = intervals.select("*", F.explode(F.sequence(_block(F.col("from_offset")), last)).alias("block"))
+    first = F.col("block") * F.lit(BLOCK)
+    return cut.select(*_WHERE, "block", F.greatest("from_offset", first).alias("from_offset"),
+                      F.least("until_offset", first + F.lit(BLOCK)).alias("until_offset"))
 
 
 def overlaps(mine: DataFrame, theirs: DataFrame) -> DataFrame:
     """The common part of two sets of intervals."""
     hull = mine.groupBy(*_WHERE).agg(F.min("from_offset").alias("lo"), F.max("until_offset").alias("hi"))
     # long histories are cut to the reach of the batch first
-    near = theirs.join(hull, _WHERE).where("from_offset < hi AND until_offset > lo").select(
+    near = theirs.join(F.broadcast(hull), _WHERE).where("from_offset < hi AND until_offset > lo").select(
         *_WHERE, F.greatest("from_offset", "lo").alias("from_offset"), F.least("until_offset", "hi").alias("until_offset"))
-    a = _pieces(mine).select(*_WHERE, "block", F.col("from_offset").alias("a"), F.col("until_offset").alias("b"))
-    both = _pieces(near).join(a, [*_WHERE, "block"]).where("from_offset < b AND a < until_offset")
-    return coalesced(both.select(*_WHERE, F.greatest("from_offset", "a").alias("from_offset"),
-                                 F.least("until_offset", "b").alias("until_offset")))
+    # each block is swept once over the borders of both sets, with the number of open intervals of either
+    borders = _borders(mine, "mine").unionByName(_borders(near, "theirs"), allowMissingColumns=True)
+    order = Window.partitionBy(*_WHERE, "block").orderBy("at")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    swept = borders.select(*_WHERE, F.col("at").alias("from_offset"), F.lead("at").over(order).alias("until_offset"),
+                           *[F.sum(c).over(so_far).alias(c) for c in ("mine", "theirs")])
+    return coalesced(swept.where("mine > 0 AND theirs > 0 AND from_offset < until_offset").select(
+        *_WHERE, "from_offset", "until_offset"))
+
+
+def _borders(intervals: DataFrame, name: str) -> DataFrame:
+    """Where pieces of intervals open (1) and close (-1), in the column ``name``."""
+    ends = F.array(*[F.struct(F.col(c).alias("at"), F.lit(n).alias(name))
+                     for c, n in (("from_offset", 1), ("until_offset", -1))])
+    return _pieces(intervals).select(*_WHERE, "block", F.inline(ends))
 
 
 def outside(records: DataFrame, intervals: DataFrame) -> DataFrame:
     """Records whose offset is in none of the intervals."""
-    p = _pieces(intervals).select(*[F.col(c).alias(f"__{c}") for c in (*_WHERE, "block", "from_offset", "until_offset")])
-    inside = ((F.col("topic") == F.col("__topic")) & (F.col("partition") == F.col("__partition"))
-              & (_block(F.col("offset")) == F.col("__block"))
-              & (F.col("offset") >= F.col("__from_offset")) & (F.col("offset") < F.col("__until_offset")))
-    return records.join(p, inside, "left_anti")
+    # spread by blocks before each offset becomes a row, then joined by equality
+    spread = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = _pieces(intervals).repartition(spread, *_WHERE, "block").select(
+        *_WHERE, F.explode(F.sequence(F.col("from_offset"), F.col("until_offset") - 1)).alias("offset"))
+    return records.join(taken, [*_WHERE, "offset"], "left_anti").select(*records.columns)
 
 
 # -- the ledger ---------------------------------------------------------------
@@ -200,11 +226,11 @@ def ingest_once(table: LogicalTable, batch: DataFrame, key: str, rows_of, files_
         kept = tracked.dropDuplicates([*_WHERE, "offset"]).unionByName(
             batch.where("topic IS NULL OR partition IS NULL OR offset IS NULL"))
     for _ in range(attempts):
-        common = overlaps(own(), _read(table, against)) if against else None
-        if common is not None and not common.isEmpty():
-            seen = f"{name}-seen{version}"
-            _write(table, common, seen)
-            kept, todo = outside(kept, _read(table, [{"intervals": seen}])), True
+        seen = f"{name}-seen{version}"
+        if against:
+            _write(table, overlaps(own(), _read(table, against)), seen)
+        if against and not (common := _read(table, [{"intervals": seen}])).isEmpty():
+            kept, todo = outside(kept, common), True
             name = f"{key}-{uuid.uuid4().hex[:12]}"
             _write(table, offset_runs(kept), name)
         if todo:
