@@ -444,6 +444,56 @@ def _check_packing(rows, texts, sequence):
     return len(by), sum(r[3] for r in rows)
 
 
+def test_chunk_tokenizer_equals_the_plain_one():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    from tidelog.llm.packing import ChunkTokenizer
+    path = P.path("word_bpe_49k.json")
+    plain, tok = Tokenizer.from_file(path), ChunkTokenizer(path)
+    rnd = random.Random(9)
+    # apostrophes, white space of all kinds, digits, small letters that are longer or beyond Latin, added tokens
+    few = [*"abstmdrevlSTLM'''''  \n\t\r!?.12 \u00e9\u00c9\u00df\xa0\u0130\u0301\u4e2d\u017f\x1c\x85\u00bd\u00aa\u212a\u1e9e\u03a3",
+           "<|endoftext|>", "<|startoftext|>"]
+    latin = [chr(c) for c in range(1, 0x250)] + list("'' \n    ") * 20
+    for batch in range(30):
+        texts = ["".join(rnd.choices(few if batch % 2 else latin, k=rnd.randint(0, 80))) for _ in range(100)]
+        texts += ["", " ", "\n \n", "a" * rnd.randint(1, 3000), "." * rnd.randint(1, 3000)]
+        for t, raw in zip(texts, tok.ids(texts), strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
+        if batch % 7 == 6:
+            tok.trim()
+    assert tok.ids([]) == []
+
+
+def test_chunk_tokenizer_makes_nothing_per_chunk():
+    # known chunks cost much less than taking their ids from a dict one by one
+    import time
+
+    import public_tokenizers as P
+
+    from tidelog.llm.packing import ChunkTokenizer
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices("aeioustnr", k=8)) for _ in range(20_000)]
+    texts = [" ".join(rnd.choices(words, k=500)) for _ in range(1500)]
+    tok = ChunkTokenizer(P.path("word_bpe_49k.json"))
+    first = tok.ids(texts)
+    memo = dict(zip(words, tok.ids(words), strict=True))
+
+    def one_by_one():
+        split = [t.split(" ") for t in texts]
+        assert set().union(*split) <= memo.keys()
+        return [b"".join(map(memo.__getitem__, cs)) for cs in split]
+
+    took = {"ids": [], "one by one": []}
+    for _ in range(5):
+        for name, f in (("ids", lambda: tok.ids(texts)), ("one by one", one_by_one)):
+            began = time.process_time()
+            assert f() == first
+            took[name].append(time.process_time() - began)
+    assert min(took["ids"]) < 0.6 * min(took["one by one"]), took
+
+
 def test_packing_is_gapless_and_tight(spark):
     import public_tokenizers as P
 

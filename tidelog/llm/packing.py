@@ -25,15 +25,14 @@ that share a doc_id are pieces of their own; a null doc_id is kept.
 
 from __future__ import annotations
 
-import gc
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,92 +42,169 @@ from tidelog.llm.common import give_back, text_batches, written
 SEQUENCE = 4096
 END_ID = 1
 GRID = 64          # cells of the length grid
-WORDS_KEPT = 300_000   # bound of each memo of a worker in a task
-WORDS_LEFT = 60_000    # ... and between tasks
+WORDS_KEPT = 300_000   # bound of each memo of a worker
+LONGEST = 100          # bytes of a word or chunk that a memo keeps
+BATCH = 8_000_000      # characters tokenised at once, or one text
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
 
 
+def _pieces_of(data: bytes | np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """The pieces of ``data`` that lie one after the other and end at ``ends``."""
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    return pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _flat(pieces: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+    """Offsets and bytes of an array that ``take`` made."""
+    _, offsets, data = pieces.buffers()
+    return np.frombuffer(offsets, np.int64)[:len(pieces) + 1] if len(pieces) else np.zeros(1, np.int64), data
+
+
 class ChunkTokenizer:
-    """Token ids of texts, memoised by chunk between blanks and line ends.
+    """Token ids of texts, by distinct chunk between blanks and line ends.
 
     The tokenizer's normaliser turns white space into blanks and its
-    pre-tokenizer splits there, so chunks are encoded independently. A chunk
-    of Latin letters is split on, by the pre-tokenizer's own pattern, into
-    words; new words are encoded many at a time and told apart by the word-end
-    mark of their last id. Any other chunk is encoded by itself, as is one that
-    holds the literal of an added token, such as ``<|endoftext|>``. The memos
-    keep what came first, which is what is frequent, when they are full."""
+    pre-tokenizer splits there, so chunks are encoded independently, each
+    distinct one of a batch once. Chunks of Latin letters are split on, as the
+    pre-tokenizer's own pattern does, into words; words not in the memo are
+    encoded many at a time and told apart by the word-end mark of their last
+    id. They are in the normaliser's form already, which is left out. Any other
+    chunk is encoded by itself, as is one that holds the literal of an added
+    token, such as ``<|endoftext|>``. The memos keep what came first, which is
+    what is frequent, when they are full.
+
+    Chunks and words are Arrow arrays, each with the blank behind it, and ids
+    are gathered by ``take``, so no Python object is made per chunk."""
 
     # fixed value: the split pattern of the tokenizer file
     WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    LATIN = 0x250      # code points below are split here
+    SPACE, LETTER, DIGIT, MARK = range(4)
 
     def __init__(self, path: str):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers.normalizers import Sequence
         self.tok = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.find = regex.compile(self.WORD).findall
-        self.beyond = re.compile("[\u0250-\U0010ffff]").search
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, dtype="<u4")
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str], added: bool) -> None:
-        """``added`` tells whether a chunk may hold the literal of an added token."""
-        beyond = self.beyond
-        plain = [c for c in new if c.isascii() or not beyond(c)]
-        if added:
-            plain = [c for c in plain if not any(t in c for t in self.added)]
-        find = self.find
-        # a word, or a word and one mark, needs no pattern
-        split = [(w,) if w.isalpha() else (w[:-1], w[-1]) if w[-1] in ".,;:!?" and w[:-1].isalpha() else find(w)
-                 for w in [c.lower() for c in plain]]
-        words = list(set(chain.from_iterable(split)).difference(self.words))
-        for i in range(0, len(words), 500):
-            part = words[i:i + 500]
-            ids = self._encode([" ".join(part)])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            raw, lo = ids.tobytes(), 0
-            for w, hi in zip(part, cuts.tolist(), strict=True):
-                self.words[w] = raw[4 * lo:4 * hi]
-                lo = hi
-        get = self.words.__getitem__
-        self.chunks.update(zip(plain, [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in split],
-                               strict=True))
-        other = [c for c in new if c not in self.chunks]
-        for i in range(0, len(other), 500):
-            part = other[i:i + 500]
-            self.chunks.update(zip(part, (e.tobytes() for e in self._encode(part)), strict=True))
-
-    def trim(self, most: int) -> None:
-        for name in ("chunks", "words"):
-            memo = getattr(self, name)
-            if len(memo) > most:
-                setattr(self, name, dict(islice(memo.items(), most // 2)))
+        # for words: nothing to normalise, and a blank, written so by the byte level, between them
+        self.word_tok = Tokenizer.from_file(path)
+        self.word_tok.normalizer = Sequence([])
+        self.word_tok.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            pre_tokenizers.Split("\u0120", "removed")])
+        latin = [chr(c) for c in range(self.LATIN)]
+        self.kinds = np.array([self.SPACE if regex.match(r"\s", c) else self.LETTER if regex.match(r"\p{L}", c)
+                               else self.DIGIT if regex.match(r"\p{N}", c) else self.MARK for c in latin], np.uint8)
+        # those of them whose small letter is not
+        self.far = np.array([ord(c) for c in latin if max(map(ord, c.lower())) >= self.LATIN], np.uint32)
+        self.words = pa.array([], pa.large_string())
+        self.word_ids = pa.array([], pa.large_binary())
+        self.others: dict[str, bytes] = {}
+
+    def _encode(self, tok, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, dtype="<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _split(self, chunks: str) -> tuple[pa.Array, np.ndarray]:
+        """Words of ``chunks``, each with a blank behind it, and how many of
+        them lie before the end of each chunk."""
+        codes = np.frombuffer(chunks.lower().encode("utf-32-le"), "<u4")
+        kind = self.kinds[codes]
+        # two code points of room, so that a look ahead stays inside
+        before, after = np.concatenate([[self.SPACE], kind[:-1]]), np.concatenate([codes, [32, 32]])
+        first = (kind != self.SPACE) & ((kind != before) | (kind == self.DIGIT))
+        # an apostrophe that begins its run of marks, and the letters it takes
+        quote = np.flatnonzero(first & (codes == ord("'")))
+        x, y = after[quote + 1], after[quote + 2]
+        one = quote[np.isin(x, [ord(c) for c in "stmd"])]
+        two = quote[((x == ord("r")) & (y == ord("e"))) | ((x == ord("v")) & (y == ord("e")))
+                    | ((x == ord("l")) & (y == ord("l")))]
+        for at, n in ((one, 1), (two, 2)):
+            first[at + 1] = False
+            rest = at + 1 + n
+            first[rest[kind[rest] == self.LETTER]] = True
+        starts = np.flatnonzero(first)
+        held = kind != self.SPACE
+        spaced = np.insert(codes[held], np.cumsum(held)[starts] - 1, 32)
+        data = np.roll(spaced, -1).astype("<u4").tobytes().decode("utf-32-le").encode()
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1
+        return _pieces_of(data, ends, pa.large_string()), np.searchsorted(starts, np.flatnonzero(codes == 32))
+
+    def _encode_words(self, words: list[str]) -> pa.Array:
+        """Ids of each of ``words``, which have a blank behind each."""
+        parts = [self._encode(self.word_tok, ["".join(words[i:i + 200])])[0] for i in range(0, len(words), 200)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *parts])
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            raise ValueError(f"{len(words)} words were encoded as {len(ends)}")
+        return _pieces_of(ids.tobytes(), 4 * ends, pa.large_binary())
+
+    def _latin(self, chunks: str) -> pa.Array:
+        """Ids of each of ``chunks``, which have a blank behind each."""
+        words, upto = self._split(chunks)
+        words = words.dictionary_encode()
+        known = pc.index_in(words.dictionary, value_set=self.words)
+        new = words.dictionary.filter(known.is_null())
+        new_ids = self._encode_words(new.to_pylist())
+        place = known.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.words) + np.arange(len(new))
+        all_ids = pa.concat_arrays([self.word_ids, new_ids])
+        offsets, data = _flat(all_ids.take(pa.array(place[words.indices.to_numpy()])))
+        short = pc.less_equal(pc.binary_length(new), LONGEST)
+        self.words = pa.concat_arrays([self.words, new.filter(short)])
+        self.word_ids = pa.concat_arrays([self.word_ids, new_ids.filter(short)])
+        return _pieces_of(data, offsets[upto], pa.large_binary())
+
+    def _other(self, chunks: list[str]) -> pa.Array:
+        new = [c for c in chunks if c not in self.others]
+        made = {}
+        for i in range(0, len(new), 500):
+            part = new[i:i + 500]
+            made.update(zip(part, (e.tobytes() for e in self._encode(self.tok, part)), strict=True))
+        ids = pa.array([made[c] if c in made else self.others[c] for c in chunks], pa.large_binary())
+        self.others.update((c, e) for c, e in made.items() if len(c) <= LONGEST)
+        return ids
+
+    def trim(self) -> None:
+        if len(self.words) > WORDS_KEPT:
+            # copied, for a slice would hold the whole
+            first = pa.array(np.arange(WORDS_KEPT // 2))
+            self.words, self.word_ids = self.words.take(first), self.word_ids.take(first)
+        if len(self.others) > WORDS_KEPT:
+            self.others = dict(islice(self.others.items(), WORDS_KEPT // 2))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        self.trim(WORDS_KEPT)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        seen = set()
-        for cs in split:
-            seen.update(cs)
-        added = any(a in t for t in texts for a in self.added)
-        # hundreds of thousands of small tuples, none in a cycle
-        gc.disable()
-        try:
-            self._learn(list(seen.difference(self.chunks)), added)
-        finally:
-            gc.enable()
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, cs)) for cs in split]
+        if not texts:
+            return []
+        self.trim()
+        raw = [t.encode() for t in texts]
+        text_ends = np.cumsum([len(r) + 1 for r in raw])
+        data = b" ".join([*raw, b""]).replace(b"\n", b" ")
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 32) + 1
+        chunks = _pieces_of(data, ends, pa.large_string()).dictionary_encode()
+        distinct = _flat(chunks.dictionary)[1].to_pybytes().decode()
+        codes = np.frombuffer(distinct.encode("utf-32-le"), "<u4")
+        chunk_ends = np.flatnonzero(codes == 32)
+        other = np.zeros(len(chunk_ends), dtype=bool)
+        other[np.searchsorted(chunk_ends, np.flatnonzero((codes >= self.LATIN) | np.isin(codes, self.far)))] = True
+        for t in self.added:
+            if t in distinct:
+                other |= pc.match_substring(chunks.dictionary, t).to_numpy(zero_copy_only=False)
+        apart = [c[:-1] for c in chunks.dictionary.filter(pa.array(other)).to_pylist()]
+        if apart:
+            distinct = codes[~np.repeat(other, np.diff(chunk_ends, prepend=-1))].tobytes().decode("utf-32-le")
+        by_chunk = pa.concat_arrays([self._latin(distinct), self._other(apart)])
+        place = np.cumsum(~other) - 1
+        place[other] = len(other) - len(apart) + np.arange(len(apart))
+        offsets, flat = _flat(by_chunk.take(pa.array(place[chunks.indices.to_numpy()])))
+        cuts = np.concatenate([[0], offsets[np.searchsorted(ends, text_ends) + 1]]).tolist()
+        flat = memoryview(flat) if flat else b""
+        return [bytes(flat[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
@@ -143,16 +219,21 @@ def tokenizer(path: str) -> ChunkTokenizer:
     return _TOKENIZERS[path]
 
 
-def _batches(texts: list, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of at most ``most`` characters, or of one text."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        if i > lo and size + len(t) > most:
-            yield lo, i
-            lo, size = i, 0
-        size += len(t)
-    if len(texts) > lo:
-        yield lo, len(texts)
+def _batches(batches: Iterator[pa.RecordBatch], most: int = BATCH) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of the rows, of at most ``most`` characters, or of one text."""
+    ids, texts, size = [], [], 0
+    for b in batches:
+        for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            t = t or ""
+            # a text and the blank behind it
+            if texts and size + len(t) + 1 > most:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+            ids.append(d)
+            texts.append(t)
+            size += len(t) + 1
+    if texts:
+        yield ids, texts
 
 
 def tokenised_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
@@ -165,27 +246,24 @@ def tokenised_pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> Da
         tok = tokenizer(path)
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for b in batches:
-            ids = b.column(0).to_pylist()
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for lo, hi in _batches(texts):
-                out: dict[str, list] = {k: [] for k in ("d", "p", "s", "n", "c", "r")}
-                for d, raw in zip(ids[lo:hi], tok.ids(texts[lo:hi]), strict=True):
-                    raw += end
-                    n = len(raw) // 4
-                    for k, s in enumerate(range(0, n, sequence)):
-                        part = raw[4 * s:4 * (s + sequence)]
-                        size = len(part) // 4
-                        for c, v in zip("dpsncr", (d, k, s, size, zlib.crc32(part), seen[size]), strict=True):
-                            out[c].append(v)
-                        seen[size] += 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(out["d"], pa.int64()), pa.array(out["p"], pa.int32()),
-                    pa.array(out["s"], pa.int64()), pa.array(out["n"], pa.int64()),
-                    pa.array(out["c"], pa.int64()), pa.array([task] * len(out["d"]), pa.int32()),
-                    pa.array(out["r"], pa.int64())],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
-        tok.trim(WORDS_LEFT)
+        for ids, texts in _batches(batches):
+            out: dict[str, list] = {k: [] for k in ("d", "p", "s", "n", "c", "r")}
+            for d, raw in zip(ids, tok.ids(texts), strict=True):
+                raw += end
+                n = len(raw) // 4
+                for k, s in enumerate(range(0, n, sequence)):
+                    part = raw[4 * s:4 * (s + sequence)]
+                    size = len(part) // 4
+                    for c, v in zip("dpsncr", (d, k, s, size, zlib.crc32(part), seen[size]), strict=True):
+                        out[c].append(v)
+                    seen[size] += 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(out["d"], pa.int64()), pa.array(out["p"], pa.int32()),
+                pa.array(out["s"], pa.int64()), pa.array(out["n"], pa.int64()),
+                pa.array(out["c"], pa.int64()), pa.array([task] * len(out["d"]), pa.int32()),
+                pa.array(out["r"], pa.int64())],
+                names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank"])
+        tok.trim()
         give_back()
 
     return docs.mapInArrow(run, _PIECES)
