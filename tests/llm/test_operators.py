@@ -88,6 +88,33 @@ def test_signatures_are_shared_within_the_bound():
             assert may_be_similar(sketch(a), sketch(b))
 
 
+def test_signature_blocks_take_little_memory():
+    """A task's signatures, all buckets' blocks of several flushes, peak at a
+    fraction of what was held when sorting and writing copied them whole."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from tidelog.llm import jaccard_join
+    rng = random.Random(7)
+    texts = [" ".join(str(rng.randrange(10 ** 9)) for _ in range(1000)) for _ in range(2500)]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[i:i + 100]}) for i in range(0, len(texts), 100)]
+    run = jaccard_join._signature_blocks(SimpleNamespace(mapInArrow=lambda f, ddl: f), 50, 5)
+    rows = {kind: 0 for kind in range(4)}
+    tracemalloc.start()
+    try:
+        for b in run(iter(batches)):
+            for kind, sig, bucket in zip(*(b.column(c).to_pylist() for c in ("kind", "sig", "bucket")), strict=True):
+                assert 0 <= bucket < 50
+                rows[kind] += len(sig) // 4
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows[jaccard_join.ENTRIES] > jaccard_join.FLUSH
+    assert rows[jaccard_join.SPARES] == 2 * len(texts)
+    assert peak < 110e6, peak
+
+
 def test_jaccard_join_of_odd_tables(spark):
     from tidelog.llm.jaccard_join import classes
     assert classes(spark.createDataFrame([], DOCS)).collect() == []
@@ -550,3 +577,17 @@ def test_language_of_odd_texts(spark):
     assert predict(_docs(spark, ["abc"]), none).first().lang_pred == "und"
     one = fit(spark.createDataFrame([(1, "abc", "xx"), (2, None, "xx"), (None, "d", "yy")], "doc_id long, text string, lang string"))
     assert predict(_docs(spark, ["abc"]), one).first().lang_pred == "xx"
+
+
+def test_language_sample_is_made_by_one_python_worker(spark, monkeypatch):
+    """A filter on the sample's vectors made them twice, and took each task
+    two workers, which stay in the executor's memory."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    from tidelog.llm.language_id import fit
+    plans, plain = [], DataFrame.toPandas
+    monkeypatch.setattr(DataFrame, "toPandas", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or plain(df))
+    rows = [(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de"), (3, "12 34", "en"), (4, "", "fr")]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [p.count("ArrowEvalPython") for p in plans] == [1]
+    assert model.families == ["germanic"] and model.members["germanic"] == ["de", "en"]

@@ -35,6 +35,7 @@ out; rows that share an id are one node.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations, islice
 from math import comb
@@ -55,8 +56,9 @@ FREQUENT = 16             # members beyond which a signature is frequent
 BUCKET_ENTRIES = 500_000  # signatures of a bucket, on average
 FLUSH = 1_500_000         # signatures a task holds before it writes blocks
 BLOCK = 256               # sets of a block of a family
-GROUP = 300_000           # features whose signatures are made at a time
-WORDS_KEPT = 300_000      # word hashes a worker holds in a task
+BATCH_ENTRIES = 250_000   # signatures of the blocks a task writes at a time
+GROUP = 60_000            # features whose signatures are made at a time
+WORDS_KEPT = 100_000      # word hashes a worker holds in a task
 WORDS_LEFT = 60_000       # ... and between tasks
 KEY_BITS = 39             # of a set's id, as blocks name it
 
@@ -240,38 +242,61 @@ _BLOCK_DDL = "bucket int, kind tinyint, who binary, high binary, sig binary, of
 ENTRIES, MARKS, DIRECT, SPARES = 0, 1, 2, 3
 
 
-def _blocks(who: np.ndarray, sig: np.ndarray, owner: np.ndarray, spare: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Blocks of entries (who, sig) and of spares (owner, spare + 1), by bucket."""
+def _block_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _BLOCK, strict=True)], schema=_BLOCK)
+
+
+def _blocks(made: list[list[np.ndarray]], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of entries (who, sig) and of spares (owner, spare + 1), by bucket.
+
+    ``made`` has the pieces of these four columns, and is emptied: a worker
+    shares its executor's memory, so nothing is held here twice for long."""
+    who, sig, owner, spare = (np.concatenate(made.pop(0)) for _ in range(4))
     order = np.argsort(sig, kind="stable")
-    who, sig = who[order], sig[order]
-    run = np.flatnonzero(np.r_[True, np.diff(sig) != 0, True])
+    who = who[order]
+    sig = sig[order]
+    del order
+    run = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1], True])
     size = np.diff(run)
     often = np.repeat(size > FREQUENT, size)
+    marks = run[:-1][size > FREQUENT]
+    del run, size
     bucket = lambda v: ((v >> U(32)) * U(buckets) >> U(32)).astype(np.int32)
-    low = sig.astype(np.uint32)
-    out = {f.name: [] for f in _BLOCK}
 
-    def put(kind: int, to: np.ndarray, rows: np.ndarray, who=who, low=low) -> None:
+    def block(kind: int, to: int, who: np.ndarray, sig: np.ndarray) -> tuple:
+        # a signature's own bucket, where the block is elsewhere
+        of = bucket(sig).tobytes() if kind == DIRECT else b""
+        return (to, kind, who.astype(np.uint32).tobytes(), (who >> U(32)).astype(np.uint8).tobytes(),
+                sig.astype(np.uint32).tobytes(), of)
+
+    def dealt(kind: int, to: np.ndarray, who: np.ndarray, sig: np.ndarray) -> Iterator[tuple]:
         by = np.argsort(to, kind="stable")
-        to, rows = to[by], rows[by]
-        for own in np.split(np.arange(len(to)), np.flatnonzero(np.diff(to)) + 1) if len(to) else []:
-            w = who[rows[own]]
-            out["bucket"].append(int(to[own[0]]))
-            out["kind"].append(kind)
-            out["who"].append(w.astype(np.uint32).tobytes())
-            out["high"].append((w >> U(32)).astype(np.uint8).tobytes())
-            out["sig"].append(low[rows[own]].tobytes())
-            # a signature's own bucket, where the block is elsewhere
-            out["of"].append(bucket(sig[rows[own]]).tobytes() if kind == DIRECT else b"")
-
-    rare = np.flatnonzero(~often)
-    put(ENTRIES, bucket(sig[rare]), rare)
-    # frequent here: members go where their own hash says, the bucket gets a mark
-    put(DIRECT, bucket(_mix(who[often])), np.flatnonzero(often))
-    marks = run[:-1][size > FREQUENT]
-    put(MARKS, bucket(sig[marks]), marks)
-    put(SPARES, bucket(_mix(owner)), np.arange(len(owner)), owner, spare.astype(np.uint32))
-    return pa.RecordBatch.from_pydict(out, schema=_BLOCK)
+        for own in np.split(by, np.flatnonzero(np.diff(to[by])) + 1) if len(to) else []:
+            yield block(kind, int(to[own[0]]), who[own], sig[own])
+
+    def blocks() -> Iterator[tuple]:
+        # a bucket is a range of signatures
+        edge = np.append(np.searchsorted(sig, np.array([-(-(i << 32) // buckets) << 32 for i in range(buckets)], U)), len(sig))
+        for i in np.flatnonzero(np.diff(edge)):
+            own = slice(edge[i], edge[i + 1])
+            rare = ~often[own]
+            if rare.any():
+                yield block(ENTRIES, int(i), who[own][rare], sig[own][rare])
+        # frequent here: members go where their own hash says, the bucket gets a mark
+        yield from dealt(DIRECT, bucket(_mix(who[often])), who[often], sig[often])
+        yield from dealt(MARKS, bucket(sig[marks]), who[marks], sig[marks])
+        yield from dealt(SPARES, bucket(_mix(owner)), owner, spare)
+
+    rows, held = [], 0
+    for row in blocks():
+        rows.append(row)
+        held += len(row[2]) // 4
+        if held >= BATCH_ENTRIES:
+            yield _block_batch(rows)
+            rows, held = [], 0
+    if rows:
+        yield _block_batch(rows)
 
 
 def _signature_blocks(docs: DataFrame, buckets: int, size: int) -> DataFrame:
@@ -305,12 +330,12 @@ def _signature_blocks(docs: DataFrame, buckets: int, size: int) -> DataFrame:
                     held += grouped()
                     features = 0
                 if held >= FLUSH:
-                    yield _blocks(*map(np.concatenate, made), buckets)
+                    yield from _blocks(made, buckets)
                     made, held = [[], [], [], []], 0
         if sets:
             grouped()
         if made[0]:
-            yield _blocks(*map(np.concatenate, made), buckets)
+            yield from _blocks(made, buckets)
         _trim_words(WORDS_LEFT)
         give_back()
 

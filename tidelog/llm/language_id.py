@@ -191,8 +191,10 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     def vector(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if (x := features(t)) is None else x.tobytes())
 
-    got = (rows.where(unit < share).select("id", "lang", vector("text").alias("x"))
-           .where("x IS NOT NULL").toPandas().sort_values(["id", "lang"], kind="stable"))
+    # texts without a letter are left out here: a filter on x would make every
+    # vector twice, each task in two Python workers
+    got = rows.where(unit < share).select("id", "lang", vector("text").alias("x")).toPandas()
+    got = got[got.x.notna()].sort_values(["id", "lang"], kind="stable")
     if got.empty:
         return Model(np.zeros((0, DIMS), dtype=np.float32), [])
     return Model(np.stack([np.frombuffer(b, dtype=np.float32) for b in got.x]), list(got.lang))

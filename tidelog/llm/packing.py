@@ -44,7 +44,7 @@ END_ID = 1
 GRID = 64          # cells of the length grid
 WORDS_KEPT = 300_000   # bound of each memo of a worker
 LONGEST = 100          # bytes of a word or chunk that a memo keeps
-BATCH = 8_000_000      # characters tokenised at once, or one text
+BATCH = 2_000_000      # characters tokenised at once, or one text
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
 
@@ -91,8 +91,9 @@ class ChunkTokenizer:
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        # for words: nothing to normalise, and a blank, written so by the byte level, between them
-        self.word_tok = Tokenizer.from_file(path)
+        # for words: nothing to normalise, and a blank, written so by the byte level, between them;
+        # the model is shared, and no added token is a word
+        self.word_tok = Tokenizer(self.tok.model)
         self.word_tok.normalizer = Sequence([])
         self.word_tok.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
