@@ -446,6 +446,48 @@ def test_topk_equals_brute_force(spark):
     assert search(spark.createDataFrame([], "vec_id long, embedding array<double>"), lambda c: c % 100 == 0).count() == 0
 
 
+def test_topk_copies_nothing_per_shard(spark, monkeypatch):
+    # queries were copied once per shard, and all copies sent to the driver for a broadcast
+    from tidelog.llm import topk_search
+    monkeypatch.setattr(topk_search, "SHARD_PARTS", 3)
+    monkeypatch.setattr(topk_search, "PART_BLOCKS", 2)
+    rng = np.random.default_rng(88)
+    x = rng.normal(0, 0.2, (700, 8))
+    x[50:250] = x[3]                        # ties over many shards
+    x[300:310] *= 300                       # shards of integers of 2, 4 and 8 bytes
+    x[400] *= 1e7
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(i, (-x[i + 1]).tolist()) for i in range(0, 700, 50)] + rows[:20]     # ids of two vectors; rows that come twice
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk_search.search(df, lambda c: c % 20 == 0, shard_rows=16, query_block=4)
+    got = sorted(map(tuple, found.collect()))
+    whole = sorted({(i, tuple(int(np.floor(e * 1024)) for e in v)) for i, v in rows})
+    want = []
+    for q, u in whole:
+        if q % 20 == 0:
+            s = sorted((-max(1 - 2 ** 63, min(2 ** 63 - 1, sum(a * b for a, b in zip(u, v, strict=True)))), i)
+                       for i, v in whole if i != q)
+            want += [(q, k, i, -m) for k, (m, i) in enumerate(s[:10], 1)]
+    assert got == sorted(want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "CartesianProduct" in plan
+    assert "Broadcast" not in plan and "Generate" not in plan
+
+
+def test_topk_proves_rows_out_by_earlier_shards():
+    from tidelog.llm.topk_search import Shard
+    rng = np.random.default_rng(89)
+    for low, high in ((-300, 300), (0, 300), (100_000_000, 100_000_300), (-130_000_000, 130_000_000)):
+        x = rng.integers(low, high, (2000, 24))
+        q = rng.integers(low, high, 24)
+        shard, score = Shard(np.arange(2000), x), x @ q
+        for at in (1, 10, 100):
+            want = np.lexsort((np.arange(2000), -score))[:min(at, 10)]
+            ids, best = shard.top(-1, q, 10, np.sort(score)[-at])
+            assert ids[:len(want)].tolist() == want.tolist() and best[:len(want)].tolist() == score[want].tolist()
+        assert len(shard.possible(q, 10)) >= 10 and len(shard.possible(q, 10, 9.0 * np.abs(score).max())) == 0
+
+
 # -- 9: packing ---------------------------------------------------------------
 
 def _check_packing(rows, texts, sequence):

@@ -11,8 +11,14 @@ dimension still open, the largest weight not yet processed. Rows whose upper
 bound is below the k-th lower bound are proven out; when few are left, or all
 segments are done, the possible members are scored exactly.
 
-Queries are grouped into blocks; each (shard, block) is one unit of work and
-returns its exact top k, and a window with a pushed-down limit merges them.
+Queries are grouped into blocks, and blocks and shards are each dealt over a
+bounded number of parts. A task meets one part of both, and builds the index of
+a shard once for all blocks of the part. It keeps the k best rows of each of its
+queries over its shards; the worst of them is a bound that also proves out rows
+of the next shards. A window with a pushed-down limit merges the tasks. Parts
+are read again by each task that meets them: no copies of queries or shards are
+shuffled, and none are broadcast, so neither the driver nor the disk holds more
+than the vectors and the tasks' results.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite
 component, and rows with a null id, take no part; vectors of another length
@@ -34,6 +40,9 @@ SHARD_ROWS = 4096
 QUERY_BLOCK = 256
 LEVELS = 16
 SLICES = 5
+SHARD_PARTS = 64    # tasks that a query's results come from, at most
+PART_BLOCKS = 8     # query blocks in a part, about; more only beyond
+BLOCK_PARTS = 256   # so many parts
 SAFE = 1 << 27      # components up to this keep products and sums in 64 bits
 LIMIT = 1 << 60
 
@@ -62,19 +71,23 @@ class Shard:
         self.first = np.flatnonzero(np.r_[True, np.diff(self.dim) > 0])
         self.exact = np.abs(self.x).max(initial=0) > SAFE
 
-    def possible(self, q: np.ndarray, k: int) -> np.ndarray:
-        """Rows that may be among the k best of query ``q``."""
+    def possible(self, q: np.ndarray, k: int, floor: float = -np.inf) -> np.ndarray:
+        """Rows that may be among the k best of query ``q`` and score ``floor`` at least."""
         n, dims = self.x.shape
         w = q[self.dim].astype(np.float64)
         a, b = w * self.least, w * self.most
         up, low = np.maximum(a, b), np.minimum(a, b)
-        base = np.minimum.reduceat(low, self.first)[self.dim]
+        # for rounding of large sums
+        room = 1e-9 * (1 + max(np.abs(a).max(initial=0), np.abs(b).max(initial=0)) * dims)
+        base = np.minimum.reduceat(low, self.first)
+        if floor > -np.inf:
+            floor -= base.sum() + 1e-9 * abs(floor)
+        base = base[self.dim]
         up, low = up - base, low - base
         order = np.argsort(-up, kind="stable")
         done = np.cumsum(self.sizes[order])
         cuts = np.searchsorted(done, np.arange(1, SLICES + 1) * (done[-1] / SLICES), side="left") + 1
         most, least, seen = np.zeros(n), np.zeros(n), np.zeros(n)
-        room = 1e-9 * (1 + np.abs(up).max(initial=0) * dims)     # for rounding of large sums
         rows, lo = np.arange(n), 0
         for hi in cuts:
             own = order[lo:hi]
@@ -87,16 +100,17 @@ class Shard:
             lo = hi
             rest = up[order[hi]] if hi < len(order) else 0.0
             kth = np.partition(least, n - k)[n - k] if n > k else -np.inf
-            rows = np.flatnonzero(most + (dims - seen) * rest + room >= kth)
+            rows = np.flatnonzero(most + (dims - seen) * rest + room >= max(kth, floor))
             if len(rows) <= max(4 * k, n // 64):
                 break
         return rows
 
-    def top(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Exact (ids, scores) of the k best rows, ties to the smaller id."""
+    def top(self, query_id: int, q: np.ndarray, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Exact (ids, scores) of the k best rows, ties to the smaller id; rows
+        below ``floor`` may be left out."""
         # sums beyond 64 bits end at the range of a long, where bounds tell nothing
         big = self.exact or np.abs(q).max(initial=0) > SAFE
-        rows = np.arange(len(self.ids)) if big else self.possible(q, k + int((self.ids == query_id).sum()))
+        rows = np.arange(len(self.ids)) if big else self.possible(q, k + int((self.ids == query_id).sum()), floor)
         rows = rows[self.ids[rows] != query_id]
         if big:
             score = np.array([max(1 - (1 << 63), min((1 << 63) - 1, int(sum(map(int, self.x[r] * q.astype(object))))))
@@ -118,12 +132,27 @@ def integers(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> Da
             .distinct())
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Integers as bytes, in the narrowest of the types of 2, 4 and 8 bytes that holds them all."""
+    for t in (np.int16, np.int32):
+        if np.iinfo(t).min <= x.min() and x.max() <= np.iinfo(t).max:
+            return x.astype(t).tobytes()
+    return x.tobytes()
+
+
+def _wide(raw: bytes, n: int, d: int) -> np.ndarray:
+    """``n`` vectors of ``d`` integers back from :func:`_narrow`."""
+    return np.frombuffer(raw, dtype=f"i{len(raw) // (n * d)}").reshape(n, d).astype(np.int64)
+
+
 def _packed(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """One row per group of ``keys``: ids and vectors as bytes."""
+    """One row per group of ``keys``: ids and vectors as bytes, in the same order each time."""
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", kind="stable")
-        v = np.stack(pdf["v"].to_numpy()).astype(np.int64)
-        return pd.DataFrame([[*key, pdf["id"].to_numpy(np.int64).tobytes(), v.tobytes()]],
+        ids, v = pdf["id"].to_numpy(np.int64), np.stack(pdf["v"].to_numpy()).astype(np.int64)
+        order = np.argsort(ids, kind="stable")
+        if len(np.unique(ids)) < len(ids):
+            order = np.lexsort((*v.T[::-1], ids))
+        return pd.DataFrame([[*key, ids[order].tobytes(), _narrow(v[order])]],
                             columns=[*keys, f"{name}_ids", f"{name}_x"])
     schema = ", ".join([f"{k} int" for k in keys] + [f"{name}_ids binary", f"{name}_x binary"])
     return rows.groupBy(*keys).applyInPandas(one, schema)
@@ -140,23 +169,35 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
     index = _packed(rows.select("id", "v", "d", deal(shards).alias("shard")), ["d", "shard"], "c")
     asked = _packed(rows.where(is_query(F.col("id"))).select("id", "v", "d", deal(blocks).alias("block")),
                     ["d", "block"], "q")
-    units = (index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-             .join(asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))),
-                   ["d", "shard", "block"]))
+    # every part of the one meets every part of the other in a task, shard by shard
+    index = index.repartition(min(shards, SHARD_PARTS)).hint("shuffle_replicate_nl")
+    asked = asked.repartition(min(-(-blocks // PART_BLOCKS), BLOCK_PARTS)).hint("shuffle_replicate_nl")
+    units = index.join(asked, "d")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        built, best = None, {}
         for b in batches:
             for u in b.itertuples():
-                ids = np.frombuffer(u.c_ids, dtype=np.int64)
-                shard = Shard(ids, np.frombuffer(u.c_x, dtype=np.int64).reshape(len(ids), -1))
+                if built != (u.d, u.shard):
+                    ids = np.frombuffer(u.c_ids, dtype=np.int64)
+                    built, shard = (u.d, u.shard), Shard(ids, _wide(u.c_x, len(ids), u.d))
                 qids = np.frombuffer(u.q_ids, dtype=np.int64)
-                out = []
-                for j, (qid, q) in enumerate(zip(qids, np.frombuffer(u.q_x, dtype=np.int64).reshape(len(qids), -1),
-                                                 strict=True)):
-                    found, score = shard.top(qid, q, k)
-                    out.append(pd.DataFrame({"d": u.d, "block": u.block, "no": j, "query_id": qid,
-                                             "vec_id": found, "score": score}))
-                yield pd.concat(out)
+                own = best.setdefault((u.d, u.block), [(qid, (), ()) for qid in qids.tolist()])
+                for j, q in enumerate(_wide(u.q_x, len(qids), u.d)):
+                    qid, ids, score = own[j]
+                    more, more_score = shard.top(qid, q, k, score[-1] if len(score) == k else -np.inf)
+                    if len(more):
+                        ids, score = np.r_[np.int64(ids), more], np.r_[np.int64(score), more_score]
+                        order = np.lexsort((ids, -score))[:k]
+                        own[j] = qid, ids[order], score[order]
+        for (d, block), own in best.items():
+            size = [len(ids) for _, ids, _ in own]
+            if sum(size):
+                yield pd.DataFrame({
+                    "d": d, "block": block, "no": np.repeat(np.arange(len(own)), size),
+                    "query_id": np.repeat(np.array([qid for qid, _, _ in own], dtype=np.int64), size),
+                    "vec_id": np.concatenate([ids for _, ids, _ in own if len(ids)]),
+                    "score": np.concatenate([score for _, _, score in own if len(score)])})
 
     found = units.mapInPandas(run, "d int, block int, no int, query_id long, vec_id long, score long")
     order = Window.partitionBy("d", "block", "no").orderBy(F.desc("score"), "vec_id")
